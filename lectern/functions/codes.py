@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,16 +14,14 @@ def clean_isbn(value) -> Column:
 
 
 def weighted_digit_sum(code: Column, positions: int) -> Column:
-    """Digits at 1..positions weighted 1,3,1,3... ``code`` should be a plain column or a bound value."""
-    terms = [
-        (F.ascii(F.substring(code, place, 1)) - F.lit(48)) * F.lit(1 if place % 2 else 3)
-        for place in range(1, positions + 1)
-    ]
-    return reduce(lambda total, term: total + term, terms)
+    """Digits at 1..positions weighted 1,3,1,3..."""
+    weights = F.lit([1 if place % 2 else 3 for place in range(1, positions + 1)])
+    weighted = F.zip_with(F.split(code, ""), weights, lambda digit, weight: (F.ascii(digit) - 48) * weight)
+    return F.aggregate(weighted, F.lit(0), lambda total, term: total + F.coalesce(term, F.lit(0)))
 
 
 def check_digit(first_twelve) -> Column:
-    return bind(first_twelve, lambda code: (F.lit(10) - weighted_digit_sum(code, 12) % 10) % 10)
+    return (F.lit(10) - weighted_digit_sum(as_column(first_twelve), 12) % 10) % 10
 
 
 def is_isbn13(value) -> Column:

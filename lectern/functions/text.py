@@ -97,13 +97,25 @@ def _fold_map(form: str) -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return source, target, tuple(growing)
 
 
+def _character_class(codes, gap: int = 8) -> str:
+    """Few ranges that cover the code points; it may cover neighbours too, so it only guards."""
+    ranges: list[list[int]] = []
+    for code in sorted(codes):
+        if ranges and code - ranges[-1][1] <= gap:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in ranges) + "]"
+
+
 def _expand(value: Column, growing: tuple[tuple[str, str], ...]) -> Column:
     """Replace the characters that fold into several, only in rows that hold one."""
     if not growing:
         return value
-    pairs = [F.lit(part) for pair in growing for part in pair]
-    table = F.create_map(*pairs)
-    holds_one = "[" + "".join(ch for ch, _ in growing) + "]"
+    keys = F.split(F.lit("\t".join(ch for ch, _ in growing)), "\t")
+    values = F.split(F.lit("\t".join(folded for _, folded in growing)), "\t")
+    table = F.map_from_arrays(keys, values)
+    holds_one = _character_class(ord(ch) for ch, _ in growing)
     spelled = F.array_join(
         F.transform(F.split(value, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )

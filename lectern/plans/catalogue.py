@@ -1,11 +1,14 @@
 """The whole integration flow: staging -> golden catalogue -> model -> enrichment -> audit.
 
-Everything is lazy. Nothing is collected; metrics and the step log are DataFrames.
+Tables that several later steps read (the golden catalogue, the dimensions) are written
+once; everything else is lazy. Nothing is collected: metrics and the step log are
+DataFrames.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from lectern import fixed_values as fixed
 from lectern.functions.codes import clean_isbn
 from lectern.operators import conform, dedup, enrich, model, quality, reports, reshape
 from lectern.operators.skew import attach
+from lectern.session import settle
 from lectern.sources import readers, sinks
 
 CATALOGUE_VALUES = ["title", "normalized_title", "authors", "publisher", "year", "country", "pages", "language",
@@ -46,40 +50,66 @@ def numeric_key(column: str = "isbn13"):
     return F.col(column).cast("long")
 
 
-def relational_tables(catalogue: DataFrame) -> dict[str, DataFrame]:
-    """publishers, authors, books, editions, book_authors with ids in catalogue order.
+class RelationalModel:
+    """publishers, authors, books, editions, book_authors, with ids in catalogue order.
 
     Editions that share a normalised title share a book; the first edition names it.
+    Dimensions are written once, because editions and bridges read them several times.
     """
-    numbered = catalogue.withColumn("position", numeric_key())
-    publishers = model.dimension(numbered, "publisher", ["position"], "publisher_id")
-
-    titles = numbered.groupBy("normalized_title").agg(
-        F.min_by(F.struct("position", "title", "year", "country"), "position").alias("_first"),
-        F.count("*").alias("uses"),
-    )
-    books = model.dense_ids(
-        titles, F.floor(F.col("_first.position") / model.ID_BLOCK), [F.col("_first.position")], "book_id"
-    ).select("book_id", "normalized_title", "_first.title", F.col("_first.year").alias("first_publication_year"),
-             "_first.country", "uses")
-
-    with_book = attach(numbered, books.select("normalized_title", "book_id", "uses"), ["normalized_title"], "uses",
-                       F.col("isbn13"), how="inner").drop("uses")
-    editions = attach(with_book, publishers, ["publisher"], "uses", F.col("isbn13")).select(
-        "isbn13", "book_id", "publisher_id", F.col("year").cast("int").alias("publication_year"),
-        F.col("pages").cast("int").alias("pages"), "language", "source_count", "source_names", "source_url")
-
-    people = reshape.explode_list(with_book, ["book_id", "isbn13"], "authors", "name").withColumn(
-        "at", F.col("isbn13").cast("long"))
-    authors = model.dimension(people, "name", ["at", "position"], "author_id")
-    book_authors = model.bridge(people, "book_id", authors, "name", "author_id", F.col("book_id"))
-    return {
-        "publishers": publishers.select("publisher_id", F.col("publisher").alias("name")),
-        "authors": authors.select("author_id", "name"),
-        "books": books.drop("uses"),
-        "editions": editions,
-        "book_authors": book_authors,
-    }
+
+    def __init__(self, catalogue: DataFrame):
+        self.numbered = catalogue.withColumn("position", numeric_key())
+
+    @cached_property
+    def publishers(self) -> DataFrame:
+        return settle(model.dimension(self.numbered, "publisher", ["position"], "publisher_id"))
+
+    @cached_property
+    def books(self) -> DataFrame:
+        titles = self.numbered.groupBy("normalized_title").agg(
+            F.min_by(F.struct("position", "title", "year", "country"), "position").alias("_first"),
+            F.count("*").alias("uses"),
+        )
+        by_position = F.col("_first.position")
+        numbered = model.dense_ids(titles, F.floor(by_position / model.ID_BLOCK), [by_position], "book_id")
+        return settle(numbered.select(
+            "book_id", "normalized_title", "_first.title", F.col("_first.year").alias("first_publication_year"),
+            "_first.country", "uses"))
+
+    @cached_property
+    def with_book(self) -> DataFrame:
+        ids = self.books.select("normalized_title", "book_id", "uses")
+        return attach(self.numbered, ids, ["normalized_title"], "uses", F.col("isbn13"), how="inner").drop("uses")
+
+    @cached_property
+    def people(self) -> DataFrame:
+        return settle(reshape.explode_list(
+            self.with_book.select("book_id", F.col("position").alias("at"), "authors"), ["book_id", "at"], "authors",
+            "name"))
+
+    @cached_property
+    def authors(self) -> DataFrame:
+        return settle(model.dimension(self.people, "name", ["at", "position"], "author_id"))
+
+    @cached_property
+    def editions(self) -> DataFrame:
+        return attach(self.with_book, self.publishers, ["publisher"], "uses", F.col("isbn13")).select(
+            "isbn13", "book_id", "publisher_id", F.col("year").cast("int").alias("publication_year"),
+            F.col("pages").cast("int").alias("pages"), "language", "source_count", "source_names", "source_url")
+
+    @cached_property
+    def book_authors(self) -> DataFrame:
+        return model.bridge(self.people, "book_id", self.authors, "name", "author_id", F.col("book_id"))
+
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "publishers": self.publishers.select("publisher_id", F.col("publisher").alias("name")),
+            "authors": self.authors.select("author_id", "name"),
+            "books": self.books.drop("uses"),
+            "editions": self.editions,
+            "book_authors": self.book_authors,
+        }
 
 
 def clean_sales(sales: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -143,20 +173,20 @@ def build(records: DataFrame, sales: DataFrame, metrics: DataFrame, fixture: Dat
           catalogue: DataFrame | None = None) -> CatalogueResult:
     """Everything the flow delivers, from a staging table and the auxiliary inputs.
 
-    A golden catalogue that was already written can be passed in, so that the parts
-    built on it read the table instead of repeating the survivorship.
+    A golden catalogue that was already written can be passed in.
     """
-    catalogue = canonical_catalogue(records) if catalogue is None else catalogue
+    catalogue = settle(canonical_catalogue(records)) if catalogue is None else catalogue
     sold = clean_sales(sales, catalogue)
     attention = clean_metrics(metrics, catalogue)
     matches = enrich.enrich(catalogue, mode, fixture, results, failures)
+    trace = conform.source_trace(records)
     log = step_log(records, catalogue, mode)
-    tables = relational_tables(catalogue)
+    tables = RelationalModel(catalogue).tables
     tables.update({
         "sales": sold, "altmetrics": attention, "openalex_enrichment": matches,
-        "source_records": conform.source_trace(records), "pipeline_events": log,
+        "source_records": trace, "pipeline_events": log,
     })
-    return CatalogueResult(catalogue, sold, attention, matches, tables["source_records"], log,
+    return CatalogueResult(catalogue, sold, attention, matches, trace, log,
                            flow_metrics(records, catalogue, sold, matches), tables)
 
 

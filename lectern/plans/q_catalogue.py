@@ -10,6 +10,7 @@ from lectern.operators import conform, dedup, enrich, quality, reports, reshape
 from lectern.plans import catalogue, inputs
 from lectern.plans.inputs import GOLDEN_SQL, MODEL_SQL, SALES_SQL, STAGING_SQL
 from lectern.plans.registry import query
+from lectern.session import settle
 from lectern.sources import sinks
 
 
@@ -17,6 +18,10 @@ def built(t) -> catalogue.CatalogueResult:
     return catalogue.build(inputs.records(t), inputs.sales(t), inputs.metrics(t), inputs.fixture(t))
 
 
+def relational(t) -> catalogue.RelationalModel:
+    return catalogue.RelationalModel(settle(golden_catalogue(t)))
+
+
 @query("conform_union", f"""WITH {STAGING_SQL}
 SELECT source_name, source_row, raw_isbn, raw_title, authors, publisher, year, country, pages, language, source_url,
   isbn13, normalized_title, valid_isbn FROM records""")
@@ -94,7 +99,7 @@ def duplicate_flags(t):
 
 @query("duplicate_candidates", f"""WITH {STAGING_SQL}
 SELECT isbn13, source_name, raw_title, normalized_title, authors, publisher, year, country, language FROM
-  (SELECT *, count(*) OVER (PARTITION BY isbn13) AS n FROM records WHERE valid_isbn) WHERE n > 1
+  (SELECT *, count(*) OVER (PARTITION BY isbn13) AS key_rows FROM records WHERE valid_isbn) WHERE key_rows > 1
 ORDER BY isbn13, source_name""")
 def duplicate_candidates(t):
     flagged = dedup.flag_duplicates(conform.accepted(inputs.records(t)), ["isbn13"], "source_row")
@@ -147,36 +152,36 @@ def category_matrix(t):
 
 @query("publishers", f"WITH {MODEL_SQL} SELECT publisher_id, name FROM pub")
 def publishers(t):
-    return built(t).tables["publishers"]
+    return relational(t).publishers.select("publisher_id", F.col("publisher").alias("name"))
 
 
 @query("authors", f"WITH {MODEL_SQL} SELECT author_id, name FROM authors")
 def authors(t):
-    return built(t).tables["authors"]
+    return relational(t).authors.select("author_id", "name")
 
 
 @query("books", f"""WITH {MODEL_SQL}
 SELECT book_id, normalized_title, title, first_publication_year, country FROM books""")
 def books(t):
-    return built(t).tables["books"]
+    return relational(t).books.drop("uses")
 
 
 @query("editions", f"""WITH {MODEL_SQL}
 SELECT isbn13, book_id, publisher_id, publication_year, pages, language, source_count, source_names, source_url
 FROM editions""")
 def editions(t):
-    return built(t).tables["editions"]
+    return relational(t).editions
 
 
 @query("book_authors", f"WITH {MODEL_SQL} SELECT book_id, author_id FROM book_authors")
 def book_authors(t):
-    return built(t).tables["book_authors"]
+    return relational(t).book_authors
 
 
 @query("sales_known", f"""WITH {MODEL_SQL}
 SELECT isbn13, sale_date, units, revenue_eur, channel, synthetic FROM sales""")
 def sales_known(t):
-    return catalogue.clean_sales(inputs.sales(t), golden_catalogue(t))
+    return catalogue.clean_sales(inputs.sales(t), golden_catalogue(t).select("isbn13"))
 
 
 @query("metrics_known", f"WITH {MODEL_SQL} SELECT isbn13, mentions, readers, demo_score, synthetic FROM altmetrics")
@@ -265,7 +270,7 @@ GROUP BY name ORDER BY editions DESC, author LIMIT 5"""
 
 @query("top_authors", f"WITH {MODEL_SQL} {AUTHOR_SQL}")
 def top_authors(t):
-    tables = built(t).tables
+    tables = relational(t).tables
     rows = (tables["book_authors"].join(tables["authors"].withColumnRenamed("name", "author"), "author_id")
             .join(tables["books"].select("book_id", "title"), "book_id")
             .join(tables["editions"].select("book_id", "isbn13"), "book_id"))
@@ -275,7 +280,7 @@ def top_authors(t):
 @query("top_authors_count", f"""WITH {MODEL_SQL}
 SELECT name AS author, count(DISTINCT isbn13) AS editions FROM people GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""")
 def top_authors_count(t):
-    tables = built(t).tables
+    tables = relational(t).tables
     pairs = (tables["book_authors"].join(tables["editions"].select("book_id", "isbn13"), "book_id")
              .join(tables["authors"], "author_id").select(F.col("name").alias("author"), "isbn13").distinct())
     return reports.top(reports.count_by(pairs, ["author"], "editions"), [F.desc("editions"), "author"], 5)
@@ -332,7 +337,7 @@ SELECT 'sales' AS constraint_name, count(*) AS violations FROM sales_raw WHERE i
 UNION ALL
 SELECT 'altmetrics', count(*) FROM metrics_raw WHERE isbn13 NOT IN (SELECT isbn13 FROM editions)""")
 def reference_check_raw(t):
-    parent = built(t).tables["editions"]
+    parent = relational(t).editions
     return quality.reference_report({
         "sales": (inputs.sales(t), parent, "isbn13"), "altmetrics": (inputs.metrics(t), parent, "isbn13")})
 
@@ -383,7 +388,10 @@ SELECT 'revenue_eur', CAST(sum(CAST(revenue_eur AS DECIMAL(18,2))) AS DOUBLE) FR
 SELECT 'openalex_live_rows', count(*) FROM matches WHERE data_source = 'openalex_live' UNION ALL
 SELECT 'openalex_matched_rows', count(*) FROM matches WHERE match_status = 'matched'""")
 def flow_metrics(t):
-    return built(t).metrics
+    golden = settle(golden_catalogue(t))
+    return catalogue.flow_metrics(
+        inputs.records(t), golden, catalogue.clean_sales(inputs.sales(t), golden),
+        enrich.enrich(golden, "offline", inputs.fixture(t)))
 
 
 def _step_sql() -> str:
@@ -406,7 +414,7 @@ counts AS (SELECT count(*) AS staged, count(*) FILTER (WHERE valid_isbn) AS vali
   (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM records WHERE valid_isbn GROUP BY isbn13)
    WHERE n > 1) AS repeated FROM records) {_step_sql()}""")
 def step_log(t):
-    return built(t).events
+    return catalogue.step_log(inputs.records(t), golden_catalogue(t), "offline")
 
 
 @query("table_counts", f"WITH {MODEL_SQL} " + " UNION ALL ".join(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only; cluster sizing (memory, cores, shuffle partitions) stays with the cluster.
 RUNTIME_SETTINGS = {
@@ -31,3 +32,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current is None:
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="lectern-checkpoint-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def settle(frame: DataFrame) -> DataFrame:
+    """Write a table that several later steps read, and go on from the written copy.
+
+    It lies in the shared checkpoint folder, so losing an executor costs a re-read and
+    not the whole lineage; being Parquet, later steps read only the columns they need
+    and joins see its real size.
+    """
+    spark = frame.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
