@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lectern.functions.text import as_column
+from lectern.functions.text import as_column, bind
 
 
 def by_table(value, table: dict[str, list[str]], caseless: bool = True) -> Column:
@@ -24,7 +24,7 @@ def by_rules(value, rules: list[tuple[str, str, str]]) -> Column:
     column = as_column(value)
     for kind, old, new in rules:
         if kind == "is":
-            column = F.when(column == old, F.lit(new)).otherwise(column)
+            column = bind(column, lambda now, old=old, new=new: F.when(now == old, F.lit(new)).otherwise(now))
         else:
             column = F.replace(column, F.lit(old), F.lit(new))
     return column
