@@ -19,12 +19,16 @@ def by_table(value, table: dict[str, list[str]], caseless: bool = True) -> Colum
     return result.otherwise(column)
 
 
+def _swap(old: str, new: str):
+    return lambda now: F.when(now == old, F.lit(new)).otherwise(now)
+
+
 def by_rules(value, rules: list[tuple[str, str, str]]) -> Column:
     """Apply exact (``is``) and substring (``has``) replacements one after the other."""
     column = as_column(value)
     for kind, old, new in rules:
         if kind == "is":
-            column = bind(column, lambda now, old=old, new=new: F.when(now == old, F.lit(new)).otherwise(now))
+            column = bind(column, _swap(old, new))
         else:
             column = F.replace(column, F.lit(old), F.lit(new))
     return column

@@ -52,11 +52,11 @@ def split_keyed(frame: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 def contributors(roles: dict[str, str] = fixed.CONTRIBUTOR_ROLES) -> Column:
     """array<struct<role, name>> from one ``;`` cell per role, in the order of the roles."""
-    lists = []
-    for column, role in roles.items():
-        names = F.transform(split_list(column), natural_name)
-        lists.append(F.transform(names, lambda name, role=role: F.struct(F.lit(role).alias("role"), name.alias("name"))))
-    return F.concat(*lists)
+
+    def tagged(role: str):
+        return lambda name: F.struct(F.lit(role).alias("role"), natural_name(name).alias("name"))
+
+    return F.concat(*[F.transform(split_list(column), tagged(role)) for column, role in roles.items()])
 
 
 def contributor_cell(people) -> Column:
