@@ -13,6 +13,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern import fixed_values as fixed
 from lectern.functions.text import SPACE, as_column, split_plain
@@ -102,7 +103,12 @@ def _name_score(wanted, offered) -> float:
     return sum(max(sequence_ratio(name, other) for other in offered) for name in wanted) / len(wanted)
 
 
-@F.pandas_udf("struct<title_score double, author_score double, match_score double>")
+SCORES = T.StructType([
+    T.StructField(name, T.DoubleType()) for name in ("title_score", "author_score", "match_score")
+])
+
+
+@F.pandas_udf(SCORES)
 def sequence_scores(
     title: pd.Series, candidate_title: pd.Series, names: pd.Series, candidate_names: pd.Series
 ) -> pd.DataFrame:

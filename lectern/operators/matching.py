@@ -14,6 +14,7 @@ from lectern.functions.codes import doi_from_url
 from lectern.functions.similarity import matched_name_share, sequence_scores, title_band
 from lectern.functions.text import fold_marks, normalize_text, search_title, split_list, strip
 from lectern.operators.skew import attach
+from lectern.session import settle
 
 
 def page_size(asked: int = fixed.DEFAULT_PER_PAGE) -> int:
@@ -69,11 +70,11 @@ def match_books(books: DataFrame, candidates: DataFrame, key: str, per_page: int
     )
     compared = ["_title", "_cand_title", "_names", "_cand_names"]
     pairs = hits.join(asked, key)
-    scores = score_pairs(pairs, compared)
+    scores = settle(score_pairs(pairs, compared))
     scored = attach(pairs, scores, compared, "pair_rows", F.struct(key, "cand_rank"), how="inner")
     shown = ["openalex_id", "matched_title", "doi", "cited_by_count", "title_score", "author_score", "match_score"]
     best = scored.groupBy(key).agg(
-        F.max_by(F.struct(*shown), F.struct(F.col("match_score"), -F.col("cand_rank"))).alias("_best")
+        F.max_by(F.struct(*shown), F.struct(F.col("match_score"), -F.col("cand_rank"), "openalex_id")).alias("_best")
     ).select(key, "_best.*")
     joined = books.select(key, F.col("title").alias("query_title")).join(best, key, "left")
     status = (
@@ -103,9 +104,9 @@ def score_fuzzy(books: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     compared = ["_title", "_names", "cand_title", "cand_names"]
     pairs = hits.join(asked, key)
     distinct = pairs.groupBy(*compared).agg(F.count("*").alias("pair_rows"))
-    scores = distinct.withColumn("title_raw", title_band("_title", "cand_title")).withColumn(
+    scores = settle(distinct.withColumn("title_raw", title_band("_title", "cand_title")).withColumn(
         "author_raw", matched_name_share("_names", "cand_names")
-    )
+    ))
     scored = attach(pairs, scores, compared, "pair_rows", F.struct(key, "cand_id"), how="inner")
     final = F.when(F.col("author_raw") == 0, F.lit(0.0)).otherwise(
         fixed.TITLE_WEIGHT * F.col("title_raw") + fixed.AUTHOR_WEIGHT * F.col("author_raw"))
