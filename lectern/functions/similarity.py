@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern import fixed_values as fixed
-from lectern.functions.text import SPACE, as_column, split_plain
+from lectern.functions.text import SPACE, as_column, bind, split_plain
 
 
 def tokens(value) -> Column:
@@ -30,31 +30,39 @@ def _joined_length(words: Column) -> Column:
 
 
 def token_set_ratio_of(left: Column, right: Column) -> Column:
-    """0..100 for two token sets.
+    """0..100 for two token sets (plain columns or bound values).
 
     The shared words are a prefix of both compared strings, so the ratio is
     2i / (i + t) with i the shared length and t the shorter full string.
     """
-    shared = _joined_length(F.array_intersect(left, right))
-    rest = F.least(
-        _joined_length(F.array_except(left, right)), _joined_length(F.array_except(right, left))
+    lengths = F.struct(
+        _joined_length(F.array_intersect(left, right)).alias("shared"),
+        F.least(_joined_length(F.array_except(left, right)), _joined_length(F.array_except(right, left))).alias("rest"),
     )
-    full = shared + rest + F.when((shared > 0) & (rest > 0), 1).otherwise(0)
-    return F.when(shared + full == 0, F.lit(100.0)).otherwise(F.lit(200.0) * shared / (shared + full))
+
+    def ratio(part: Column) -> Column:
+        shared, rest = part["shared"], part["rest"]
+        full = shared + rest + F.when((shared > 0) & (rest > 0), 1).otherwise(0)
+        return F.when(shared + rest == 0, F.lit(100.0)).otherwise(F.lit(200.0) * shared / (shared + full))
+
+    return bind(lengths, ratio)
 
 
 def token_set_ratio(left, right) -> Column:
-    return token_set_ratio_of(tokens(left), tokens(right))
+    return bind(tokens(left), lambda one: bind(tokens(right), lambda other: token_set_ratio_of(one, other)))
 
 
 def title_band(left, right) -> Column:
     """1.0 for equal titles, then fixed steps on the token-set ratio."""
     left, right = as_column(left), as_column(right)
-    ratio = token_set_ratio(left, right)
-    score = F.when((left != "") & (left == right), F.lit(1.0))
-    for floor, value in fixed.TITLE_BANDS:
-        score = score.when(ratio >= floor, F.lit(value))
-    return score.otherwise(F.lit(0.0))
+
+    def band(ratio: Column) -> Column:
+        score = F.when((left != "") & (left == right), F.lit(1.0))
+        for floor, value in fixed.TITLE_BANDS:
+            score = score.when(ratio >= floor, F.lit(value))
+        return score.otherwise(F.lit(0.0))
+
+    return bind(token_set_ratio(left, right), band)
 
 
 def matched_name_share(names, candidates, threshold: float = fixed.NAME_THRESHOLD) -> Column:
@@ -62,8 +70,11 @@ def matched_name_share(names, candidates, threshold: float = fixed.NAME_THRESHOL
 
     Both sides are ``;`` lists already folded for comparison.
     """
-    wanted = F.transform(split_plain(names), tokens)
-    offered = F.transform(split_plain(candidates), tokens)
+    return bind(F.transform(split_plain(names), tokens), lambda wanted: bind(
+        F.transform(split_plain(candidates), tokens), lambda offered: _greedy_share(wanted, offered, threshold)))
+
+
+def _greedy_share(wanted: Column, offered: Column, threshold: float) -> Column:
     start = F.struct(
         F.transform(offered, lambda _: F.lit(False)).alias("used"), F.lit(0).alias("hits")
     )
@@ -85,8 +96,7 @@ def matched_name_share(names, candidates, threshold: float = fixed.NAME_THRESHOL
             )
             return F.struct(used.alias("used"), (state["hits"] + good.cast("int")).alias("hits"))
 
-        # bind the best partner once instead of repeating the whole expression
-        return F.get(F.transform(F.array(F.array_max(scored)), settle), 0)
+        return bind(F.array_max(scored), settle)
 
     share = F.aggregate(wanted, start, take, lambda state: state["hits"] / F.size(wanted))
     return F.when((F.size(wanted) == 0) | (F.size(offered) == 0), F.lit(0.0)).otherwise(share)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 # Whitespace as text files and spreadsheets use it: Unicode White_Space plus the four
 # ASCII separators U+001C..U+001F.
 SPACE = r"\s\x1c-\x1f"
+SPACE_CHARACTERS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 NON_ASCII = r"[^\x00-\x7f]"
 
 
@@ -34,7 +35,7 @@ def bind(value, use) -> Column:
 
 
 def strip(value) -> Column:
-    return F.regexp_replace(as_column(value), rf"(?U)^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(as_column(value), F.lit(SPACE_CHARACTERS))
 
 
 def blank_to_null(value) -> Column:
@@ -156,7 +157,8 @@ def _spell_hangul(value: Column) -> Column:
 def fold_marks(value) -> Column:
     """Trimmed, lower case, canonical decomposition without marks; punctuation stays."""
     column = F.lower(strip(F.coalesce(as_column(value), F.lit(""))))
-    return _spell_hangul(_fold(column, "NFD"))
+    return bind(column, lambda text: F.when(
+        text.rlike(NON_ASCII), _spell_hangul(_fold(text, "NFD"))).otherwise(text))
 
 
 # --- delimited cells ---------------------------------------------------------------------------

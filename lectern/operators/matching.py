@@ -13,7 +13,7 @@ from lectern import fixed_values as fixed
 from lectern.functions.codes import doi_from_url
 from lectern.functions.similarity import matched_name_share, sequence_scores, title_band
 from lectern.functions.text import fold_marks, normalize_text, search_title, split_list, strip
-from lectern.operators.skew import attach
+from lectern.operators.skew import attach, shuffle_width
 from lectern.session import settle
 
 
@@ -38,14 +38,22 @@ def candidate_names(authorships: str = "authorships") -> Column:
     return F.coalesce(present, F.array().cast("array<string>"))
 
 
+def distinct_pairs(pairs: DataFrame, compared: list[str]) -> DataFrame:
+    """Every compared combination once, over as many tasks as shuffles use.
+
+    Scoring is heavy for few bytes, so the partitions must not be merged by their size.
+    """
+    distinct = pairs.groupBy(*compared).agg(F.count("*").alias("pair_rows"))
+    return distinct.repartition(shuffle_width(pairs), *compared)
+
+
 def score_pairs(pairs: DataFrame, compared: list[str]) -> DataFrame:
     """Sequence scores for (title, names, candidate title, candidate names), already normalised.
 
     Equal pairs are folded first, so copies of one work do not multiply the Python work,
     and the distinct pairs are what the shuffle spreads over the tasks.
     """
-    distinct = pairs.groupBy(*compared).agg(F.count("*").alias("pair_rows"))
-    scored = distinct.withColumn("_scores", sequence_scores(
+    scored = distinct_pairs(pairs, compared).withColumn("_scores", sequence_scores(
         F.col(compared[0]), F.col(compared[1]), F.col(compared[2]), F.col(compared[3])))
     return scored.select(*compared, "pair_rows", "_scores.*")
 
@@ -69,7 +77,7 @@ def match_books(books: DataFrame, candidates: DataFrame, key: str, per_page: int
         F.transform(candidate_names(), normalize_text).alias("_cand_names"),
     )
     compared = ["_title", "_cand_title", "_names", "_cand_names"]
-    pairs = hits.join(asked, key)
+    pairs = settle(hits.join(asked, key))
     scores = settle(score_pairs(pairs, compared))
     scored = attach(pairs, scores, compared, "pair_rows", F.struct(key, "cand_rank"), how="inner")
     shown = ["openalex_id", "matched_title", "doi", "cited_by_count", "title_score", "author_score", "match_score"]
@@ -102,9 +110,8 @@ def score_fuzzy(books: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
         F.col("id").alias("cand_id"), doi_from_url("doi").alias("cand_doi"), "cited_by_count",
     )
     compared = ["_title", "_names", "cand_title", "cand_names"]
-    pairs = hits.join(asked, key)
-    distinct = pairs.groupBy(*compared).agg(F.count("*").alias("pair_rows"))
-    scores = settle(distinct.withColumn("title_raw", title_band("_title", "cand_title")).withColumn(
+    pairs = settle(hits.join(asked, key))
+    scores = settle(distinct_pairs(pairs, compared).withColumn("title_raw", title_band("_title", "cand_title")).withColumn(
         "author_raw", matched_name_share("_names", "cand_names")
     ))
     scored = attach(pairs, scores, compared, "pair_rows", F.struct(key, "cand_id"), how="inner")

@@ -25,7 +25,7 @@ HOT_SHARE = 0.01
 BLOCK_ROWS = 262_144
 
 
-def _salts(frame: DataFrame) -> int:
+def shuffle_width(frame: DataFrame) -> int:
     return max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
@@ -40,7 +40,7 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, sprea
     per salt, and everything else joins as usual. Rows without a key match nothing and
     are spread the same way.
     """
-    salts = _salts(rows)
+    salts = shuffle_width(rows)
     total = groups.agg(F.sum(size)).scalar()
     is_hot = F.col(size) > total * hot_share
     hot_keys = groups.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
