@@ -7,7 +7,6 @@ are plain ASCII skip the map.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -65,37 +64,39 @@ def _is_hangul(code: int) -> bool:
     return 0xAC00 <= code <= 0xD7A3
 
 
+def _fold_nfkd(ch: str) -> str:
+    parts = "".join(part for part in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(part))
+    # what has no ASCII letter or digit becomes a separator anyway
+    return parts if not parts or any(part.isascii() and part.isalnum() for part in parts) else ch
+
+
+def _fold_nfd(ch: str) -> str:
+    return "".join(part for part in unicodedata.normalize("NFD", ch) if unicodedata.category(part) != "Mn")
+
+
+# no character of the planes between these has case, marks or a decomposition
+CASED_OR_COMPOSED = [*range(0x80, 0x32400), *range(0xE0000, 0xE0200)]
+
+FOLDS = {"comparison": _fold_nfkd, "marks": _fold_nfd, "case": str.casefold}
+
+
 @lru_cache(maxsize=None)
 def _fold_map(form: str) -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Characters that change under ``form`` once marks are dropped.
+    """Characters that change under a fold (Hangul syllables apart).
 
     Returns source and target strings for ``translate`` (sources past the end of the
     target are deleted) and the few characters that grow into several.
     """
-    if form == "NFKD":
-        dropped = unicodedata.combining
-    else:
-        def dropped(ch):
-            return unicodedata.category(ch) == "Mn"
-    one_to_one, deleted, growing = [], [], []
-    for code in range(0x80, sys.maxunicode + 1):
-        ch = chr(code)
-        if not unicodedata.decomposition(ch) and not dropped(ch) or _is_hangul(code):
-            continue
-        folded = "".join(part for part in unicodedata.normalize(form, ch) if not dropped(part))
-        if form == "NFKD" and folded and not any(part.isascii() and part.isalnum() for part in folded):
-            continue  # becomes a separator anyway
-        if folded == ch:
-            continue
-        if not folded:
-            deleted.append(ch)
-        elif len(folded) == 1:
-            one_to_one.append((ch, folded))
-        else:
-            growing.append((ch, folded))
+    fold = FOLDS[form]
+    changed = [
+        (chr(code), fold(chr(code))) for code in CASED_OR_COMPOSED
+        if not _is_hangul(code) and fold(chr(code)) != chr(code)
+    ]
+    one_to_one = [(ch, folded) for ch, folded in changed if len(folded) == 1]
+    deleted = [ch for ch, folded in changed if not folded]
+    growing = tuple((ch, folded) for ch, folded in changed if len(folded) > 1)
     source = "".join(ch for ch, _ in one_to_one) + "".join(deleted)
-    target = "".join(folded for _, folded in one_to_one)
-    return source, target, tuple(growing)
+    return source, "".join(folded for _, folded in one_to_one), growing
 
 
 def _character_class(codes, gap: int = 8) -> str:
@@ -132,7 +133,7 @@ def _fold(value: Column, form: str) -> Column:
 def normalize_text(value) -> Column:
     """Comparison form: no accents, ASCII letters and digits, single spaces, lower case."""
     column = F.coalesce(as_column(value), F.lit(""))
-    return F.lower(F.trim(F.regexp_replace(_fold(column, "NFKD"), "[^a-zA-Z0-9]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(_fold(column, "comparison"), "[^a-zA-Z0-9]+", " ")))
 
 
 def _spell_hangul(value: Column) -> Column:
@@ -158,7 +159,7 @@ def fold_marks(value) -> Column:
     """Trimmed, lower case, canonical decomposition without marks; punctuation stays."""
     column = F.lower(strip(F.coalesce(as_column(value), F.lit(""))))
     return bind(column, lambda text: F.when(
-        text.rlike(NON_ASCII), _spell_hangul(_fold(text, "NFD"))).otherwise(text))
+        text.rlike(NON_ASCII), _spell_hangul(_fold(text, "marks"))).otherwise(text))
 
 
 # --- delimited cells ---------------------------------------------------------------------------
@@ -197,7 +198,7 @@ def distinct_items(value) -> Column:
 
 
 def _caseless(value: Column) -> Column:
-    return F.lower(F.upper(collapse_spaces(value)))
+    return bind(collapse_spaces(value), lambda text: F.lower(_fold(text, "case")))
 
 
 def items_not_in(value, other) -> Column:
