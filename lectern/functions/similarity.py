@@ -21,7 +21,7 @@ from lectern.functions.text import SPACE, as_column, bind, split_plain
 
 def tokens(value) -> Column:
     """Distinct whitespace-separated words."""
-    words = F.split(F.coalesce(as_column(value), F.lit("")), rf"(?U)[{SPACE}]+")
+    words = F.split(F.coalesce(as_column(value), F.lit("")), SPACE + "+")
     return F.array_distinct(F.filter(words, lambda word: word != ""))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Whitespace as text files and spreadsheets use it: Unicode White_Space plus the four
 # ASCII separators U+001C..U+001F.
-SPACE = r"\s\x1c-\x1f"
+SPACE = r"(?U)[\s\x1c-\x1f]"
 SPACE_CHARACTERS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 NON_ASCII = r"[^\x00-\x7f]"
 
@@ -39,22 +39,27 @@ def strip(value) -> Column:
 
 def blank_to_null(value) -> Column:
     column = as_column(value)
-    return F.when(column.rlike(rf"(?U)[^{SPACE}]"), column)
+    return F.when(strip(column) != "", column)
 
 
 def is_blank(value) -> Column:
     """Present but empty or whitespace only; NULL is not blank."""
     column = as_column(value)
-    return column.isNotNull() & ~column.rlike(rf"(?U)[^{SPACE}]")
+    return column.isNotNull() & (strip(column) == "")
 
 
 def or_sentinel(value, sentinel: str) -> Column:
     return F.coalesce(blank_to_null(value), F.lit(sentinel))
 
 
+def _single_blanks(text: Column) -> Column:
+    """Runs of whitespace as one blank; plain text with single blanks needs no rewriting."""
+    return F.when(text.rlike("  |[^ -~]"), F.regexp_replace(text, SPACE + "+", " ")).otherwise(text)
+
+
 def collapse_spaces(value) -> Column:
     """One space between words, none at the ends; NULL becomes empty."""
-    return strip(F.regexp_replace(F.coalesce(as_column(value), F.lit("")), rf"(?U)[{SPACE}]+", " "))
+    return bind(strip(F.coalesce(as_column(value), F.lit(""))), _single_blanks)
 
 
 # --- accent folding ------------------------------------------------------------------------
@@ -167,9 +172,8 @@ def fold_marks(value) -> Column:
 
 def split_list(value) -> Column:
     """``a; b;;c`` -> [a, b, c]: trimmed, empties dropped; NULL -> []."""
-    body = F.regexp_replace(F.coalesce(as_column(value), F.lit("")), rf"(?U)^[{SPACE};]+|[{SPACE};]+$", "")
-    parts = F.split(body, rf"(?U)[{SPACE}]*;[{SPACE};]*")
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(parts)
+    pieces = F.transform(F.split(F.coalesce(as_column(value), F.lit("")), ";"), strip)
+    return F.filter(pieces, lambda item: item != "")
 
 
 def split_plain(value) -> Column:
@@ -184,8 +188,8 @@ def join_list(items) -> Column:
 
 def tidy_delimiters(value) -> Column:
     """``|`` becomes ``;``, no blanks at the ends or around ``;``."""
-    column = strip(F.replace(as_column(value), F.lit("|"), F.lit(";")))
-    return F.regexp_replace(column, rf"(?U)[{SPACE}]*;[{SPACE}]*", ";")
+    pieces = F.split(F.replace(as_column(value), F.lit("|"), F.lit(";")), ";")
+    return F.array_join(F.transform(pieces, strip), ";")
 
 
 def drop_parentheses(value) -> Column:
@@ -197,15 +201,16 @@ def distinct_items(value) -> Column:
     return join_list(F.array_distinct(split_list(value)))
 
 
-def _caseless(value: Column) -> Column:
-    return bind(collapse_spaces(value), lambda text: F.lower(_fold(text, "case")))
+def _caseless(item: Column) -> Column:
+    """Comparison form of a trimmed item."""
+    return F.lower(F.when(item.rlike(NON_ASCII), _fold(_single_blanks(item), "case")).otherwise(_single_blanks(item)))
 
 
 def items_not_in(value, other) -> Column:
     """Items of ``value`` that are not items of ``other``, ignoring case and blanks."""
     taken = F.transform(split_list(other), _caseless)
-    kept = F.filter(split_list(value), lambda item: ~F.array_contains(taken, _caseless(item)))
-    return join_list(kept)
+    return bind(taken, lambda others: join_list(
+        F.filter(split_list(value), lambda item: ~F.array_contains(others, _caseless(item)))))
 
 
 # --- small rewrites ------------------------------------------------------------------------------
