@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import as_column, collapse_spaces, is_blank, join_list, split_list, strip
 from lectern.operators.skew import attach
+from lectern.session import settle
 
 
 def priority_of(source: str, priority: dict[str, int]) -> Column:
@@ -70,7 +71,8 @@ def _in_order(condition: Column | None, value: str = "_value", at: str = "_at")
 def merge_values(frame: DataFrame, key: str, columns: list[str], order: str, separator: str = ";") -> DataFrame:
     """One row per key; each column lists its distinct trimmed values in row order.
 
-    Rows without a key are not grouped: they pass through as they are.
+    ``order`` comes back as the first row of the key. Rows without a key are not
+    grouped: they pass through as they are.
     """
     keyed = frame.where(F.col(key).isNotNull())
     trimmed = keyed.select(key, order, *[strip(F.col(name).cast("string")).alias(name) for name in columns])
@@ -83,10 +85,10 @@ def merge_values(frame: DataFrame, key: str, columns: list[str], order: str, sep
         F.nullif(F.col(f"_c{place}"), F.lit("")).alias(name) for place, name in enumerate(columns)
     ])
     # a key whose columns are all empty has no cells but is still one row
-    bare = keyed.groupBy(key).agg(F.count("*").alias("_n")).drop("_n")
+    bare = keyed.groupBy(key).agg(F.min(order).alias(order))
     together = bare.join(merged, key, "left")
     unkeyed = frame.where(F.col(key).isNull()).select(
-        key, *[F.col(name).cast("string").alias(name) for name in columns]
+        key, order, *[F.col(name).cast("string").alias(name) for name in columns]
     )
     return together.unionByName(unkeyed)
 
@@ -196,7 +198,8 @@ def consolidate_list_column(frame: DataFrame, record: str, row: str, column: str
     keyed = frame.where(F.col(record).isNotNull())
     target = destination_rows(keyed, record, row, columns)
     merged = merge_list_cells(keyed, record, row, column, "_merged")
-    marked = attach(keyed, target.join(merged, record, "left"), [record], "group_rows", F.col(row))
+    groups = settle(target.join(merged, record, "left"))
+    marked = attach(keyed, groups, [record], "group_rows", F.col(row))
     written = marked.withColumn(
         column, F.when(F.col(row) == F.col("destination_row"), F.col("_merged")).otherwise(F.col(column))
     )
@@ -210,7 +213,8 @@ def consolidate_text_column(frame: DataFrame, record: str, row: str, column: str
     keyed = frame.where(F.col(record).isNotNull())
     target = destination_rows(keyed, record, row, columns)
     merged = merge_text_pieces(keyed, record, row, column, "_merged")
-    marked = attach(keyed, target.join(merged, record, "left"), [record], "group_rows", F.col(row))
+    groups = settle(target.join(merged, record, "left"))
+    marked = attach(keyed, groups, [record], "group_rows", F.col(row))
     is_target = F.col(row) == F.col("destination_row")
     fragment = ~is_target & (collapse_spaces(column) != "")
     kept = marked.where(~fragment).withColumn(column, F.when(is_target, F.col("_merged")).otherwise(F.col(column)))

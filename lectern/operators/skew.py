@@ -48,7 +48,7 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, sprea
     salted_rows = rows.join(F.broadcast(hot_keys), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot") | keyless, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
     ).drop("_hot")
-    every_salt = F.array(*[F.lit(i) for i in range(salts)])
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_groups = groups.withColumn("_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
     return salted_rows.join(salted_groups, [*keys, "_salt"], how).drop("_salt")
 

@@ -61,7 +61,7 @@ SELECT o_custkey, string_agg(value, ';' ORDER BY pos) FILTER (WHERE name = 'prio
   string_agg(value, ';' ORDER BY pos) FILTER (WHERE name = 'year') AS year FROM c GROUP BY o_custkey UNION ALL
 SELECT o_custkey, priority, status, year FROM m WHERE o_custkey IS NULL""")
 def merged_values(t):
-    return dedup.merge_values(derive(t, "orders", MERGED), "o_custkey", ["priority", "status", "year"], "o_orderkey")
+    return dedup.merge_values(derive(t, "orders", MERGED), "o_custkey", ["priority", "status", "year"], "o_orderkey").drop("o_orderkey")
 
 
 CONTINUED = """

@@ -27,11 +27,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a scratch folder only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="lectern-checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("name a shared folder in spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lectern-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def settle(frame: DataFrame) -> DataFrame:

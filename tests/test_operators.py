@@ -83,7 +83,7 @@ def test_merge_values_keeps_order_and_unkeyed_rows(spark):
         (1, "k", " b ", None), (2, "k", "a", None), (3, "k", "b", None), (4, None, " x ", "y"), (5, None, "z", None), (6, "e", None, None)],
         "n long, k string, a string, b string")
     assert rows_of(dedup.merge_values(rows, "k", ["a", "b"], "n")) == sorted(
-        [("k", "b;a", None), (None, " x ", "y"), (None, "z", None), ("e", None, None)], key=repr)
+        [("k", 1, "b;a", None), (None, 4, " x ", "y"), (None, 5, "z", None), ("e", 6, None, None)], key=repr)
 
 
 def test_duplicate_counts_rows_not_keys(spark):
