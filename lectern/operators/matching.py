@@ -38,24 +38,29 @@ def candidate_names(authorships: str = "authorships") -> Column:
     return F.coalesce(present, F.array().cast("array<string>"))
 
 
-def distinct_pairs(pairs: DataFrame, compared: list[str]) -> DataFrame:
-    """Every compared combination once, over as many tasks as shuffles use.
+COMPARED = ["asked_title", "asked_names", "hit_title", "hit_names"]
 
-    Scoring is heavy for few bytes, so the partitions must not be merged by their size.
-    """
-    distinct = pairs.groupBy(*compared).agg(F.count("*").alias("pair_rows"))
-    return distinct.repartition(shuffle_width(pairs), *compared)
 
+def candidate_pairs(books: DataFrame, hits: DataFrame, key: str) -> DataFrame:
+    """Each hit beside the texts of its book, as they were given."""
+    asked = books.select(
+        key, F.coalesce("title", F.lit("")).alias("asked_title"), F.coalesce("authors", F.lit("")).alias("asked_names"))
+    return settle(hits.join(asked, key))
 
-def score_pairs(pairs: DataFrame, compared: list[str]) -> DataFrame:
-    """Sequence scores for (title, names, candidate title, candidate names), already normalised.
 
-    Equal pairs are folded first, so copies of one work do not multiply the Python work,
-    and the distinct pairs are what the shuffle spreads over the tasks.
+def distinct_pairs(pairs: DataFrame) -> DataFrame:
+    """Every compared combination once, over as many tasks as shuffles use.
+
+    Copies of one work do not multiply the scoring. Scoring is heavy for few bytes, so
+    the partitions must not be merged by their size; normalising the texts comes after
+    this, for the same reason.
     """
-    scored = distinct_pairs(pairs, compared).withColumn("_scores", sequence_scores(
-        F.col(compared[0]), F.col(compared[1]), F.col(compared[2]), F.col(compared[3])))
-    return scored.select(*compared, "pair_rows", "_scores.*")
+    distinct = pairs.groupBy(*COMPARED).agg(F.count("*").alias("pair_rows"))
+    return distinct.repartition(shuffle_width(pairs), *COMPARED)
+
+
+def scores_to_hits(pairs: DataFrame, scores: DataFrame, key: str, hit: str) -> DataFrame:
+    return attach(pairs, scores, COMPARED, "pair_rows", F.struct(key, hit), how="inner").drop("pair_rows")
 
 
 def match_books(books: DataFrame, candidates: DataFrame, key: str, per_page: int = fixed.DEFAULT_PER_PAGE,
@@ -66,22 +71,19 @@ def match_books(books: DataFrame, candidates: DataFrame, key: str, per_page: int
     display_name, title, authorships, id, doi, cited_by_count, type. The first of equal
     scores wins; books without hits get ``no_results``.
     """
-    asked = books.select(
-        key, F.col("title").alias("query_title"), normalize_text("title").alias("_title"),
-        F.transform(split_list("authors"), normalize_text).alias("_names"),
-    )
     hits = first_page(candidates.where(F.col("type") == "book"), per_page=per_page).select(
         key, "cand_rank", F.col("id").alias("openalex_id"), "doi", "cited_by_count",
-        F.nullif(candidate_title(), F.lit("")).alias("matched_title"),
-        normalize_text(candidate_title()).alias("_cand_title"),
-        F.transform(candidate_names(), normalize_text).alias("_cand_names"),
+        candidate_title().alias("hit_title"), candidate_names().alias("hit_names"),
     )
-    compared = ["_title", "_cand_title", "_names", "_cand_names"]
-    pairs = settle(hits.join(asked, key))
-    scores = settle(score_pairs(pairs, compared))
-    scored = attach(pairs, scores, compared, "pair_rows", F.struct(key, "cand_rank"), how="inner")
+    pairs = candidate_pairs(books, hits, key)
+    scored = distinct_pairs(pairs).withColumn("_scores", sequence_scores(
+        normalize_text("asked_title"), normalize_text("hit_title"),
+        F.transform(split_list("asked_names"), normalize_text), F.transform("hit_names", normalize_text),
+    ))
+    scores = settle(scored.select(*COMPARED, "pair_rows", "_scores.*"))
     shown = ["openalex_id", "matched_title", "doi", "cited_by_count", "title_score", "author_score", "match_score"]
-    best = scored.groupBy(key).agg(
+    named = scores_to_hits(pairs, scores, key, "cand_rank").withColumn("matched_title", F.nullif("hit_title", F.lit("")))
+    best = named.groupBy(key).agg(
         F.max_by(F.struct(*shown), F.struct(F.col("match_score"), -F.col("cand_rank"), "openalex_id")).alias("_best")
     ).select(key, "_best.*")
     joined = books.select(key, F.col("title").alias("query_title")).join(best, key, "left")
@@ -101,23 +103,23 @@ def score_fuzzy(books: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     Titles are compared lower-cased with accents, names without. Hits without a title
     are not scored.
     """
-    asked = books.select(
-        key, F.lower(search_title("title")).alias("_title"), fold_marks("authors").alias("_names"),
-    )
     hits = candidates.where(F.col("title").isNotNull()).select(
-        key, F.lower(strip("title")).alias("cand_title"),
-        F.array_join(F.transform(candidate_names(), fold_marks), ";").alias("cand_names"),
+        key, F.col("title").alias("hit_title"), candidate_names().alias("hit_names"),
         F.col("id").alias("cand_id"), doi_from_url("doi").alias("cand_doi"), "cited_by_count",
     )
-    compared = ["_title", "_names", "cand_title", "cand_names"]
-    pairs = settle(hits.join(asked, key))
-    scores = settle(distinct_pairs(pairs, compared).withColumn("title_raw", title_band("_title", "cand_title")).withColumn(
-        "author_raw", matched_name_share("_names", "cand_names")
+    pairs = candidate_pairs(books, hits, key)
+    compared = distinct_pairs(pairs).select(
+        *COMPARED, "pair_rows", F.lower(search_title("asked_title")).alias("_title"),
+        fold_marks("asked_names").alias("_names"), F.lower(strip("hit_title")).alias("cand_title"),
+        F.array_join(F.transform("hit_names", fold_marks), ";").alias("cand_names"),
+    )
+    scores = settle(compared.select(
+        *COMPARED, "pair_rows", "cand_title", "cand_names", title_band("_title", "cand_title").alias("title_raw"),
+        matched_name_share("_names", "cand_names").alias("author_raw"),
     ))
-    scored = attach(pairs, scores, compared, "pair_rows", F.struct(key, "cand_id"), how="inner")
     final = F.when(F.col("author_raw") == 0, F.lit(0.0)).otherwise(
         fixed.TITLE_WEIGHT * F.col("title_raw") + fixed.AUTHOR_WEIGHT * F.col("author_raw"))
-    return scored.select(
+    return scores_to_hits(pairs, scores, key, "cand_id").select(
         key, "cand_title", "cand_names", F.round("title_raw", 4).alias("title_score"),
         F.round("author_raw", 4).alias("author_score"), F.round(final, 4).alias("final_score"),
         "cand_id", "cand_doi", "cited_by_count",

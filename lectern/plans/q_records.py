@@ -297,11 +297,11 @@ def work_report(t):
     return reports.work_report(work, identifiers, authors).orderBy("work_id")
 
 
-@query("shared_codes", """WITH x AS (SELECT DISTINCT trim(source) AS source, doc_id, lang FROM documents WHERE lang <> 'en'),
+@query("shared_codes", """WITH x AS (SELECT DISTINCT trim(source) AS source, doc_id, lang FROM documents),
 d AS (SELECT source FROM x GROUP BY 1 HAVING count(DISTINCT lang) > 1)
 SELECT x.source, x.doc_id, x.lang FROM x JOIN d USING (source) ORDER BY 1, 3, 2""")
 def shared_codes(t):
-    rows = t("documents").where(F.col("lang") != "en").select(F.concat(F.col("source"), F.lit(" ")).alias("source"), "doc_id", "lang")
+    rows = t("documents").select(F.concat(F.col("source"), F.lit(" ")).alias("source"), "doc_id", "lang")
     return reports.shared_codes(rows, "source", "doc_id", "lang").orderBy("source", "lang", "doc_id")
 
 
@@ -335,7 +335,7 @@ def store_facts(t):
 
 
 CASCADE_SQL = """WITH kept AS (SELECT p_partkey AS id FROM part WHERE p_type <> 'PROMO'),
-ia AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS author_id FROM lineitem WHERE l_quantity > 49), ip AS (SELECT p_partkey AS id, p_brand AS publisher_id FROM part),
+ia AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS author_id FROM lineitem), ip AS (SELECT p_partkey AS id, p_brand AS publisher_id FROM part),
 iw AS (SELECT p_partkey AS id, p_name AS work_id FROM part), wa AS (SELECT DISTINCT p_name AS work_id, CAST(p_size AS BIGINT) AS author_id FROM part),
 works AS (SELECT DISTINCT work_id FROM iw SEMI JOIN kept USING (id)), wa2 AS (SELECT * FROM wa SEMI JOIN works USING (work_id)),
 ia2 AS (SELECT * FROM ia SEMI JOIN kept USING (id)), ip2 AS (SELECT * FROM ip SEMI JOIN kept USING (id))"""
@@ -349,7 +349,7 @@ SELECT 'authors', count(*) FROM (SELECT s_suppkey AS author_id FROM supplier WHE
 def cascade_counts(t):
     part, lines = t("part"), t("lineitem")
     bridges = {
-        "identifier_authors": lines.where("l_quantity > 49").select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("author_id")).distinct(),
+        "identifier_authors": lines.select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("author_id")).distinct(),
         "identifier_publishers": part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("publisher_id")),
         "identifier_works": part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("work_id")),
     }
