@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,21 +15,25 @@ def clean_isbn(value) -> Column:
     return F.upper(F.regexp_replace(F.coalesce(as_column(value), F.lit("")), "[^0-9Xx]", ""))
 
 
-def weighted_digit_sum(code: Column, positions: int) -> Column:
-    """Digits at 1..positions weighted 1,3,1,3..."""
-    weights = F.lit([1 if place % 2 else 3 for place in range(1, positions + 1)])
-    weighted = F.zip_with(F.split(code, ""), weights, lambda digit, weight: (F.ascii(digit) - 48) * weight)
-    return F.aggregate(weighted, F.lit(0), lambda total, term: total + F.coalesce(term, F.lit(0)))
+def weighted_digit_sum(number: Column, positions: int) -> Column:
+    """Digits of a whole number of ``positions`` places, weighted 1,3,1,3... from the left.
+
+    ``number`` should be a plain column or a bound value: it is mentioned once per place.
+    """
+    digits = [F.call_function("div", number, F.lit(10 ** (positions - place))) % 10 for place in range(1, positions + 1)]
+    return reduce(lambda total, digit: total + digit, digits[0::2]) + 3 * reduce(
+        lambda total, digit: total + digit, digits[1::2])
 
 
 def check_digit(first_twelve) -> Column:
-    return (F.lit(10) - weighted_digit_sum(as_column(first_twelve), 12) % 10) % 10
+    number = as_column(first_twelve).try_cast("bigint")
+    return bind(number, lambda value: (10 - weighted_digit_sum(value, 12) % 10) % 10)
 
 
 def is_isbn13(value) -> Column:
     """Thirteen digits whose weighted sum, check digit included, is a multiple of ten."""
-    return bind(clean_isbn(value), lambda code: F.when(
-        code.rlike("^[0-9]{13}$"), weighted_digit_sum(code, 13) % 10 == 0).otherwise(F.lit(False)))
+    number = bind(clean_isbn(value), lambda code: F.when(code.rlike("^[0-9]{13}$"), code.try_cast("bigint")))
+    return bind(number, lambda whole: F.coalesce(weighted_digit_sum(whole, 13) % 10 == 0, F.lit(False)))
 
 
 def has_book_prefix(value) -> Column:

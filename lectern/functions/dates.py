@@ -28,7 +28,3 @@ def year_iso(value, strict: bool = False) -> Column:
 def iso_text(value) -> Column:
     return F.date_format(as_column(value), "yyyy-MM-dd")
 
-
-def covered_years(value) -> Column:
-    """In the project's interval, both ends included; NULL is out."""
-    return F.coalesce(as_column(value).between(fixed.YEAR_FROM, fixed.YEAR_TO), F.lit(False))

@@ -102,11 +102,22 @@ def _greedy_share(wanted: Column, offered: Column, threshold: float) -> Column:
     return F.when((F.size(wanted) == 0) | (F.size(offered) == 0), F.lit(0.0)).otherwise(share)
 
 
-@lru_cache(maxsize=65536)
-def sequence_ratio(left: str, right: str) -> float:
+# names and titles repeat over many pairs; whole texts do not and would fill the cache
+CACHED_LENGTH = 1000
+
+
+def _ratio(left: str, right: str) -> float:
     return SequenceMatcher(None, left, right).ratio()
 
 
+_cached_ratio = lru_cache(maxsize=65536)(_ratio)
+
+
+def sequence_ratio(left: str, right: str) -> float:
+    short = len(left) + len(right) <= CACHED_LENGTH
+    return _cached_ratio(left, right) if short else _ratio(left, right)
+
+
 def _name_score(wanted, offered) -> float:
     if len(wanted) == 0 or len(offered) == 0:
         return 0.0

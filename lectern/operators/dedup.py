@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import as_column, collapse_spaces, is_blank, join_list, split_list, strip
+from lectern.functions.text import as_column, collapse_spaces, is_blank, split_list, strip
 from lectern.operators.skew import attach
 from lectern.session import settle
 
@@ -220,6 +220,3 @@ def consolidate_text_column(frame: DataFrame, record: str, row: str, column: str
     kept = marked.where(~fragment).withColumn(column, F.when(is_target, F.col("_merged")).otherwise(F.col(column)))
     return kept.select(*frame.columns).unionByName(frame.where(F.col(record).isNull()))
 
-
-def merge_row_items(items: Column) -> Column:
-    return join_list(F.array_distinct(items))

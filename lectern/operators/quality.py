@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,6 +186,3 @@ def split_by_types(frame: DataFrame, types: dict[str, str], required: list[str]
              for name in frame.columns]
     return marked.where(F.col("reason") == "").select(*typed), marked.where(F.col("reason") != "")
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
+from lectern.functions.nested import stores
 from lectern.operators import conform, dedup, enrich, model, quality, reports, reshape
 from lectern.operators.skew import fill_forward
 from lectern.plans.inputs import derive
-from lectern.plans.q_cleaning import cell_sql, items_sql
+from lectern.plans.q_cleaning import items_sql
 from lectern.plans.registry import query
 from lectern.session import settle
 from lectern.sources import reports as sales_reports
@@ -328,8 +329,6 @@ SELECT o_orderkey, o_custkey, o_orderstatus, concat('[[[~store~, ~Amazon~], [~ur
 SELECT o_custkey, store, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, store ORDER BY o_orderkey, place) AS n FROM s) WHERE n = 1
 UNION ALL SELECT o_custkey, NULL, o_orderstatus FROM orders""")
 def store_facts(t):
-    from lectern.functions.nested import stores
-
     rows = derive(t, "orders", SHOPS).withColumn("shops", stores(F.replace("shops", F.lit("~"), F.lit("'"))))
     return model.store_facts(rows, "o_custkey", "shops", "o_orderkey", ["o_orderstatus"])
 
