@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.session import tune
+from lectern.session import ship, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            tune(spark)
+            ship(tune(spark))
             return build(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
 
         QUERIES[name] = run

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +49,24 @@ def settle(frame: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per session.
+
+    Functions that run in Python workers are found there by module name, and a worker
+    need not have the repository on its path. Spark distributes the archive itself.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_lectern_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lectern-ship-"), "lectern.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.join("lectern", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    context._lectern_shipped = True
