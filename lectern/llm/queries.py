@@ -1,4 +1,4 @@
 """All registered queries of this package."""
 
-from lectern.llm import q_tokens  # noqa: F401
+from lectern.llm import q_langid, q_tokens  # noqa: F401
 from lectern.llm.registry import QUERIES, SQL  # noqa: F401
