@@ -1,5 +1,6 @@
 """Queries of line-wise removal."""
 
+from lectern.llm import lineedit
 from lectern.llm.linehash import dedup
 from lectern.llm.registry import query
 
@@ -36,3 +37,8 @@ FROM d JOIN k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.key = k.key
 @query("op5_line_hash_dedup", SQL)
 def op5_line_hash_dedup(table):
     return dedup(table("documents"))
+
+
+@query("op6_line_edit_dedup")
+def op6_line_edit_dedup(table):
+    return lineedit.dedup(table("documents"))
