@@ -229,14 +229,16 @@ class ByteBpe:
         starts = np.concatenate([[0], ends[:-1]])
         return character[starts].tolist(), (character[ends - 1] + 1).tolist()
 
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of their list, SHA-256 of the bytes they decode to."""
+    def digests(self, text: str | None, held: list[np.ndarray] | None = None) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of their list, SHA-256 of the bytes they decode to; ``held`` receives the ids."""
         count, listed, decoded = 0, hashlib.sha256(), hashlib.sha256()
         for ids in self.runs(text or ""):
             digits = self.digit_table.take(ids)
             listed.update(digits if count else digits[1:])
             decoded.update(self.decode_bytes(ids))
             count += len(ids)
+            if held is not None:
+                held.append(ids)
         return count, listed.hexdigest(), decoded.hexdigest()
 
 
@@ -281,19 +283,26 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return by_batch(chosen, f"doc_id {id_type}, data binary, text string", work)
 
 
-def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode in one pass and return the digests: nothing as long as a text leaves the task."""
+def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                  with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass and return the digests, and the ids themselves if wanted."""
     prepare(docs.sparkSession)
     id_type = dict(docs.dtypes)[id_col]
 
     def work(batch):
         coder = load(path)
-        found = [coder.digests(text) for text in strings(batch.column(1))]
+        held: list[np.ndarray] | None = [] if with_ids else None
+        found = [coder.digests(text, held) for text in strings(batch.column(1))]
         counts, listed, decoded = zip(*found)
-        yield pa.record_batch(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(listed), pa.array(decoded)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
+        columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(listed), pa.array(decoded)]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            flat = np.concatenate(held) if held else np.zeros(0, np.int32)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())))
+            names.append("ids")
+        yield pa.record_batch(columns, names=names)
+
+    schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return by_batch(
-        chosen, f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", work)
+    return by_batch(chosen, schema + (", ids array<int>" if with_ids else ""), work)

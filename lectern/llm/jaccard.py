@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.llm.common import BLANKS, by_batch, concatenated, mix, prepare, settle, strings
 from lectern.llm.graph import components
@@ -459,3 +460,28 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     alone = rows.where("class is null").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "class")
     return known.union(alone)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, all columns as they are, without the near copies: of each component the row with the smallest id.
+
+    Equal smallest ids go to the smallest class key; rows that agree in id and set are one.
+    Rows without shingles stay.
+    """
+    found = settle(join(docs, id_col, text_col))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("class").alias("class"))
+    # null components hold null ids only; those are told apart by class
+    group = F.when(F.col("component_id").isNull(), F.col("class"))
+    first = found.where("class is not null").groupBy("component_id", group.alias("of")).agg(F.min(order).alias("first"))
+    keepers = first.select(F.col("first.id").alias("_id"), F.col("first.class").alias("_keep"))
+    text_at = docs.columns.index(text_col)
+
+    def with_class(batch):
+        sets = shingle_sets(_bytes(strings(batch.column(text_at))))
+        key = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, "_class"])
+
+    keyed = by_batch(docs, T.StructType([*docs.schema.fields, T.StructField("_class", T.LongType())]), with_class)
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_keep"))
+    kept = keyed.where("_class is not null").join(keepers, same, "left_semi").dropDuplicates([id_col, "_class"])
+    return kept.union(keyed.where("_class is null")).drop("_class")

@@ -19,7 +19,7 @@ Where a source's ranking is cut: its ranks are put into 4096 bins, twice, by sum
 Spark combines before the shuffle; only rows of the one bin that holds the cut are
 sorted. No task sees a whole source.
 
-Defined results: a null or empty text has size 0 and takes 0 words. Null is a source of
+Defined results: a null or empty text has size 0, takes 0 words and is not in the mix. Null is a source of
 its own, last in order. Rows of one id and size have the same rank; rows that agree in
 id, size and source are interchangeable. Without any words all targets are 0.
 """
@@ -109,11 +109,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     prepare(docs.sparkSession)
     size = word_count(F.col(text_col))
-    sized = settle(docs.select(
+    base = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"),
-        F.length(F.bin(size)).cast("bigint").alias("weight"), uniform(id_col).alias("u"),
-        *[F.col(name).alias(f"kept_{name}") for name in keep or []]))
-    slim = sized.select("doc_id", "source", "size", "weight", "u")
+        uniform(id_col).alias("u"), *[F.col(name).alias(f"kept_{name}") for name in keep or []])
+    sized = base.withColumn("weight", F.length(F.bin("size")).cast("bigint"))
+    # ids and sizes are written once; whole rows are only read, in the last step
+    slim = settle(sized.select("doc_id", "source", "size", "weight", "u"))
     targets = source_targets(slim, weights, most)
     levels = settle(expected_copies(slim, targets, most))
 
@@ -167,9 +168,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                 F.struct("rank", "doc_id", "size") <= F.col("edge"), F.lit(False)))))
     # a source whose probabilities do not reach the missing words takes all of them
     extra = F.when(F.col("rank").isNull(), 0).when(F.col("has_cut").isNull(), 1).when(chosen, 1).otherwise(0)
-    ready = with_levels(sized).join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
-    copies = F.when(F.col("size") == 0, F.when(F.col("expected") >= 1, 1).otherwise(0)).otherwise(
-        F.floor("expected") + extra).cast("int")
+    ready = with_levels(sized if keep else slim).join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.floor("expected") + extra).cast("int")
     return ready.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), *[f"kept_{name}" for name in keep or []])
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The rows of the mix with all their columns, each as often as it is taken."""
+    found = mix(docs, id_col, text_col, source_col, weights, most, keep=docs.columns).where("copies > 0")
+    repeated = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*[F.col(f"kept_{name}").alias(name) for name in docs.columns])
