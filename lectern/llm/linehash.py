@@ -74,11 +74,11 @@ def repeated(found: DataFrame) -> DataFrame:
     """The units to remove: those whose digest has an earlier unit.
 
     The earliest unit of a digest is one aggregate with partial sums before the shuffle.
-    Digests without a second unit are dropped there; the rest goes back to its units by a
-    join that Spark splits where one digest is hot.
+    Digests without a second unit are dropped there. The rest is written, so that its join
+    with the units stands on two plain exchanges, and Spark splits the hot digests.
     """
     keepers = found.groupBy("digest").agg(F.min(rank()).alias("first"), F.max(rank()).alias("last"))
-    keepers = keepers.where(F.col("first") < F.col("last")).select("digest", "first")
+    keepers = settle(keepers.where(F.col("first") < F.col("last")).select("digest", "first"))
     return found.join(keepers, "digest").where(F.col("first") < rank()).drop("first")
 
 
