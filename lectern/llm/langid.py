@@ -32,6 +32,7 @@ AT_ONCE = 512         # windows in one block of the network
 # bounds of the training sample
 ROWS_PER_LANGUAGE, PIECES_PER_ROW, LANGUAGES = 600, 2, 256
 PIECE_CHARS = 400
+SPREAD = 128
 ROUNDS, STEP, SEED = 6, 3e-3, 7
 
 UNKNOWN = "und"
@@ -45,8 +46,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """Pieces of at most ROWS_PER_LANGUAGE rows of each language, chosen by a hash of the id.
 
-    Ranks are taken over (language, hash); Spark keeps the first rows of each language per
-    task before the shuffle, so a hot language sends no more than any other.
+    Ranks are taken over (language, hash) in two rounds, first inside SPREAD parts of a
+    language. Spark keeps the first rows of each part per task before the shuffle, so a hot
+    language sends no more than any other and no task gets more with more input files.
     """
     usable = F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & F.col(id_col).isNotNull()
     taught = docs.where(usable & ~held_out(id_col))
@@ -62,8 +64,12 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     small = taught.select(
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("draw"), F.col(id_col).alias("id"),
         pieces.alias("pieces"))
-    first = Window.partitionBy("lang").orderBy("draw", "id", "pieces")
-    return small.withColumn("place", F.row_number().over(first)).where(F.col("place") <= ROWS_PER_LANGUAGE).drop("place")
+    part = F.pmod(F.col("draw"), F.lit(SPREAD)).alias("part")
+    for by in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*by).orderBy("draw", "id", "pieces")
+        small = small.select("*", part) if "part" in by else small
+        small = small.withColumn("place", F.row_number().over(first)).where(F.col("place") <= ROWS_PER_LANGUAGE).drop("place")
+    return small
 
 
 @dataclass
