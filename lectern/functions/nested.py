@@ -13,8 +13,18 @@ PAIR_LISTS = "array<array<array<string>>>"
 
 
 def _as_json(value) -> Column:
-    # the missing marker only where it is the value of a pair
-    return F.regexp_replace(as_column(value), r"(?<=['\"],\s{0,4})None(?=\s*\])", "null")
+    # literals only where they are the value of a pair; most cells have none and skip the pattern
+    cell = as_column(value)
+    for literal, spelled in (("None", "null"), ("True", "true"), ("False", "false")):
+        pattern = rf"(?<=['\"],\s{{0,4}}){literal}(?=\s*\])"
+        cell = F.when(F.contains(cell, F.lit(literal)), F.regexp_replace(cell, pattern, spelled)).otherwise(cell)
+    return cell
+
+
+def unreadable(value, parsed) -> Column:
+    """Whether a cell holds something and could not be read; such rows go to quarantine."""
+    cell = as_column(value)
+    return F.coalesce(F.trim(cell) != "", F.lit(False)) & parsed.isNull()
 
 
 def parse_pairs(value) -> Column:

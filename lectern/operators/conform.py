@@ -29,7 +29,8 @@ def conform(frame: DataFrame, columns: dict[str, str], source_name: str, source_
         F.col("isbn").cast("string").alias("raw_isbn"),
         F.col("title").cast("string").alias("raw_title"),
         clean_isbn("isbn").alias("isbn13"),
-        normalize_text("title").alias("normalized_title"),
+        # missing with the title, so that both survive from the same row
+        F.when(F.nullif(F.trim(F.col("title").cast("string")), F.lit("")).isNotNull(), normalize_text("title")).alias("normalized_title"),
         is_isbn13("isbn").alias("valid_isbn"),
     )
 

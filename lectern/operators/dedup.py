@@ -68,27 +68,30 @@ def _in_order(condition: Column | None, value: str = "_value", at: str = "_at")
     return F.transform(F.array_sort(F.collect_list(kept)), lambda item: item["value"])
 
 
-def merge_values(frame: DataFrame, key: str, columns: list[str], order: str, separator: str = ";") -> DataFrame:
+def merge_values(frame: DataFrame, key: str, columns: list[str], order: str, separator: str = ";",
+                 within: list[str] = ()) -> DataFrame:
     """One row per key; each column lists its distinct trimmed values in row order.
 
     ``order`` comes back as the first row of the key. Rows without a key are not
-    grouped: they pass through as they are.
+    grouped: they pass through as they are. ``within`` (never NULL, such as the file)
+    keeps equal keys of different files apart.
     """
+    keys = [*within, key]
     keyed = frame.where(F.col(key).isNotNull())
-    trimmed = keyed.select(key, order, *[strip(F.col(name).cast("string")).alias(name) for name in columns])
-    cells = _cells_of(trimmed, [key], columns, order)
-    merged = cells.groupBy(key).agg(*[
+    trimmed = keyed.select(*keys, order, *[strip(F.col(name).cast("string")).alias(name) for name in columns])
+    cells = _cells_of(trimmed, keys, columns, order)
+    merged = cells.groupBy(*keys).agg(*[
         F.array_join(_in_order(F.col("_place") == place), separator).alias(f"_c{place}")
         for place in range(len(columns))
     ])
-    merged = merged.select(key, *[
+    merged = merged.select(*keys, *[
         F.nullif(F.col(f"_c{place}"), F.lit("")).alias(name) for place, name in enumerate(columns)
     ])
     # a key whose columns are all empty has no cells but is still one row
-    bare = keyed.groupBy(key).agg(F.min(order).alias(order))
-    together = bare.join(merged, key, "left")
+    bare = keyed.groupBy(*keys).agg(F.min(order).alias(order))
+    together = bare.join(merged, keys, "left")
     unkeyed = frame.where(F.col(key).isNull()).select(
-        key, order, *[F.col(name).cast("string").alias(name) for name in columns]
+        *keys, order, *[F.col(name).cast("string").alias(name) for name in columns]
     )
     return together.unionByName(unkeyed)
 
@@ -97,18 +100,28 @@ def group_sizes(frame: DataFrame, keys: list[str], *extra: Column) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias("group_rows"), *extra)
 
 
+def _null_safe_keys(frame: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """The frame with text keys that are never NULL, so that missing keys equal each other."""
+    safe = {}
+    for at, key in enumerate(keys):
+        safe[f"_key{at}"] = F.coalesce(F.col(key).cast("string"), F.lit(""))
+        safe[f"_missing{at}"] = F.col(key).isNull()
+    return frame.withColumns(safe), list(safe)
+
+
 def flag_duplicates(frame: DataFrame, keys: list[str], row: str, name: str = "is_duplicate") -> DataFrame:
-    """True on every row whose key occurs more than once."""
-    sizes = group_sizes(frame, keys)
-    marked = attach(frame, sizes, keys, "group_rows", F.col(row))
-    return marked.withColumn(name, F.col("group_rows") > 1).drop("group_rows")
+    """True on every row whose key occurs more than once, false on the others; missing keys are equal."""
+    keyed, safe = _null_safe_keys(frame, keys)
+    marked = attach(keyed, settle(group_sizes(keyed, safe)), safe, "group_rows", F.col(row))
+    return marked.withColumn(name, F.col("group_rows") > 1).drop("group_rows", *safe)
 
 
 def flag_repeats(frame: DataFrame, keys: list[str], row: str, name: str = "is_repeat") -> DataFrame:
-    """True on every row of a key except the first in row order."""
-    first = group_sizes(frame, keys, F.min(row).alias("_first"))
-    marked = attach(frame, first, keys, "group_rows", F.col(row))
-    return marked.withColumn(name, F.col(row) > F.col("_first")).drop("group_rows", "_first")
+    """True on every row of a key except the first in row order; missing keys are equal."""
+    keyed, safe = _null_safe_keys(frame, keys)
+    first = settle(group_sizes(keyed, safe, F.min(row).alias("_first")))
+    marked = attach(keyed, first, safe, "group_rows", F.col(row))
+    return marked.withColumn(name, F.col(row) > F.col("_first")).drop("group_rows", "_first", *safe)
 
 
 def duplicate_row_count(frame: DataFrame, keys: list[str], name: str = "duplicate_rows") -> DataFrame:
@@ -188,33 +201,45 @@ def has_items(column: str) -> Column:
     return F.coalesce(strip(F.replace(F.col(column), F.lit(";"), F.lit(""))) != "", F.lit(False))
 
 
-def consolidate_list_column(frame: DataFrame, record: str, row: str, column: str) -> DataFrame:
+def _with_record(frame: DataFrame, record: str, within: list[str]) -> DataFrame:
+    """The frame with ``_record``, the record id inside its file (or whatever ``within`` names); NULL without an id."""
+    parts = [F.to_json(F.array(*[F.col(name).cast("string") for name in [*within, record]]))] if within else [F.col(record)]
+    return frame.withColumn("_record", F.when(F.col(record).isNotNull(), parts[0]))
+
+
+def consolidate_list_column(frame: DataFrame, record: str, row: str, column: str, within: list[str] = (),
+                            drop_late_destination: bool = False) -> DataFrame:
     """Merge a category spread over several rows of a record into its destination row.
 
-    Later rows of the record that still show a category are dropped, as is the
-    destination itself when it is not the first row; rows without a category stay.
+    Other later rows of the record that still show a category are dropped; the complete
+    row, which holds the merged list, stays, and so do rows without a category. With
+    ``drop_late_destination`` a destination that is not the first row is dropped as well.
+    Records are told apart by ``within`` (their file) and their id.
     """
     columns = [name for name in frame.columns if name != row]
-    keyed = frame.where(F.col(record).isNotNull())
-    target = destination_rows(keyed, record, row, columns)
-    merged = merge_list_cells(keyed, record, row, column, "_merged")
-    groups = settle(target.join(merged, record, "left"))
-    marked = attach(keyed, groups, [record], "group_rows", F.col(row))
-    written = marked.withColumn(
-        column, F.when(F.col(row) == F.col("destination_row"), F.col("_merged")).otherwise(F.col(column))
-    )
+    named = _with_record(frame, record, list(within))
+    keyed = named.where(F.col("_record").isNotNull())
+    target = destination_rows(keyed, "_record", row, columns)
+    merged = merge_list_cells(keyed, "_record", row, column, "_merged")
+    groups = settle(target.join(merged, "_record", "left"))
+    marked = attach(keyed, groups, ["_record"], "group_rows", F.col(row))
+    is_target = F.col(row) == F.col("destination_row")
+    written = marked.withColumn(column, F.when(is_target, F.col("_merged")).otherwise(F.col(column)))
     dropped = (F.col(row) > F.col("first_row")) & has_items(column)
+    if not drop_late_destination:
+        dropped = dropped & ~is_target
     return written.where(~dropped).select(*frame.columns).unionByName(frame.where(F.col(record).isNull()))
 
 
-def consolidate_text_column(frame: DataFrame, record: str, row: str, column: str) -> DataFrame:
+def consolidate_text_column(frame: DataFrame, record: str, row: str, column: str, within: list[str] = ()) -> DataFrame:
     """Merge text fragments of a record into its destination row and drop the other fragments."""
     columns = [name for name in frame.columns if name != row]
-    keyed = frame.where(F.col(record).isNotNull())
-    target = destination_rows(keyed, record, row, columns)
-    merged = merge_text_pieces(keyed, record, row, column, "_merged")
-    groups = settle(target.join(merged, record, "left"))
-    marked = attach(keyed, groups, [record], "group_rows", F.col(row))
+    named = _with_record(frame, record, list(within))
+    keyed = named.where(F.col("_record").isNotNull())
+    target = destination_rows(keyed, "_record", row, columns)
+    merged = merge_text_pieces(keyed, "_record", row, column, "_merged")
+    groups = settle(target.join(merged, "_record", "left"))
+    marked = attach(keyed, groups, ["_record"], "group_rows", F.col(row))
     is_target = F.col(row) == F.col("destination_row")
     fragment = ~is_target & (collapse_spaces(column) != "")
     kept = marked.where(~fragment).withColumn(column, F.when(is_target, F.col("_merged")).otherwise(F.col(column)))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
 from lectern.operators.conform import reindex
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,10)"
+
+
+def money_total(column: str) -> Column:
+    """Sum of all rows, exact in any order, rounded once to cents."""
+    return F.round(F.sum(F.col(column).cast(MONEY)), 2).cast("double")
 
 
 def known_only(facts: DataFrame, catalogue: DataFrame, key: str) -> DataFrame:
@@ -21,10 +26,10 @@ def orphans(facts: DataFrame, catalogue: DataFrame, key: str) -> DataFrame:
 
 
 def sales_rollup(sales: DataFrame, key: str, units: str, revenue: str) -> DataFrame:
-    """Units and revenue per key; money is summed exactly, so the order of rows does not matter."""
+    """Units and revenue per key."""
     return sales.groupBy(key).agg(
         F.sum(units).alias("units_sold"),
-        F.sum(F.col(revenue).cast(MONEY)).cast("double").alias("revenue_eur"),
+        money_total(revenue).alias("revenue_eur"),
     )
 
 
@@ -126,14 +131,19 @@ def enrich_offline(catalogue: DataFrame, fixture: DataFrame) -> DataFrame:
     return reindex(rows, MATCH_TYPES)
 
 
-def enrich_live(catalogue: DataFrame, results: DataFrame, failures: DataFrame, fixture: DataFrame) -> DataFrame:
-    """Live result; a failed key falls back to its fixture row, else to an error row.
+def enrich_live(catalogue: DataFrame, results: DataFrame, failures: DataFrame | None, fixture: DataFrame) -> DataFrame:
+    """One row per catalogue row: its live result, else its fixture row, else an error row.
 
     ``results`` holds match rows, ``failures`` (isbn13, error) the keys whose request failed.
+    A key with neither was not answered and is treated as failed, without an error text.
     """
     base = catalogue.select("isbn13", F.col("title").alias("_title"))
-    live = reindex(results, MATCH_TYPES).join(failures.select("isbn13"), "isbn13", "left_anti")
-    failed = base.join(failures.select("isbn13", "error"), "isbn13")
+    if failures is None:
+        failures = base.select("isbn13", F.lit(None).cast("string").alias("error")).limit(0)
+    answered = reindex(results, MATCH_TYPES).join(failures.select("isbn13"), "isbn13", "left_anti")
+    live = answered.join(base.select("isbn13"), "isbn13", "left_semi").select(*MATCH_TYPES)
+    failed = base.join(answered.select("isbn13"), "isbn13", "left_anti").join(
+        failures.select("isbn13", "error"), "isbn13", "left")
     stored = fixture_matches(catalogue, fixture).select(
         "isbn13", F.lit(True).alias("_found"), F.col("match_status").alias("_status"),
         F.col("cited_by_count").alias("_cited"),
@@ -153,4 +163,6 @@ def enrich(catalogue: DataFrame, mode: str, fixture: DataFrame, results: DataFra
         raise ValueError("mode must be 'offline' or 'live'")
     if mode == "offline":
         return enrich_offline(catalogue, fixture)
+    if results is None:
+        raise ValueError("mode 'live' needs results")
     return enrich_live(catalogue, results, failures, fixture)

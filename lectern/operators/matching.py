@@ -17,13 +17,16 @@ from lectern.operators.skew import attach, shuffle_width
 from lectern.session import settle
 
 
-def page_size(asked: int = fixed.DEFAULT_PER_PAGE) -> int:
-    return max(1, min(int(asked), fixed.MAX_PER_PAGE))
+def first_page(candidates: DataFrame, rank: str = "cand_rank", per_page: int = fixed.DEFAULT_PER_PAGE) -> DataFrame:
+    """The hits a lookup of this page size would have returned; ``rank`` counts from 1."""
+    if not 1 <= per_page <= fixed.MAX_PER_PAGE:
+        raise ValueError(f"a page holds 1 to {fixed.MAX_PER_PAGE} hits")
+    return candidates.where(F.col(rank) <= per_page)
 
 
-def first_page(candidates: DataFrame, rank: str = "cand_rank", per_page: int = fixed.DEFAULT_PER_PAGE) -> DataFrame:
-    """The hits a lookup would have returned; ``rank`` counts from 1."""
-    return candidates.where(F.col(rank) <= page_size(per_page))
+def books_only(candidates: DataFrame) -> DataFrame:
+    """The hits of type book."""
+    return candidates.where(F.col("type") == "book")
 
 
 def candidate_title() -> Column:
@@ -63,15 +66,14 @@ def scores_to_hits(pairs: DataFrame, scores: DataFrame, key: str, hit: str) -> D
     return attach(pairs, scores, COMPARED, "pair_rows", F.struct(key, hit), how="inner").drop("pair_rows")
 
 
-def match_books(books: DataFrame, candidates: DataFrame, key: str, per_page: int = fixed.DEFAULT_PER_PAGE,
-                minimum: float = fixed.MINIMUM_MATCH) -> DataFrame:
-    """Best candidate of each book by 0.8 title + 0.2 author similarity.
+def match_books(books: DataFrame, candidates: DataFrame, key: str, minimum: float = fixed.MINIMUM_MATCH) -> DataFrame:
+    """Best candidate of each book by 0.8 title + 0.2 author similarity, over all given hits of type book.
 
     ``books``: key, title, authors (``;`` cell). ``candidates``: key, cand_rank,
     display_name, title, authorships, id, doi, cited_by_count, type. The first of equal
     scores wins; books without hits get ``no_results``.
     """
-    hits = first_page(candidates.where(F.col("type") == "book"), per_page=per_page).select(
+    hits = books_only(candidates).select(
         key, "cand_rank", F.col("id").alias("openalex_id"), "doi", "cited_by_count",
         candidate_title().alias("hit_title"), candidate_names().alias("hit_names"),
     )
@@ -101,9 +103,9 @@ def score_fuzzy(books: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     """Banded title score and greedy author share for each usable hit; no author match means zero.
 
     Titles are compared lower-cased with accents, names without. Hits without a title
-    are not scored.
+    and hits of other types than book are not scored.
     """
-    hits = candidates.where(F.col("title").isNotNull()).select(
+    hits = books_only(candidates).where(F.col("title").isNotNull()).select(
         key, F.col("title").alias("hit_title"), candidate_names().alias("hit_names"),
         F.col("id").alias("cand_id"), doi_from_url("doi").alias("cand_doi"), "cited_by_count",
     )
@@ -151,7 +153,7 @@ def match_fuzzy(books: DataFrame, candidates: DataFrame, key: str,
                 minimum: float = fixed.MINIMUM_FINAL) -> DataFrame:
     """One row per book: status of the lookup and, when found, DOI and citations."""
     best = best_fuzzy(score_fuzzy(books, candidates, key), key)
-    seen = candidates.groupBy(key).agg(F.count("*").alias("_hits"))
+    seen = books_only(candidates).groupBy(key).agg(F.count("*").alias("_hits"))
     joined = books.select(key).join(seen, key, "left").join(best, key, "left")
     has_id = F.contains(F.col("cand_id"), F.lit(".org/"))
     found = F.coalesce((F.col("final_score") >= minimum) & has_id, F.lit(False))

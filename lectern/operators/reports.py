@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import split_list
 from lectern.operators.conform import not_blank, union_all
-from lectern.operators.enrich import MONEY
+from lectern.operators.enrich import money_total
 
 
 def sales_by(sales: DataFrame, group, name: str, units: str = "units", revenue: str = "revenue_eur") -> DataFrame:
     return sales.groupBy(group.alias(name)).agg(
-        F.sum(units).alias("units"), F.sum(F.col(revenue).cast(MONEY)).cast("double").alias("revenue_eur")
+        F.sum(units).alias("units"), money_total(revenue).alias("revenue_eur")
     )
 
 
@@ -30,14 +30,22 @@ def count_by(frame: DataFrame, columns: list[str], name: str = "rows") -> DataFr
     return frame.groupBy(*columns).agg(F.count("*").alias(name))
 
 
-def category_listing(frame: DataFrame, source: str, fields: list[str], separator: str = "; ") -> DataFrame:
-    """Per field and source the sorted distinct values; only distinct values are collected."""
+def category_values(frame: DataFrame, source: str, fields: list[str]) -> DataFrame:
+    """(field, source, value) with every distinct value once: rows, so of any number."""
     cells = F.explode(F.array(*[
         F.struct(F.lit(name).alias("field"), F.col(name).cast("string").alias("value")) for name in fields
     ]))
-    distinct = frame.select(F.col(source).alias("source"), cells.alias("_cell")).select("source", "_cell.*").where(
-        F.col("value").isNotNull()).distinct()
-    return distinct.groupBy("field", "source").agg(
+    return frame.select(F.col(source).alias("source"), cells.alias("_cell")).select("source", "_cell.*").where(
+        F.col("value").isNotNull()).distinct().select("field", "source", "value")
+
+
+def category_listing(frame: DataFrame, source: str, fields: list[str], separator: str = "; ") -> DataFrame:
+    """Per field and source the sorted distinct values in one cell.
+
+    A display form for vocabulary columns, whose values are few; ``category_values`` has
+    the same in rows for columns of any kind.
+    """
+    return category_values(frame, source, fields).groupBy("field", "source").agg(
         F.array_join(F.array_sort(F.collect_list("value")), separator).alias("values")
     )
 
@@ -47,17 +55,24 @@ def distinct_values(frame: DataFrame, column: str) -> DataFrame:
     return frame.select(column).distinct().orderBy(F.asc_nulls_first(column))
 
 
-def before_after(frame: DataFrame, changes: dict[str, tuple]) -> DataFrame:
-    """Per field the sorted distinct values before and after a standardisation.
+def changed_values(frame: DataFrame, changes: dict[str, tuple]) -> DataFrame:
+    """(field, before, after) with every distinct pair once, in one scan.
 
-    ``changes``: field -> (column before, column after). One scan; distinct pairs first.
+    ``changes``: field -> (column before, column after).
     """
     cells = F.explode(F.array(*[
         F.struct(F.lit(field).alias("field"), before.cast("string").alias("before"), after.cast("string").alias("after"))
         for field, (before, after) in changes.items()
     ]))
-    pairs = frame.select(cells.alias("_cell")).select("_cell.*").distinct()
-    return pairs.groupBy("field").agg(
+    return frame.select(cells.alias("_cell")).select("_cell.*").distinct()
+
+
+def before_after(frame: DataFrame, changes: dict[str, tuple]) -> DataFrame:
+    """Per field the sorted distinct values before and after a standardisation, each in one cell.
+
+    A display form for vocabulary columns; ``changed_values`` has the same in rows.
+    """
+    return changed_values(frame, changes).groupBy("field").agg(
         F.array_join(F.array_sort(F.collect_set("before")), "; ").alias("before"),
         F.array_join(F.array_sort(F.collect_set("after")), "; ").alias("after"),
     )
@@ -132,10 +147,12 @@ ONE_QUERY = re.compile(r"\s*((?:select|with)\b[^;]*);*\s*", re.IGNORECASE)
 def read_only_query(spark: SparkSession, sql: str, limit: int = 200) -> DataFrame:
     """One SELECT or WITH statement, capped. A convenience guard, not a sandbox.
 
-    Any semicolon inside the text is refused, also in a literal. The cap is an operator
-    over the query's own plan, so an ORDER BY in it decides which rows are seen.
+    Any semicolon inside the text is refused, also in a literal. The text stands in
+    parentheses, where only a query can stand: a WITH that writes is a syntax error. The
+    cap is an operator over the query's own plan, so an ORDER BY in it decides which rows
+    are seen.
     """
     accepted = ONE_QUERY.fullmatch(sql)
     if accepted is None:
         raise ValueError("only one SELECT or WITH statement is allowed")
-    return spark.sql(accepted.group(1)).limit(limit)
+    return spark.sql(f"SELECT * FROM (\n{accepted.group(1)}\n)").limit(limit)

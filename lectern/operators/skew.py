@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from lectern.session import ensure_checkpoint_dir
 
-# a key is hot when it holds more than this share of all rows: at most 100 keys can
-HOT_SHARE = 0.01
+# a key is hot when it holds more than this share of all rows, or more than HOT_TASKS times
+# the fair share of a task: at most 100, or width / HOT_TASKS, keys can
+HOT_SHARE, HOT_TASKS = 0.01, 8
 # rows that share one block when numbering or filling along an order
 BLOCK_ROWS = 262_144
 
@@ -30,19 +31,19 @@ def shuffle_width(frame: DataFrame) -> int:
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: Column, how: str = "left",
-           hot_share: float = HOT_SHARE) -> DataFrame:
+           hot_share: float | None = None) -> DataFrame:
     """Join per-group results back to their rows.
 
     ``groups`` has one row per key and its row count in ``size``. Keys above the share
-    are at most 1/share many, so their list is small enough to broadcast whatever the
-    data. Their rows are spread over salts by a hash of ``spread`` (something that
+    (``HOT_SHARE``, less with many tasks) are at most 1/share many, so their list is small
+    enough to broadcast whatever the data. Their rows are spread over salts by a hash of ``spread`` (something that
     differs within the group, such as the row id), their group result is repeated once
     per salt, and everything else joins as usual. Rows without a key match nothing and
     are spread the same way.
     """
     salts = shuffle_width(rows)
     total = groups.agg(F.sum(size)).scalar()
-    is_hot = F.col(size) > total * hot_share
+    is_hot = F.col(size) > total * (hot_share or min(HOT_SHARE, HOT_TASKS / salts))
     hot_keys = groups.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
     keyless = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in keys])
     salted_rows = rows.join(F.broadcast(hot_keys), keys, "left").withColumn(

@@ -161,7 +161,7 @@ def flow_metrics(records: DataFrame, catalogue: DataFrame, sales: DataFrame, mat
         long(dedup.duplicate_row_count(conform.accepted(records), ["isbn13"])),
         long(sales.agg(
             F.count("*").alias("sales_rows"), F.coalesce(F.sum("units"), F.lit(0)).alias("units_sold"),
-            F.coalesce(F.sum(F.col("revenue_eur").cast(enrich.MONEY)), F.lit(0)).alias("revenue_eur"))),
+            F.coalesce(enrich.money_total("revenue_eur"), F.lit(0.0)).alias("revenue_eur"))),
         long(matches.agg(
             F.count_if(F.col("data_source") == fixed.FROM_LIVE).alias("openalex_live_rows"),
             F.count_if(F.col("match_status") == fixed.MATCHED).alias("openalex_matched_rows"))),

@@ -139,6 +139,11 @@ def category_listing(t):
     return reports.category_listing(inputs.records(t), "source_name", ["country", "language", "publisher"])
 
 
+@query("category_values", LISTING_SQL + " SELECT DISTINCT field, source, value FROM cells WHERE value IS NOT NULL")
+def category_values(t):
+    return reports.category_values(inputs.records(t), "source_name", ["country", "language", "publisher"])
+
+
 @query("category_matrix", LISTING_SQL + """
 SELECT field, max(CASE WHEN source = 'simeh' THEN "values" END) AS simeh,
   max(CASE WHEN source = 'plantilla_propia' THEN "values" END) AS plantilla_propia,
@@ -205,20 +210,21 @@ def enrich_offline(t):
 
 
 @query("enrich_live", f"""WITH {MODEL_SQL},
-state AS (SELECT isbn13, title, language, CASE WHEN language = 'en' OR language IS NULL THEN 'timed out' END AS error
-  FROM golden)
+state AS (SELECT isbn13, title, language, CASE WHEN language = 'en' OR language IS NULL THEN 'timed out' END AS error,
+  coalesce(language NOT IN ('en', 'pt'), FALSE) AS live FROM golden)
 SELECT s.isbn13, s.title AS query_title,
-  CASE WHEN s.error IS NULL THEN 'matched' WHEN f.isbn13 IS NULL THEN 'request_error'
+  CASE WHEN live THEN 'matched' WHEN f.isbn13 IS NULL THEN 'request_error'
        ELSE coalesce(f.match_status, 'offline_demo') END AS match_status,
-  CASE WHEN s.error IS NULL THEN 'openalex_live' WHEN f.isbn13 IS NULL THEN 'openalex_error'
+  CASE WHEN live THEN 'openalex_live' WHEN f.isbn13 IS NULL THEN 'openalex_error'
        ELSE 'fixture_fallback' END AS data_source,
-  CASE WHEN s.error IS NULL THEN 7 ELSE CAST(f.cited_by_count_demo AS BIGINT) END AS cited_by_count, s.error
+  CASE WHEN live THEN 7 ELSE CAST(f.cited_by_count_demo AS BIGINT) END AS cited_by_count, s.error
 FROM state s LEFT JOIN fixture f USING (isbn13)""")
 def enrich_live(t):
     golden = golden_catalogue(t)
     failed = (F.col("language") == "en") | F.col("language").isNull()
     failures = golden.where(failed).select("isbn13", F.lit("timed out").alias("error"))
-    results = golden.where(~failed).select(
+    # 'pt' keys have neither a result nor a failure
+    results = golden.where(~failed & (F.col("language") != "pt")).select(
         "isbn13", F.col("title").alias("query_title"), F.lit(fixed.MATCHED).alias("match_status"),
         F.lit(fixed.FROM_LIVE).alias("data_source"), F.lit(7).cast("long").alias("cited_by_count"))
     rows = enrich.enrich(golden, "live", inputs.fixture(t), results, failures)
@@ -227,7 +233,7 @@ def enrich_live(t):
 
 SUMMARY_SQL = MODEL_SQL + """,
 sold AS (SELECT isbn13, CAST(sum(units) AS BIGINT) AS units_sold,
-  CAST(sum(CAST(revenue_eur AS DECIMAL(18,2))) AS DOUBLE) AS revenue_eur FROM sales GROUP BY 1),
+  CAST(round(sum(CAST(revenue_eur AS DECIMAL(38,10))), 2) AS DOUBLE) AS revenue_eur FROM sales GROUP BY 1),
 named AS (SELECT book_id, string_agg(name, '; ' ORDER BY name) AS authors
   FROM book_authors JOIN authors USING (author_id) GROUP BY 1),
 book_summary AS (SELECT e.isbn13, b.title, n.authors, p.name AS publisher, e.publication_year, b.country, e.pages,
@@ -288,14 +294,14 @@ def top_authors_count(t):
 
 @query("sales_by_year", f"""WITH {MODEL_SQL}
 SELECT CAST(year(CAST(sale_date AS DATE)) AS INT) AS year, CAST(sum(units) AS BIGINT) AS units,
-  CAST(sum(CAST(revenue_eur AS DECIMAL(18,2))) AS DOUBLE) AS revenue_eur FROM sales GROUP BY 1""")
+  CAST(round(sum(CAST(revenue_eur AS DECIMAL(38,10))), 2) AS DOUBLE) AS revenue_eur FROM sales GROUP BY 1""")
 def sales_by_year(t):
     return reports.sales_by_year(sales_known(t))
 
 
 @query("sales_by_channel", f"""WITH {MODEL_SQL}
 SELECT channel, CAST(sum(units) AS BIGINT) AS units,
-  CAST(sum(CAST(revenue_eur AS DECIMAL(18,2))) AS DOUBLE) AS revenue_eur FROM sales GROUP BY 1
+  CAST(round(sum(CAST(revenue_eur AS DECIMAL(38,10))), 2) AS DOUBLE) AS revenue_eur FROM sales GROUP BY 1
 ORDER BY revenue_eur DESC, channel""")
 def sales_by_channel(t):
     return reports.sales_by_channel(sales_known(t))
@@ -384,7 +390,7 @@ SELECT 'catalogue_books', count(*) FROM golden UNION ALL
 SELECT 'duplicate_rows', coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM records WHERE valid_isbn GROUP BY isbn13)
   WHERE n > 1 UNION ALL
 SELECT 'sales_rows', count(*) FROM sales UNION ALL SELECT 'units_sold', sum(units) FROM sales UNION ALL
-SELECT 'revenue_eur', CAST(sum(CAST(revenue_eur AS DECIMAL(18,2))) AS DOUBLE) FROM sales UNION ALL
+SELECT 'revenue_eur', CAST(round(sum(CAST(revenue_eur AS DECIMAL(38,10))), 2) AS DOUBLE) FROM sales UNION ALL
 SELECT 'openalex_live_rows', count(*) FROM matches WHERE data_source = 'openalex_live' UNION ALL
 SELECT 'openalex_matched_rows', count(*) FROM matches WHERE match_status = 'matched'""")
 def flow_metrics(t):

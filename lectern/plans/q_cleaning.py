@@ -316,12 +316,23 @@ def distinct_values(t):
     return reports.distinct_values(inputs.records(t), "country")
 
 
-@query("before_after", f"""WITH {STAGING_SQL},
+CHANGES_SQL = f"""WITH {STAGING_SQL},
 cells AS (SELECT 'country' AS field, country AS before, {table_sql('country', fixed.COUNTRY_NAMES)} AS after FROM records UNION ALL
-  SELECT 'language', language, {table_sql('language', fixed.LANGUAGE_NAMES)} FROM records)
+  SELECT 'language', language, {table_sql('language', fixed.LANGUAGE_NAMES)} FROM records)"""
+
+
+def _changes() -> dict:
+    return {"country": (F.col("country"), vocab.by_table("country", fixed.COUNTRY_NAMES)),
+            "language": (F.col("language"), vocab.by_table("language", fixed.LANGUAGE_NAMES))}
+
+
+@query("changed_values", CHANGES_SQL + " SELECT DISTINCT field, before, after FROM cells")
+def changed_values(t):
+    return reports.changed_values(inputs.records(t), _changes())
+
+
+@query("before_after", CHANGES_SQL + """
 SELECT field, string_agg(DISTINCT before, '; ' ORDER BY before) AS before,
   string_agg(DISTINCT after, '; ' ORDER BY after) AS after FROM cells GROUP BY field""")
 def before_after(t):
-    return reports.before_after(inputs.records(t), {
-        "country": (F.col("country"), vocab.by_table("country", fixed.COUNTRY_NAMES)),
-        "language": (F.col("language"), vocab.by_table("language", fixed.LANGUAGE_NAMES))})
+    return reports.before_after(inputs.records(t), _changes())

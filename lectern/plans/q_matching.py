@@ -22,7 +22,8 @@ HITS_SQL = """hits AS (SELECT l_orderkey AS o_orderkey, l_linenumber AS cand_ran
   CASE WHEN l_linestatus = 'F' THEN concat('https://doi.org/10.5/', l_partkey) END AS doi,
   CASE WHEN l_returnflag = 'R' AND l_discount = 0 THEN NULL WHEN l_returnflag = 'A' THEN concat(' ', upper(p_name))
     WHEN l_returnflag = 'N' THEN concat(p_name, ' ', p_type) ELSE p_name END AS title,
-  CAST(l_quantity AS BIGINT) AS cited_by_count, p_brand AS cand_brand, s_name AS cand_person
+  CAST(l_quantity AS BIGINT) AS cited_by_count, p_brand AS cand_brand, s_name AS cand_person,
+  CASE WHEN l_linenumber % 4 = 3 THEN 'article' ELSE 'book' END AS type
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey)"""
 
 
@@ -51,7 +52,7 @@ def hits(t) -> DataFrame:
         F.concat(F.lit("https://works.example.org/W"), "l_partkey", dash, "l_suppkey", dash, "l_linenumber").alias("id"),
         F.when(F.col("l_linestatus") == "F", F.concat(F.lit("https://doi.org/10.5/"), "l_partkey")).alias("doi"),
         F.lit(None).cast("string").alias("display_name"), title.alias("title"), authors.alias("authorships"),
-        F.col("l_quantity").cast("long").alias("cited_by_count"), F.lit("book").alias("type"))
+        F.col("l_quantity").cast("long").alias("cited_by_count"), F.when(F.col("l_linenumber") % 4 == 3, "article").otherwise("book").alias("type"))
 
 
 def words_sql(text: str) -> str:
@@ -115,7 +116,7 @@ def name_shares(t):
 SCORED_SQL = f"""WITH {BOOKS_SQL}, {HITS_SQL},
 p AS (SELECT b.o_orderkey, lower(main_title) AS q, lower(trim(h.title)) AS cand_title, brand = cand_brand AS b_hit, person = cand_person AS p_hit,
   h.id AS cand_id, nullif(regexp_extract(doi, '.org/(.*)', 1), '') AS cand_doi, cited_by_count, cand_brand, cand_person
-  FROM hits h JOIN books b USING (o_orderkey) WHERE h.title IS NOT NULL),
+  FROM hits h JOIN books b USING (o_orderkey) WHERE h.title IS NOT NULL AND h.type = 'book'),
 u AS (SELECT q, cand_title, {ratio_sql('qw', 'cw')} AS ratio FROM (SELECT DISTINCT q, cand_title, {words_sql('q')} AS qw, {words_sql('cand_title')} AS cw FROM p)),
 s AS (SELECT o_orderkey, cand_title, lower(concat(cand_brand, ';', cand_person)) AS cand_names, CAST({band_sql('p.q', 'p.cand_title', 'ratio')} AS DOUBLE) AS title_score,
   (CASE WHEN b_hit THEN 1 ELSE 0 END + CASE WHEN p_hit THEN 1 ELSE 0 END) / CAST(2.0 AS DOUBLE) AS author_score, cand_id, cand_doi, cited_by_count
@@ -137,7 +138,7 @@ def fuzzy_best(t):
     return matching.best_fuzzy(matching.score_fuzzy(books(t), hits(t), "o_orderkey"), "o_orderkey")
 
 
-@query("fuzzy_match", SCORED_SQL + """, any_hit AS (SELECT o_orderkey, count(*) AS n FROM hits GROUP BY 1)
+@query("fuzzy_match", SCORED_SQL + """, any_hit AS (SELECT o_orderkey, count(*) AS n FROM hits WHERE type = 'book' GROUP BY 1)
 SELECT o_orderkey, CASE WHEN n IS NULL THEN 'not found' WHEN final_score IS NULL THEN 'except (title)' WHEN final_score >= 0.8 THEN 'found'
   ELSE 'except (score < 0.8)' END AS consulted, cand_id, final_score, title_score, author_score, margin,
   CASE WHEN final_score >= 0.8 THEN cand_doi END AS doi, CASE WHEN final_score >= 0.8 THEN cited_by_count END AS citations

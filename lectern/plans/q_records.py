@@ -81,19 +81,29 @@ def forward_fill(t):
     return fill_forward(rows, "record", "event_id", ["file"], F.col("thema").isNotNull())
 
 
-@query("consolidated_lists", FILLED_SQL + """,
+CONSOLIDATED_SQL = FILLED_SQL + """,
 rows AS (SELECT *, file IS NOT NULL AND record IS NOT NULL AND coalesce(trim(thema), '') <> '' AND coalesce(trim(note), '') <> '' AS complete
   FROM filled WHERE record IS NOT NULL),
 targets AS (SELECT record, min(event_id) AS first_row, coalesce(min(event_id) FILTER (WHERE complete), min(event_id)) AS target FROM rows GROUP BY 1),
 items AS (SELECT record, trim(item) AS item, min(event_id * 100 + place) AS pos FROM (SELECT record, event_id, unnest(string_split(thema, ';')) AS item,
   generate_subscripts(string_split(thema, ';'), 1) AS place FROM rows) WHERE trim(item) <> '' GROUP BY 1, 2),
 merged AS (SELECT record, string_agg(item, ';' ORDER BY pos) AS merged FROM items GROUP BY 1),
-written AS (SELECT r.event_id, r.file, r.record, CASE WHEN r.event_id = t.target THEN m.merged ELSE r.thema END AS thema, r.note, t.first_row
+written AS (SELECT r.event_id, r.file, r.record, CASE WHEN r.event_id = t.target THEN m.merged ELSE r.thema END AS thema, r.note, t.first_row, t.target
   FROM rows r JOIN targets t USING (record) LEFT JOIN merged m USING (record))
 SELECT event_id, file, record, thema, note FROM written
-WHERE NOT (event_id > first_row AND coalesce(trim(replace(thema, ';', '')), '') <> '') UNION ALL
-SELECT event_id, file, record, thema, note FROM filled WHERE record IS NULL""")
+WHERE NOT (event_id > first_row AND {kept} coalesce(trim(replace(thema, ';', '')), '') <> '') UNION ALL
+SELECT event_id, file, record, thema, note FROM filled WHERE record IS NULL"""
+
+
+@query("consolidated_lists", CONSOLIDATED_SQL.replace("{kept}", ""))
 def consolidated_lists(t):
+    """The order that also drops a late complete row."""
+    rows = settle(forward_fill(t))
+    return dedup.consolidate_list_column(rows, "record", "event_id", "thema", drop_late_destination=True)
+
+
+@query("consolidated_records", CONSOLIDATED_SQL.replace("{kept}", "event_id <> target AND"))
+def consolidated_records(t):
     rows = settle(forward_fill(t))
     return dedup.consolidate_list_column(rows, "record", "event_id", "thema")
 
@@ -231,9 +241,10 @@ def type_quarantine(t):
 
 
 @query("exact_duplicates", """SELECT CAST(sum(n - 1) AS BIGINT) AS exact_duplicates FROM
-  (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag)""")
+  (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""")
 def exact_duplicates(t):
-    return quality.exact_duplicates(t("lineitem"), ["l_orderkey", "l_linenumber", "l_returnflag"])
+    return quality.exact_duplicates(t("lineitem"), t("lineitem").columns)
 
 
 PROFILED = """

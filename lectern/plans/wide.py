@@ -58,14 +58,16 @@ def clean_record_export(raw: DataFrame, filter_first: bool = False) -> DataFrame
         inherited = F.col("Fecha de publicación").isNull() & F.col("RecordReference").isNotNull()
         rows = rows.where(F.col("Fecha de publicación").between(fixed.YEAR_FROM, fixed.YEAR_TO) | inherited)
     rows = settle(_rewrite(rows, {"Colaborador": text.tidy_delimiters("Colaborador")}))
-    rows = settle(dedup.consolidate_list_column(rows, "RecordReference", "row", "THEMA"))
-    rows = dedup.consolidate_text_column(rows, "RecordReference", "row", "Texto de contenido")
+    # every file is cleaned by itself: equal ids in two files are two records
+    file = ["origin_file"]
+    rows = settle(dedup.consolidate_list_column(rows, "RecordReference", "row", "THEMA", file))
+    rows = dedup.consolidate_text_column(rows, "RecordReference", "row", "Texto de contenido", file)
     rows = rows.where(F.col("Fecha de publicación").isNotNull())
     rows = settle(_rewrite(rows, {
         "Editores": text.tidy_delimiters(text.drop_parentheses("Editores")),
         "ISBN13": text.drop_decimal_zero("ISBN13"),
     }))
-    merged = dedup.merge_values(rows, "ISBN13", [c for c in data if c != "ISBN13"] + ["origin_file"], "row")
+    merged = dedup.merge_values(rows, "ISBN13", [c for c in data if c != "ISBN13"], "row", within=file)
     listed = ["BISAC", "THEMA", "Dewey", "Palabras claves"]
     tidy = _rewrite(merged, {name: text.tidy_delimiters(text.drop_parentheses(name)) for name in listed})
     once = [*listed, "Formato", "Editor", "Colaborador", "Editores", "Fecha de publicación"]
@@ -213,11 +215,11 @@ class WideModel:
 
         ``matches``: work_id, consulted, doi, citations.
         """
-        found = self.identifier_works.join(
+        # the identifier's own title and contributors: ignored duplicate rows belong to other works
+        own = model.work_bridge(self.identifiers, self.works, "title", "contributors", "isbn13")
+        found = own.join(
             matches.select("work_id", "consulted", F.col("doi").alias("doi_openalex"), "citations"), "work_id")
-        per_identifier = found.groupBy("isbn13").agg(
-            F.min_by(F.struct("consulted", "doi_openalex", "citations"), "work_id").alias("_m"))
-        joined = self.identifiers.join(per_identifier.select("isbn13", "_m.*"), "isbn13", "left")
+        joined = self.identifiers.join(found.drop("work_id"), "isbn13", "left")
         return joined.withColumn("doi", vocab.first_present("doi", "doi_simeh", "doi_openalex", "doi_scielo"))
 
     def publisher_doi_counts(self, identifiers: DataFrame) -> DataFrame:

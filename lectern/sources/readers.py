@@ -41,10 +41,10 @@ def read_csv_windows(spark: SparkSession, path, columns: list[str]) -> DataFrame
 
 
 def read_folder(spark: SparkSession, path, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
-    """All exports of a folder with their file name; office temporaries are left out."""
+    """All exports of a folder with their path; office temporaries are left out."""
     name = F.col("_metadata.file_name")
     rows = read_csv(spark, path, columns, encoding).where(~F.startswith(name, F.lit(TEMPORARY_PREFIX)))
-    return rows.select("*", name.alias("origin_file"))
+    return rows.select("*", F.col("_metadata.file_path").alias("origin_file"))
 
 
 def number_rows(placed: DataFrame, file: str, split: str, place: str, name: str, first: int) -> DataFrame:
@@ -63,17 +63,20 @@ def number_rows(placed: DataFrame, file: str, split: str, place: str, name: str,
 
 
 def placed_in_file(rows: DataFrame, file: str) -> DataFrame:
-    """File name, split and position in the split of every row; office temporaries are left out."""
+    """Path, split and position in the split of every row; office temporaries are left out.
+
+    Files are told apart by their path: folders may hold files of one name.
+    """
     placed = rows.select(
-        "*", F.col("_metadata.file_name").alias(file), F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_place"),
+        "*", F.col("_metadata.file_path").alias(file), F.col("_metadata.file_name").alias("_name"),
+        F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_place"),
     )
-    return placed.where(~F.startswith(file, F.lit(TEMPORARY_PREFIX)))
+    return placed.where(~F.startswith("_name", F.lit(TEMPORARY_PREFIX))).drop("_name")
 
 
 def numbered_csv(spark: SparkSession, path, columns: list[str], encoding: str = "UTF-8",
                  first: int = fixed.FIRST_SHEET_ROW, name: str = "source_row") -> DataFrame:
-    """A CSV export with its file name and sheet row numbers."""
+    """A CSV export with its path and sheet row numbers."""
     placed = placed_in_file(read_csv(spark, path, columns, encoding), "origin_file")
     return number_rows(placed, "origin_file", "_split", "_place", name, first).select(*columns, "origin_file", name)
 

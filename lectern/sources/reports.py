@@ -17,11 +17,23 @@ from lectern.sources.readers import number_rows, placed_in_file
 
 
 def read_cells(spark: SparkSession, path, width: int, row_name: str = "row_no") -> DataFrame:
-    """Header-less CSV reports as (file, row_no, cells)."""
+    """Header-less CSV reports as (file, row_no, cells, overflow).
+
+    ``overflow`` holds the whole line where it has a value beyond ``width`` cells; such
+    rows are no data rows and come back from ``overflowing_rows``.
+    """
     names = [f"c{i}" for i in range(width)]
-    rows = spark.read.schema(", ".join(f"{name} string" for name in names)).csv(path)
+    schema = ", ".join(f"{name} string" for name in [*names, "_beyond", "_line"])
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_line").csv(path)
     numbered = number_rows(placed_in_file(rows, "file"), "file", "_split", "_place", row_name, 1)
-    return numbered.select("file", row_name, F.array(*names).alias("cells"))
+    beyond = F.when(F.col("_beyond").isNotNull(), F.coalesce("_line", F.concat_ws(",", *names, "_beyond")))
+    return numbered.select("file", row_name, F.array(*names).alias("cells"), beyond.alias("overflow"))
+
+
+def overflowing_rows(cells: DataFrame) -> DataFrame:
+    """Rows with more cells than declared, with the reason: for the quarantine."""
+    return cells.where(F.col("overflow").isNotNull()).select(
+        "file", "row_no", "overflow", F.lit("more cells than declared").alias("reason"))
 
 
 def _period_cells() -> Column:
@@ -62,6 +74,8 @@ def file_status(facts: DataFrame) -> DataFrame:
 
 def report_rows(cells: DataFrame) -> DataFrame:
     """Data rows of the accepted files, projected by the column order of their header."""
+    if "overflow" in cells.columns:
+        cells = cells.where(F.col("overflow").isNull()).drop("overflow")
     accepted = file_status(file_facts(cells)).where(F.col("status") == "accepted").drop("status")
     body = attach(cells, accepted, ["file"], "file_rows", F.col("row_no"), how="inner").where(
         F.col("row_no") > F.col("header_row"))

@@ -103,8 +103,10 @@ def test_continuation_rows(spark):
     rows = spark.createDataFrame([
         (1, "R1", "JW", None), (2, "R1", "K; JW", "full"), (3, "R1", " ; ", None), (4, "R2", None, "full"), (5, None, "Z", None)],
         "n long, rec string, thema string, note string")
-    assert rows_of(dedup.consolidate_list_column(rows, "rec", "n", "thema")) == sorted([
-        (1, "R1", "JW", None), (3, "R1", " ; ", None), (4, "R2", None, "full"), (5, None, "Z", None)], key=repr)
+    kept = [(1, "R1", "JW", None), (3, "R1", " ; ", None), (4, "R2", None, "full"), (5, None, "Z", None)]
+    assert rows_of(dedup.consolidate_list_column(rows, "rec", "n", "thema", drop_late_destination=True)) == sorted(kept, key=repr)
+    assert rows_of(dedup.consolidate_list_column(rows, "rec", "n", "thema")) == sorted(
+        [*kept, (2, "R1", "JW;K", "full")], key=repr)
     texts = spark.createDataFrame([
         (1, "R1", " uno  dos ", None), (2, "R1", "tres", "full"), (3, "R1", "uno dos", None), (4, "R1", " ", None)],
         "n long, rec string, body string, note string")
@@ -223,3 +225,56 @@ def test_guarded_query(spark):
     for bad in ("DELETE FROM numbers", "SELECT 1; SELECT 2", "DROP VIEW numbers", ""):
         with pytest.raises(ValueError):
             reports.read_only_query(spark, bad)
+
+
+def test_guarded_query_cannot_write(spark):
+    spark.sql("CREATE TABLE guarded_target USING parquet AS SELECT id FROM range(3)")
+    try:
+        for bad in ("WITH x AS (SELECT 99L AS id) INSERT INTO guarded_target SELECT * FROM x",
+                    "SELECT 1) UNION ALL (SELECT 2 -- "):
+            try:
+                reports.read_only_query(spark, bad).collect()
+            except Exception as refused:  # a parse error, of a class that differs between sessions
+                assert "Parse" in type(refused).__name__
+        assert spark.table("guarded_target").count() == 3
+        assert reports.read_only_query(spark, "SELECT id FROM guarded_target -- all").count() == 3
+    finally:
+        spark.sql("DROP TABLE guarded_target")
+
+
+def test_money_is_rounded_once(spark):
+    sales = spark.createDataFrame([("k", 1, 0.004)] * 5 + [("big", 1, 1e16)], "isbn13 string, units int, revenue_eur double")
+    assert rows_of(enrich.sales_rollup(sales, "isbn13", "units", "revenue_eur")) == [("big", 1, 1e16), ("k", 5, 0.02)]
+
+
+def test_live_enrichment_keeps_every_catalogue_row(spark):
+    catalogue = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c"), ("4", "d")], "isbn13 string, title string")
+    results = spark.createDataFrame([("1", "a", "matched", "openalex_live"), ("9", "z", "matched", "openalex_live")],
+                                    "isbn13 string, query_title string, match_status string, data_source string")
+    failures = spark.createDataFrame([("2", "timed out")], "isbn13 string, error string")
+    fixture = spark.createDataFrame([(1, "4", None, 5)], "record_no int, isbn13 string, match_status string, cited_by_count_demo int")
+    for given, error in ((failures, "timed out"), (None, None)):
+        rows = enrich.enrich(catalogue, "live", fixture, results, given)
+        assert rows_of(rows, "isbn13", "match_status", "error") == sorted([
+            ("1", "matched", None), ("2", "request_error", error), ("3", "request_error", None),
+            ("4", "offline_demo", None)], key=repr)
+    with pytest.raises(ValueError):
+        enrich.enrich(catalogue, "live", fixture)
+
+
+def test_title_and_normalised_title_come_from_one_row(spark):
+    def export(source, title, row):
+        frame = spark.createDataFrame([("9780307474728", title)], "isbn string, title string")
+        columns = {name: name for name in ("isbn", "title")}
+        return conform.conform(frame, columns, source, F.lit(row))
+
+    rows = export("plantilla_propia", None, 2).union(export("scielo", "Cien años", 2)).union(export("simeh", "  ", 2))
+    golden = dedup.golden_record(rows, "isbn13", ["title", "normalized_title"], "source_name", "source_row",
+                                 {"plantilla_propia": 0, "scielo": 1, "simeh": 2}).first()
+    assert (golden.title, golden.normalized_title) == ("Cien años", "cien anos")
+
+
+def test_flags_of_missing_keys(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, None, "y"), (4, "a", "x")], "n long, k string, l string")
+    assert rows_of(dedup.flag_duplicates(rows, ["k", "l"], "n"), "n", "is_duplicate") == [(1, True), (2, True), (3, False), (4, False)]
+    assert rows_of(dedup.flag_repeats(rows, ["k", "l"], "n"), "n", "is_repeat") == [(1, False), (2, True), (3, False), (4, False)]

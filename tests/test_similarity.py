@@ -1,6 +1,7 @@
 import random
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import similarity
@@ -82,9 +83,9 @@ def test_match_books(spark):
     ], HIT)
     found = {row.isbn13: row for row in matching.match_books(books, hits, "isbn13").collect()}
     assert (found["1"].match_status, found["1"].openalex_id, found["1"].match_score) == ("matched", "W1", 1.0)
-    assert (found["2"].match_status, found["2"].openalex_id) == ("low_confidence", "W4")
+    assert (found["2"].match_status, found["2"].openalex_id) == ("matched", "W5")
     assert (found["3"].match_status, found["3"].match_score) == ("no_results", None)
-    assert found["2"].matched_title == "Zzz qq"
+    assert found["2"].matched_title == "El túnel"
 
 
 def test_match_books_against_brute_force(spark):
@@ -111,12 +112,23 @@ def test_match_books_against_brute_force(spark):
             scored.append((round(0.8 * sim(title, hit[4]) + 0.2 * author, 4), -hit[1], hit[2]))
         expected[key] = (max(scored)[2], max(scored)[0]) if scored else (None, None)
     rows = matching.match_books(spark.createDataFrame(books, "isbn13 string, title string, authors string"),
-                                spark.createDataFrame(hits, HIT), "isbn13", per_page=100).collect()
+                                spark.createDataFrame(hits, HIT), "isbn13").collect()
     assert {row.isbn13: (row.openalex_id, row.match_score) for row in rows} == expected
 
 
-def test_page_size():
-    assert [matching.page_size(n) for n in (0, 25, 500)] == [1, 25, 100]
+def test_first_page(spark):
+    hits = spark.createDataFrame([("1", n) for n in range(1, 61)], "isbn13 string, cand_rank int")
+    assert [matching.first_page(hits, per_page=n).count() for n in (1, 25, 100)] == [1, 25, 60]
+    for bad in (0, 101):
+        with pytest.raises(ValueError):
+            matching.first_page(hits, per_page=bad)
+
+
+def test_every_given_hit_is_scored(spark):
+    books = spark.createDataFrame([("1", "El túnel", "Ernesto Sábato")], "isbn13 string, title string, authors string")
+    hits = [("1", n, f"W{n}", None, "Zzz qq" if n < 30 else "El túnel", None, 5, "book", people("Ernesto Sábato")) for n in range(1, 31)]
+    row = matching.match_books(books, spark.createDataFrame(hits, HIT), "isbn13").first()
+    assert (row.match_status, row.openalex_id) == ("matched", "W30")
 
 
 def test_fuzzy_statuses(spark):
@@ -127,6 +139,8 @@ def test_fuzzy_statuses(spark):
         ("1", 2, "https://w.org/W2", None, None, "La Casa", 9, "book", people("Nadie")),
         ("2", 1, "https://w.org/W3", None, None, "Mar", 3, "book", people("Distinto")),
         ("3", 1, "https://w.org/W4", None, None, None, 3, "book", people("Ana")),
+        ("2", 2, "https://w.org/W5", None, None, "Mar", 3, "article", people("Otro")),
+        ("4", 1, "https://w.org/W6", None, None, "X", 3, "article", people("Y")),
     ], HIT)
     found = {row.isbn13: row for row in matching.match_fuzzy(books, hits, "isbn13").collect()}
     assert (found["1"].consulted, found["1"].doi, found["1"].citations, found["1"].margin) == ("found", "10.1/a", 3, 1.0)

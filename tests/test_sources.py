@@ -23,18 +23,26 @@ def test_folder_rows_are_numbered_per_file(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
         rows = readers.numbered_csv(spark, str(tmp_path / "in"), ["id", "v"])
-        by_file = {row.origin_file: row for row in rows.groupBy("origin_file").agg(
+        by_file = {row.origin_file.rsplit("/", 1)[1]: row for row in rows.groupBy("origin_file").agg(
             F.count("*").alias("n"), F.min("source_row").alias("low"), F.max("source_row").alias("high"),
             F.count_distinct("source_row").alias("d")).collect()}
-        wrong = rows.where("origin_file = 'a.csv' AND CAST(id AS INT) + 2 <> source_row").count()
+        wrong = rows.where("origin_file LIKE '%/a.csv' AND CAST(id AS INT) + 2 <> source_row").count()
         splits = rows.rdd.getNumPartitions()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert set(by_file) == {"a.csv", "b.csv"} and splits >= 1
     assert (by_file["a.csv"].n, by_file["a.csv"].low, by_file["a.csv"].high, by_file["a.csv"].d) == (4000, 2, 4001, 4000)
     assert wrong == 0
-    assert rows_of(readers.read_folder(spark, str(tmp_path / "in"), ["id", "v"]).where("origin_file = 'b.csv'")) == [
-        ("7", "y", "b.csv"), ("8", "z", "b.csv")]
+    assert rows_of(readers.read_folder(spark, str(tmp_path / "in"), ["id", "v"]).where("origin_file LIKE '%/b.csv'"), "id", "v") == [
+        ("7", "y"), ("8", "z")]
+
+
+def test_files_of_one_name_are_told_apart(spark, tmp_path):
+    write(tmp_path / "in" / "a" / "v.csv", "id,v\n1,x\n2,y\n3,z\n")
+    write(tmp_path / "in" / "b" / "v.csv", "id,v\n4,x\n5,y\n6,z\n")
+    rows = readers.numbered_csv(spark, str(tmp_path / "in" / "*"), ["id", "v"])
+    assert rows_of(rows, "id", "source_row") == [("1", 2), ("2", 3), ("3", 4), ("4", 2), ("5", 3), ("6", 4)]
+    assert rows.select("origin_file").distinct().count() == 2
 
 
 def test_windows_encoding_and_text_keys(spark, tmp_path):
@@ -77,6 +85,7 @@ def test_sales_reports(spark, tmp_path):
     write(folder / "half.csv", report(part, fixed.REPORT_HEADER, [classic]))
     write(folder / "headless.csv", report(full, ["Canal"] + [""] * 12, [classic]))
     cells = reports.read_cells(spark, str(folder), len(fixed.REPORT_HEADER))
+    cells = cells.withColumn("file", F.element_at(F.split("file", "/"), -1))
     status = reports.file_status(reports.file_facts(cells))
     assert rows_of(status, "file", "sale_year", "status") == [
         ("half.csv", None, "not_a_full_year"), ("headless.csv", 2024, "no_header"),
@@ -91,6 +100,16 @@ def test_sales_reports(spark, tmp_path):
     assert rows_of(facts, "id", "quantity") == [(1, "3"), (2, "4")]
 
 
+def test_report_rows_with_too_many_cells(spark, tmp_path):
+    full = "Desde: 1 de enero de 2024 Hasta: 31 de diciembre de 2024"
+    classic = "Web,T1,digital,ES,a,s,c,pdf, 9781 ,t,1,Ana,3"
+    write(tmp_path / "r" / "one.csv", report(full, fixed.REPORT_HEADER, [classic, classic + ",lost", classic]))
+    cells = reports.read_cells(spark, str(tmp_path / "r"), len(fixed.REPORT_HEADER))
+    bad = reports.overflowing_rows(cells).collect()
+    assert [(row.row_no, row.overflow.endswith(",lost"), row.reason) for row in bad] == [(7, True, "more cells than declared")]
+    assert reports.report_rows(cells).count() == 2
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("9780307474728", True), ("9790000000000", False), ("123", False)], "isbn13 string, valid_isbn boolean")
     sinks.write_identifier_list(rows, "isbn13", str(tmp_path / "ids"))
