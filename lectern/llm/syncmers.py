@@ -108,9 +108,10 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     prepare(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # a null id takes part in joins as a flag and a number
-    keyed = base.select("doc_id", "text", F.col("doc_id").isNull().alias("no_id"),
-                        F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("key"))
+    # a null id takes part in joins as a flag and a number; both branches below then read the
+    # same columns of the dealt texts, and Spark deals them once
+    keyed = base.select("text", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                        F.xxhash64("text").alias("key"))
     slim = keyed.select("no_id", "id", "key", F.length("text").alias("n_chars")).distinct()
     placed = settle(sequential_ids(slim, [F.asc("no_id"), F.desc("id"), F.desc("key")], "place", start=0))
     count = placed.count()
@@ -133,6 +134,6 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     both = with_anchors(own, "edit", "new").withColumn("new", hashes("new"))
     sets = both.withColumn("own_set", F.array_distinct("own")).withColumn("new_set", F.array_distinct("new"))
     return sets.select(
-        "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2(F.col("edit").cast("binary"), 256).alias("edited_sha256"),
+        F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2(F.col("edit").cast("binary"), 256).alias("edited_sha256"),
         shown(F.col("own")).alias("fingerprint"), shown(F.col("new")).alias("edited_fingerprint"),
         likeness("own_set", "new_set").alias("near_edited"), likeness("own_set", "next_set").alias("near_next"))
