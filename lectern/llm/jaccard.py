@@ -6,15 +6,18 @@ equal sets form one class; everything below is about classes.
 1. Every class gets a few minimum hashes. Classes that share one are checked against the
    smallest class of their group, exactly; the links found join classes into groups. This
    costs a row per class and hash, also in a huge group of near copies.
-2. The exact candidate search. Shingles are ordered by how frequent they are (a hashed
-   count over the corpus in a table of fixed size), rarest first. Two sets that reach the
-   threshold share a shingle among the first  n - ceil(0.75 n) + 1  of each. A tile holds
-   the classes with one such shingle and one size band (sizes that differ by less than
-   3:4 lie in neighbouring bands); a tile with many rows is cut into pairs of blocks.
-   Pairs inside a tile that step 1 already joined need no more work.
+2. The exact candidate search. Shingles are ordered by how often they recur (hashed counts
+   over the corpus in a table of fixed size), rarest first. Two sets that reach the
+   threshold share a shingle among the first  n - ceil(0.75 n) + 1  of each, and the first
+   one they share leaves enough of both sets behind it. A tile holds the classes with one
+   such shingle and one size band (sizes that differ by less than 3:4 lie in neighbouring
+   bands); a tile with many rows is cut into pairs of blocks. Pairs inside a tile that
+   step 1 already joined need no more work.
 3. Each class has a bitmap of hashed shingles. A shingle whose bit is not set in the other
-   bitmap is not in the other set, so bit counts bound the overlap from above; pairs that
-   may still reach the threshold are decided by intersecting the sorted arrays.
+   bitmap is not in the other set, so bit counts bound the overlap from above. A folded
+   bitmap goes into the tiles, so that only pairs leave them that may still reach the
+   threshold; the full ones are asked next, and what remains is decided by intersecting
+   the sorted arrays.
 4. Components of all links.
 
 No link between different sets is lost: step 1 only adds exact links, step 2 is complete
@@ -33,6 +36,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +50,7 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 3, 4
 MIN_HASHES = 8
 BUCKETS, CHUNKS = 1 << 20, 64     # the table of hashed counts, and the parts it is merged in
+WINDOW = 1 << 22                  # shingles that are counted together
 TILE_ROWS = 2048                  # rows of a block of a tile
 BROADCAST_ROWS = 1_000_000        # most keys (8 bytes each) that are sent to every executor
 SEEN = 200_000                    # class keys a task remembers to skip copies; speed alone
@@ -143,7 +148,8 @@ def overlap_bound(left: bytes, right: bytes, n_left: int, n_right: int) -> int:
 
 
 def linked(common: int, n_left: int, n_right: int) -> bool:
-    return DENOMINATOR * common >= NUMERATOR * (n_left + n_right - common)
+    """Also for arrays: whether the overlap reaches the threshold."""
+    return (DENOMINATOR + NUMERATOR) * common >= NUMERATOR * (n_left + n_right)
 
 
 SUMMARY = ("doc_id bigint, class bigint, n bigint, marks array<bigint>, bits binary, chunk int, counts binary")
@@ -159,13 +165,25 @@ def summaries(docs: DataFrame) -> DataFrame:
     def run(batches):
         counts = np.zeros(BUCKETS, dtype=np.uint32)
         seeds = _constants()[2]
+        window, waiting = [], 0
+
+        def count_window():
+            # shingles of a single document in the window say nothing and would hide the others
+            values, times = np.unique(np.concatenate(window), return_counts=True)
+            again = times > 1
+            np.add.at(counts, (values[again] >> np.uint64(44)).astype(np.int64), times[again].astype(np.uint32))
+
         for batch in batches:
             rows = []
             for doc, found in zip(batch.column(0).to_pylist(), shingle_sets(_bytes(strings(batch.column(1))))):
                 if not len(found):
                     rows.append((doc, None, 0, None, None))
                     continue
-                np.add.at(counts, (found >> np.uint64(44)).astype(np.int64), 1)
+                window.append(found)
+                waiting += len(found)
+                if waiting >= WINDOW:
+                    count_window()
+                    window, waiting = [], 0
                 marks = [int(mix(found ^ seed).min().view(np.int64)) for seed in seeds]
                 rows.append((doc, class_of(found), len(found), marks, bitmap(found)))
             doc, key, n, marks, bits = zip(*rows) if rows else ([],) * 5
@@ -174,6 +192,8 @@ def summaries(docs: DataFrame) -> DataFrame:
                 [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
                  pa.array(marks, pa.list_(pa.int64())), pa.array(bits, pa.binary()), none, pa.nulls(len(rows), pa.binary())],
                 names=["doc_id", "class", "n", "marks", "bits", "chunk", "counts"])
+        if window:
+            count_window()
         parts = [zlib.compress(part.tobytes(), 1) for part in counts.reshape(CHUNKS, -1)]
         empty = [pa.nulls(CHUNKS, kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())]
         yield pa.record_batch(
@@ -209,7 +229,10 @@ def prefix_length(n: int) -> int:
 
 
 def prefixes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """``token``, ``class``, ``n``: the rarest shingles of every set, as many as the threshold asks."""
+    """``token``, ``class``, ``form``: the rarest shingles of every set, as many as the threshold asks.
+
+    ``form`` is the size of the set, shifted by 31 bits, plus the place of the shingle.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
@@ -229,13 +252,13 @@ def prefixes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 chosen = found[order[:prefix_length(len(found))]]
                 tokens.append(chosen)
                 keys.append(np.full(len(chosen), key, dtype=np.int64))
-                sizes.append(np.full(len(chosen), len(found), dtype=np.int64))
+                sizes.append((len(found) << 31) + np.arange(len(chosen), dtype=np.int64))
             if tokens:
                 yield pa.record_batch(
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys)),
-                     pa.array(np.concatenate(sizes))], names=["token", "class", "n"])
+                     pa.array(np.concatenate(sizes))], names=["token", "class", "form"])
 
-    return docs.select("text").mapInArrow(run, "token bigint, class bigint, n bigint")
+    return docs.select("text").mapInArrow(run, "token bigint, class bigint, form bigint")
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,17 +297,47 @@ def shared_only(tokens: DataFrame) -> DataFrame:
             last = len(token) - 1
             held = (token[last], key[last], n[last], bool(shared[last]))
             yield pa.record_batch([pa.array(token[give]), pa.array(key[give]), pa.array(n[give])],
-                                  names=["token", "class", "n"])
+                                  names=["token", "class", "form"])
 
     return tokens.repartition("token").sortWithinPartitions("token", "class").mapInArrow(
-        run, "token bigint, class bigint, n bigint")
+        run, "token bigint, class bigint, form bigint")
+
+
+def _tile_bits(data: list[bytes]) -> np.ndarray:
+    """Bitmaps of a tile as rows of 64-bit words, folded to the length of the shortest."""
+    size = min(map(len, data))
+    return np.stack([_folded(np.frombuffer(item, dtype=np.uint8), size) for item in data]).view(np.uint64)
+
+
+def _tile(columns: list[np.ndarray], bits: list[bytes]):
+    """Pairs of one tile: columns low, high, block, upper, class, n, root, place."""
+    low, high, of_block, upper, key, n, root, place = columns
+    maps, left_over = _tile_bits(bits), n - place
+    for at in range(0, len(key), 512):
+        some = slice(at, at + 512)
+        fits = (root[some, None] != root[None, :]) & (key[some, None] < key[None, :])
+        fits &= upper[some, None] | upper[None, :]
+        # the first shared shingle must leave room, and so must the sizes
+        fits &= linked(np.minimum(left_over[some, None], left_over[None, :]), n[some, None], n[None, :])
+        if low[0] != high[0]:
+            fits &= of_block[some, None] != of_block[None, :]
+        rows, others = np.nonzero(fits)
+        for part in range(0, len(rows), 20_000):
+            a, b = rows[part:part + 20_000] + at, others[part:part + 20_000]
+            both = maps[a] & maps[b]
+            only_a = np.bitwise_count(maps[a] ^ both).sum(axis=1, dtype=np.int64)
+            only_b = np.bitwise_count(maps[b] ^ both).sum(axis=1, dtype=np.int64)
+            near = linked(np.minimum(n[a] - only_a, n[b] - only_b), n[a], n[b])
+            if near.any():
+                yield key[a[near]], key[b[near]]
 
 
 def tile_pairs(rows: DataFrame) -> DataFrame:
-    """``a``, ``b``: pairs of classes in one tile, of fitting sizes and different groups.
+    """``a``, ``b``: pairs of classes in one tile that may reach the threshold, of different groups.
 
-    ``rows``: token, class, n, root, blocks. The rows of a token with several blocks go to
-    every pair of blocks with their own; rows of a size band also go to the next band.
+    ``rows``: token, class, n, place, root, bits, blocks. The rows of a token with several
+    blocks go to every pair of blocks with their own; rows of a size band also go to the
+    next band.
     """
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
@@ -295,63 +348,56 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
         rows.withColumn("own_band", own).withColumn("block", block)
         .withColumn("cell", F.explode(cells)).withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
         .select("token", "band", F.col("cell.low").alias("low"), F.col("cell.high").alias("high"), "block", "own_band",
-                "class", "n", "root"))
+                "class", "n", "root", "place", "bits"))
     dealt = dealt.repartition("token", "band", "low", "high").sortWithinPartitions("token", "band", "low", "high")
 
-    def pairs_of(tile):
-        low, high, of_block, upper, key, n, root = tile
-        size = len(key)
-        for at in range(0, size, 1024):
-            some = slice(at, at + 1024)
-            fits = (root[some, None] != root[None, :]) & (key[some, None] < key[None, :])
-            fits &= upper[some, None] | upper[None, :]
-            small, large = np.minimum(n[some, None], n[None, :]), np.maximum(n[some, None], n[None, :])
-            fits &= DENOMINATOR * small >= NUMERATOR * large
-            if low != high:
-                fits &= of_block[some, None] != of_block[None, :]
-            left, right = np.nonzero(fits)
-            if len(left):
-                yield key[left + at], key[right]
-
     def run(batches):
-        held: list[list[np.ndarray]] = []
+        held: list[list] = []
 
         def give(columns):
-            token, band_, low, high, of_block, own_band, key, n, root = columns
-            starts, ends = _runs(np.rec.fromarrays([token, band_, low, high]))
-            found = []
+            *numbers, bits = columns
+            token, band, low, high, of_block, own_band, key, n, root, place = numbers
+            starts, ends = _runs(np.rec.fromarrays([token, band, low, high]))
+            found, waiting = [], 0
             for a, b in zip(starts.tolist(), ends.tolist()):
-                if b - a > 1:
-                    tile = (low[a], high[a], of_block[a:b], own_band[a:b] == band_[a:b], key[a:b], n[a:b], root[a:b])
-                    if (root[a:b] != root[a]).any():
-                        found.extend(pairs_of(tile))
-                if sum(len(left) for left, _ in found) > 100_000:
-                    yield _pair_batch(found)
-                    found = []
+                if b - a > 1 and (root[a:b] != root[a]).any():
+                    tile = [low[a:b], high[a:b], of_block[a:b], own_band[a:b] == band[a:b], key[a:b], n[a:b], root[a:b], place[a:b]]
+                    for pair in _tile(tile, bits[a:b]):
+                        found.append(pair)
+                        waiting += len(pair[0])
+                    if waiting > 100_000:
+                        yield _pair_batch(found)
+                        found, waiting = [], 0
             if found:
                 yield _pair_batch(found)
 
+        def joined(parts):
+            return [*(np.concatenate(p) for p in list(zip(*parts))[:-1]), [item for part in parts for item in part[-1]]]
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(at).to_numpy() for at in range(9)]
-            keys = np.rec.fromarrays(columns[:4])
-            cut = int(_runs(keys)[0][-1])
+            columns = [*(batch.column(at).to_numpy() for at in range(10)), batch.column(10).to_pylist()]
+            cut = int(_runs(np.rec.fromarrays(columns[:4]))[0][-1])
             if cut == 0 and held and all(h[0] == c[0] for h, c in zip(held[-1][:4], columns[:4])):
                 held.append(columns)
                 continue
-            if held:
-                done = [*held, [c[:cut] for c in columns]]
-                yield from give([np.concatenate(parts) for parts in zip(*done)])
-            elif cut:
-                yield from give([c[:cut] for c in columns])
-            held = [[c[cut:] for c in columns]]
+            head = [column[:cut] for column in columns]
+            if held or cut:
+                yield from give(joined([*held, head]) if held else head)
+            held = [[column[cut:] for column in columns]]
         if held:
-            yield from give([np.concatenate(parts) for parts in zip(*held)])
+            yield from give(joined(held))
 
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+@F.pandas_udf(T.BinaryType())
+def folded(bits: pd.Series) -> pd.Series:
+    """Bitmaps of half the length, at least 64 bits, for the tiles."""
+    return bits.map(lambda data: _folded(np.frombuffer(data, dtype=np.uint8), max(8, len(data) // 2)).tobytes())
+
+
 def _pair_batch(found):
     pairs = np.unique(np.column_stack([np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])]), axis=0)
     return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
@@ -440,12 +486,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     # 2 and 3: every other pair that can reach the threshold
     tokens = settle(shared_only(prefixes(small, frequency_levels(summed))))
-    placed = tokens.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "root", F.coalesce("root", "class"))
+    placed = tokens.join(groups.withColumnRenamed("node", "class"), "class", "left").select(
+        "token", "class", F.shiftright("form", 31).alias("n"), F.col("form").bitwiseAND(F.lit((1 << 31) - 1)).alias("place"),
+        F.coalesce("root", "class").alias("root"))
     open_ = placed.groupBy("token").agg(
         F.count("*").alias("rows"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     blocks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
-    tiles = placed.join(open_.select("token", blocks.alias("blocks")), "token")
+    tiles = placed.join(open_.select("token", blocks.alias("blocks")), "token").join(
+        classes.select("class", folded("bits").alias("bits")), "class")
     more = settle(bounded(tile_pairs(tiles), classes))
     links = links.union(verified(more, small, classes).select("u", "v"))
 
