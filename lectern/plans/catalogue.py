@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
@@ -46,6 +46,21 @@ def canonical_catalogue(records: DataFrame) -> DataFrame:
         conform.accepted(records), "isbn13", CATALOGUE_VALUES, "source_name", "source_row", fixed.SOURCE_PRIORITY)
 
 
+def has_comparable_title() -> Column:
+    return F.coalesce(F.col("normalized_title"), F.lit("")) != ""
+
+
+def comparable(catalogue: DataFrame) -> DataFrame:
+    """The catalogue rows that can be filed under a title."""
+    return catalogue.where(has_comparable_title())
+
+
+def untitled(catalogue: DataFrame) -> DataFrame:
+    """Catalogue rows without a title, or with one of which normalising leaves nothing, with the reason."""
+    reason = F.when(F.col("title").isNull(), "no title").otherwise("title without comparable letters")
+    return catalogue.where(~has_comparable_title()).withColumn("reason", reason)
+
+
 def numeric_key(column: str = "isbn13"):
     return F.col(column).cast("long")
 
@@ -175,7 +190,7 @@ def build(records: DataFrame, sales: DataFrame, metrics: DataFrame, fixture: Dat
 
     A golden catalogue that was already written can be passed in.
     """
-    catalogue = settle(canonical_catalogue(records)) if catalogue is None else catalogue
+    catalogue = comparable(settle(canonical_catalogue(records)) if catalogue is None else catalogue)
     sold = clean_sales(sales, catalogue)
     attention = clean_metrics(metrics, catalogue)
     matches = enrich.enrich(catalogue, mode, fixture, results, failures)
@@ -211,7 +226,9 @@ def run(spark: SparkSession, data_folder: str, target_folder: str, mode: str = "
         "isbn13", F.col("mentions").cast("int"), F.col("readers").cast("int"), F.col("demo_score").cast("double"),
         F.col("synthetic").cast("int"))
     fixture = readers.read_fixture(spark, fixture_path or f"{data_folder}/fixture.json")
-    sinks.write_extract(canonical_catalogue(records), f"{target_folder}/catalogue")
+    golden = settle(canonical_catalogue(records))
+    sinks.write_extract(comparable(golden), f"{target_folder}/catalogue")
+    sinks.write_extract(untitled(golden), f"{target_folder}/quarantine_titles")
     catalogue = spark.read.parquet(f"{target_folder}/catalogue")
     quality.require(quality.integrity_report(catalogue, records))
     built = build(records, sales, metrics, fixture, mode, results, failures, catalogue)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
@@ -144,13 +144,22 @@ class WideModel:
 
     @cached_property
     def rows(self) -> DataFrame:
-        """All cleaned rows with their load position (source, then row)."""
-        ranked = [
-            part.withColumn("source_rank", F.lit(SOURCE_RANK[source])).withColumn(
-                "position", F.lit(SOURCE_RANK[source] * 10**15) + F.col("row"))
+        """All cleaned rows with their load position: source, then file, then row.
+
+        Rows restart in every file, so a file begins after the last row of the files before
+        it; the running sum is over one line per file.
+        """
+        ranked = conform.union_all([
+            part.withColumn("source_rank", F.lit(SOURCE_RANK[source])).withColumn("_file", F.coalesce("origin_file", F.lit("")))
             for source, part in self.parts.items()
-        ]
-        return settle(conform.union_all(ranked))
+        ])
+        ranked = settle(ranked)
+        files = ranked.groupBy("source_rank", "_file").agg(F.max("row").alias("_last"))
+        before = Window.partitionBy("source_rank").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        begins = files.select("source_rank", "_file", F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_begin"))
+        placed = ranked.join(begins, ["source_rank", "_file"]).withColumn(
+            "position", F.col("source_rank").cast("long") * F.lit(10**15) + F.col("_begin") + F.col("row"))
+        return settle(placed.drop("_file", "_begin"))
 
     @cached_property
     def accepted(self) -> DataFrame:

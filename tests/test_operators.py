@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators import conform, dedup, enrich, model, quality, reports, reshape, skew
+from lectern.plans import catalogue
 
 
 def rows_of(frame, *columns):
@@ -278,3 +279,23 @@ def test_flags_of_missing_keys(spark):
     rows = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, None, "y"), (4, "a", "x")], "n long, k string, l string")
     assert rows_of(dedup.flag_duplicates(rows, ["k", "l"], "n"), "n", "is_duplicate") == [(1, True), (2, True), (3, False), (4, False)]
     assert rows_of(dedup.flag_repeats(rows, ["k", "l"], "n"), "n", "is_repeat") == [(1, False), (2, True), (3, False), (4, False)]
+
+
+def test_titles_that_cannot_be_compared_are_set_aside(spark):
+    rows = spark.createDataFrame([("9780307474728", "Cien años"), ("9788437604947", "Преступление"), ("9780000000002", None)],
+                                 "isbn string, title string")
+    staged = conform.conform(rows, {"isbn": "isbn", "title": "title"}, "simeh", F.lit(2))
+    golden = dedup.golden_record(conform.accepted(staged), "isbn13", ["title", "normalized_title"], "source_name", "source_row",
+                                 {"simeh": 0})
+    assert rows_of(catalogue.comparable(golden), "title") == [("Cien años",)]
+    assert rows_of(catalogue.untitled(golden), "title", "reason") == sorted(
+        [("Преступление", "title without comparable letters"), (None, "no title")], key=repr)
+
+
+def test_merging_stays_inside_a_file(spark):
+    rows = spark.createDataFrame([(2, "a", "k", "Uno"), (3, "a", "k", "Dos"), (2, "b", "k", "Tres")], "n long, file string, k string, t string")
+    assert rows_of(dedup.merge_values(rows, "k", ["t"], "n", within=["file"]), "file", "t") == [("a", "Uno;Dos"), ("b", "Tres")]
+    texts = spark.createDataFrame([(1, "a", "R", "x", "full"), (2, "a", "R", "y", None), (1, "b", "R", "z", "full")],
+                                  "n long, file string, rec string, body string, note string")
+    kept = dedup.consolidate_text_column(texts, "rec", "n", "body", ["file"])
+    assert rows_of(kept, "file", "body") == [("a", "x y"), ("b", "z")]
