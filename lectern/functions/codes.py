@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lectern import fixed_values as fixed
+from lectern.functions.nested import pair_value, parse_pair_lists
 from lectern.functions.text import as_column, bind, join_list, split_list, strip
 
 
@@ -62,51 +62,97 @@ def fallback_format(electronic, label: str) -> Column:
 # --- classification codes -------------------------------------------------------------------
 
 
-def _found(items: Column, pattern: str, group: int = 1) -> Column:
-    codes = F.transform(items, lambda item: F.regexp_extract(item, pattern, group))
-    return F.filter(codes, lambda code: code != "")
+def _is_subject(code: Column) -> Column:
+    """A BISAC subject: three capitals and six digits."""
+    return code.rlike("^[A-Z]{3}[0-9]{6}$")
 
 
-def _first(value, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(as_column(value), pattern, group), F.lit(""))
+def _is_thema(code: Column) -> Column:
+    """A THEMA code: up to six capitals and digits."""
+    return code.rlike("^[A-Z0-9]{1,6}$")
+
+
+def _present(items: Column) -> Column:
+    return F.filter(items, lambda item: item.isNotNull())
+
+
+def _opened(text: Column) -> Column:
+    """The text without one opening bracket."""
+    return F.when(F.startswith(text, F.lit("[")), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
+
+
+def _bracketed(text: Column) -> Column:
+    """What stands between each ``[`` and the next ``]``."""
+    parts = F.split(text, r"\[")
+    closed = F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda part: F.contains(part, F.lit("]")))
+    return F.transform(closed, lambda part: F.substring_index(part, "]", 1))
+
+
+def _subject_at_start(text: Column) -> Column:
+    code = F.left(text, F.lit(9))
+    return F.when(_is_subject(code), code)
 
 
 def bisac_list(value) -> Column:
-    return join_list(_found(F.split(as_column(value), ";"), fixed.BISAC_ITEM))
+    """Subjects that begin the items of a list, in brackets or not."""
+    items = F.split(as_column(value), ";")
+    return join_list(_present(F.transform(items, lambda item: _subject_at_start(_opened(item)))))
 
 
 def bisac_before_arrow(value) -> Column:
-    return _first(value, fixed.BISAC_BEFORE_ARROW)
+    """The subject that stands alone before the first ``>``."""
+    text = as_column(value)
+    head = F.rtrim(F.substring_index(text, ">", 1))
+    return F.when(F.contains(text, F.lit(">")) & _is_subject(head), head)
 
 
 def bisac_in_pairs(value) -> Column:
-    return _first(value, fixed.BISAC_IN_PAIRS)
+    """The codes of a serialised list of objects."""
+    return join_list(_present(F.transform(parse_pair_lists(value), lambda pairs: pair_value(pairs, "code"))))
 
 
 def thema_brackets(value) -> Column:
-    return join_list(_found(F.split(as_column(value), ";"), fixed.THEMA_BRACKET))
+    """The bracketed code of each item of a list."""
+    items = F.split(as_column(value), ";")
+    first = F.transform(items, lambda item: F.get(F.filter(_bracketed(item), lambda code: code.rlike("^[A-Z0-9]+$")), 0))
+    return join_list(_present(first))
 
 
 def thema_mixed(value) -> Column:
     """Codes of the first bracket, then codes written before ``>`` that the bracket lacks."""
     text = strip(as_column(value))
-    bracket = F.filter(
-        split_list(F.regexp_extract(text, fixed.THEMA_BRACKET, 1)), lambda code: code.rlike(fixed.THEMA_CODE)
-    )
+    listed = F.get(F.filter(_bracketed(text), lambda inside: inside.rlike("^[A-Z0-9;]+$")), 0)
+    bracket = F.filter(split_list(listed), _is_thema)
     heads = F.transform(split_list(text), lambda part: strip(F.substring_index(part, ">", 1)))
-    extra = F.filter(
-        F.array_distinct(heads), lambda code: code.rlike(fixed.THEMA_CODE) & ~F.array_contains(bracket, code)
-    )
+    extra = F.filter(F.array_distinct(heads), lambda code: _is_thema(code) & ~F.array_contains(bracket, code))
     return join_list(F.concat(bracket, extra))
 
 
+def _class_number(token: Column) -> Column:
+    """A Dewey number of a run of digits and points: three digits, and a fraction if one follows."""
+    whole, rest = F.substring_index(token, ".", 1), F.split_part(token, F.lit("."), F.lit(2))
+    return F.when(F.length(whole) == 3, F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise("")))
+
+
+def _numbers(text: Column) -> Column:
+    return F.split(text, "[^0-9.]+")
+
+
 def dewey_list(value) -> Column:
-    return join_list(_found(F.split(as_column(value), ";"), fixed.DEWEY, 0))
+    """The first class number of each item of a list."""
+    items = F.split(as_column(value), ";")
+    return join_list(_present(F.transform(items, lambda item: F.get(_present(F.transform(_numbers(item), _class_number)), 0))))
 
 
 def dewey_leading(value) -> Column:
-    return _first(value, fixed.DEWEY_LEADING)
+    """The class number that begins the text, in brackets or not."""
+    return _class_number(F.get(_numbers(_opened(F.ltrim(as_column(value)))), 0))
 
 
 def doi_from_url(value) -> Column:
-    return _first(value, fixed.DOI_IN_URL)
+    """The path of an address whose host ends in ``.org``."""
+    text = as_column(value)
+    address = F.when(F.contains(text, F.lit("://")), F.substring_index(text, "://", -1)).otherwise(text)
+    host = F.substring_index(address, "/", 1)
+    path = F.substring(address, F.length(host) + 2, F.length(address))
+    return F.when(F.endswith(host, F.lit(".org")), F.nullif(path, F.lit("")))

@@ -10,10 +10,11 @@ from lectern.functions.text import as_column, strip
 
 
 def year_day_first(value) -> Column:
-    """Year of a day-first date; else the first 19xx/20xx in the text; else NULL."""
+    """Year of a day-first date; else the first number of the text that begins with 1900 to 2099; else NULL."""
     text = strip(value)
     parsed = [F.year(F.try_to_timestamp(text, F.lit(pattern))) for pattern in fixed.DAY_FIRST_FORMATS]
-    written = F.nullif(F.regexp_extract(text, fixed.YEAR_IN_TEXT, 1), F.lit("")).cast("int")
+    heads = F.transform(F.split(text, "[^0-9]+"), lambda number: F.left(number, F.lit(4)).try_cast("int"))
+    written = F.get(F.filter(heads, lambda year: year.between(1900, 2099)), 0)
     return F.coalesce(*parsed, written)
 
 

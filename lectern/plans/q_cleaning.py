@@ -89,7 +89,8 @@ FROM orders
 """
 YEARS_SQL = rf"""WITH dated AS (SELECT o_orderkey, trim(published) AS published FROM ({DATES})),
 years AS (SELECT o_orderkey, CAST(coalesce(year(try_strptime(published, '%d/%m/%Y')), year(try_strptime(published, '%Y-%m-%d')),
-  TRY_CAST(nullif(regexp_extract(published, '((?:19|20)\d{{2}})', 1), '') AS INT)) AS INT) AS year,
+  list_extract(list_filter(list_transform(string_split_regex(published, '[^0-9]+'), lambda n: TRY_CAST(left(n, 4) AS INT)),
+    lambda y: y BETWEEN 1900 AND 2099), 1)) AS INT) AS year,
   CAST(year(try_strptime(published, '%Y-%m-%d')) AS INT) AS iso_year FROM dated)"""
 
 
@@ -187,23 +188,29 @@ FROM part
 """
 
 
-def _found_sql(cell: str, pattern: str, group: int) -> str:
-    return cell_sql(f"list_filter(list_transform(string_split({cell}, ';'), lambda x: regexp_extract(x, '{pattern}', {group})), "
-                    "lambda x: x <> '')")
+def _picked_sql(cell: str, code: str, wanted: str) -> str:
+    """Codes that ``code`` finds in the items x of a list cell and that fit ``wanted``."""
+    return cell_sql(f"list_filter(list_transform(string_split({cell}, ';'), lambda x: {code}), lambda c: regexp_full_match(c, '{wanted}'))")
 
 
-@query("classification_codes", rf"""WITH c AS ({CODES.replace("'[[[~code~, ~'", "'[[[''code'', '''").replace("'~]]]'", "''']]]'")}),
-h AS (SELECT *, list_filter(string_split(regexp_extract(thema, '\[([A-Z0-9;]+)\]', 1), ';'), lambda x: regexp_matches(x, '^[A-Z0-9]{{1,6}}$')) AS bracket,
+SUBJECT, CLASS_NUMBER = "[A-Z]{3}[0-9]{6}", "[0-9]{3}([.][0-9]+)?"
+QUOTED_CODES = CODES.replace("'[[[~code~, ~'", "'[[[''code'', '''").replace("'~]]]'", "''']]]'")
+# the word of an item that holds a number, without its brackets
+NUMBER_WORD = "trim(list_extract(list_filter(string_split(x, ' '), lambda w: regexp_matches(w, '[0-9]')), 1), '[]')"
+
+
+@query("classification_codes", f"""WITH c AS ({QUOTED_CODES}),
+h AS (SELECT *, list_filter(string_split(split_part(split_part(thema, '[', 2), ']', 1), ';'), lambda x: regexp_full_match(x, '[A-Z0-9]{{1,6}}')) AS bracket,
   list_transform({items_sql('thema')}, lambda x: trim(split_part(x, '>', 1))) AS heads FROM c),
-e AS (SELECT *, list_filter(heads, lambda x, i: regexp_matches(x, '^[A-Z0-9]{{1,6}}$') AND NOT list_contains(bracket, x)
+e AS (SELECT *, list_filter(heads, lambda x, i: regexp_full_match(x, '[A-Z0-9]{{1,6}}') AND NOT list_contains(bracket, x)
   AND list_position(heads, x) = i) AS extra FROM h)
-SELECT p_partkey, {_found_sql('bisac', r'^\[?([A-Z]{3}\d{6})\]?', 1)} AS bisac,
-  nullif(regexp_extract(bisac_arrow, '^([A-Z]{{3}}\d{{6}})\s*>', 1), '') AS bisac_arrow,
-  nullif(regexp_extract(bisac_pairs, 'code'', ''(.*)''\]\]\]', 1), '') AS bisac_pairs,
-  {_found_sql('thema', r'\[([A-Z0-9;]+)\]', 1)} AS thema_brackets,
-  {cell_sql('list_concat(bracket, extra)')} AS thema_mixed,
-  {_found_sql('dewey', r'\d{3}(?:\.\d+)?', 0)} AS dewey,
-  nullif(regexp_extract(dewey, '^\s*\[?(\d{{3}}(?:\.\d+)?)\]?', 1), '') AS dewey_leading FROM e""")
+SELECT p_partkey, {_picked_sql('bisac', "left(ltrim(x, '['), 9)", SUBJECT)} AS bisac,
+  CASE WHEN contains(bisac_arrow, '>') AND regexp_full_match(rtrim(split_part(bisac_arrow, '>', 1)), '{SUBJECT}')
+    THEN rtrim(split_part(bisac_arrow, '>', 1)) END AS bisac_arrow,
+  split_part(bisac_pairs, '''', 4) AS bisac_pairs,
+  {_picked_sql('thema', "CASE WHEN contains(x, ']') THEN split_part(split_part(x, '[', 2), ']', 1) ELSE '' END", '[A-Z0-9]+')} AS thema_brackets,
+  {cell_sql('list_concat(bracket, extra)')} AS thema_mixed, {_picked_sql('dewey', NUMBER_WORD, CLASS_NUMBER)} AS dewey,
+  split_part(ltrim(dewey, '['), ']', 1) AS dewey_leading FROM e""")
 def classification_codes(t):
     rows = derive(t, "part", CODES).withColumn("bisac_pairs", F.replace("bisac_pairs", F.lit("~"), F.lit("'")))
     return rows.select(
