@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
-from lectern.functions.text import as_column, natural_name
+from lectern.functions.text import as_column, bind, natural_name
 
 PAIR_LIST = "array<array<string>>"
 PAIR_LISTS = "array<array<array<string>>>"
@@ -48,10 +48,9 @@ def creators(value) -> Column:
     words = F.create_map(*[F.lit(word) for pair in fixed.CREATOR_ROLES.items() for word in pair])
 
     def one(pairs: Column) -> Column:
-        role = pair_value(pairs, "role")
         return F.struct(
-            F.coalesce(F.try_element_at(words, role), role).alias("role"),
-            natural_name(pair_value(pairs, "full_name")).alias("name"),
+            bind(pair_value(pairs, "role"), lambda role: F.coalesce(F.try_element_at(words, role), role)).alias("role"),
+            bind(pair_value(pairs, "full_name"), natural_name).alias("name"),
         )
 
     return F.transform(parse_pair_lists(value), one)
