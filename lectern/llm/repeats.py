@@ -41,6 +41,7 @@ GRAM = 32
 REACH = LEAST - GRAM
 GROUP = 20_000            # contexts of one anchor that are sorted together
 SECTION = 1 << 22         # string starts that are looked at together
+WINDOW = 500_000          # anchors of a task that are looked at together
 BROADCAST_ROWS = 200_000  # most contexts whose places are sent to every executor
 _BASE = 0x9E3779B97F4A7C15
 
@@ -166,13 +167,38 @@ def _bytes(texts: list[str | None]) -> list[bytes]:
     return [(text or "").encode("utf-8") for text in texts]
 
 
+ANCHORS = "anchor bigint, context bigint, text bigint, place bigint, known boolean"
+
+
 def all_anchors(docs: DataFrame) -> DataFrame:
-    """``anchor``, ``context``, ``text``, ``place`` of all texts; copies in one task count once."""
+    """``anchor``, ``context``, ``text``, ``place``, ``known`` of all texts; copies in one task count once.
+
+    An anchor that a task sees twice is known to be shared. Its rows need not meet those of
+    other tasks; one more row, the witness (place -1), stands for them there. So a hot
+    anchor sends no more than a row per window and the few single ones.
+    """
 
     def run(batches):
         seen: set[int] = set()
+        parts: list[list[np.ndarray]] = [[], [], [], []]
+        waiting = 0
+
+        def give():
+            anchor, context, text, place = (np.concatenate(part) for part in parts)
+            order = np.argsort(anchor, kind="stable")
+            anchor, context, text, place = anchor[order], context[order], text[order], place[order]
+            same = anchor[1:] == anchor[:-1]
+            known = np.zeros(len(anchor), dtype=bool)
+            known[1:] |= same
+            known[:-1] |= same
+            first = known & np.concatenate([[True], ~same])
+            columns = [np.concatenate([anchor, anchor[first]]), np.concatenate([context, np.zeros(first.sum(), np.int64)]),
+                       np.concatenate([text, np.zeros(first.sum(), np.int64)]), np.concatenate([place, np.full(first.sum(), -1)]),
+                       np.concatenate([known, np.zeros(first.sum(), bool)])]
+            yield pa.record_batch([pa.array(column) for column in columns],
+                                  names=["anchor", "context", "text", "place", "known"])
+
         for batch in batches:
-            parts: list[list[np.ndarray]] = [[], [], [], []]
             for data in _bytes(strings(batch.column(0))):
                 if len(data) < LEAST:
                     continue
@@ -186,15 +212,18 @@ def all_anchors(docs: DataFrame) -> DataFrame:
                 for part, values in zip(parts, (gram.view(np.int64), context.view(np.int64),
                                                 np.full(len(place), key, np.int64), place)):
                     part.append(values)
-            if parts[0]:
-                yield pa.record_batch([pa.array(np.concatenate(part)) for part in parts],
-                                      names=["anchor", "context", "text", "place"])
+                waiting += len(place)
+                if waiting >= WINDOW:
+                    yield from give()
+                    parts, waiting = [[], [], [], []], 0
+        if waiting:
+            yield from give()
 
-    return docs.select("text").mapInArrow(run, "anchor bigint, context bigint, text bigint, place bigint")
+    return docs.select("text").mapInArrow(run, ANCHORS)
 
 
 def shared_only(found: DataFrame) -> DataFrame:
-    """The rows whose anchor occurs twice or more; a sorted stream that remembers one row."""
+    """The rows whose anchor has another row, witnesses left out; a sorted stream that remembers one row."""
 
     def run(batches):
         held = None
@@ -208,17 +237,22 @@ def shared_only(found: DataFrame) -> DataFrame:
             several = np.zeros(len(columns[0]), dtype=bool)
             several[1:] |= same
             several[:-1] |= same
-            give = several.copy()
+            give = several & (columns[3] >= 0)
             if held is not None and held[1]:
                 several[0], give[0] = True, False
-            give_last = bool(several[-1])
-            held = ([column[-1:] for column in columns], give_last)
+            held = ([column[-1:] for column in columns], bool(several[-1]))
             yield pa.record_batch([pa.array(column[give]) for column in columns], names=batch.schema.names)
 
     return found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         run, "anchor bigint, context bigint, text bigint, place bigint")
 
 
+def shared_anchors(docs: DataFrame) -> DataFrame:
+    """``anchor``, ``context``, ``text``, ``place`` of every anchor that occurs twice or more."""
+    found = settle(all_anchors(docs))
+    return found.where("known").drop("known").union(settle(shared_only(found.where("not known").drop("known"))))
+
+
 def fetched(open_: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """``anchor``, ``context``, ``before`` (read backwards), ``after`` for one place of each open context."""
     wanted = settle(
@@ -309,7 +343,7 @@ def _cover_batch(rows):
 
 def repeated_spans(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """``text``, ``spans``: places and reaches of repeats per text (sorted, may overlap)."""
-    shared = settle(shared_only(all_anchors(docs)))
+    shared = shared_anchors(docs)
     contexts = settle(shared.groupBy("anchor", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("text", "place")).alias("one")))
     per_anchor = contexts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")

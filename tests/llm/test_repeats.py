@@ -40,9 +40,10 @@ def texts():
     return made
 
 
-@pytest.mark.parametrize("group, broadcast", [(20_000, 200_000), (2, 0)])
-def test_against_all_strings(spark, texts, group, broadcast, monkeypatch):
+@pytest.mark.parametrize("group, broadcast, window", [(20_000, 200_000, 500_000), (2, 0, 10)])
+def test_against_all_strings(spark, texts, group, broadcast, window, monkeypatch):
     monkeypatch.setattr(repeats, "GROUP", group)
+    monkeypatch.setattr(repeats, "WINDOW", window)
     monkeypatch.setattr(repeats, "BROADCAST_ROWS", broadcast)
     ids = [None if k == 3 else 7 if k in (4, 5) else k for k in range(len(texts))]
     docs = docs_of(spark, list(zip(ids, texts))).selectExpr("*", "1 as place", "2 as context")
