@@ -351,9 +351,11 @@ def removed(docs: DataFrame, least: int = LEAST_CHARS, edits: int = EDITS) -> Da
         .join(place.withColumnsRenamed({"line": "b", "first": "first_b"}), "b")
         .select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("line"))
         .distinct().withColumn("near", F.lit(True)))
-    # lines that occur once and have no neighbour need no join with their units
-    marked = firsts.join(later, "line", "left").where(F.col("near") | (F.col("first") < F.col("last")))
-    gone = found.join(marked.select("line", "first", "near"), "line").where(
+    # lines that occur once and have no neighbour need no join with their units; the others are
+    # written, so that Spark splits the hot ones among them in the join
+    marked = settle(firsts.join(later, "line", "left").where(
+        F.col("near") | (F.col("first") < F.col("last"))).select("line", "first", "near"))
+    gone = found.join(marked, "line").where(
         F.coalesce("near", F.lit(False)) | (F.col("first") < rank()))
     return removed_spans(gone)
 
