@@ -152,3 +152,21 @@ def wide_work_links(t):
 SELECT isbn13, CASE store WHEN 'Amazon' THEN 'AMAZON.COM' ELSE store END AS store, CAST(NULL AS VARCHAR) AS edition FROM s""")
 def wide_store_sales(t):
     return model(t).store_sales
+
+
+BROKEN = """
+SELECT o_orderkey AS row, CASE o_orderstatus WHEN 'P' THEN concat('[[[~role~, ', CAST(o_custkey AS STRING)) WHEN 'F' THEN NULL
+    ELSE '[[[~role~, ~autor~], [~full_name~, True]]]' END AS creators,
+  CASE WHEN o_custkey % 3 = 0 THEN concat('set of ', CAST(o_custkey AS STRING)) WHEN o_custkey % 3 = 1 THEN '  '
+    ELSE '[[~title~, None]]' END AS collection FROM orders
+"""
+
+
+@query("unreadable_cells", f"""WITH c AS ({BROKEN}),
+cells AS (SELECT row, 'creators' AS field, replace(creators, '~', chr(39)) AS cell FROM c WHERE creators NOT LIKE '%]]]' UNION ALL
+  SELECT row, 'collection', collection FROM c WHERE collection LIKE 'set%')
+SELECT 'export' AS origin_file, row, field, cell, 'not a readable list of pairs' AS reason FROM cells""")
+def unreadable_cells(t):
+    rows = _quoted(derive(t, "orders", BROKEN), "creators", "collection")
+    given = {"creators": "creators", "collection": "collection"}
+    return wide.unreadable_cells(_export(rows, given, SERIAL_HEADINGS))

@@ -132,6 +132,24 @@ def clean_serial_export(raw: DataFrame) -> DataFrame:
     })
 
 
+# the serialised cells of the serial export, and how they are read
+SERIAL_CELLS = {"creators": nested.parse_pair_lists, "collection": nested.parse_pairs, "bisac_code": nested.parse_pair_lists,
+                "shopping_info": nested.parse_pair_lists}
+
+
+def unreadable_cells(raw: DataFrame) -> DataFrame:
+    """(origin_file, row, field, cell, reason) for serialised cells that hold something and cannot be read.
+
+    The export's rows stay in the flow with these fields empty; this is their quarantine.
+    """
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("field"), F.col(name).alias("cell"), nested.unreadable(name, read(name)).alias("bad"))
+        for name, read in SERIAL_CELLS.items()
+    ]))
+    found = raw.select("origin_file", "row", cells.alias("_cell")).where(F.col("_cell.bad"))
+    return found.select("origin_file", "row", "_cell.field", "_cell.cell", F.lit("not a readable list of pairs").alias("reason"))
+
+
 STANDARDS = {"country": fixed.COUNTRY_RULES, "language": fixed.LANGUAGE_RULES, "edition_format": fixed.FORMAT_RULES,
              "work_type": fixed.WORK_TYPE_RULES}
 
