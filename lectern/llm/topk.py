@@ -11,7 +11,8 @@ bound  q.p + |q| * radius  of some query in the group reaches that query's floor
 Defined results: vectors that are null, or hold a null or non-finite component, take no
 part. Vectors shorter than the longest are filled with zeros. Equal scores go to the
 smaller id; equal ids and scores are ranked as equal rows, in any order. A row is no
-candidate for a query with its own id. Rows without an id take no part. Scores beyond
+candidate for a query with its own id; query rows that agree in id and vector ask once.
+Rows without an id take no part. Scores beyond
 the range of a long are cut to it.
 """
 
@@ -148,7 +149,7 @@ def top_k(data: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     widths = F.create_map(*[F.lit(x) for at, cell in enumerate(cells["cell"]) for x in (int(cell), blocks[at])])
     block = F.pmod(F.xxhash64("vec_id"), F.element_at(widths, F.col("cell")))
     group = F.element_at(pairs, F.col("cell")).cast("bigint") * F.lit(1 << 40) + block
-    asking = placed.where("asks").withColumn("group", group)
+    asking = placed.where("asks").dropDuplicates(["vec_id", "vector"]).withColumn("group", group)
     queries = settle(asking.mapInPandas(reached, "vec_id bigint, vector array<bigint>, group bigint, cells array<int>"))
 
     # the data a group needs; both sides are dealt by (group, part), and parts bound a task

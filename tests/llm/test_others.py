@@ -46,7 +46,7 @@ def test_top_k(spark, monkeypatch, per_group, part_rows):
 
 
 def test_top_k_with_few_rows(spark):
-    rows = [(0, [1.0]), (1, [2.0]), (2, [2.0])]
+    rows = [(0, [1.0]), (0, [1.0]), (1, [2.0]), (2, [2.0])]
     data = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     assert sorted(map(tuple, topk.top_k(data, F.col("vec_id") == 0).collect())) == [(0, 1, 1, 2048 * 1024), (0, 2, 2, 2048 * 1024)]
     assert topk.top_k(data.limit(0), F.lit(True)).count() == 0
