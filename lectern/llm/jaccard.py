@@ -10,14 +10,13 @@ equal sets form one class; everything below is about classes.
    over the corpus in a table of fixed size), rarest first. Two sets that reach the
    threshold share a shingle among the first  n - ceil(0.75 n) + 1  of each, and the first
    one they share leaves enough of both sets behind it. A tile holds the classes with one
-   such shingle and one size band (sizes that differ by less than 3:4 lie in neighbouring
-   bands); a tile with many rows is cut into pairs of blocks. Pairs inside a tile that
+   such shingle and one size band (sizes within 3:4 of each other meet in a band); a tile
+   with many rows is cut into pairs of blocks. Pairs inside a tile that
    step 1 already joined need no more work.
 3. Each class has a bitmap of hashed shingles. A shingle whose bit is not set in the other
-   bitmap is not in the other set, so bit counts bound the overlap from above. A folded
-   bitmap goes into the tiles, so that only pairs leave them that may still reach the
-   threshold; the full ones are asked next, and what remains is decided by intersecting
-   the sorted arrays.
+   bitmap is not in the other set, so bit counts bound the overlap from above. The
+   bitmaps go into the tiles, so that only pairs leave them that may still reach the
+   threshold; those are decided by intersecting the sorted arrays.
 4. Components of all links.
 
 No link between different sets is lost: step 1 only adds exact links, step 2 is complete
@@ -36,7 +35,6 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -303,16 +301,42 @@ def shared_only(tokens: DataFrame) -> DataFrame:
         run, "token bigint, class bigint, form bigint")
 
 
-def _tile_bits(data: list[bytes]) -> np.ndarray:
-    """Bitmaps of a tile as rows of 64-bit words, folded to the length of the shortest."""
-    size = min(map(len, data))
-    return np.stack([_folded(np.frombuffer(item, dtype=np.uint8), size) for item in data]).view(np.uint64)
+class _Bitmaps:
+    """The bitmaps of a tile as rows of 64-bit words, folded to each length that pairs ask for."""
+
+    def __init__(self, data: list[bytes]):
+        self.data, self.sizes, self.levels = data, np.fromiter(map(len, data), dtype=np.int64, count=len(data)), {}
+
+    def level(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row of every member (those of this length and of twice it), and the words."""
+        if size not in self.levels:
+            members = np.flatnonzero((self.sizes == size) | (self.sizes == 2 * size))
+            row = np.full(len(self.data), -1, dtype=np.int64)
+            row[members] = np.arange(len(members))
+            words = np.stack([_folded(np.frombuffer(self.data[at], dtype=np.uint8), size) for at in members.tolist()])
+            self.levels[size] = row, np.ascontiguousarray(words).view(np.uint64)
+        return self.levels[size]
+
+    def room(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Upper bound of the overlap of each pair; fitting sizes have lengths at most a factor of two apart."""
+        found, size = np.zeros(len(a), dtype=np.int64), np.minimum(self.sizes[a], self.sizes[b])
+        for level in np.unique(size).tolist():
+            some = np.flatnonzero(size == level)
+            row, words = self.level(level)
+            for part in range(0, len(some), max(1, (1 << 22) // level)):
+                at = some[part:part + max(1, (1 << 22) // level)]
+                left, right = words[row[a[at]]], words[row[b[at]]]
+                both = left & right
+                only_a = np.bitwise_count(left ^ both).sum(axis=1, dtype=np.int64)
+                only_b = np.bitwise_count(right ^ both).sum(axis=1, dtype=np.int64)
+                found[at] = np.minimum(n[a[at]] - only_a, n[b[at]] - only_b)
+        return found
 
 
 def _tile(columns: list[np.ndarray], bits: list[bytes]):
     """Pairs of one tile: columns low, high, block, upper, class, n, root, place."""
     low, high, of_block, upper, key, n, root, place = columns
-    maps, left_over = _tile_bits(bits), n - place
+    maps, left_over = _Bitmaps(bits), n - place
     for at in range(0, len(key), 512):
         some = slice(at, at + 512)
         fits = (root[some, None] != root[None, :]) & (key[some, None] < key[None, :])
@@ -322,31 +346,29 @@ def _tile(columns: list[np.ndarray], bits: list[bytes]):
         if low[0] != high[0]:
             fits &= of_block[some, None] != of_block[None, :]
         rows, others = np.nonzero(fits)
-        for part in range(0, len(rows), 20_000):
-            a, b = rows[part:part + 20_000] + at, others[part:part + 20_000]
-            both = maps[a] & maps[b]
-            only_a = np.bitwise_count(maps[a] ^ both).sum(axis=1, dtype=np.int64)
-            only_b = np.bitwise_count(maps[b] ^ both).sum(axis=1, dtype=np.int64)
-            near = linked(np.minimum(n[a] - only_a, n[b] - only_b), n[a], n[b])
-            if near.any():
-                yield key[a[near]], key[b[near]]
+        a, b = rows + at, others
+        near = linked(maps.room(a, b, n), n[a], n[b]) if len(a) else np.zeros(0, bool)
+        if near.any():
+            yield key[a[near]], key[b[near]]
 
 
 def tile_pairs(rows: DataFrame) -> DataFrame:
     """``a``, ``b``: pairs of classes in one tile that may reach the threshold, of different groups.
 
     ``rows``: token, class, n, place, root, bits, blocks. The rows of a token with several
-    blocks go to every pair of blocks with their own; rows of a size band also go to the
-    next band.
+    blocks go to every pair of blocks with their own. A size band spans a factor of eight;
+    rows so near its upper end that larger sets of the next band can fit also go there.
     """
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least(block, other).alias("low"), F.greatest(block, other).alias("high")))
-    step = float(np.log(DENOMINATOR / NUMERATOR))
-    own = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
+    own = F.floor((F.length(F.bin("n")) - 1) / 3).cast("int")
+    edge = F.pow(F.lit(8.0), F.col("own_band") + 1)
+    reaches = F.col("n") * DENOMINATOR >= edge * NUMERATOR
+    bands = F.when(reaches, F.array(F.col("own_band"), F.col("own_band") + 1)).otherwise(F.array("own_band"))
     dealt = (
         rows.withColumn("own_band", own).withColumn("block", block)
-        .withColumn("cell", F.explode(cells)).withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
+        .withColumn("cell", F.explode(cells)).withColumn("band", F.explode(bands))
         .select("token", "band", F.col("cell.low").alias("low"), F.col("cell.high").alias("high"), "block", "own_band",
                 "class", "n", "root", "place", "bits"))
     dealt = dealt.repartition("token", "band", "low", "high").sortWithinPartitions("token", "band", "low", "high")
@@ -392,12 +414,6 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-@F.pandas_udf(T.BinaryType())
-def folded(bits: pd.Series) -> pd.Series:
-    """Bitmaps of half the length, at least 64 bits, for the tiles."""
-    return bits.map(lambda data: _folded(np.frombuffer(data, dtype=np.uint8), max(8, len(data) // 2)).tobytes())
-
-
 def _pair_batch(found):
     pairs = np.unique(np.column_stack([np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])]), axis=0)
     return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
@@ -493,8 +509,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.count("*").alias("rows"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     blocks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
     tiles = placed.join(open_.select("token", blocks.alias("blocks")), "token").join(
-        classes.select("class", folded("bits").alias("bits")), "class")
-    more = settle(bounded(tile_pairs(tiles), classes))
+        classes.select("class", "bits"), "class")
+    more = settle(tile_pairs(tiles))
     links = links.union(verified(more, small, classes).select("u", "v"))
 
     # 4: components, named by the smallest id
