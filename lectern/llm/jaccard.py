@@ -11,12 +11,14 @@ equal sets form one class; everything below is about classes.
    threshold share a shingle among the first  n - ceil(0.75 n) + 1  of each, and the first
    one they share leaves enough of both sets behind it. A tile holds the classes with one
    such shingle and one size band (sizes within 3:4 of each other meet in a band); a tile
-   with many rows is cut into pairs of blocks. Pairs inside a tile that
-   step 1 already joined need no more work.
+   with many rows is cut into pairs of blocks. Pairs inside a tile that step 1 already
+   joined need no more work, nor do those that share one of the two shared shingles before
+   this one: they are seen in an earlier tile.
 3. Each class has a bitmap of hashed shingles. A shingle whose bit is not set in the other
-   bitmap is not in the other set, so bit counts bound the overlap from above. The
-   bitmaps go into the tiles, so that only pairs leave them that may still reach the
-   threshold; those are decided by intersecting the sorted arrays.
+   bitmap is not in the other set, so bit counts bound the overlap from above. A folded
+   bitmap goes into the tiles, so that only pairs leave them that may still reach the
+   threshold; the full ones are asked next, and what remains is decided by intersecting
+   the sorted arrays.
 4. Components of all links.
 
 No link between different sets is lost: step 1 only adds exact links, step 2 is complete
@@ -35,8 +37,9 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -334,8 +337,8 @@ class _Bitmaps:
 
 
 def _tile(columns: list[np.ndarray], bits: list[bytes]):
-    """Pairs of one tile: columns low, high, block, upper, class, n, root, place."""
-    low, high, of_block, upper, key, n, root, place = columns
+    """Pairs of one tile: columns low, high, block, upper, class, n, root, place, before, further."""
+    low, high, of_block, upper, key, n, root, place, before, further = columns
     maps, left_over = _Bitmaps(bits), n - place
     for at in range(0, len(key), 512):
         some = slice(at, at + 512)
@@ -345,6 +348,10 @@ def _tile(columns: list[np.ndarray], bits: list[bytes]):
         fits &= linked(np.minimum(left_over[some, None], left_over[None, :]), n[some, None], n[None, :])
         if low[0] != high[0]:
             fits &= of_block[some, None] != of_block[None, :]
+        # an earlier shared shingle has a tile of its own, where this pair is seen
+        for mine in (before, further):
+            for other in (before, further):
+                fits &= (mine[some, None] != other[None, :]) | (mine[some, None] == 0)
         rows, others = np.nonzero(fits)
         a, b = rows + at, others
         near = linked(maps.room(a, b, n), n[a], n[b]) if len(a) else np.zeros(0, bool)
@@ -355,7 +362,8 @@ def _tile(columns: list[np.ndarray], bits: list[bytes]):
 def tile_pairs(rows: DataFrame) -> DataFrame:
     """``a``, ``b``: pairs of classes in one tile that may reach the threshold, of different groups.
 
-    ``rows``: token, class, n, place, root, bits, blocks. The rows of a token with several
+    ``rows``: token, class, n, place, root, before and further (the two shared shingles of the
+    class before this one, 0 for none), bits, blocks. The rows of a token with several
     blocks go to every pair of blocks with their own. A size band spans a factor of eight;
     rows so near its upper end that larger sets of the next band can fit also go there.
     """
@@ -370,7 +378,7 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
         rows.withColumn("own_band", own).withColumn("block", block)
         .withColumn("cell", F.explode(cells)).withColumn("band", F.explode(bands))
         .select("token", "band", F.col("cell.low").alias("low"), F.col("cell.high").alias("high"), "block", "own_band",
-                "class", "n", "root", "place", "bits"))
+                "class", "n", "root", "place", "before", "further", "bits"))
     dealt = dealt.repartition("token", "band", "low", "high").sortWithinPartitions("token", "band", "low", "high")
 
     def run(batches):
@@ -378,12 +386,13 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
 
         def give(columns):
             *numbers, bits = columns
-            token, band, low, high, of_block, own_band, key, n, root, place = numbers
+            token, band, low, high, of_block, own_band, key, n, root, place, before, further = numbers
             starts, ends = _runs(np.rec.fromarrays([token, band, low, high]))
             found, waiting = [], 0
             for a, b in zip(starts.tolist(), ends.tolist()):
                 if b - a > 1 and (root[a:b] != root[a]).any():
-                    tile = [low[a:b], high[a:b], of_block[a:b], own_band[a:b] == band[a:b], key[a:b], n[a:b], root[a:b], place[a:b]]
+                    tile = [low[a:b], high[a:b], of_block[a:b], own_band[a:b] == band[a:b], *(
+                        column[a:b] for column in (key, n, root, place, before, further))]
                     for pair in _tile(tile, bits[a:b]):
                         found.append(pair)
                         waiting += len(pair[0])
@@ -399,7 +408,7 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [*(batch.column(at).to_numpy() for at in range(10)), batch.column(10).to_pylist()]
+            columns = [*(batch.column(at).to_numpy() for at in range(12)), batch.column(12).to_pylist()]
             cut = int(_runs(np.rec.fromarrays(columns[:4]))[0][-1])
             if cut == 0 and held and all(h[0] == c[0] for h, c in zip(held[-1][:4], columns[:4])):
                 held.append(columns)
@@ -414,6 +423,12 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+@F.pandas_udf(T.BinaryType())
+def folded(bits: pd.Series) -> pd.Series:
+    """Bitmaps of half the length, at least 64 bits, for the tiles."""
+    return bits.map(lambda data: _folded(np.frombuffer(data, dtype=np.uint8), max(8, len(data) // 2)).tobytes())
+
+
 def _pair_batch(found):
     pairs = np.unique(np.column_stack([np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])]), axis=0)
     return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
@@ -505,12 +520,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     placed = tokens.join(groups.withColumnRenamed("node", "class"), "class", "left").select(
         "token", "class", F.shiftright("form", 31).alias("n"), F.col("form").bitwiseAND(F.lit((1 << 31) - 1)).alias("place"),
         F.coalesce("root", "class").alias("root"))
+    in_set = Window.partitionBy("class").orderBy("place")
+    placed = placed.select("*", F.lag("token", 1, 0).over(in_set).alias("before"), F.lag("token", 2, 0).over(in_set).alias("further"))
     open_ = placed.groupBy("token").agg(
         F.count("*").alias("rows"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     blocks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
     tiles = placed.join(open_.select("token", blocks.alias("blocks")), "token").join(
-        classes.select("class", "bits"), "class")
-    more = settle(tile_pairs(tiles))
+        classes.select("class", folded("bits").alias("bits")), "class")
+    more = settle(bounded(tile_pairs(tiles), classes))
     links = links.union(verified(more, small, classes).select("u", "v"))
 
     # 4: components, named by the smallest id
