@@ -78,8 +78,8 @@ class Hashes:
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, context hash, place) of every anchor of a text."""
-    found = ([], [], [])
+    """(anchor hash, context hash, place) of every anchor of a text, each place once."""
+    found, latest = ([], [], []), -1
     for first in range(0, len(data) - LEAST + 1, SECTION):
         # the strings that start here, with what their contexts reach
         low = max(0, first - REACH)
@@ -96,6 +96,8 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rest = REACH + 1 - width
         least = np.minimum(least[:len(least) - rest], least[rest:]) if rest else least
         chosen = np.unique((least & np.uint64((1 << 24) - 1)).astype(np.int64))
+        # places never fall; the first may be the anchor of the last string of the section before
+        chosen = chosen[chosen + first > latest]
         place = chosen + first
         left, right = np.minimum(place, REACH), np.minimum(len(data) - place, LEAST)
         inside = hashes.of(place - left - low, place + right - low)
@@ -103,6 +105,7 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found[0].append(grams[chosen])
         found[1].append(mix(inside + edges))
         found[2].append(place)
+        latest = place[-1] if len(place) else latest
     none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return tuple(np.concatenate(part) if part else empty for part, empty in zip(found, none))
 

@@ -59,6 +59,26 @@ def test_sections(monkeypatch):
     assert set(zip(*(p.tolist() for p in whole))) == set(zip(*(p.tolist() for p in parts)))
 
 
+def test_sections_give_each_place_once(monkeypatch):
+    text = (prose(1, 400) + "é" * 40 + "a" * 500).encode()
+    whole = repeats.anchors(text)
+    monkeypatch.setattr(repeats, "SECTION", 333)
+    assert [p.tolist() for p in repeats.anchors(text)] == [p.tolist() for p in whole]
+
+
+def test_text_of_two_sections(spark):
+    """Only what another text holds goes at the border of two sections."""
+    draw = random.Random(5)
+    size, border = repeats.SECTION + 2000, repeats.SECTION
+    text = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+    part = text[border - 150:border + 150]
+    docs = docs_of(spark, [(1, text), (2, "#" + part + "#"), (3, text[::-1])])
+    found = {r.doc_id: (r.n_removed, r.n_spans, r.removed, r.kept_sha256) for r in repeats.dedup(docs).collect()}
+    assert found == {
+        1: (300, 1, f"{border - 150}:{border + 150}", sha((text[:border - 150] + text[border + 150:]).encode())),
+        2: (300, 1, "1:301", sha(b"##")), 3: (0, 0, "", sha(text[::-1].encode()))}
+
+
 def test_maximal_repeats_are_maximal():
     """Against all pairs: every group is a set of contexts that share exactly its string."""
     draw = random.Random(3)
