@@ -5,16 +5,16 @@ kind leftmost and without overlap. Every scan is linear in the text: a match can
 begin at the start of a run, or at the '@' or '+' that it needs.
 
 The method on top is information-theoretic sanitisation. A protected entity is the
-normal form of a base find. A term is a word of a text; it co-occurs with an entity when
-it stands within ``REACH`` words of one of its mentions. From document counts over the
-whole corpus, with N documents,
+normal form of a base find. A term is a word of a text that touches no base find; it
+co-occurs with an entity in every document that has both, wherever they stand. From
+document counts over the whole corpus, with N documents,
 
     IC(c) = log2(N / n(c)),     PMI(c; t) = log2(N * n(c, t) / (n(c) * n(t))),
 
 and a term discloses an entity when PMI(c; t) >= IC(c) / ALPHA: seeing the term tells at
-least that share of what the entity itself would tell. Such a term is removed where it
-stands near the entity, as a span of kind ``term``. Pairs need ``SUPPORT`` documents, so
-that one chance meeting is no evidence.
+least that share of what the entity itself would tell. Pairs need ``SUPPORT`` documents, so
+that one chance meeting is no evidence. A disclosing term is marked wherever it stands, in texts without the entity too, as a span of kind
+``term``. ``sanitised`` gives the texts with all spans replaced by their kind.
 
 Defined results: a null text is empty. Documents are counted by row, so a repeated row
 counts again; null ids are ids of no document: their rows get base spans only. Spans of
@@ -24,6 +24,7 @@ terms never overlap base spans. An empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from itertools import accumulate
@@ -34,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import WORD, by_batch, prepare, settle, sha, strings
+from lectern.llm.linehash import digest, with_spans
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-REACH = 5        # words on either side of a mention
 SUPPORT = 2      # documents in which entity and term meet
 ALPHA = 1.25     # share of the entity's information that discloses it: 1 / ALPHA
 FLUSH = 400_000  # word counts a task holds before it passes them on
+COMMON = 50_000  # most words too common for any entity that a task is told to skip; speed alone
+BITS = 1 << 26   # size of the bitmap of disclosing terms
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -121,42 +124,67 @@ def entity_of(kind: int, found: str) -> str:
     return f"{KINDS[kind]}:{form}"
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words within REACH of each mention, base finds left out."""
-    words = [m.span() for m in _WORDS.finditer(text)]
-    word_starts, span_starts = [a for a, _ in words], [a for a, _, _ in spans]
+def text_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the words of a text, those that touch a base find left out."""
+    span_starts = [a for a, _, _ in spans]
     furthest = list(accumulate((end for _, _, end in spans), max))
     found = []
-    for start, kind, end in spans:
-        entity = entity_of(kind, text[start:end])
-        left, right = bisect_left(word_starts, start), bisect_left(word_starts, end)
-        for a, b in words[max(0, left - REACH):left] + words[right:right + REACH]:
-            before = bisect_left(span_starts, b)
-            if before and furthest[before - 1] > a:  # touches a base find
-                continue
-            term = term_of(text[a:b])
-            if term:
-                found.append((entity, term, a, b))
+    for word in _WORDS.finditer(text):
+        a, b = word.span()
+        before = bisect_left(span_starts, b)
+        if before and furthest[before - 1] > a:  # touches a base find
+            continue
+        term = term_of(word.group())
+        if term:
+            found.append((term, a, b))
     return found
 
 
+near_terms = text_terms  # the name from when only words near a find were terms
+
+
 def mentions(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key``, ``entity``, ``term``, ``start``, ``stop`` for words near base finds."""
+    """``entities`` and ``terms``, each once, of every row with a base find."""
 
     def work(batch):
-        columns: list[list] = [[] for _ in range(6)]
-        for doc, text in zip(batch.column(0).to_pylist(), strings(batch.column(1))):
+        entities, terms = [], []
+        for text in strings(batch.column(0)):
             spans = base_spans(text or "")
-            if spans and doc is not None:
-                key = sha(text.encode("utf-8"))
-                for found in near_terms(text, spans):
-                    for column, value in zip(columns, (doc, key, *found)):
-                        column.append(value)
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32()]
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
-                              names=["doc_id", "key", "entity", "term", "start", "stop"])
+            if spans:
+                entities.append(sorted({entity_of(kind, text[a:b]) for a, kind, b in spans}))
+                terms.append(sorted({term for term, _, _ in text_terms(text, spans)}))
+        kind = pa.list_(pa.string())
+        yield pa.record_batch([pa.array(entities, kind), pa.array(terms, kind)], names=["entities", "terms"])
+
+    return by_batch(docs.select("text"), "entities array<string>, terms array<string>", work)
+
 
-    return by_batch(docs, "doc_id bigint, key string, entity string, term string, start int, stop int", work)
+def joint_counts(met: DataFrame, common: frozenset[str] = frozenset()) -> DataFrame:
+    """``entity``, ``term``, ``n_both``: in how many rows both occur, without the ``common`` terms."""
+
+    def run(batches):
+        counts: Counter = Counter()
+
+        def give():
+            pairs = list(counts)
+            for at in range(0, len(pairs), 50_000):
+                part = pairs[at:at + 50_000]
+                yield pa.record_batch(
+                    [pa.array([p[0] for p in part], pa.string()), pa.array([p[1] for p in part], pa.string()),
+                     pa.array([counts[p] for p in part], pa.int64())], names=["entity", "term", "n"])
+            counts.clear()
+
+        for batch in batches:
+            for entities, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                terms = [term for term in terms if term not in common]
+                for entity in entities:
+                    counts.update((entity, term) for term in terms)
+                    if len(counts) > FLUSH:
+                        yield from give()
+        yield from give()
+
+    return met.select("entities", "terms").mapInArrow(run, "entity string, term string, n bigint").groupBy(
+        "entity", "term").agg(F.sum("n").alias("n_both"))
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
@@ -202,28 +230,109 @@ def document_counts(docs: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame, met: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """``entity``, ``term`` pairs whose mutual information reaches the threshold."""
-    once = met.select("entity", "term", "doc_id").distinct()
-    joint = once.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    entities = met.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    wanted = joint.join(entities, "entity")
-    terms = document_counts(docs)
+    entities = settle(met.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity")))
+    terms = settle(document_counts(docs))
     everything = float(docs.count())
-    scored = wanted.join(terms, "term")
+    # p(c | t) is at most n(c) / n(t): a term of more documents than this reaches the threshold for no entity
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+    bound = most ** (1 / alpha) * max(everything, 1.0) ** (1 - 1 / alpha) * (1 + 1e-9)
+    rare = terms.where(F.col("n") <= bound)
+    common = frozenset(r.term for r in terms.where(F.col("n") > bound).orderBy(F.desc("n")).limit(COMMON).collect())
+    joint = joint_counts(met, common).where(F.col("n_both") >= support)
+    scored = joint.join(rare, "term").join(entities, "entity")
     information = F.log2(everything / F.col("n_entity"))
     mutual = F.log2(everything * F.col("n_both") / (F.col("n_entity") * F.col("n")))
     return scored.where((information > 0) & (mutual >= information / alpha)).select("entity", "term")
 
 
+def marks(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+    """``doc_id``, ``key``, ``spans``: every place of every disclosing term, per text.
+
+    A bitmap of the terms, of fixed size, goes to all tasks; the words that it lets through
+    are joined with the terms themselves.
+    """
+    given = settle(disclosing(docs, settle(mentions(docs)), alpha, support).select("term").distinct())
+    place = F.crc32(F.col("term").cast("binary")) % BITS
+    words = given.select((place / 64).cast("long").alias("at"), (place % 64).cast("int").alias("bit")).groupBy("at").agg(
+        F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toPandas()
+    bitmap = np.zeros(BITS // 64, dtype=np.int64)
+    bitmap[words["at"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap.astype("<i8").tobytes())
+
+    def run(batches):
+        bits, known = shared.value, {}
+        for batch in batches:
+            columns: list[list] = [[] for _ in range(5)]
+            for doc, text in zip(batch.column(0).to_pylist(), strings(batch.column(1))):
+                if doc is None or not text:
+                    continue
+                maybe = set()
+                for word in set(_WORDS.findall(text)):
+                    term = known.get(word)
+                    if term is None:
+                        term = term_of(word)
+                        at = zlib.crc32(term.encode("utf-8")) % BITS
+                        term = known[word] = term if term and bits[at >> 3] >> (at & 7) & 1 else ""
+                    if term:
+                        maybe.add(term)
+                if len(known) > FLUSH:
+                    known.clear()
+                if maybe:
+                    key = digest(text)
+                    for term, start, stop in text_terms(text, base_spans(text)):
+                        if term in maybe:
+                            for column, value in zip(columns, (doc, key, term, start, stop)):
+                                column.append(value)
+            kinds = [pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int32()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                  names=["doc_id", "key", "term", "start", "stop"])
+
+    placed = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, key binary, term string, start int, stop int")
+    # a hot term is split by the join itself
+    return placed.join(given, "term").select("doc_id", "key", "start", "stop").distinct().groupBy("doc_id", "key").agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+
+
+def replaced(text: str, terms: list[tuple[int, int]], shown: str = "[{}]") -> str:
+    """The text with base finds and terms put as ``shown``; finds that overlap become one."""
+    pieces: list[list] = []
+    for start, kind, end in sorted(base_spans(text) + [(a, len(KINDS), b) for a, b in terms]):
+        if pieces and start < pieces[-1][2]:
+            pieces[-1][2] = max(pieces[-1][2], end)
+        else:
+            pieces.append([start, kind, end])
+    out, at = [], 0
+    for start, kind, end in pieces:
+        out += [text[at:start], shown.format((*KINDS, TERM)[kind])]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
+              support: int = SUPPORT, shown: str = "[{}]") -> DataFrame:
+    """The rows with the same columns, base finds and disclosing terms generalised to their kind (``shown=""``: removed)."""
+    prepare(docs.sparkSession)
+    small = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    joined = with_spans(docs, marks(small, alpha, support), id_col, text_col)
+    text_at = docs.columns.index(text_col)
+
+    def work(batch):
+        held = batch.column(batch.num_columns - 1).to_pylist()
+        texts = [text and replaced(text, [(s["start"], s["stop"]) for s in found or []], shown)
+                 for text, found in zip(strings(batch.column(text_at)), held)]
+        columns = batch.columns[:-1]
+        columns[text_at] = pa.array(texts, columns[text_at].type)
+        yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]))
+
+    return by_batch(joined, docs.schema, work)
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
          support: int = SUPPORT) -> DataFrame:
     """Per row: counts per kind, ``base_sha256`` and ``spans``, the base spans and the terms."""
     prepare(docs.sparkSession)
     small = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    met = settle(mentions(small))
-    # the pairs go back to their places; a hot pair is split by the join itself
-    hits = met.join(disclosing(small, met, alpha, support), ["entity", "term"]).select("doc_id", "key", "start", "stop")
-    by_text = hits.distinct().groupBy("doc_id", "key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("terms"))
+    by_text = marks(small, alpha, support).withColumnRenamed("spans", "terms")
 
     def scan(batch):
         rows = []
@@ -231,16 +340,16 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha:
             spans = base_spans(text or "")
             kinds = Counter(kind for _, kind, _ in spans)
             base = listed([(a, KINDS[kind], b) for a, kind, b in spans])
-            key = sha((text or "").encode("utf-8")) if spans else None
+            key = digest(text or "")
             rows.append((*(kinds[n] for n in range(4)), sha(base.encode()), base, key))
         *counts, digests, bases, keys = zip(*rows)
         yield pa.record_batch(
             [batch.column(0), *[pa.array(np.asarray(c, dtype=np.int64)) for c in counts],
-             pa.array(digests, pa.string()), pa.array(bases, pa.string()), pa.array(keys, pa.string())],
+             pa.array(digests, pa.string()), pa.array(bases, pa.string()), pa.array(keys, pa.binary())],
             names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "key"])
 
     scanned = by_batch(small, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-                       "base_sha256 string, base string, key string", scan)
+                       "base_sha256 string, base string, key binary", scan)
     joined = scanned.join(by_text.withColumnsRenamed({"doc_id": "_doc", "key": "_key"}),
                           (F.col("doc_id") == F.col("_doc")) & (F.col("key") == F.col("_key")), "left")
     # base and term spans in one order: by start, then kind as listed

@@ -259,6 +259,23 @@ def test_threshold_by_hand(spark):
             pmi, ic = math.log2(12 * 3 / (3 * n[term])), math.log2(12 / 3)
             assert ((entity, term) in found) == (pmi >= ic / 1.25)
 
+
+def test_terms_are_marked_everywhere(spark):
+    """Six words and a line away, a second time in the text, and in texts without the entity."""
+    far = "Zorblatt one of the town people\nsaid to us in a very long letter x@y.org\nand so (zorblatt) left"
+    rows = [(k, far) for k in range(8)] + [(8, "here is Zorblatt alone"), (9, None)]
+    rows += [(100 + k, "one of the town people said to us in a very long letter alone here is and so left") for k in range(400)]
+    docs = docs_of(spark, rows)
+    found = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    mail, second = far.index("x@y.org"), far.index("(zorblatt)")
+    assert found[0] == f"term:0:8,email:{mail}:{mail + 7},term:{second}:{second + 10}"
+    assert found[8] == "term:8:16" and found[9] == "" and found[100] == ""
+    clean = pii.sanitised(docs)
+    assert clean.schema == docs.schema and clean.count() == len(rows)
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[0] == far.replace("(zorblatt)", "[term]").replace("Zorblatt", "[term]").replace("x@y.org", "[email]")
+    assert texts[8] == "here is [term] alone" and texts[9] is None and texts[100] == rows[10][1]
+
 # fingerprints --------------------------------------------------------------------------
 
 
