@@ -9,11 +9,14 @@ normal form of a base find. A term is a word of a text that touches no base find
 co-occurs with an entity in every document that has both, wherever they stand. From
 document counts over the whole corpus, with N documents,
 
-    IC(c) = log2(N / n(c)),     PMI(c; t) = log2(N * n(c, t) / (n(c) * n(t))),
-
-and a term discloses an entity when PMI(c; t) >= IC(c) / ALPHA: seeing the term tells at
-least that share of what the entity itself would tell. Pairs need ``SUPPORT`` documents, so
-that one chance meeting is no evidence. A disclosing term is marked wherever it stands, in texts without the entity too, as a span of kind
+    IC(c) = log2(N / n(c)),     PMI(c; t) = log2(N * p(c | t) / n(c)),
+
+where p(c | t) is n(c, t) / n(t) put down to its lower confidence bound (Wilson, one-sided,
+Z), so that few documents of a term are weak evidence. A term discloses an entity when
+PMI(c; t) >= IC(c) / ALPHA: seeing the term tells at least that share of what the entity
+itself would tell. Every pair is judged, also those that meet in one document; these pass
+only in a corpus so large that the entity says more than the bound takes away. A disclosing
+term is marked wherever it stands, in texts without the entity too, as a span of kind
 ``term``. ``sanitised`` gives the texts with all spans replaced by their kind.
 
 Defined results: a null text is empty. Documents are counted by row, so a repeated row
@@ -39,7 +42,8 @@ from lectern.llm.linehash import digest, with_spans
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-SUPPORT = 2      # documents in which entity and term meet
+SUPPORT = 1      # least documents in which entity and term meet: every pair
+Z = 1.645        # one-sided 95 % bound
 ALPHA = 1.25     # share of the entity's information that discloses it: 1 / ALPHA
 FLUSH = 400_000  # word counts a task holds before it passes them on
 COMMON = 50_000  # most words too common for any entity that a task is told to skip; speed alone
@@ -124,12 +128,14 @@ def entity_of(kind: int, found: str) -> str:
     return f"{KINDS[kind]}:{form}"
 
 
-def text_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
-    """(term, start, end) of the words of a text, those that touch a base find left out."""
+def text_terms(text: str, spans: list[tuple[int, int, int]], wanted: set[str] | None = None) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the words of a text (the ``wanted`` ones), those that touch a base find left out."""
     span_starts = [a for a, _, _ in spans]
     furthest = list(accumulate((end for _, _, end in spans), max))
     found = []
     for word in _WORDS.finditer(text):
+        if wanted is not None and word.group() not in wanted:
+            continue
         a, b = word.span()
         before = bisect_left(span_starts, b)
         if before and furthest[before - 1] > a:  # touches a base find
@@ -240,8 +246,10 @@ def disclosing(docs: DataFrame, met: DataFrame, alpha: float = ALPHA, support: i
     common = frozenset(r.term for r in terms.where(F.col("n") > bound).orderBy(F.desc("n")).limit(COMMON).collect())
     joint = joint_counts(met, common).where(F.col("n_both") >= support)
     scored = joint.join(rare, "term").join(entities, "entity")
+    n, share = F.col("n"), F.col("n_both") / F.col("n")
+    low = (share + Z * Z / (2 * n) - Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
     information = F.log2(everything / F.col("n_entity"))
-    mutual = F.log2(everything * F.col("n_both") / (F.col("n_entity") * F.col("n")))
+    mutual = F.log2(everything * low / F.col("n_entity"))
     return scored.where((information > 0) & (mutual >= information / alpha)).select("entity", "term")
 
 
@@ -274,15 +282,14 @@ def marks(docs: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> Data
                         at = zlib.crc32(term.encode("utf-8")) % BITS
                         term = known[word] = term if term and bits[at >> 3] >> (at & 7) & 1 else ""
                     if term:
-                        maybe.add(term)
-                if len(known) > FLUSH:
-                    known.clear()
+                        maybe.add(word)
                 if maybe:
                     key = digest(text)
-                    for term, start, stop in text_terms(text, base_spans(text)):
-                        if term in maybe:
-                            for column, value in zip(columns, (doc, key, term, start, stop)):
-                                column.append(value)
+                    for term, start, stop in text_terms(text, base_spans(text), maybe):
+                        for column, value in zip(columns, (doc, key, term, start, stop)):
+                            column.append(value)
+                if len(known) > FLUSH:
+                    known.clear()
             kinds = [pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int32()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
                                   names=["doc_id", "key", "term", "start", "stop"])

@@ -260,6 +260,17 @@ def test_threshold_by_hand(spark):
             assert ((entity, term) in found) == (pmi >= ic / 1.25)
 
 
+def test_pairs_of_one_document_are_judged(spark):
+    """An entity of one document: its own words disclose it in a large corpus, common ones never."""
+    rows = [(0, "Quibblesnark of the town\nwrote a long letter about the weather to zed@x.org")]
+    rows += [(k, "a long letter about the weather of the town to someone wrote") for k in range(1, 4000)]
+    docs = docs_of(spark, rows).select("doc_id", "text")
+    found = {(r.entity, r.term) for r in pii.disclosing(docs, pii.mentions(docs)).collect()}
+    assert found == {("email:zed@x.org", "quibblesnark")}
+    # by hand: of one document the Wilson bound leaves 1 / (1 + Z * Z)
+    assert math.log2(4000 / (1 + pii.Z ** 2)) >= math.log2(4000) / pii.ALPHA
+
+
 def test_terms_are_marked_everywhere(spark):
     """Six words and a line away, a second time in the text, and in texts without the entity."""
     far = "Zorblatt one of the town people\nsaid to us in a very long letter x@y.org\nand so (zorblatt) left"
