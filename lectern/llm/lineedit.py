@@ -1,10 +1,12 @@
 """Line dedup by a segment-partition edit join.
 
-A unit is a line of a text without the white space at its ends, of at least LEAST_CHARS
-characters. A unit goes when an earlier unit of the corpus is within EDITS edits of it
-(insertion, deletion, substitution of a character; 0 edits for equal lines). Earlier
-means: smaller id, then smaller text digest, then first in the text, a line ranking by
-its first occurrence. So the first line of a neighbourhood stays, and equal later ones go.
+A unit is a line of a text without the white space at its ends, of at least ``least``
+characters; the registered query takes every line that is not blank. A unit goes when an earlier unit of the corpus equals it, or is within the edits that the
+shorter of the two allows (insertion, deletion, substitution of a character): EDITS from
+FULL_CHARS characters on, in proportion below, so that lines of a few characters go for
+equal ones only. Earlier means: smaller id, then smaller text digest, then first in the
+text, a line ranking by its first occurrence. So the first line of a neighbourhood stays,
+and equal later ones go.
 
 Finding pairs: a line of length l is cut into EDITS + 1 segments. A line within EDITS
 edits of it holds one of the segments unchanged, at a place that the two lengths and the
@@ -15,8 +17,8 @@ into pairs of blocks where a key has many lines. Counts of hashed characters (ei
 bytes) rule out most chance meetings before any text is fetched, and a banded
 bit-parallel edit distance decides.
 
-Defined results: a null text is empty; shorter lines are no units and always stay. Null
-ids rank last. Rows that agree in id and text are one text with one result for each of
+Defined results: a null text is empty; shorter and blank lines are no units and always
+stay. Null ids rank last. Rows that agree in id and text are one text with one result for each of
 them. Line keys have 64 bits.
 """
 
@@ -33,7 +35,8 @@ from lectern.llm.common import by_batch, mix, prepare, settle, strings
 from lectern.llm.linehash import digest, rank, removed_spans, report, strip
 
 EDITS = 2
-LEAST_CHARS = 40
+LEAST_CHARS = 40             # the floor unless named; 1: every line with a character is a unit
+FULL_CHARS = 40              # length from which all EDITS are allowed
 BLANK = " \t\n\x0b\x0c\r"
 TILE_ROWS = 2048
 BROADCAST_ROWS = 1_000_000   # most ids that are sent to every executor
@@ -47,6 +50,16 @@ def line_key(line: str) -> int:
     return int.from_bytes(hashlib.blake2b(line.encode("utf-8"), digest_size=8).digest(), "little", signed=True)
 
 
+def allowed(length: int, edits: int = EDITS) -> int:
+    """Edits that a line may be away: in proportion to its length up to FULL_CHARS."""
+    return min(edits, length * edits // FULL_CHARS)
+
+
+def join_least(least: int, edits: int) -> int:
+    """Length of the shortest lines that may have a neighbour but for equal ones."""
+    return max(least, edits + 1, -(-FULL_CHARS // edits)) if edits else max(least, 1)
+
+
 def lines_of(text: str, least: int = LEAST_CHARS) -> list[tuple[int, int, int, str]]:
     """(number, start, end, line) of the units; start and end are those of the whole line."""
     found, at = [], 0
@@ -330,7 +343,7 @@ def near_pairs(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, least: int,
     texts = settle(by_batch(held, "line bigint, shown string", fetch).dropDuplicates(["line"]))
 
     def check(batch):
-        kept = [within(a, b, edits) for a, b in zip(strings(batch.column(2)), strings(batch.column(3)))]
+        kept = [within(a, b, allowed(min(len(a), len(b)), edits)) for a, b in zip(strings(batch.column(2)), strings(batch.column(3)))]
         yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     joined = pairs.join(texts.select(F.col("line").alias("a"), F.col("shown").alias("shown_a")), "a").join(
@@ -342,7 +355,7 @@ def removed(docs: DataFrame, least: int = LEAST_CHARS, edits: int = EDITS) -> Da
     """Spans to remove per (``doc_id``, ``key``) of docs (``doc_id``, ``text``)."""
     found = settle(units(docs, least))
     firsts = settle(found.groupBy("line").agg(F.min(rank()).alias("first"), F.max(rank()).alias("last")))
-    shared = settle(shared_only(keyed(docs, least, edits)))
+    shared = settle(shared_only(keyed(docs, join_least(least, edits), edits)))
     pairs = settle(candidates(shared, edits))
     near = near_pairs(pairs, docs, firsts, least, edits)
     place = firsts.select("line", "first")

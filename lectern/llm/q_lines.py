@@ -41,4 +41,4 @@ def op5_line_hash_dedup(table):
 
 @query("op6_line_edit_dedup")
 def op6_line_edit_dedup(table):
-    return lineedit.dedup(table("documents"))
+    return lineedit.dedup(table("documents"), least=1)

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lectern.llm import lineedit, linehash
+from lectern.llm.queries import QUERIES
 from tests.llm.helpers import docs_of, prose
 
 
@@ -117,6 +118,20 @@ def test_edit_dedup_against_all_pairs(spark, rows, small, monkeypatch):
     assert found == sorted(expected, key=repr)
 
 
+def test_short_lines_go(spark, tmp_path):
+    """Equal lines of any length; from 20 characters on one edit, from 40 on two."""
+    line = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(1, f"ok\n\n{line}\nnineteen characters\n版权所有\n{line * 2}"),
+            (2, "OK\n\nok\nnineteen character\n版权所有\n \nx"), (3, f"#{line}\n##{line}#\nx\n{line * 2}##\nown")]
+    found = {r.doc_id: r.text for r in lineedit.clean(docs_of(spark, rows), least=1).collect()}
+    assert found == {1: rows[0][1], 2: "OK\n\nnineteen character\n \nx", 3: f"##{line}#\nown"}
+    floor = {r.doc_id: r.text for r in lineedit.clean(docs_of(spark, rows), least=40).collect()}
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    listed = {r.doc_id: r.n_removed for r in QUERIES["op6_line_edit_dedup"](spark, str(tmp_path)).collect()}
+    assert listed == {1: 0, 2: 2, 3: 3}
+    assert floor == {1: rows[0][1], 2: rows[1][1], 3: f"#{line}\n##{line}#\nx\nown"}
+
+
 def test_clean_keeps_columns(spark, rows):
     docs = docs_of(spark, rows)
     cleaned = lineedit.clean(docs)
