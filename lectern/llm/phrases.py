@@ -42,7 +42,7 @@ LEAST = 10                   # occurrences of a candidate
 COVERED = 50                 # percent of a phrase's occurrences inside a longer one that drop it
 TOP = 2000                   # phrases of a language in the report
 SCALE = 1_000_000
-BUNDLE_BYTES = 1 << 24       # text that is counted together in a task
+BUNDLE_BYTES = 1 << 23       # text that is counted together in a task
 SECTION_BYTES = 1 << 20      # text whose words are coded in one go
 WORD_BITS, PAIR_BITS = 26, 27
 CHECK_SEED = -1              # of the hash that tells words of one code apart
@@ -98,13 +98,16 @@ def words_of(texts: list[bytes], salts: np.ndarray, seed: int) -> Words:
     data = b"\n".join([*lowered, b""])
     raw = np.frombuffer(data, dtype=np.uint8)
     kind = _CLASS[raw]
-    inside = np.concatenate([[False], kind == _WORD])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    inside = kind == _WORD
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(raw) and inside[0]:
+        edges = np.concatenate([[0], edges])
     starts, ends = edges[::2], edges[1::2]
     bounds = np.cumsum([len(text) + 1 for text in lowered])
-    of_text = np.searchsorted(bounds, starts, side="right")
+    of_text = np.searchsorted(bounds, starts, side="right").astype(np.int32)
     breaks = np.flatnonzero(kind == _BREAK)
     piece = np.searchsorted(breaks, starts)
+    del kind, inside, breaks
     follows = np.zeros(len(starts), dtype=bool)
     follows[1:] = piece[1:] == piece[:-1]
     codes = mix(mix(word_hash(raw, starts, ends, seed)) ^ salts[of_text]).view(np.int64)
