@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,8 @@ BUNDLE_BYTES = 1 << 23       # text that is counted together in a task
 SECTION_BYTES = 1 << 20      # text whose words are coded in one go
 WORD_BITS, PAIR_BITS = 26, 27
 CHECK_SEED = -1              # of the hash that tells words of one code apart
-TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 19, 8
+TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 19, 8     # a multiple of BLOCK
+BLOCK, TASKS_AT_ONCE = 1024, 64
 DIGIT = 11                   # bits of a word's number that one step of a trie reads; two steps a word
 SYMBOLS = 1 << DIGIT
 
@@ -403,19 +405,44 @@ def counted(texts: DataFrame, seed: int, found: DataFrame) -> DataFrame:
 
 
 def _sums(texts: DataFrame, seed: int, tries: list) -> DataFrame:
-    schema = pa.schema([("entry", pa.int64()), ("n", pa.int64())])
+    """``entry`` and its number ``n`` over all texts.
+
+    A task gives its counts as blocks of BLOCK numbers. The blocks of TASKS_AT_ONCE tasks are
+    added first, then those of all, so that rows and the size of a group grow with neither
+    the candidates nor the tasks alone.
+    """
+    schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
 
     def run(batches):
-        counts = {}
+        part, counts = TaskContext.get().partitionId() // TASKS_AT_ONCE, {}
         for words, _ in bundles(batches, seed):
             for place, trie in enumerate(tries):
                 more = trie.value.count(words.codes, words.follows)
                 counts[place] = more if place not in counts else counts[place] + more
         for place, n in counts.items():
-            at = np.flatnonzero(n)
-            yield from _batches(schema, [at + tries[place].value.first, n[at]])
-
-    return texts.mapInArrow(run, "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
+            filled = np.zeros(-len(n) % BLOCK + len(n), dtype=np.int64)
+            filled[:len(n)] = n
+            blocks = [block.tobytes() for block in filled.reshape(-1, BLOCK)]
+            first = tries[place].value.first // BLOCK
+            yield from _batches(schema, [np.arange(first, first + len(blocks)), [part] * len(blocks), blocks], 1024)
+
+    def added(table: pa.Table) -> np.ndarray:
+        total = np.zeros(BLOCK, dtype=np.int64)
+        for counts in table["counts"]:
+            total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
+        return total
+
+    def add_part(table: pa.Table) -> pa.Table:
+        return pa.table({"block": table["block"][:1], "part": table["part"][:1], "counts": [added(table).tobytes()]}, schema=schema)
+
+    def add_all(table: pa.Table) -> pa.Table:
+        total = added(table)
+        at = np.flatnonzero(total)
+        return pa.table({"entry": at + table["block"][0].as_py() * BLOCK, "n": total[at]})
+
+    parts = texts.mapInArrow(run, "block bigint, part int, counts binary").groupBy("block", "part").applyInArrow(
+        add_part, "block bigint, part int, counts binary")
+    return parts.groupBy("block").applyInArrow(add_all, "entry bigint, n bigint")
 
 
 # --- scores ---------------------------------------------------------------------------------

@@ -59,11 +59,13 @@ def awkward(count=120):
     return rows
 
 
-@pytest.mark.parametrize("entries, bundle", [(1 << 19, 1 << 24), (7, 500)])
+@pytest.mark.parametrize("entries, bundle", [(1 << 19, 1 << 24), (1024, 500)])
 def test_collocations(spark, monkeypatch, entries, bundle):
     monkeypatch.setattr(phrases, "TRIE_ENTRIES", entries)
-    monkeypatch.setattr(phrases, "BUNDLE_BYTES", bundle)  # read in this process only
-    rows = awkward(120 if entries > 7 else 40)
+    monkeypatch.setattr(phrases, "TASKS_AT_ONCE", 64 if entries > 2048 else 2)
+    monkeypatch.setattr(phrases, "TRIES_AT_ONCE", 1)
+    monkeypatch.setattr(phrases, "BUNDLE_BYTES", bundle)
+    rows = awkward(120 if entries > 2048 else 40)
     docs = docs_of(spark, rows).selectExpr("*", "1 as n", "2 as code", "3 as rank", "'q' as word")
     found = phrases.collocations(docs)
     assert dict(found.dtypes) == {"lang": "string", "phrase": "string", **dict.fromkeys(["rank", "a", "l", "r", "n", "score"], "bigint")}
