@@ -102,6 +102,37 @@ def _greedy_share(wanted: Column, offered: Column, threshold: float) -> Column:
     return F.when((F.size(wanted) == 0) | (F.size(offered) == 0), F.lit(0.0)).otherwise(share)
 
 
+# --- bounds: no ratio is larger, and they stay in the JVM ------------------------------------------
+
+
+def _share(common: Column, left: Column, right: Column) -> Column:
+    total = F.length(left) + F.length(right)
+    return F.when(total == 0, F.lit(1.0)).otherwise(F.lit(2.0) * common / total)
+
+
+def length_bound(left: Column, right: Column) -> Column:
+    """Of two texts at most the shorter one can match."""
+    return _share(F.least(F.length(left), F.length(right)), left, right)
+
+
+def letters_bound(left: Column, right: Column) -> Column:
+    """At most the characters that both texts have, each as often as both have it, can match."""
+    def times(text: Column, letter: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, letter, F.lit("")))
+
+    letters = F.array_distinct(F.regexp_extract_all(left, F.lit("(?s)."), F.lit(0)))
+    common = F.aggregate(letters, F.lit(0), lambda sum_, letter: sum_ + F.least(times(left, letter), times(right, letter)))
+    return _share(common, left, right)
+
+
+def score_bound(title: Column, candidate_title: Column, names: Column, candidate_names: Column) -> Column:
+    """No smaller than the combined score that ``sequence_scores`` gives the same texts, before rounding."""
+    best = F.transform(names, lambda name: F.array_max(F.transform(candidate_names, lambda other: letters_bound(name, other))))
+    total = F.aggregate(best, F.lit(0.0), lambda sum_, one: sum_ + one)
+    people = F.when((F.size(names) == 0) | (F.size(candidate_names) == 0), F.lit(0.0)).otherwise(total / F.size(names))
+    return fixed.TITLE_WEIGHT * letters_bound(title, candidate_title) + fixed.AUTHOR_WEIGHT * people
+
+
 # names and titles repeat over many pairs; whole texts do not and would fill the cache
 CACHED_LENGTH = 1000
 

@@ -6,12 +6,14 @@ is given by the caller. Scores are computed once per distinct pair of compared t
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
 from lectern.functions.codes import doi_from_url
-from lectern.functions.similarity import matched_name_share, sequence_scores, title_band
+from lectern.functions.similarity import matched_name_share, score_bound, sequence_scores, title_band
 from lectern.functions.text import fold_marks, normalize_text, search_title, split_list, strip
 from lectern.operators.skew import attach, shuffle_width
 from lectern.session import settle
@@ -45,25 +47,79 @@ COMPARED = ["asked_title", "asked_names", "hit_title", "hit_names"]
 
 
 def candidate_pairs(books: DataFrame, hits: DataFrame, key: str) -> DataFrame:
-    """Each hit beside the texts of its book, as they were given."""
+    """Each hit beside the texts of its book, as they were given, with a digest of the compared texts in ``pair``."""
     asked = books.select(
         key, F.coalesce("title", F.lit("")).alias("asked_title"), F.coalesce("authors", F.lit("")).alias("asked_names"))
-    return settle(hits.join(asked, key))
+    return settle(hits.join(asked, key).withColumn("pair", F.sha2(F.to_json(F.struct(*COMPARED)), 256)))
 
 
 def distinct_pairs(pairs: DataFrame) -> DataFrame:
     """Every compared combination once, over as many tasks as shuffles use.
 
-    Copies of one work do not multiply the scoring. Scoring is heavy for few bytes, so
-    the partitions must not be merged by their size; normalising the texts comes after
-    this, for the same reason.
+    Copies of one work do not multiply the scoring, and the shuffle goes by a digest, not by
+    four texts. Scoring is heavy for few bytes, so the partitions must not be merged by their
+    size; normalising the texts comes after this, for the same reason.
     """
-    distinct = pairs.groupBy(*COMPARED).agg(F.count("*").alias("pair_rows"))
-    return distinct.repartition(shuffle_width(pairs), *COMPARED)
+    distinct = pairs.groupBy("pair").agg(F.count("*").alias("pair_rows"), *[F.any_value(name).alias(name) for name in COMPARED])
+    return distinct.repartition(shuffle_width(pairs), "pair")
 
 
 def scores_to_hits(pairs: DataFrame, scores: DataFrame, key: str, hit: str) -> DataFrame:
-    return attach(pairs, scores, COMPARED, "pair_rows", F.struct(key, hit), how="inner").drop("pair_rows")
+    return attach(pairs, scores, ["pair"], "pair_rows", F.struct(key, hit), how="inner").drop("pair_rows", "pair")
+
+
+# a score is rounded to four places, so one this far below the best cannot be rounded up to it
+ROUNDED = 0.00006
+
+
+@dataclass(frozen=True)
+class Scored:
+    """Scores of the pairs that can be a book's best, and how much work that was."""
+
+    scores: DataFrame
+    work: DataFrame
+
+
+def score_promising(pairs: DataFrame, key: str) -> Scored:
+    """Scores (``pair``, ``pair_rows``, title_score, author_score, match_score) of every pair that can be the best of a book.
+
+    Each distinct pair gets an upper bound of its score in the JVM. The pair with the highest
+    bound of each book is scored first; of the others only those whose bound reaches their
+    book's score so far, equal scores included. ``work``: ``pairs``, ``scored`` and ``skipped``.
+    """
+    texts = distinct_pairs(pairs).select(
+        "pair", "pair_rows", normalize_text("asked_title").alias("title"), normalize_text("hit_title").alias("hit_title"),
+        F.transform(split_list("asked_names"), normalize_text).alias("names"),
+        F.transform("hit_names", normalize_text).alias("hit_names"))
+    compared = ["title", "hit_title", "names", "hit_names"]
+    bounded = settle(texts.withColumn("bound", score_bound(*[F.col(name) for name in compared])))
+
+    def scored(chosen: DataFrame) -> DataFrame:
+        rows = bounded.join(chosen.select("pair"), "pair", "left_semi").repartition(shuffle_width(pairs), "pair")
+        return settle(rows.withColumn("_scores", sequence_scores(*compared)).select("pair", "pair_rows", "_scores.*"))
+
+    linked = settle(attach(pairs.select(key, "pair"), bounded.select("pair", "pair_rows", "bound"), ["pair"], "pair_rows",
+                           F.col(key), how="inner").select(key, "pair", "bound"))
+    first = settle(linked.groupBy(key).agg(F.max_by("pair", F.struct("bound", "pair")).alias("pair"), F.count("*").alias("hits")))
+    asked = first.groupBy("pair").agg(F.count("*").alias("uses"))
+    found = scored(asked)
+    reached = attach(first, found.join(asked, "pair").select("pair", "uses", "match_score"), ["pair"], "uses", F.col(key),
+                     how="inner").select(key, "hits", "match_score")
+    open_ = attach(linked, reached, [key], "hits", F.col("pair"), how="inner").where(
+        F.col("bound") >= F.col("match_score") - ROUNDED)
+    rest = scored(open_.select("pair").distinct().join(asked, "pair", "left_anti"))
+    scores = found.union(rest)
+    n_scored = scores.agg(F.count("*").alias("scored")).scalar()
+    work = bounded.agg(F.count("*").alias("pairs")).select("pairs", n_scored.alias("scored")).withColumn(
+        "skipped", F.col("pairs") - F.col("scored"))
+    return Scored(scores, work)
+
+
+def book_hits(candidates: DataFrame, key: str) -> DataFrame:
+    return books_only(candidates).select(
+        key, "cand_rank", F.col("id").alias("openalex_id"), "doi", "cited_by_count",
+        candidate_title().alias("hit_title"), candidate_names().alias("hit_names"),
+    )
 
 
 def match_books(books: DataFrame, candidates: DataFrame, key: str, minimum: float = fixed.MINIMUM_MATCH) -> DataFrame:
@@ -71,18 +127,11 @@ def match_books(books: DataFrame, candidates: DataFrame, key: str, minimum: floa
 
     ``books``: key, title, authors (``;`` cell). ``candidates``: key, cand_rank,
     display_name, title, authorships, id, doi, cited_by_count, type. The first of equal
-    scores wins; books without hits get ``no_results``.
+    scores wins; books without hits get ``no_results``. Hits that cannot be the best are
+    not scored.
     """
-    hits = books_only(candidates).select(
-        key, "cand_rank", F.col("id").alias("openalex_id"), "doi", "cited_by_count",
-        candidate_title().alias("hit_title"), candidate_names().alias("hit_names"),
-    )
-    pairs = candidate_pairs(books, hits, key)
-    scored = distinct_pairs(pairs).withColumn("_scores", sequence_scores(
-        normalize_text("asked_title"), normalize_text("hit_title"),
-        F.transform(split_list("asked_names"), normalize_text), F.transform("hit_names", normalize_text),
-    ))
-    scores = settle(scored.select(*COMPARED, "pair_rows", "_scores.*"))
+    pairs = candidate_pairs(books, book_hits(candidates, key), key)
+    scores = score_promising(pairs, key).scores
     shown = ["openalex_id", "matched_title", "doi", "cited_by_count", "title_score", "author_score", "match_score"]
     named = scores_to_hits(pairs, scores, key, "cand_rank").withColumn("matched_title", F.nullif("hit_title", F.lit("")))
     best = named.groupBy(key).agg(
@@ -111,12 +160,12 @@ def score_fuzzy(books: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     )
     pairs = candidate_pairs(books, hits, key)
     compared = distinct_pairs(pairs).select(
-        *COMPARED, "pair_rows", F.lower(search_title("asked_title")).alias("_title"),
+        "pair", "pair_rows", F.lower(search_title("asked_title")).alias("_title"),
         fold_marks("asked_names").alias("_names"), F.lower(strip("hit_title")).alias("cand_title"),
         F.array_join(F.transform("hit_names", fold_marks), ";").alias("cand_names"),
     )
     scores = settle(compared.select(
-        *COMPARED, "pair_rows", "cand_title", "cand_names", title_band("_title", "cand_title").alias("title_raw"),
+        "pair", "pair_rows", "cand_title", "cand_names", title_band("_title", "cand_title").alias("title_raw"),
         matched_name_share("_names", "cand_names").alias("author_raw"),
     ))
     final = F.when(F.col("author_raw") == 0, F.lit(0.0)).otherwise(

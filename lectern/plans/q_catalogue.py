@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
 from lectern.functions.codes import has_book_prefix
-from lectern.operators import conform, dedup, enrich, quality, reports, reshape
+from lectern.operators import conform, dedup, enrich, guard, quality, reports, reshape
 from lectern.plans import catalogue, inputs
 from lectern.plans.inputs import GOLDEN_SQL, MODEL_SQL, SALES_SQL, STAGING_SQL
 from lectern.plans.registry import query
@@ -313,7 +313,7 @@ ORDER BY books DESC, country NULLS FIRST LIMIT 4""")
 def guarded_query(t):
     summary = book_summary(t)
     summary.createOrReplaceTempView("book_summary")
-    return reports.read_only_query(summary.sparkSession, """
+    return guard.read_only_query(summary.sparkSession, """
         SELECT country, count(*) AS books, sum(units_sold) AS units FROM book_summary GROUP BY country
         ORDER BY books DESC, country NULLS FIRST;""", 4)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
 from lectern.functions.similarity import matched_name_share, title_band, token_set_ratio
-from lectern.operators import matching
+from lectern.operators import candidates, matching
 from lectern.plans.inputs import normalize_sql
 from lectern.plans.registry import query
 
@@ -191,3 +191,46 @@ def sequence_match_closed(t):
     asked = part.select("p_partkey", F.col("p_name").alias("title"), F.col("p_brand").alias("authors"))
     return matching.match_books(asked, found, "p_partkey").select(
         "p_partkey", "query_title", "match_status", "openalex_id", "matched_title", "title_score", "author_score", "match_score", "cited_by_count")
+
+
+# page titles play the works; with letters of their middle replaced or lost they play the books
+PAGE_TITLE = "regexp_extract(html, '<title>([^<]*)', 1)"
+ASKED_TITLE = ("CASE page_id % 3 WHEN 0 THEN concat(substr(title, 1, 9), 'x', substr(title, 12)) "
+               "WHEN 1 THEN concat(substr(title, 5), ' ', substr(title, 1, 6)) ELSE lower(title) END")
+
+
+def candidates_sql(probes: int | None, top_n: int) -> str:
+    def of(name, norm):
+        return f"""{name} AS (SELECT norm, list_distinct(list_transform(range(1, length(norm) + 2), lambda i: substr(concat('  ', norm, ' '), i, 3))) AS grams
+  FROM (SELECT DISTINCT {norm} AS norm FROM rows) WHERE norm <> '')"""
+
+    chosen = "SELECT norm, gram FROM (SELECT norm, unnest(grams) AS gram FROM asked)" if probes is None else f"""SELECT norm, gram FROM (
+    SELECT norm, gram, row_number() OVER (PARTITION BY norm ORDER BY df, gram) AS place
+    FROM (SELECT norm, unnest(grams) AS gram FROM asked) JOIN (SELECT gram, count(*) AS df FROM held GROUP BY gram) USING (gram)) WHERE place <= {probes}"""
+    return f"""WITH titled AS (SELECT page_id, {PAGE_TITLE} AS title FROM pages),
+rows AS (SELECT page_id, {normalize_sql(ASKED_TITLE)} AS book_norm, {normalize_sql('title')} AS work_norm FROM titled),
+{of('asked', 'book_norm')}, {of('stored', 'work_norm')},
+held AS (SELECT norm, unnest(grams) AS gram FROM stored),
+pairs AS (SELECT DISTINCT p.norm AS a, h.norm AS b FROM ({chosen}) p JOIN held h USING (gram)),
+scored AS (SELECT a, b, 2000 * len(list_intersect(l.grams, r.grams)) // (len(l.grams) + len(r.grams)) AS overlap
+  FROM pairs JOIN asked l ON a = l.norm JOIN stored r ON b = r.norm),
+best AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY overlap DESC, b) AS place FROM scored)
+SELECT x.page_id AS book_id, y.page_id AS work_id, CAST(place AS INT) AS cand_rank, CAST(overlap AS INT) AS overlap
+FROM best JOIN rows x ON x.book_norm = a JOIN rows y ON y.work_norm = b WHERE place <= {top_n}"""
+
+
+def _found_titles(t, probes: int | None) -> DataFrame:
+    rows = t("pages").selectExpr("page_id", f"{PAGE_TITLE} AS title")
+    asked = rows.selectExpr("page_id AS book_id", f"{ASKED_TITLE} AS title")
+    works = rows.selectExpr("page_id AS work_id", "title")
+    return candidates.title_candidates(asked, works, "book_id", work_id="work_id", top_n=5, probes=probes)
+
+
+@query("title_candidates", candidates_sql(candidates.PROBES, 5))
+def title_candidates(t):
+    return _found_titles(t, candidates.PROBES)
+
+
+@query("title_candidates_all", candidates_sql(None, 5))
+def title_candidates_all(t):
+    return _found_titles(t, None)

@@ -116,6 +116,40 @@ def test_match_books_against_brute_force(spark):
     assert {row.isbn13: (row.openalex_id, row.match_score) for row in rows} == expected
 
 
+def test_bounds_are_never_below_the_score(spark):
+    rng = random.Random(8)
+    letters = ["a", "b", "c", " ", "é", "😀", "𝒳", "0"]
+
+    def text(most):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(0, most)))
+
+    rows = [(text(12), text(12), [text(5) for _ in range(rng.randint(0, 3))], [text(5) for _ in range(rng.randint(0, 3))])
+            for _ in range(1500)] + [("", "", [], []), ("", "a", [""], [""]), ("ab" * 150, "ba" * 150, ["x"], ["x"])]
+    frame = spark.createDataFrame(rows, "a string, b string, n array<string>, m array<string>").withColumn(
+        "bound", similarity.score_bound(*[F.col(name) for name in "abnm"])).withColumn("length", similarity.length_bound(F.col("a"), F.col("b")))
+    tight = 0
+    for row in frame.collect():
+        title = SequenceMatcher(None, row.a, row.b).ratio()
+        names = sum(max(SequenceMatcher(None, x, y).ratio() for y in row.m) for x in row.n) / len(row.n) if row.n and row.m else 0.0
+        assert 0.8 * title + 0.2 * names <= row.bound + 1e-12 and title <= row.length + 1e-12
+        tight += row.bound < 0.8 * row.length + 0.2
+    assert tight > 1000
+
+
+def test_pairs_that_cannot_win_are_not_scored(spark):
+    books = spark.createDataFrame([("1", "la casa del mar", "Ana"), ("2", "otra cosa", None)], "isbn13 string, title string, authors string")
+    near = [("1", n, f"W{n}", None, title, None, 1, "book", people("Ana"))
+            for n, title in enumerate(["la casa del mar", "la casa del mar", "zzzz", "casa mar", "uvwxyz 123", "la casa del mar "], 1)]
+    tie = [("2", n, f"V{n}", None, title, None, 1, "book", people("Ana")) for n, title in enumerate(["otra cosax", "xotra cosa", "q"], 1)]
+    pairs = matching.candidate_pairs(books, matching.book_hits(spark.createDataFrame(near + tie, HIT), "isbn13"), "isbn13")
+    done = matching.score_promising(pairs, "isbn13")
+    work = done.work.first()
+    # the two equal titles are one pair, the one with a space another; both hits of the tie are scored
+    assert (work.pairs, work.scored, work.skipped) == (8, 4, 4)
+    found = {row.isbn13: row.openalex_id for row in matching.match_books(books, spark.createDataFrame(near + tie, HIT), "isbn13").collect()}
+    assert found == {"1": "W1", "2": "V1"}
+
+
 def test_first_page(spark):
     hits = spark.createDataFrame([("1", n) for n in range(1, 61)], "isbn13 string, cand_rank int")
     assert [matching.first_page(hits, per_page=n).count() for n in (1, 25, 100)] == [1, 25, 60]
