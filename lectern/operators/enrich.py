@@ -92,7 +92,7 @@ def update_from(base: DataFrame, updates: DataFrame, key: str, values: list[str]
 
 def not_yet_done(work: DataFrame, state: DataFrame, keys: list[str], mark: str) -> DataFrame:
     """Rows without any mark in the state table."""
-    done = state.where(F.col(mark).isNotNull()).select(*keys).distinct()
+    done = state.where(F.col(mark).isNotNull()).select(*keys)
     return work.join(done, keys, "left_anti")
 
 

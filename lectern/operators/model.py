@@ -31,9 +31,27 @@ def dimension(rows: DataFrame, name: str, order: list[str], id_name: str, block:
     return numbered.select(F.col(id_name), F.col(name), F.col("uses"))
 
 
-def hashed_dimension(rows: DataFrame, name: str, id_name: str) -> DataFrame:
-    """Distinct names with a content-based id: no numbering pass, stable between runs."""
-    return rows.where(F.col(name).isNotNull()).select(F.xxhash64(name).alias(id_name), name).distinct()
+def grow(stored: DataFrame, rows: DataFrame, names: list[str], order: list[str], id_name: str,
+         block: int = ID_BLOCK) -> DataFrame:
+    """The names of ``rows`` that ``stored`` (id and names) lacks, with ids that go on from its largest, and their ``uses``.
+
+    Names that are stored keep their ids, whatever later runs bring; the new ones are
+    numbered in first-seen order. A load adds the result to the stored dimension. Rows with a
+    NULL among the names have no id. The first element of ``order`` is an integer position.
+    """
+    first = rows.dropna(subset=names).groupBy(*names).agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("uses"))
+    unknown = first.join(stored.select(*names), names, "left_anti")
+    numbered = dense_ids(
+        unknown, F.floor(F.col(f"_first.{order[0]}") / block),
+        [*[F.col(f"_first.{part}") for part in order], *[F.col(name) for name in names]], "_number")
+    last = stored.agg(F.coalesce(F.max(id_name), F.lit(0)).cast("bigint").alias("last")).scalar()
+    return numbered.select((F.col("_number") + last).alias(id_name), *names, "uses")
+
+
+def grown_dimension(stored: DataFrame, rows: DataFrame, names: list[str], order: list[str], id_name: str,
+                    block: int = ID_BLOCK) -> DataFrame:
+    """The stored dimension and the new names of ``rows``, without the uses, which are those of one batch."""
+    return stored.select(id_name, *names).unionByName(grow(stored, rows, names, order, id_name, block).select(id_name, *names))
 
 
 def to_ids(rows: DataFrame, dim: DataFrame, name: str, id_name: str, spread: Column) -> DataFrame:

@@ -18,7 +18,7 @@ from lectern.functions.codes import clean_isbn
 from lectern.operators import conform, dedup, enrich, model, quality, reports, reshape
 from lectern.operators.skew import attach
 from lectern.session import settle
-from lectern.sources import readers, sinks
+from lectern.sources import publish, readers
 
 CATALOGUE_VALUES = ["title", "normalized_title", "authors", "publisher", "year", "country", "pages", "language",
                     "source_url"]
@@ -212,13 +212,15 @@ METRIC_COLUMNS = ["isbn13", "mentions", "readers", "demo_score", "synthetic"]
 def run(spark: SparkSession, data_folder: str, target_folder: str, mode: str = "offline",
         fixture_path: str | None = None, results: DataFrame | None = None,
         failures: DataFrame | None = None) -> CatalogueResult:
-    """Read the declared exports, write the golden catalogue first, build everything on it, write all tables.
+    """Read the declared exports, write the golden catalogue first, build everything on it, publish all tables as one.
 
-    The written staging and catalogue tables cut the lineage: later steps read them
-    instead of repeating the survivorship.
+    Staging, catalogue, quarantine and model tables are one publication: readers of
+    ``target_folder`` (``publish.published``) see the tables of one complete run. The
+    written staging and catalogue tables cut the lineage: later steps read them instead of
+    repeating the survivorship.
     """
-    sinks.write_extract(readers.read_sources(spark, data_folder), f"{target_folder}/staging")
-    records = spark.read.parquet(f"{target_folder}/staging")
+    run_ = publish.Publication(spark, target_folder)
+    records = run_.write("staging", readers.read_sources(spark, data_folder))
     sales = readers.read_csv(spark, f"{data_folder}/ventas.csv", SALES_COLUMNS).select(
         "isbn13", "sale_date", F.col("units").cast("int"), F.col("revenue_eur").cast("double"), "channel",
         F.col("synthetic").cast("int"))
@@ -227,13 +229,14 @@ def run(spark: SparkSession, data_folder: str, target_folder: str, mode: str = "
         F.col("synthetic").cast("int"))
     fixture = readers.read_fixture(spark, fixture_path or f"{data_folder}/fixture.json")
     golden = settle(canonical_catalogue(records))
-    sinks.write_extract(comparable(golden), f"{target_folder}/catalogue")
-    sinks.write_extract(untitled(golden), f"{target_folder}/quarantine_titles")
-    catalogue = spark.read.parquet(f"{target_folder}/catalogue")
+    catalogue = run_.write("catalogue", comparable(golden))
+    run_.write("quarantine_titles", untitled(golden))
     quality.require(quality.integrity_report(catalogue, records))
     built = build(records, sales, metrics, fixture, mode, results, failures, catalogue)
-    sinks.write_tables(built.tables, f"{target_folder}/tables")
-    sinks.write_quarantine(records, f"{target_folder}/quarantine")
+    for name, frame in built.tables.items():
+        run_.write(name, frame)
+    run_.write("quarantine", conform.rejected(records))
+    run_.commit()
     return built
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import conform, dedup, enrich, model, quality, reports, reshape, skew
+from lectern.operators import conform, dedup, enrich, model, quality, reports, reshape, rules, skew
 from lectern.plans import catalogue
 
 
@@ -131,6 +131,39 @@ def test_dimension_and_bridge(spark):
     assert rows_of(model.bridge(rows, "book", dim, "name", "author_id", F.col("book"))) == [("x", 1), ("x", 2), ("y", 2)]
 
 
+def test_a_second_load_keeps_the_ids_of_the_first(spark):
+    first = spark.createDataFrame([(10, "x"), (30, "z"), (20, "y"), (20, "x"), (5, None)], "at long, name string")
+    nothing = spark.createDataFrame([], "id bigint, name string")
+    one = model.grown_dimension(nothing, first, ["name"], ["at"], "id", block=7)
+    assert rows_of(one) == [(1, "x"), (2, "y"), (3, "z")]
+    second = spark.createDataFrame([(1, "new"), (2, "y"), (3, "a"), (4, "new"), (90, "late"), (1, "also")], "at long, name string")
+    assert rows_of(model.grow(one, second, ["name"], ["at"], "id", block=7)) == [(4, "also", 1), (5, "new", 2), (6, "a", 1), (7, "late", 1)]
+    two = model.grown_dimension(one, second, ["name"], ["at"], "id", block=7)
+    assert rows_of(two)[:3] == rows_of(one) and two.count() == two.select("id").distinct().count() == 7
+    assert rows_of(model.grown_dimension(two, second.union(first), ["name"], ["at"], "id")) == rows_of(two)
+    works = spark.createDataFrame([(1, "t", "a"), (2, "t", "b"), (3, "t", None)], "at long, title string, people string")
+    held = spark.createDataFrame([(7, "t", "b")], "id bigint, title string, people string")
+    assert rows_of(model.grow(held, works, ["title", "people"], ["at"], "id")) == [(8, "t", "a", 1)]
+
+
+def test_rules_count_and_keep_what_breaks_them(spark):
+    sales = spark.createDataFrame([(1, "a", -1, "w"), (2, "b", 3, None), (3, "q", -2, None), (4, None, None, "w"), (5, "a", 1, "w")],
+                                  "n int, key string, units int, channel string")
+    books = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), (None, 3), (None, 4)], "key string, row int")
+    found = rules.audit({"sales": sales, "books": books}, [
+        rules.not_negative("units", "sales", "units"), rules.present("channel", "sales", "channel"),
+        rules.Reference("known", "sales", "key", "books"), rules.Unique("once", "books", ("key",)),
+        rules.Check("never", "books", F.col("row") > 99)], {"sales": F.col("n").cast("string"), "books": F.col("row").cast("string")})
+    assert rows_of(found.report) == [("channel", "sales", 2), ("known", "sales", 1), ("never", "books", 0), ("once", "books", 2), ("units", "sales", 2)]
+    assert sorted((r.rule, r.row_key) for r in found.rejected.collect()) == [
+        ("channel", "2"), ("channel", "3"), ("known", "3"), ("once", "1"), ("once", "2"), ("units", "1"), ("units", "3")]
+    assert '"units":-2' in found.rejected.where("rule = 'known'").first().row
+    assert rows_of(found.accepted["sales"], "n") == [(4,), (5,)] and found.accepted["books"].columns == ["key", "row"]
+    assert sorted(row.row for row in found.accepted["books"].collect()) == [1, 3, 4]
+    with pytest.raises(ValueError):
+        rules.audit({"sales": sales}, [rules.present("a", "sales", "n"), rules.present("a", "sales", "key")], {})
+
+
 def test_works_need_both_parts(spark):
     rows = spark.createDataFrame([(1, "t", "a"), (2, "t", "a"), (3, None, "a"), (4, "t", None), (5, "t", "b")], "n long, title string, people string")
     work = model.works(rows, "title", "people", "n")

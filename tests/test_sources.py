@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
 from lectern.operators import model
-from lectern.sources import readers, reports, sinks
+from lectern.sources import publish, readers, reports, sinks
 from lectern.streaming import incremental
 from tests.test_operators import rows_of
 
@@ -128,16 +128,79 @@ def test_stream_appends_new_facts_once(spark, tmp_path):
     batch = spark.createDataFrame([(1, "a", "w"), (2, "a", "w"), (3, None, "w")], "n long, k string, c string")
     batch.coalesce(1).write.parquet(source)
 
-    def drain():
+    def drain(checkpoint="cp"):
         stream = spark.readStream.schema(batch.schema).parquet(source)
-        query = incremental.append_new_facts(stream, target, ["k", "c"], ["n"], str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query = incremental.append_new_facts(stream, target, ["k", "c"], ["n"], str(tmp_path / checkpoint)).trigger(availableNow=True).start()
         query.awaitTermination()
 
     drain()
-    assert rows_of(spark.read.parquet(target), "n") == [(1,), (3,)]
+    assert rows_of(spark.read.parquet(target).select("n"), "n") == [(1,), (3,)]
     spark.createDataFrame([(4, "a", "w"), (5, "b", "w")], batch.schema).coalesce(1).write.mode("append").parquet(source)
     drain()
-    assert rows_of(spark.read.parquet(target), "n") == [(1,), (3,), (5,)]
+    assert rows_of(spark.read.parquet(target).select("n"), "n") == [(1,), (3,), (5,)]
+    drain("other")  # another stream over the same source: known facts are found, those with a NULL equal nothing
+    assert rows_of(spark.read.parquet(target).select("n"), "n") == [(1,), (3,), (3,), (5,)]
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    target, schema = str(tmp_path / "facts"), "n long, k string, year int"
+    batches = [spark.createDataFrame(rows, schema) for rows in (
+        [(1, "a", 2020), (2, None, 2020), (3, "a", None), (4, "b", 2021), (5, "a", 2020)],
+        [(6, "a", 2020), (7, None, 2020), (8, None, None), (9, "a", 2021), (10, "c", 2022)])]
+
+    def store(number):
+        incremental.store_batch(batches[number], number, target, "s", ["k", "year"], ["n"], "year")
+        found = incremental.fact_store(spark, target, batches[0].schema)
+        return sorted((row.n, row.k, row.year, row.batch_id) for row in found.collect())
+
+    first = store(0)
+    assert [row[0] for row in first] == [1, 2, 3, 4]
+    second = store(1)
+    assert [row[0] for row in second] == [1, 2, 3, 4, 7, 8, 9, 10]
+    assert store(1) == second and store(1) == second and store(0) == second
+    with pytest.raises(ValueError):
+        incremental.store_batch(batches[0], 0, target, "s", ["k"], ["n"], "year")
+
+
+def test_only_the_years_of_the_batch_are_read(spark, tmp_path):
+    target = str(tmp_path / "facts")
+    rows = spark.range(300).selectExpr("id AS n", "cast(id AS string) AS k", "cast(2000 + id % 10 AS int) AS year")
+    incremental.store_batch(rows, 0, target, "s", ["k", "year"], ["n"], "year")
+    batch = rows.where("year = 2003").selectExpr("n", "k", "year")
+    stored = incremental.earlier_facts(batch, target, "s", 1, "year")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2003" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert stored.count() == 30 and incremental.new_facts(batch, stored, ["k", "year"], ["n"]).count() == 0
+
+
+def test_a_run_that_fails_leaves_the_old_tables(spark, tmp_path):
+    folder = str(tmp_path / "set")
+
+    def tables(n):
+        return {"a": spark.range(n), "b": spark.range(10 * n).withColumnRenamed("id", "x")}
+
+    with pytest.raises(ValueError):
+        publish.published(spark, folder)
+    first = publish.publish(spark, tables(1), folder)
+    failing = tables(2) | {"b": spark.range(5).selectExpr("raise_error('lost') AS x")}
+    with pytest.raises(Exception):
+        publish.publish(spark, failing, folder)  # stops after table a
+    halfway = publish.Publication(spark, folder)
+    halfway.write("a", spark.range(99))
+    seen = publish.published(spark, folder)
+    assert {name: frame.count() for name, frame in seen.items()} == {"a": 1, "b": 10}
+    second = publish.publish(spark, tables(3), folder)
+    assert {name: frame.count() for name, frame in publish.published(spark, folder).items()} == {"a": 3, "b": 30}
+    assert publish.published(spark, folder, first)["b"].count() == 10
+    assert sorted(row.rows for row in publish.manifest(spark, folder).collect()) == [1, 3, 10, 30]
+    halfway.commit()
+    assert set(publish.published(spark, folder)) == {"a"} and publish.published(spark, folder)["a"].count() == 99
+    assert publish.drop_expired(spark, folder, keep=2) == [first]
+    assert publish.published(spark, folder, second)["a"].count() == 3
+    with pytest.raises(ValueError):
+        halfway.write("b", spark.range(1))
+    with pytest.raises(ValueError):
+        publish.published(spark, folder, "unknown")
 
 
 def test_consult_new(spark):
@@ -197,6 +260,8 @@ def test_whole_flow(spark, tmp_path, mode):
     assert all(row.violations == 0 for row in catalogue.uniqueness_report(result.tables).collect())
     summary = result.book_summary
     assert len(summary.columns) == 19 and summary.count() == 12
-    written = spark.read.parquet(str(tmp_path / "out" / "tables" / "authors"))
+    tables = publish.published(spark, str(tmp_path / "out"))
+    assert set(tables) == {"staging", "catalogue", "quarantine", "quarantine_titles", *result.tables}
+    written = tables["authors"]
     assert written.count() == 21 and written.where("author_id = 1").first().name == "Ana Ruiz"
-    assert spark.read.parquet(str(tmp_path / "out" / "quarantine")).count() == 2
+    assert tables["quarantine"].count() == 2
