@@ -16,11 +16,15 @@ def _as_json(value) -> Column:
     # literals only where they are the value of a pair; most cells have none and skip the pattern
     cell = as_column(value)
     for literal, spelled in (("None", "null"), ("True", "true"), ("False", "false")):
-        pattern = rf"(?<=['\"],\s{{0,4}}){literal}(?=\s*\])"
-        cell = F.when(F.contains(cell, F.lit(literal)), F.regexp_replace(cell, pattern, spelled)).otherwise(cell)
+        cell = bind(cell, _respelled(literal, spelled))
     return cell
 
 
+def _respelled(literal: str, spelled: str):
+    pattern = rf"(?<=['\"],\s{{0,4}}){literal}(?=\s*\])"
+    return lambda cell: F.when(F.contains(cell, F.lit(literal)), F.regexp_replace(cell, pattern, spelled)).otherwise(cell)
+
+
 def unreadable(value, parsed) -> Column:
     """Whether a cell holds something and could not be read; such rows go to quarantine."""
     cell = as_column(value)

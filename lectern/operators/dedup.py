@@ -151,11 +151,20 @@ def keep_first_null_unsafe(frame: DataFrame, keys: list[str], order: list) -> Da
 def conflict_report(frame: DataFrame, key: str, counted: dict[str, str]) -> DataFrame:
     """For keys with several rows: how many different values each column shows.
 
-    ``count_distinct`` shuffles by value as well as key, so a hot key stays spread out.
+    Values travel as digests. Equal (key, column, digest) fold into one row before the
+    shuffle, which spreads a hot key over its values; the second step counts what is left.
     """
-    report = frame.groupBy(key).agg(
-        F.count("*").alias("group_rows"),
-        *[F.count_distinct(F.col(column)).alias(name) for name, column in counted.items()],
+    def digest(column: str) -> Column:
+        return F.unhex(F.md5(F.col(column).cast("string").cast("binary")))
+
+    row = F.struct(F.lit(-1).alias("place"), F.lit(None).cast("binary").alias("digest"))
+    cells = F.array(row, *[F.struct(F.lit(place).alias("place"), digest(column).alias("digest"))
+                           for place, column in enumerate(counted.values())])
+    folded = frame.select(key, F.inline(cells)).where("place = -1 OR digest IS NOT NULL").groupBy(key, "place", "digest").agg(
+        F.count("*").alias("n"))
+    report = folded.groupBy(key).agg(
+        F.sum(F.when(F.col("place") == -1, F.col("n"))).alias("group_rows"),
+        *[F.count_if(F.col("place") == place).alias(name) for place, name in enumerate(counted)],
     )
     return report.where(F.col("group_rows") > 1).drop("group_rows")
 

@@ -19,35 +19,45 @@ def audit_identifiers(frame: DataFrame, key: str, identifier: str) -> DataFrame:
     )
 
 
-def profile_columns(frame: DataFrame, row: str, columns: list[str] | None = None, samples: int = 3) -> DataFrame:
-    """Per column: type, nulls, blank texts, distinct values, first distinct values as a sample.
+def value_digest(value: Column) -> Column:
+    """What tells values apart in a shuffle, 16 bytes whatever their length; NULL stays NULL."""
+    return F.unhex(F.md5(value.cast("binary")))
 
-    Every value is folded to (column, value, count, first row) before anything else, so
-    the second step sees distinct values only. The ranking keeps ``samples`` rows per
-    column and task before it shuffles.
-    """
-    names = columns or [name for name in frame.columns if name != row]
+
+def _cells(frame: DataFrame, names: list[str], with_value: bool) -> Column:
+    """Per row one struct for each column: its name, digest, whether it is blank, and the value if asked for."""
     types = dict(frame.dtypes)
-    cells = F.explode(F.array(*[
+    return F.array(*[
         F.struct(
-            F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value"),
+            F.lit(name).alias("column_name"), value_digest(F.col(name).cast("string")).alias("digest"),
             (is_blank(name) if types[name] == "string" else F.lit(False)).alias("blank"),
+            *([F.col(name).cast("string").alias("value")] if with_value else []),
         )
         for name in names
-    ]))
+    ])
+
+
+def profile_columns(frame: DataFrame, row: str, columns: list[str] | None = None, samples: int = 3) -> DataFrame:
+    """Per column: type, nulls, blank texts, distinct values, first distinct values as a sample.
+
+    Every value is folded to (column, digest, count, first row) before anything else, so
+    texts do not travel and the second step sees distinct values only. The ranking keeps
+    ``samples`` rows per column and task before it shuffles; only the values that it chose
+    are read again, by their row.
+    """
+    names = columns or [name for name in frame.columns if name != row]
+    types = dict(frame.dtypes)
     values = (
-        frame.select(F.col(row).alias("_row"), cells.alias("_cell"))
-        .select("_row", "_cell.*")
-        .groupBy("column_name", "value", "blank")
+        frame.select(F.col(row).alias("_row"), F.inline(_cells(frame, names, False)))
+        .groupBy("column_name", "digest", "blank")
         .agg(F.count("*").alias("n"), F.min("_row").alias("first_row"))
     )
     counts = values.groupBy("column_name").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.sum(F.when(F.col("digest").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
         F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("blank_strings"),
-        F.count("value").alias("distinct_values"),
+        F.count("digest").alias("distinct_values"),
     )
-    known = values.where(F.col("value").isNotNull())
-    sampled = first_values(known, samples)
+    sampled = first_values(frame, row, names, values.where(F.col("digest").isNotNull()), samples)
     type_of = F.create_map(*[F.lit(part) for name in names for part in (name, types[name])])
     return counts.join(sampled, "column_name", "left").select(
         "column_name", F.element_at(type_of, F.col("column_name")).alias("data_type"),
@@ -55,18 +65,41 @@ def profile_columns(frame: DataFrame, row: str, columns: list[str] | None = None
     )
 
 
-def first_values(values: DataFrame, samples: int) -> DataFrame:
+def first_values(frame: DataFrame, row: str, names: list[str], values: DataFrame, samples: int) -> DataFrame:
     """Per column the ``samples`` values that appear first, joined by `` | ``."""
-    place = F.row_number().over(Window.partitionBy("column_name").orderBy("first_row", "value"))
-    top = values.select("column_name", "first_row", "value", place.alias("place")).where(F.col("place") <= samples)
+    place = F.row_number().over(Window.partitionBy("column_name").orderBy("first_row", "digest"))
+    top = values.select("column_name", F.col("first_row").alias("_row"), "digest", place.alias("place")).where(F.col("place") <= samples)
+    # the rows chosen are at most ``samples`` per column, whatever the data
+    found = frame.select(F.col(row).alias("_row"), F.inline(_cells(frame, names, True))).join(
+        F.broadcast(top), ["_row", "column_name", "digest"]).select("column_name", "place", "value").distinct()
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda item: item["value"])
-    return top.groupBy("column_name").agg(F.array_join(ordered, " | ").alias("sample"))
+    return found.groupBy("column_name").agg(F.array_join(ordered, " | ").alias("sample"))
 
 
-def approximate_profile(frame: DataFrame, columns: list[str], relative_error: float = 0.01) -> DataFrame:
-    """Distinct counts by sketch in one pass, for a first look at a very large table."""
-    sketches = frame.agg(*[F.approx_count_distinct(name, relative_error).alias(name) for name in columns])
-    return sketches.unpivot([], columns, "column_name", "distinct_values")
+# --- profiles by sketch: small, stored, merged ------------------------------------------------------
+
+#: 2^LG_K registers: the distinct count is within 1.6 % at one standard deviation
+LG_K = 12
+
+
+def column_sketches(frame: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Per group and column: rows, nulls, and a sketch of the distinct values.
+
+    One scan with map-side combine; a sketch has a bounded size, whatever it has seen. Write
+    the result per file or day and merge the pieces with ``merged_profile``.
+    """
+    cells = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")) for name in columns]))
+    return frame.select(*by, cells).groupBy(*by, "column_name").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("value").isNull()).alias("nulls"),
+        F.hll_sketch_agg("value", LG_K).alias("distinct_sketch"))
+
+
+def merged_profile(sketches: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Rows, nulls and estimated distinct values per column over all pieces, or per ``by``."""
+    return sketches.groupBy(*by, "column_name").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_values"))
 
 
 def exact_duplicates(frame: DataFrame, columns: list[str], name: str = "exact_duplicates") -> DataFrame:

@@ -71,13 +71,16 @@ def publisher_roles(publisher, copublishers, same: str = "editor", other: str =
     return F.array_distinct(tagged)
 
 
+def _exploded(frame: DataFrame, keys: list[str], items: Column, name: str) -> DataFrame:
+    """One row per item. The plain form makes the planner test the list's size first, which computes the list again."""
+    return frame.select(*keys, F.posexplode_outer(items).alias("position", name)).where(F.col("position").isNotNull())
+
+
 def explode_people(frame: DataFrame, keys: list[str], people) -> DataFrame:
     """(keys, position, role, name) rows out of a people array."""
-    return frame.select(*keys, F.posexplode(as_column(people)).alias("position", "_person")).select(
-        *keys, "position", "_person.*"
-    )
+    return _exploded(frame, keys, as_column(people), "_person").select(*keys, "position", "_person.*")
 
 
 def explode_list(frame: DataFrame, keys: list[str], cell, name: str) -> DataFrame:
     """(keys, position, item) rows out of a ``;`` cell."""
-    return frame.select(*keys, F.posexplode(split_list(cell)).alias("position", name))
+    return _exploded(frame, keys, split_list(cell), name)

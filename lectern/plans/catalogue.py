@@ -7,8 +7,9 @@ DataFrames.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ class CatalogueResult:
     source_records: DataFrame
     events: DataFrame
     metrics: DataFrame
-    tables: dict[str, DataFrame] = field(default_factory=dict)
+    tables: Mapping[str, DataFrame] = field(default_factory=dict)
 
     @property
     def book_summary(self) -> DataFrame:
@@ -117,14 +118,37 @@ class RelationalModel:
         return model.bridge(self.people, "book_id", self.authors, "name", "author_id", F.col("book_id"))
 
     @property
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "publishers": self.publishers.select("publisher_id", F.col("publisher").alias("name")),
-            "authors": self.authors.select("author_id", "name"),
-            "books": self.books.drop("uses"),
-            "editions": self.editions,
-            "book_authors": self.book_authors,
-        }
+    def tables(self) -> Mapping[str, DataFrame]:
+        """Each table is built when it is asked for, so nothing is written that is not read."""
+        return OnDemand({
+            "publishers": lambda: self.publishers.select("publisher_id", F.col("publisher").alias("name")),
+            "authors": lambda: self.authors.select("author_id", "name"),
+            "books": lambda: self.books.drop("uses"),
+            "editions": lambda: self.editions,
+            "book_authors": lambda: self.book_authors,
+        })
+
+
+class OnDemand(Mapping):
+    """Tables by name, each built at its first use."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def joined_with(self, others: dict[str, DataFrame]) -> OnDemand:
+        own = {name: partial(self.__getitem__, name) for name in self}
+        return OnDemand(own | {name: partial(lambda frame: frame, frame) for name, frame in others.items()})
 
 
 def clean_sales(sales: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -196,8 +220,7 @@ def build(records: DataFrame, sales: DataFrame, metrics: DataFrame, fixture: Dat
     matches = enrich.enrich(catalogue, mode, fixture, results, failures)
     trace = conform.source_trace(records)
     log = step_log(records, catalogue, mode)
-    tables = RelationalModel(catalogue).tables
-    tables.update({
+    tables = RelationalModel(catalogue).tables.joined_with({
         "sales": sold, "altmetrics": attention, "openalex_enrichment": matches,
         "source_records": trace, "pipeline_events": log,
     })

@@ -164,6 +164,33 @@ def test_rules_count_and_keep_what_breaks_them(spark):
         rules.audit({"sales": sales}, [rules.present("a", "sales", "n"), rules.present("a", "sales", "key")], {})
 
 
+def test_sketches_merge(spark):
+    rows = spark.range(60_000).selectExpr("id % 20000 AS a", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS b", "id % 7 AS day")
+    pieces = quality.column_sketches(rows, ["a", "b"], ["day"])
+    found = {r.column_name: r for r in quality.merged_profile(pieces).collect()}
+    assert (found["a"].rows, found["a"].nulls, found["b"].nulls, found["b"].distinct_values) == (60_000, 0, 20_000, 1)
+    assert abs(found["a"].distinct_values / 20_000 - 1) < 0.05
+    assert quality.merged_profile(pieces, ["day"]).count() == 14
+
+
+def test_profile_and_conflicts_shuffle_digests(spark):
+    frame = spark.createDataFrame([(1, "k", "x" * 50, "u"), (2, "k", "y", None), (3, "k", "y", None), (4, "j", None, "u")],
+                                  "row int, key string, text string, other string")
+    report = dedup.conflict_report(frame, "key", {"texts": "text", "others": "other"})
+    assert rows_of(report) == [("k", 2, 1)]
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    found = {r.column_name: r for r in quality.profile_columns(frame, "row").collect()}
+    assert (found["text"].sample, found["text"].nulls, found["text"].distinct_values) == ("x" * 50 + " | y", 1, 2)
+    assert (found["other"].sample, found["key"].sample) == ("u", "k | j")
+
+
+def test_only_asked_tables_are_built(spark):
+    asked = []
+    tables = catalogue.OnDemand({"a": lambda: asked.append("a") or 1, "b": lambda: asked.append("b") or 2}).joined_with({"c": 3})
+    assert list(tables) == ["a", "b", "c"] and asked == []
+    assert tables["a"] == 1 and tables["a"] == 1 and tables["c"] == 3 and asked == ["a"]
+
+
 def test_works_need_both_parts(spark):
     rows = spark.createDataFrame([(1, "t", "a"), (2, "t", "a"), (3, None, "a"), (4, "t", None), (5, "t", "b")], "n long, title string, people string")
     work = model.works(rows, "title", "people", "n")
