@@ -137,10 +137,11 @@ def top_k(data: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
             slack = 1e-6 * (1 + np.abs(middle) + length * radius)
             low, high = middle - length * radius - slack, middle + length * radius + slack
             order = np.argsort(-low, axis=1)
-            # cells by falling lower bound until they surely hold k rows besides the query itself
-            enough = (np.cumsum(held[order], axis=1) >= k + 1).argmax(axis=1)
-            sure = held.sum() >= k + 1
-            floor = np.take_along_axis(low, order, axis=1)[np.arange(len(q)), enough] if sure else np.full(len(q), -np.inf)
+            # cells by falling lower bound until they surely hold k rows besides all rows of the query's id
+            wanted = (k + batch["own"].to_numpy(np.int64))[:, None]
+            reach = np.cumsum(held[order], axis=1) >= wanted
+            floor = np.take_along_axis(low, order, axis=1)[np.arange(len(q)), reach.argmax(axis=1)]
+            floor = np.where(reach[:, -1], floor, -np.inf)
             needed = high >= floor[:, None]
             yield batch[["vec_id", "vector", "group"]].assign(
                 cells=[cells["cell"].to_numpy()[line].tolist() for line in needed])
@@ -149,7 +150,9 @@ def top_k(data: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     widths = F.create_map(*[F.lit(x) for at, cell in enumerate(cells["cell"]) for x in (int(cell), blocks[at])])
     block = F.pmod(F.xxhash64("vec_id"), F.element_at(widths, F.col("cell")))
     group = F.element_at(pairs, F.col("cell")).cast("bigint") * F.lit(1 << 40) + block
-    asking = placed.where("asks").dropDuplicates(["vec_id", "vector"]).withColumn("group", group)
+    # no row of the query's own id is a candidate, so as many rows as it has are not counted on
+    own = rows.groupBy("vec_id").agg(F.count("*").alias("own"), F.max("asks").alias("any")).where("any").drop("any")
+    asking = placed.where("asks").dropDuplicates(["vec_id", "vector"]).join(own, "vec_id").withColumn("group", group)
     queries = settle(asking.mapInPandas(reached, "vec_id bigint, vector array<bigint>, group bigint, cells array<int>"))
 
     # the data a group needs; both sides are dealt by (group, part), and parts bound a task
