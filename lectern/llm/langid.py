@@ -7,7 +7,8 @@ windows of every whole text, many windows at a time. The probabilities of a text
 mean log probabilities of its windows, weighted by their bytes and normalised again.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is
-every text when nothing could be learned. Rows without id, text or label teach nothing.
+every text when nothing could be learned. Of more than LANGUAGES labels those with most rows
+are learned, the first in their order among equals. Rows without id, text or label teach nothing.
 Rows are independent, so ties and repeated rows get equal results. ``lang``, ``source``
 and the id are no inputs of a prediction.
 """
@@ -52,6 +53,9 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     """
     usable = F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & F.col(id_col).isNotNull()
     taught = docs.where(usable & ~held_out(id_col))
+    # the LANGUAGES labels with most rows, then in their order: as many as there are, so they fit a broadcast
+    label = F.col(lang_col).cast("string").alias("label")
+    frequent = taught.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES)
     # where in the text a piece is taken: hash of id, so every part of a text can teach
     length = F.length(text_col)
     pieces = F.array(*[
@@ -64,6 +68,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     small = taught.select(
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("draw"), F.col(id_col).alias("id"),
         pieces.alias("pieces"))
+    small = small.join(F.broadcast(frequent.select(F.col("label").alias("lang"))), "lang", "left_semi")
     part = F.pmod(F.col("draw"), F.lit(SPREAD)).alias("part")
     for by in (["lang", "part"], ["lang"]):
         first = Window.partitionBy(*by).orderBy("draw", "id", "pieces")
@@ -175,8 +180,6 @@ def predict(network: Network, texts: list[str | None]) -> tuple[list[str], list[
 def train(sample: list[tuple[str, list[str]]]) -> Network:
     """Fit the network to (language, pieces of text); the same sample gives the same network."""
     languages = sorted({lang for lang, _ in sample})
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
     draw = np.random.default_rng(SEED)
     wide, total = max(WIDTHS), FILTERS * len(WIDTHS)
     mask = np.zeros((wide * DEPTH, total), dtype=np.float32)
