@@ -45,6 +45,18 @@ def strings(column: pa.Array) -> list[str | None]:
     return column.to_pylist()
 
 
+def free_names(frame: DataFrame, *stems: str) -> list[str]:
+    """Names like ``stems`` that no column of ``frame`` has, in any spelling."""
+    taken, found = {name.lower() for name in frame.columns}, []
+    for stem in stems:
+        name, number = f"_{stem}", 0
+        while name.lower() in taken:
+            number += 1
+            name = f"_{stem}_{number}"
+        found.append(name)
+    return found
+
+
 def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
@@ -76,5 +88,5 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-__all__ = ["BATCH_ROWS", "BLANKS", "WORD", "by_batch", "concatenated", "mix", "prepare", "settle", "sha", "strings",
+__all__ = ["BATCH_ROWS", "BLANKS", "WORD", "by_batch", "concatenated", "free_names", "mix", "prepare", "settle", "sha", "strings",
            "text_key", "word_count"]

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import WORD, by_batch, prepare, settle, strings
+from lectern.llm.common import WORD, by_batch, free_names, prepare, settle, strings
 
-LEAST_WORDS = 8
+LEAST_WORDS = 1              # every unit that is not blank; a floor only where a caller names one
 _LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
 _WORDS = re.compile(WORD)
 UNIT_SCHEMA = "doc_id bigint, key binary, unit int, start int, stop int, words int, digest binary"
@@ -101,16 +101,18 @@ def removed_spans(removed: DataFrame) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_spans`` (null: none) joined by id and text."""
+    """``docs`` with the spans to remove (null: none) as a last column, joined by id and text."""
+    own, doc, of, held = free_names(docs, "key", "doc", "of", "spans")
+
     def work(batch):
         key = pa.array([digest(text or "") for text in strings(batch.column(text_at))], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, "_key"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, own])
 
     text_at = docs.columns.index(text_col)
-    keyed = by_batch(docs, docs.select("*", F.lit(b"").alias("_key")).schema, work)
-    named = spans.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_of"), F.col("spans").alias("_spans"))
-    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_of"))
-    return keyed.join(named, same, "left").drop("_doc", "_of", "_key")
+    keyed = by_batch(docs, docs.select("*", F.lit(b"").alias(own)).schema, work)
+    named = spans.select(F.col("doc_id").alias(doc), F.col("key").alias(of), F.col("spans").alias(held))
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(of))
+    return keyed.join(named, same, "left").drop(doc, of, own)
 
 
 def strip(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,7 +134,7 @@ def strip(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def report(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``n_units``, ``n_removed``, ``removed`` (start:stop list), ``kept_sha256``."""
+    """Per row: ``n_removed``, ``n_units``, ``removed`` (start:stop list), ``kept_sha256``."""
     small = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     joined = with_spans(small, spans)
 
@@ -145,11 +147,11 @@ def report(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col:
                          hashlib.sha256(kept.encode("utf-8")).hexdigest()))
         counts, gone, listed, kept = zip(*rows)
         yield pa.record_batch(
-            [batch.column(0), pa.array(np.asarray(counts, dtype=np.int64)), pa.array(np.asarray(gone, dtype=np.int64)),
+            [batch.column(0), pa.array(np.asarray(gone, dtype=np.int64)), pa.array(np.asarray(counts, dtype=np.int64)),
              pa.array(listed, pa.string()), pa.array(kept, pa.string())],
-            names=["doc_id", "n_units", "n_removed", "removed", "kept_sha256"])
+            names=["doc_id", "n_removed", "n_units", "removed", "kept_sha256"])
 
-    return by_batch(joined, "doc_id bigint, n_units bigint, n_removed bigint, removed string, kept_sha256 string", work)
+    return by_batch(joined, "doc_id bigint, n_removed bigint, n_units bigint, removed string, kept_sha256 string", work)
 
 
 def dedup(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

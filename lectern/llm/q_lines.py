@@ -19,7 +19,7 @@ WITH d AS (
                                 '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS normal
   FROM u
 ), r AS (
-  SELECT *, len(regexp_extract_all(normal, '[^ ]+')) >= 8 AND row_number() OVER (
+  SELECT *, len(regexp_extract_all(normal, '[^ ]+')) >= 1 AND row_number() OVER (
            PARTITION BY normal ORDER BY doc_id NULLS LAST, key, unit) > 1 AS gone
   FROM n
 ), k AS (
@@ -29,7 +29,7 @@ WITH d AS (
          sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY unit), '')) AS kept_sha256
   FROM r GROUP BY doc_id, key
 )
-SELECT d.doc_id, n_units, n_removed, removed, kept_sha256
+SELECT d.doc_id, n_removed, n_units, removed, kept_sha256
 FROM d JOIN k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.key = k.key
 """
 
