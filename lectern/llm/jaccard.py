@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import BLANKS, by_batch, concatenated, mix, prepare, settle, strings
+from lectern.llm.common import BLANKS, by_batch, concatenated, free_names, mix, prepare, settle, strings
 from lectern.llm.graph import components
 
 WORDS = 5
@@ -554,15 +554,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # null components hold null ids only; those are told apart by class
     group = F.when(F.col("component_id").isNull(), F.col("class"))
     first = found.where("class is not null").groupBy("component_id", group.alias("of")).agg(F.min(order).alias("first"))
-    keepers = first.select(F.col("first.id").alias("_id"), F.col("first.class").alias("_keep"))
+    own, doc, keep = free_names(docs, "class", "id", "keep")
+    keepers = first.select(F.col("first.id").alias(doc), F.col("first.class").alias(keep))
     text_at = docs.columns.index(text_col)
 
     def with_class(batch):
         sets = shingle_sets(_bytes(strings(batch.column(text_at))))
         key = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, "_class"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, own])
 
-    keyed = by_batch(docs, T.StructType([*docs.schema.fields, T.StructField("_class", T.LongType())]), with_class)
-    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_class") == F.col("_keep"))
-    kept = keyed.where("_class is not null").join(keepers, same, "left_semi").dropDuplicates([id_col, "_class"])
-    return kept.union(keyed.where("_class is null")).drop("_class")
+    keyed = by_batch(docs, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]), with_class)
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(keep))
+    kept = keyed.where(F.col(own).isNotNull()).join(keepers, same, "left_semi").dropDuplicates([id_col, own])
+    return kept.union(keyed.where(F.col(own).isNull())).drop(own)

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lectern.llm import lineedit, linehash
+from lectern.llm import jaccard, lineedit, linehash
 from lectern.llm.queries import QUERIES
 from tests.llm.helpers import docs_of, prose
 
@@ -85,7 +85,7 @@ def brute_edit(rows, least, edits):
         first.setdefault(unit[3], unit[0])
     lines = list(first)
     near = {b for k, b in enumerate(lines) for a in lines[:k]
-            if abs(len(a) - len(b)) <= edits and lineedit.within(a, b, edits)}
+            if (most := min(edits, min(len(a), len(b)) * edits // 40)) and abs(len(a) - len(b)) <= most and lineedit.within(a, b, most)}
     gone = {key: [] for key in texts}
     for place, key, span, line in units:
         if line in near or first[line] < place:
@@ -118,6 +118,25 @@ def test_edit_dedup_against_all_pairs(spark, rows, small, monkeypatch):
     assert found == sorted(expected, key=repr)
 
 
+def test_the_registered_setting_against_all_pairs(spark, rows, tmp_path):
+    draw = random.Random(4)
+    short = ["".join(draw.choices("ab c", k=draw.randrange(0, 60))) for _ in range(60)]
+    more = rows + [(1000 + k, "\n".join(draw.choice([x, x[1:], x + "a", "z" + x[1:]]) for x in draw.choices(short, k=5))) for k in range(60)]
+    docs_of(spark, more).write.parquet(f"{tmp_path}/documents.parquet")
+    gone = brute_edit(more, 1, lineedit.EDITS)
+    found = sorted(((r.doc_id, r.removed) for r in QUERIES["op6_line_edit_dedup"](spark, str(tmp_path)).collect()), key=repr)
+    assert found == sorted(((doc, ",".join(f"{a}:{b}" for a, b in sorted(gone[(doc, text or "")]))) for doc, text in more), key=repr)
+
+
+def test_clashing_names(spark, rows):
+    docs = docs_of(spark, rows[:40]).selectExpr("*", "1 as _key", "2 as _doc", "3 as _OF", "4 as _spans", "5 as _class", "6 as _id", "7 as _keep")
+    plain = {r.doc_id: r.text for r in lineedit.clean(docs_of(spark, rows[:40])).collect()}
+    cleaned = lineedit.clean(docs)
+    assert cleaned.columns == docs.columns and {r.doc_id: r.text for r in cleaned.collect()} == plain
+    assert jaccard.keep_one(docs).columns == docs.columns
+    assert jaccard.keep_one(docs).count() == jaccard.keep_one(docs_of(spark, rows[:40])).count()
+
+
 def test_short_lines_go(spark, tmp_path):
     """Equal lines of any length; from 20 characters on one edit, from 40 on two."""
     line = "abcdefghijklmnopqrstuvwxyz"

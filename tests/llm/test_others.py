@@ -45,6 +45,25 @@ def test_top_k(spark, monkeypatch, per_group, part_rows):
     assert sorted(map(tuple, found.collect())) == brute_top(rows, 10, lambda q: q % 10 == 0)
 
 
+def test_top_k_of_an_id_with_many_rows(spark):
+    draw = np.random.default_rng(3)
+    rows = [(k, draw.normal(0, 1, 8).tolist()) for k in range(1, 2001)]
+    rows += [(100, (np.ones(8) * 3 + draw.normal(0, 1e-3, 8)).tolist()) for _ in range(40)]
+    data = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = sorted(map(tuple, topk.top_k(data, F.col("vec_id") == 100).collect()))
+    valid = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i != 100]
+    asked = {tuple(math.floor(1024 * x) for x in v) for i, v in rows if i == 100}
+    best = sorted((-sum(x * y for x, y in zip(a, b)), i) for a in asked for i, b in valid)[:10]
+    assert [(row[2], row[3]) for row in found] == [(i, -score) for score, i in best]
+
+
+def test_more_labels_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = [(k, prose(k, 30), f"l{k % 8 if k < 300 else k % 3}", "s", 0) for k in range(600)]
+    sample = langid.training_sample(docs_of(spark, rows), "doc_id", "text", "lang")
+    assert {row.lang for row in sample.collect()} == {"l0", "l1", "l2"}
+
+
 def test_top_k_with_few_rows(spark):
     rows = [(0, [1.0]), (0, [1.0]), (1, [2.0]), (2, [2.0])]
     data = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
