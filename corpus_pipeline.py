@@ -24,8 +24,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line of the corpus equals but for two edits go from the texts."""
-    return lineedit.clean(docs)
+    """Lines, short ones too, that an earlier line of the corpus equals but for the edits their length allows go from the texts."""
+    return lineedit.clean(docs, least=1)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
