@@ -10,7 +10,7 @@ do): each task lists the distinct phrases of its texts whose parts are frequent,
 number up to LEAST, and those that reach LEAST over all tasks are candidates. Which parts are frequent is sent as a
 bitmap of fixed size (2^26 bits of words, 2^27 of pairs); where codes share a bit it only
 lets more phrases pass. The candidates are numbered and dealt to double-array tries of at
-most TRIE_ENTRIES phrases, of which TRIES_AT_ONCE are broadcast at a time. For each, numpy
+most TRIE_ENTRIES phrases, built by tasks, of which TRIES_AT_ONCE are broadcast at a time. For each, numpy
 advances the states of all positions of a bundle of texts together, one digit of a word's
 number after the other, drops those that leave the trie, and counts the accepting ones. The
 sums over the tasks are the exact counts. More candidates mean more readings of the texts
@@ -27,6 +27,7 @@ aside, repeated rows count each, an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,7 +48,7 @@ BUNDLE_BYTES = 1 << 23       # text that is counted together in a task
 SECTION_BYTES = 1 << 20      # text whose words are coded in one go
 WORD_BITS, PAIR_BITS = 26, 27
 CHECK_SEED = -1              # of the hash that tells words of one code apart
-TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 19, 8     # a multiple of BLOCK
+TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 18, 16    # a multiple of BLOCK
 BLOCK, TASKS_AT_ONCE = 1024, 64
 DIGIT = 11                   # bits of a word's number that one step of a trie reads; two steps a word
 SYMBOLS = 1 << DIGIT
@@ -390,20 +391,37 @@ def counted(texts: DataFrame, seed: int, found: DataFrame) -> DataFrame:
     context = texts.sparkSession.sparkContext
     numbered = settle(sequential_ids(found, ["c1", "c2", "c3"], "entry", start=0))
     total = numbered.count()
+    made = settle(built(numbered))
     sums = texts.sparkSession.createDataFrame([], "entry bigint, n bigint")
     for begin in range(0, total, TRIE_ENTRIES * TRIES_AT_ONCE):
         tries = []
         for first in range(begin, min(total, begin + TRIE_ENTRIES * TRIES_AT_ONCE), TRIE_ENTRIES):
-            part = numbered.where(F.col("entry").between(first, first + TRIE_ENTRIES - 1)).toArrow().sort_by("entry")
-            is_pair = part["c3"].is_null().to_numpy(zero_copy_only=False)
-            codes = [part[name].fill_null(0).to_numpy() for name in ("c1", "c2", "c3")]
-            tries.append(context.broadcast(build(np.stack(codes, axis=1), is_pair, first)))
+            # one trie at a time passes through the driver, as the bytes that a task made
+            packed = made.where(F.col("trie") == first // TRIE_ENTRIES).select("packed").first()[0]
+            tries.append(context.broadcast(bytes(packed)))
+            del packed
         sums = sums.union(settle(_sums(texts, seed, tries)))
         for trie in tries:
             trie.unpersist()
     return numbered.join(sums, "entry").select("c1", "c2", "c3", F.col("n").alias("a")).where(F.col("a") >= LEAST)
 
 
+def built(numbered: DataFrame) -> DataFrame:
+    """``trie`` and the ``packed`` trie of every TRIE_ENTRIES candidates, each made by a task."""
+    entries = TRIE_ENTRIES
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("entry")
+        is_pair = table["c3"].is_null().to_numpy(zero_copy_only=False)
+        codes = [table[name].fill_null(0).to_numpy() for name in ("c1", "c2", "c3")]
+        trie = build(np.stack(codes, axis=1), is_pair, table["entry"][0].as_py())
+        return pa.table({"trie": [trie.first // entries], "packed": [pickle.dumps(trie)]},
+                        schema=pa.schema([("trie", pa.int64()), ("packed", pa.binary())]))
+
+    return numbered.withColumn("trie", F.floor(F.col("entry") / entries)).groupBy("trie").applyInArrow(
+        pack, "trie bigint, packed binary")
+
+
 def _sums(texts: DataFrame, seed: int, tries: list) -> DataFrame:
     """``entry`` and its number ``n`` over all texts.
 
@@ -415,15 +433,16 @@ def _sums(texts: DataFrame, seed: int, tries: list) -> DataFrame:
 
     def run(batches):
         part, counts = TaskContext.get().partitionId() // TASKS_AT_ONCE, {}
+        held = [pickle.loads(trie.value) for trie in tries]
         for words, _ in bundles(batches, seed):
-            for place, trie in enumerate(tries):
-                more = trie.value.count(words.codes, words.follows)
+            for place, trie in enumerate(held):
+                more = trie.count(words.codes, words.follows)
                 counts[place] = more if place not in counts else counts[place] + more
         for place, n in counts.items():
             filled = np.zeros(-len(n) % BLOCK + len(n), dtype=np.int64)
             filled[:len(n)] = n
             blocks = [block.tobytes() for block in filled.reshape(-1, BLOCK)]
-            first = tries[place].value.first // BLOCK
+            first = held[place].first // BLOCK
             yield from _batches(schema, [np.arange(first, first + len(blocks)), [part] * len(blocks), blocks], 1024)
 
     def added(table: pa.Table) -> np.ndarray:
