@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,7 +49,7 @@ BUNDLE_BYTES = 1 << 23       # text that is counted together in a task
 SECTION_BYTES = 1 << 20      # text whose words are coded in one go
 WORD_BITS, PAIR_BITS = 26, 27
 CHECK_SEED = -1              # of the hash that tells words of one code apart
-TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 18, 16    # a multiple of BLOCK
+TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 17, 32    # a multiple of BLOCK
 BLOCK, TASKS_AT_ONCE = 1024, 64
 DIGIT = 11                   # bits of a word's number that one step of a trie reads; two steps a word
 SYMBOLS = 1 << DIGIT
@@ -415,7 +416,7 @@ def built(numbered: DataFrame) -> DataFrame:
         is_pair = table["c3"].is_null().to_numpy(zero_copy_only=False)
         codes = [table[name].fill_null(0).to_numpy() for name in ("c1", "c2", "c3")]
         trie = build(np.stack(codes, axis=1), is_pair, table["entry"][0].as_py())
-        return pa.table({"trie": [trie.first // entries], "packed": [pickle.dumps(trie)]},
+        return pa.table({"trie": [trie.first // entries], "packed": [zlib.compress(pickle.dumps(trie), 1)]},
                         schema=pa.schema([("trie", pa.int64()), ("packed", pa.binary())]))
 
     return numbered.withColumn("trie", F.floor(F.col("entry") / entries)).groupBy("trie").applyInArrow(
@@ -433,7 +434,7 @@ def _sums(texts: DataFrame, seed: int, tries: list) -> DataFrame:
 
     def run(batches):
         part, counts = TaskContext.get().partitionId() // TASKS_AT_ONCE, {}
-        held = [pickle.loads(trie.value) for trie in tries]
+        held = [pickle.loads(zlib.decompress(trie.value)) for trie in tries]
         for words, _ in bundles(batches, seed):
             for place, trie in enumerate(held):
                 more = trie.count(words.codes, words.follows)
