@@ -71,6 +71,29 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+# bits of a key filter, and of one of its rows: at most 2,048 rows of 4 KB, whatever the data
+FILTER_BITS, FILTER_ROW = 1 << 26, 1 << 15
+
+
+def _bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashed keys in rows of ``FILTER_ROW`` bits, for ``with_filter``; a null key counts as one."""
+    return keys.select(_bit(key).alias("_bit")).groupBy(F.floor(F.col("_bit") / FILTER_ROW).alias("_part")).agg(
+        F.bitmap_construct_agg(F.pmod("_bit", F.lit(FILTER_ROW))).alias("_bits"))
+
+
+def with_filter(rows: DataFrame, found: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with a boolean ``name``: false only where the key is surely not in the filter."""
+    place = F.pmod(_bit(key), F.lit(FILTER_ROW))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2)) == 1
+    joined = rows.withColumn("_part", F.floor(_bit(key) / FILTER_ROW)).join(F.broadcast(found), "_part", "left")
+    return joined.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias(name))
+
+
 def concatenated(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a batch in one array, and the offsets of the texts in it."""
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
@@ -88,5 +111,5 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-__all__ = ["BATCH_ROWS", "BLANKS", "WORD", "by_batch", "concatenated", "free_names", "mix", "prepare", "settle", "sha", "strings",
-           "text_key", "word_count"]
+__all__ = ["BATCH_ROWS", "BLANKS", "WORD", "by_batch", "concatenated", "free_names", "key_filter", "mix", "prepare", "settle", "sha",
+           "strings", "text_key", "with_filter", "word_count"]

@@ -27,14 +27,13 @@ ids are allowed. Hashes have 64 bits.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import by_batch, mix, prepare, settle, sha, strings
+from lectern.llm.common import by_batch, key_filter, mix, prepare, settle, sha, strings, with_filter
+from lectern.operators.skew import attach
 
 LEAST = 200
 GRAM = 32
@@ -46,8 +45,9 @@ BROADCAST_ROWS = 200_000  # most contexts whose places are sent to every executo
 _BASE = 0x9E3779B97F4A7C15
 
 
-def text_key(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+def text_key(text: str) -> Column:
+    """Rows whose texts are equal share this number; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 _byte_values = np.random.default_rng(4).integers(1, 2 ** 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -202,11 +202,8 @@ def all_anchors(docs: DataFrame) -> DataFrame:
                                   names=["anchor", "context", "text", "place", "known"])
 
         for batch in batches:
-            for data in _bytes(strings(batch.column(0))):
-                if len(data) < LEAST:
-                    continue
-                key = text_key(data)
-                if key in seen:
+            for data, key in zip(_bytes(strings(batch.column(0))), batch.column(1).to_pylist()):
+                if len(data) < LEAST or key in seen:
                     continue
                 if len(seen) > 200_000:
                     seen.clear()
@@ -222,7 +219,7 @@ def all_anchors(docs: DataFrame) -> DataFrame:
         if waiting:
             yield from give()
 
-    return docs.select("text").mapInArrow(run, ANCHORS)
+    return docs.select("text", text_key("text")).mapInArrow(run, ANCHORS)
 
 
 def shared_only(found: DataFrame) -> DataFrame:
@@ -257,37 +254,42 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
 
 
 def fetched(open_: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``anchor``, ``context``, ``before`` (read backwards), ``after`` for one place of each open context."""
+    """``anchor``, ``context``, ``before`` (read backwards), ``after`` for one place of each open context.
+
+    Rows that share id and text with another one give their contexts more than once.
+    """
     wanted = settle(
         open_.join(firsts, "text").groupBy("doc_id", "text").agg(
             F.collect_list(F.struct("anchor", "context", "place")).alias("wanted"))
         .select(F.col("doc_id").alias("_id"), "text", "wanted"))
     few = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_ROWS
-    held = docs.select("doc_id", F.col("text").alias("shown")).join(
-        F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("text", "shown", "wanted")
+    shown = docs.select("doc_id", F.col("text").alias("shown"))
+    if few:
+        wanted = F.broadcast(wanted)
+    else:  # texts of which nothing is wanted are not shuffled
+        shown = with_filter(shown, key_filter(wanted, "_id"), "doc_id", "_asked").where("_asked").drop("_asked")
+    held = shown.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).where(
+        text_key("shown") == F.col("text")).select("shown", "wanted")
 
     def work(batch):
         rows = []
-        for key, data, places in zip(batch.column(0).to_pylist(), _bytes(strings(batch.column(1))),
-                                     batch.column(2).to_pylist()):
-            if text_key(data) == key:
-                for item in places:
-                    at = item["place"]
-                    rows.append((item["anchor"], item["context"], data[max(0, at - REACH):at][::-1], data[at:at + LEAST]))
+        for data, places in zip(_bytes(strings(batch.column(0))), batch.column(1).to_pylist()):
+            for item in places:
+                at = item["place"]
+                rows.append((item["anchor"], item["context"], data[max(0, at - REACH):at][::-1], data[at:at + LEAST]))
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
                               names=["anchor", "context", "before", "after"])
 
-    return by_batch(held, "anchor bigint, context bigint, before binary, after binary", work).dropDuplicates(
-        ["anchor", "context"])
+    return by_batch(held, "anchor bigint, context bigint, before binary, after binary", work)
 
 
 COVER = "anchor bigint, context bigint, reach_left int, reach_right int"
 
 
 def sorted_groups(contexts: DataFrame) -> DataFrame:
-    """Covers of the contexts of each anchor by the interval tree; groups come one after another."""
+    """Covers of the contexts of each anchor by the interval tree; groups come one after another, a repeated row counts once."""
 
     def give(group):
         for reach, key in zip(covers([row[2] for row in group], [row[3] for row in group]), group):
@@ -302,11 +304,12 @@ def sorted_groups(contexts: DataFrame) -> DataFrame:
                 if held and held[-1][0] != row[0]:
                     rows.extend(give(held))
                     held = []
-                held.append(row)
+                if not held or held[-1][1] != row[1]:
+                    held.append(row)
             yield _cover_batch(rows)
         yield _cover_batch(list(give(held)) if held else [])
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, COVER)
+    return contexts.repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(run, COVER)
 
 
 def counted_groups(contexts: DataFrame) -> DataFrame:
@@ -331,7 +334,8 @@ def counted_groups(contexts: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(np.concatenate(part).astype(np.int64)) for part in parts],
                                   names=["anchor", "context", "shift", "string"])
 
-    every = settle(by_batch(contexts, "anchor bigint, context bigint, shift bigint, string bigint", strings_of))
+    once = contexts.dropDuplicates(["anchor", "context"])
+    every = settle(by_batch(once, "anchor bigint, context bigint, shift bigint, string bigint", strings_of))
     repeated = every.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "string")
     return every.join(repeated, ["anchor", "string"]).groupBy("anchor", "context").agg(
         F.max("shift").cast("int").alias("reach_left"), (LEAST - F.min("shift")).cast("int").alias("reach_right"))
@@ -352,16 +356,15 @@ def repeated_spans(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     per_anchor = contexts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
     open_ = settle(contexts.join(per_anchor, "anchor").select(
         "anchor", "context", F.col("one.text").alias("text"), F.col("one.place").alias("place"), "contexts"))
-    held = settle(fetched(open_.drop("contexts"), docs, firsts).join(
-        per_anchor, "anchor").select("anchor", "context", "before", "after", "contexts"))
-    small = sorted_groups(held.where(F.col("contexts") <= GROUP).drop("contexts"))
-    large = counted_groups(held.where(F.col("contexts") > GROUP).drop("contexts"))
-    partly = small.union(large)
+    partly = sorted_groups(fetched(open_.where(F.col("contexts") <= GROUP).drop("contexts"), docs, firsts))
+    large = open_.where(F.col("contexts") > GROUP).drop("contexts")
+    if not large.isEmpty():
+        partly = partly.union(counted_groups(fetched(large, docs, firsts)))
     whole = contexts.where("n > 1").select(
-        "anchor", "context", F.lit(REACH).alias("reach_left"), F.lit(LEAST).alias("reach_right"))
-    reach = partly.union(whole).groupBy("anchor", "context").agg(
-        F.max("reach_left").alias("reach_left"), F.max("reach_right").alias("reach_right"))
-    return shared.join(reach, ["anchor", "context"]).select(
+        "anchor", "context", F.lit(REACH).alias("reach_left"), F.lit(LEAST).alias("reach_right"), "n")
+    reach = settle(partly.withColumn("n", F.lit(1)).union(whole).groupBy("anchor", "context").agg(
+        F.max("reach_left").alias("reach_left"), F.max("reach_right").alias("reach_right"), F.max("n").alias("n")))
+    return attach(shared, reach, ["anchor", "context"], "n", F.col("place"), how="inner").select(
         "text", F.greatest(F.col("place") - F.col("reach_left"), F.lit(0)).alias("start"),
         (F.col("place") + F.col("reach_right")).alias("stop")).distinct().groupBy("text").agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
@@ -385,25 +388,20 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     small = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = dict(small.dtypes)["doc_id"]
 
-    def keys(batch):
-        data = _bytes(strings(batch.column(1)))
-        yield pa.record_batch([batch.column(0), pa.array([text_key(d) for d in data], pa.int64()),
-                               pa.array(list(map(len, data)), pa.int64())], names=["doc_id", "text", "size"])
-
-    texts = settle(by_batch(small, f"doc_id {id_type}, text bigint, size bigint", keys).groupBy("text").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.any_value("size").alias("size")))
+    texts = settle(small.select(
+        text_key("text").alias("text"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"))
+        .groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.any_value("size").alias("size")))
     spans = repeated_spans(small, texts.select("text", "doc_id"))
     copied = texts.where((F.col("copies") > 1) & (F.col("size") >= LEAST)).select(
         "text", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("size").alias("stop"))).alias("whole"))
-    marked = spans.join(copied, "text", "full").select(
-        F.col("text").alias("_text"), F.coalesce("whole", "spans").alias("_spans"))
-
-    def with_key(batch):
-        key = pa.array([text_key(data) for data in _bytes(strings(batch.column(1)))], pa.int64())
-        yield pa.record_batch([batch.column(0), batch.column(1), key], names=["doc_id", "text", "_key"])
-
-    keyed = by_batch(small, f"doc_id {id_type}, text string, _key bigint", with_key)
-    joined = keyed.join(marked, F.col("_key") == F.col("_text"), "left").select("doc_id", "text", "_spans")
+    marked = settle(spans.join(copied, "text", "full").select(
+        F.col("text").alias("_text"), F.coalesce("whole", "spans").alias("_spans")))
+
+    # only texts that may lose something are shuffled
+    keyed = with_filter(small.withColumn("_key", text_key("text")), key_filter(marked, "_text"), "_key", "_touched")
+    joined = keyed.where("_touched").join(marked, F.col("_key") == F.col("_text"), "left").select(
+        "doc_id", "text", "_spans").union(keyed.where("not _touched").select(
+            "doc_id", "text", F.lit(None).cast(marked.schema["_spans"].dataType).alias("_spans")))
 
     def report(batch):
         rows = []

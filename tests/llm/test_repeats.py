@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from lectern.llm import repeats
-from lectern.llm.common import sha
+from lectern.llm.common import key_filter, sha, with_filter
 from tests.llm.helpers import docs_of, prose
 
 
@@ -96,3 +96,13 @@ def test_maximal_repeats_are_maximal():
 
 def test_empty_table(spark):
     assert repeats.dedup(docs_of(spark, [(1, "x")]).limit(0)).count() == 0
+
+
+def test_key_filter_lets_every_key_through(spark):
+    keys = spark.range(0, 6000, 3).selectExpr("cast(id as string) as k").union(spark.sql("select cast(null as string)"))
+    rows = spark.range(0, 6000).selectExpr("cast(id as string) as k").union(spark.sql("select cast(null as string)"))
+    marked = with_filter(rows, key_filter(keys, "k"), "k", "may").collect()
+    assert len(marked) == 6001
+    assert all(row.may for row in marked if row.k is None or int(row.k) % 3 == 0)
+    assert sum(row.may for row in marked) <= 2001 + 20
+    assert not with_filter(rows, key_filter(keys.limit(0), "k"), "k", "may").where("may").count()
