@@ -121,3 +121,54 @@ def cascade(kept: DataFrame, key: str, bridges: dict[str, DataFrame], work_peopl
     out["authors"] = keep_referenced(dims["authors"], ["author_id"], [left["identifier_authors"], out["work_authors"]])
     out["publishers"] = keep_referenced(dims["publishers"], ["publisher_id"], [left["identifier_publishers"]])
     return out
+
+
+# the dimension of each bridge, and its id
+REFERENCES = {
+    "identifier_authors": ("authors", "author_id"), "work_authors": ("authors", "author_id"),
+    "identifier_works": ("works", "work_id"), "identifier_publishers": ("publishers", "publisher_id"),
+}
+
+
+def reference_counts(bridges: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per dimension its ids and ``uses``: how many bridge rows refer to each. ``bridges`` include ``work_authors``."""
+    found: dict[str, DataFrame] = {}
+    for name, frame in bridges.items():
+        dim, id_name = REFERENCES[name]
+        ids = frame.select(id_name).dropna()
+        found[dim] = found[dim].union(ids) if dim in found else ids
+    return {dim: ids.groupBy(*ids.columns).agg(F.count("*").alias("uses")) for dim, ids in found.items()}
+
+
+def removal(removed: DataFrame, key: str, bridges: dict[str, DataFrame], counts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What goes with the removed identifiers: for each bridge its rows, for each dimension the new ``uses`` of touched ids.
+
+    The stored counts are lowered by the bridge rows that go, so only rows that the removal
+    touches are grouped; nothing is built again. An id whose ``uses`` fall to 0 goes; a work
+    that goes takes its rows of ``work_authors`` along, and these count against their
+    authors. The result holds changes only: the caller deletes these rows, or rewrites the
+    partitions that hold them. Identifiers that no bridge has, and repeated ones, change
+    nothing; dimension rows to which nothing referred before are left to ``cascade``.
+    """
+    going = {name: frame.join(removed.select(key), key, "left_semi") for name, frame in bridges.items() if name != "work_authors"}
+
+    def lowered(dim: str) -> DataFrame:
+        id_name = {dim_name: column for dim_name, column in REFERENCES.values()}[dim]
+        lost = reduce(lambda a, b: a.union(b), [
+            going[name].select(id_name) for name, (of, _) in REFERENCES.items() if of == dim and name in going])
+        lost = lost.groupBy(id_name).agg(F.count("*").alias("_lost"))
+        return counts[dim].join(lost, id_name).select(id_name, (F.col("uses") - F.col("_lost")).alias("uses"))
+
+    works = lowered("works")
+    going["work_authors"] = bridges["work_authors"].join(works.where("uses = 0").select("work_id"), "work_id", "left_semi")
+    return going | {"works": works, "authors": lowered("authors"), "publishers": lowered("publishers")}
+
+
+def after_removal(frame: DataFrame, change: DataFrame, keys: list[str]) -> DataFrame:
+    """A stored bridge, dimension or table of counts after its ``change``: rows that go leave, counts are brought up to date."""
+    if "uses" not in change.columns:
+        return frame.join(change.select(*keys), keys, "left_anti")
+    if "uses" not in frame.columns:
+        return frame.join(change.where("uses = 0").select(*keys), keys, "left_anti")
+    new = change.select(*keys, F.col("uses").alias("_uses"))
+    return frame.join(new, keys, "left").withColumn("uses", F.coalesce("_uses", "uses")).drop("_uses").where("uses > 0")

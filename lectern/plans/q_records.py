@@ -351,18 +351,23 @@ works AS (SELECT DISTINCT work_id FROM iw SEMI JOIN kept USING (id)), wa2 AS (SE
 ia2 AS (SELECT * FROM ia SEMI JOIN kept USING (id)), ip2 AS (SELECT * FROM ip SEMI JOIN kept USING (id))"""
 
 
+def cascade_bridges(t, *work):
+    part, lines = t("part"), t("lineitem")
+    work_id = F.concat_ws("/", *work) if len(work) > 1 else F.col(*work)
+    return {
+        "identifier_authors": lines.select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("author_id")).distinct(),
+        "identifier_publishers": part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("publisher_id")),
+        "identifier_works": part.select(F.col("p_partkey").alias("id"), work_id.alias("work_id")),
+    }
+
+
 @query("cascade_counts", CASCADE_SQL + """
 SELECT 'identifier_authors' AS table_name, count(*) AS rows FROM ia2 UNION ALL SELECT 'identifier_publishers', count(*) FROM ip2 UNION ALL
 SELECT 'identifier_works', count(*) FROM iw SEMI JOIN kept USING (id) UNION ALL SELECT 'works', count(*) FROM works UNION ALL
 SELECT 'work_authors', count(*) FROM wa2 UNION ALL SELECT 'publishers', count(DISTINCT publisher_id) FROM ip2 UNION ALL
 SELECT 'authors', count(*) FROM (SELECT s_suppkey AS author_id FROM supplier WHERE s_suppkey IN (SELECT author_id FROM ia2 UNION ALL SELECT author_id FROM wa2))""")
 def cascade_counts(t):
-    part, lines = t("part"), t("lineitem")
-    bridges = {
-        "identifier_authors": lines.select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("author_id")).distinct(),
-        "identifier_publishers": part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("publisher_id")),
-        "identifier_works": part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("work_id")),
-    }
+    part, bridges = t("part"), cascade_bridges(t, "p_name")
     work_people = part.select(F.col("p_name").alias("work_id"), F.col("p_size").cast("long").alias("author_id")).distinct()
     dims = {
         "works": part.select(F.col("p_name").alias("work_id")).distinct(),
@@ -373,6 +378,31 @@ def cascade_counts(t):
     return reports.row_counts(model.cascade(kept, "id", bridges, work_people, dims))
 
 
+# works of their own brand and size, and a removal that takes a whole publisher
+REMOVAL_SQL = CASCADE_SQL.replace("p_name AS work_id", "concat_ws('/', p_name, p_brand, p_size) AS work_id").replace(
+    "p_type <> 'PROMO'", "p_type <> 'PROMO' AND p_brand <> 'Brand#11'")
+
+
+@query("removal_counts", REMOVAL_SQL + """, refs AS (SELECT 'authors' AS table_name, CAST(author_id AS VARCHAR) AS id FROM ia UNION ALL SELECT 'authors', CAST(author_id AS VARCHAR) FROM wa
+  UNION ALL SELECT 'works', work_id FROM iw UNION ALL SELECT 'publishers', publisher_id FROM ip),
+refs2 AS (SELECT 'authors' AS table_name, CAST(author_id AS VARCHAR) AS id FROM ia2 UNION ALL SELECT 'authors', CAST(author_id AS VARCHAR) FROM wa2
+  UNION ALL SELECT 'works', work_id FROM works UNION ALL SELECT 'publishers', publisher_id FROM ip2)
+SELECT 'identifier_authors' AS table_name, (SELECT count(*) FROM ia) - (SELECT count(*) FROM ia2) AS rows UNION ALL
+SELECT 'identifier_publishers', (SELECT count(*) FROM ip) - (SELECT count(*) FROM ip2) UNION ALL
+SELECT 'identifier_works', count(*) FROM iw ANTI JOIN kept USING (id) UNION ALL
+SELECT 'work_authors', (SELECT count(*) FROM wa) - (SELECT count(*) FROM wa2) UNION ALL
+SELECT d.column0, (SELECT count(DISTINCT id) FROM refs WHERE table_name = d.column0) - (SELECT count(DISTINCT id) FROM refs2 WHERE table_name = d.column0)
+FROM (VALUES ('authors'), ('works'), ('publishers')) AS d(column0)""")
+def removal_counts(t):
+    part, work = t("part"), ("p_name", "p_brand", "p_size")
+    bridges = cascade_bridges(t, *work)
+    bridges["work_authors"] = part.select(F.concat_ws("/", *work).alias("work_id"), F.col("p_size").cast("long").alias("author_id")).distinct()
+    removed = part.where("NOT coalesce(p_type <> 'PROMO' AND p_brand <> 'Brand#11', false)").select(F.col("p_partkey").alias("id"))
+    changes = model.removal(removed, "id", bridges, model.reference_counts(bridges))
+    return reports.row_counts({
+        name: change.where("uses = 0") if "uses" in change.columns else change for name, change in changes.items()})
+
+
 UPDATES = """
 SELECT event_id, CASE WHEN event_type <> 'signup' THEN user_id END AS c_custkey, value AS c_acctbal, CASE WHEN event_type <> 'view' THEN event_type END AS c_mktsegment FROM events
 """

@@ -278,6 +278,39 @@ def test_cascade_keeps_author_of_either_bridge(spark):
     assert rows_of(out["authors"]) == [(1,), (3,)]
 
 
+def test_removal_by_counts_equals_the_rebuild(spark):
+    draw = random.Random(8)
+    ids = range(120)
+
+    def t(pairs, schema):
+        return spark.createDataFrame(sorted(set(pairs)), schema)
+
+    bridges = {
+        "identifier_authors": t([(k, draw.randrange(40)) for k in ids for _ in range(2)], "id long, author_id long"),
+        "identifier_publishers": t([(k, draw.randrange(30)) for k in ids], "id long, publisher_id long"),
+        "identifier_works": t([(k, draw.randrange(70)) for k in ids], "id long, work_id long"),
+        "work_authors": t([(w, draw.randrange(60)) for w in range(70)], "work_id long, author_id long")}
+    # works that no identifier has do not stand in the bridge
+    bridges["work_authors"] = bridges["work_authors"].join(bridges["identifier_works"].select("work_id"), "work_id", "left_semi")
+    counts = model.reference_counts(bridges)
+    dims = {name: frame.drop("uses") for name, frame in counts.items()}
+    gone = sorted(draw.sample(ids, 45))
+    removed = spark.createDataFrame([(k,) for k in [*gone, gone[0], 999]], "id long")
+    kept = spark.createDataFrame([(k,) for k in ids if k not in gone], "id long")
+    only = {name: frame for name, frame in bridges.items() if name != "work_authors"}
+    rebuilt = model.cascade(kept, "id", only, bridges["work_authors"], dims)
+    changes = model.removal(removed, "id", bridges, counts)
+    left = {name: model.after_removal(frame, changes[name], frame.columns) for name, frame in {**bridges, **dims}.items()}
+    assert {name: rows_of(frame, *frame.columns) for name, frame in left.items()} == {
+        name: rows_of(rebuilt[name], *frame.columns) for name, frame in left.items()}
+    later = model.reference_counts({name: left[name] for name in bridges})
+    for name, frame in counts.items():
+        now = model.after_removal(frame, changes[name], frame.columns[:1])
+        assert rows_of(now, *frame.columns) == rows_of(later[name], *frame.columns)
+        assert changes[name].where("uses < 0").isEmpty()
+    assert changes["works"].where("uses = 0").count() and changes["works"].where("uses > 0").count()
+
+
 def test_money_is_rounded_once(spark):
     sales = spark.createDataFrame([("k", 1, 0.004)] * 5 + [("big", 1, 1e16)], "isbn13 string, units int, revenue_eur double")
     assert rows_of(enrich.sales_rollup(sales, "isbn13", "units", "revenue_eur")) == [("big", 1, 1e16), ("k", 5, 0.02)]
