@@ -99,6 +99,13 @@ def bisac_list(value) -> Column:
     return join_list(_present(F.transform(items, lambda item: _subject_at_start(_opened(item)))))
 
 
+def bisac_unread(value) -> Column:
+    """The items of a list that hold something but do not begin with a subject: what ``bisac_list`` leaves out."""
+    items = F.split(as_column(value), ";")
+    left = F.filter(items, lambda item: (strip(item) != "") & _subject_at_start(_opened(item)).isNull())
+    return F.transform(left, strip)
+
+
 def bisac_before_arrow(value) -> Column:
     """The subject that stands alone before the first ``>``."""
     text = as_column(value)

@@ -220,6 +220,18 @@ def classification_codes(t):
         codes.dewey_leading("dewey").alias("dewey_leading"))
 
 
+# every name is one more item, none of them with a code
+NAMED_CODES, NAMED_SQL = (given.replace("' plain;none'", "' plain;none;', p_name") for given in (CODES, QUOTED_CODES))
+
+
+@query("unread_fragments", f"""SELECT trim(x) AS fragment, count(*) AS times, min(p_partkey) AS first_key
+FROM (SELECT p_partkey, unnest(string_split(bisac, ';')) AS x FROM ({NAMED_SQL}) AS c)
+WHERE trim(x) <> '' AND NOT regexp_matches(x, '^\\[?{SUBJECT}') GROUP BY 1""")
+def unread_fragments(t):
+    items = derive(t, "part", NAMED_CODES).select("p_partkey", F.explode(codes.bisac_unread("bisac")).alias("fragment"))
+    return items.groupBy("fragment").agg(F.count("*").alias("times"), F.min("p_partkey").alias("first_key"))
+
+
 DOIS = """
 SELECT page_id, CASE WHEN url LIKE '%.org/%' THEN url END AS url, CASE WHEN url LIKE 'https://m.%' THEN concat('s-', url) END AS doi_simeh,
   CASE WHEN url LIKE '%/en/%' THEN url END AS doi_found, CASE WHEN url LIKE 'http:%' THEN 'c' ELSE url END AS doi_scielo

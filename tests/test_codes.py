@@ -39,6 +39,9 @@ def test_prefix_check(spark):
 def test_classification(spark):
     assert one(spark, codes.bisac_list("a"), a="[EDU000000] Educación;HIS033000 x;nada") == "EDU000000;HIS033000"
     assert one(spark, codes.bisac_list("a"), a="nada") is None
+    assert one(spark, codes.bisac_unread("a"), a="[EDU000000] x; ;nada;; HIS033000 y;[[EDU000000]") == [
+        "nada", "HIS033000 y", "[[EDU000000]"]
+    assert one(spark, codes.bisac_unread("a"), a="") == [] and one(spark, codes.bisac_unread("a"), a=None) is None
     assert one(spark, codes.bisac_before_arrow("a"), a="EDU000000 > x") == "EDU000000"
     assert one(spark, codes.bisac_in_pairs("a"), a="[[['code', 'SOC000000']]]") == "SOC000000"
     assert one(spark, codes.thema_brackets("a"), a="[JN] a;[JN] b;[QD] c") == "JN;JN;QD"
