@@ -16,12 +16,15 @@ repeated less often than a long one. Weights are small integers: a source is sum
 by (source, weight), at most 64 lines, whatever its number of rows.
 
 Where a source's ranking is cut: its ranks are put into 4096 bins, twice, by sums that
-Spark combines before the shuffle; only rows of the one bin that holds the cut are
-sorted. No task sees a whole source.
+Spark combines before the shuffle; only the different (id, size) of the one bin that holds
+the cut are sorted. No task sees a whole source, and whole rows are not shuffled by it:
+what is known of the sources comes to the rows as a table of checked size, or by a join
+whose hot sources are salted.
 
 Defined results: a null or empty text has size 0, takes 0 words and is not in the mix. Null is a source of
-its own, last in order. Rows of one id and size have the same rank; rows that agree in
-id, size and source are interchangeable. Without any words all targets are 0.
+its own, last in order. Rows that agree in id, size and source have the same rank and are
+interchangeable; where the cut falls among them as many are taken as the target needs, by
+a count of them. Without any words all targets are 0.
 """
 
 from __future__ import annotations
@@ -30,9 +33,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import prepare, settle, word_count
-from lectern.operators.skew import sequential_ids
+from lectern.operators.skew import attach, sequential_ids
 
 BINS = 4096
+# lines of the table of sources that go to every task; beyond, rows are joined to it
+SMALL = 100_000
 WEIGHTS = (5, 2, 1)
 MOST = 3
 
@@ -77,13 +82,14 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def expected_copies(sized: DataFrame, targets: DataFrame, most: int = MOST) -> DataFrame:
-    """``source``, ``weight``, ``expected`` copies of a document, ``certain`` words and the target.
+    """``source``, ``weight``, its number of ``rows``, ``expected`` copies of a document, ``certain`` words and the target.
 
     The factor of a source solves  sum of size * min(most, factor * weight) = target. With
     the weights in falling order the largest ones meet the limit first, so the factor
     follows from sums over the at most 64 lines of the source.
     """
-    lines = sized.groupBy("source", "weight").agg(F.sum("size").alias("words")).join(
+    lines = sized.groupBy("source", "weight").agg(
+        F.sum("size").alias("words"), F.count("*").alias("rows")).join(
         targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     above = Window.partitionBy("source").orderBy(F.desc("weight")).rowsBetween(Window.unboundedPreceding, -1)
     below = Window.partitionBy("source").orderBy(F.desc("weight")).rowsBetween(0, Window.unboundedFollowing)
@@ -98,7 +104,7 @@ def expected_copies(sized: DataFrame, targets: DataFrame, most: int = MOST) -> D
     return (
         solved.withColumn("expected", F.when(F.col("source_size") == 0, 0.0).otherwise(expected))
         .withColumn("certain", F.sum(F.floor("expected") * F.col("words")).over(whole))
-        .select("source", "weight", "expected", "certain", "source_size", "target"))
+        .select("source", "weight", "rows", "expected", "certain", "source_size", "target"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -117,21 +123,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     slim = settle(sized.select("doc_id", "source", "size", "weight", "u"))
     targets = source_targets(slim, weights, most)
     levels = settle(expected_copies(slim, targets, most))
-
-    def with_levels(rows: DataFrame) -> DataFrame:
-        named = levels.withColumnRenamed("source", "_source").withColumnRenamed("weight", "_weight")
-        same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("weight") == F.col("_weight"))
+    small = levels.count() <= SMALL
+
+    def with_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
+        """The line of each row's source and weight, and its rank in the source."""
+        # a key that is never null, so that null is a source like any other
+        key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("source_key")
+        rows, lines = rows.select("*", key), lines.select("*", key).drop("source")
+        keys = ["source_key", "weight"]
+        if small:
+            joined = rows.join(F.broadcast(lines.drop("rows")), keys)
+        else:
+            joined = attach(rows, lines, keys, "rows", F.xxhash64("doc_id", "size", "u"), "inner").drop("rows")
         chance = F.col("expected") - F.floor("expected")
         rank = (F.col("u") / (1 - F.col("u"))) / (chance / (1 - chance))
         return (
-            rows.join(named, same).drop("_source", "_weight")
-            .withColumn("rank", F.when(chance > 0, rank))
+            joined.withColumn("rank", F.when((chance > 0) & (F.col("size") > 0), rank))
             # ranks of any size as numbers under 1, in the same order
             .withColumn("turn", F.col("rank") / (1 + F.col("rank")) * BINS)
             .withColumn("bin", F.least(F.floor("turn"), F.lit(BINS - 1)))
             .withColumn("fine", F.least(F.floor((F.col("turn") - F.col("bin")) * BINS), F.lit(BINS - 1))))
 
-    drawn = with_levels(slim).where(F.col("rank").isNotNull() & (F.col("size") > 0))
+    drawn = with_lines(slim, levels).where(F.col("rank").isNotNull())
     missing = F.col("target") - F.col("certain")
 
     def cut(sums: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -141,36 +154,61 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         reach = run.where(F.col("_before") + F.col("words") >= F.col("missing"))
         return reach.groupBy(*keys).agg(F.min(order).alias(order), F.min_by("_before", order).alias("base"))
 
-    first = drawn.groupBy("source", "bin").agg(
+    def inside(rows: DataFrame, cuts: DataFrame, order: str) -> DataFrame:
+        """The rows in the bin of their source that holds the cut, with the words before it."""
+        named = cuts.select("source_key", order, F.col("base").alias("cut_base"))
+        return rows.join(F.broadcast(named) if small else named, ["source_key", order])
+
+    first = drawn.groupBy("source_key", "bin").agg(
         F.sum("size").alias("words"), F.first(missing).alias("missing")).withColumn("base", F.lit(0).cast("bigint"))
-    cut_1 = settle(cut(first, ["source"], "bin"))
+    cut_1 = settle(cut(first, ["source_key"], "bin"))
     # two bins of ranks around the cut decide: a document counts when its middle is before it
-    named = cut_1.select(F.col("source").alias("_s"), F.col("bin").alias("_bin"), "base")
-    inside = drawn.join(named, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_bin"))).drop("_s", "_bin")
-    second = inside.groupBy("source", "bin", "base", "fine").agg(
+    near = inside(drawn, cut_1, "bin")
+    second = near.groupBy("source_key", "bin", F.col("cut_base").alias("base"), "fine").agg(
         F.sum("size").alias("words"), F.first(missing).alias("missing"))
-    cut_2 = settle(cut(second, ["source", "bin"], "fine"))
-    named = cut_2.select(F.col("source").alias("_s"), F.col("fine").alias("_fine"), F.col("base").alias("_base"))
-    last = inside.drop("base").join(
-        named, F.col("source").eqNullSafe(F.col("_s")) & (F.col("fine") == F.col("_fine"))).drop("_s", "_fine")
-    run = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    line = (
-        last.withColumn("_at", F.col("_base") + F.coalesce(F.sum("size").over(run), F.lit(0)))
-        .where(F.col("_at") + F.col("size") / 2 < missing)
-        .groupBy("source").agg(F.max(F.struct("rank", "doc_id", "size")).alias("edge")))
-    ends = cut_2.select("source", "bin", "fine").join(
-        line.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        F.col("source").alias("_s"), F.col("bin").alias("cut_bin"), F.col("fine").alias("cut_fine"), "edge",
-        F.lit(True).alias("has_cut"))
-    chosen = (
-        F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (
-            (F.col("fine") < F.col("cut_fine")) | ((F.col("fine") == F.col("cut_fine")) & F.coalesce(
-                F.struct("rank", "doc_id", "size") <= F.col("edge"), F.lit(False)))))
+    cut_2 = settle(cut(second, ["source_key", "bin"], "fine"))
+    # rows of one id and size are one entry, however many they are
+    alike = inside(near.drop("cut_base"), cut_2, "fine").groupBy("source_key", "rank", "doc_id", "size").agg(
+        F.count("*").alias("n"), F.first("cut_base").alias("base"), F.first(missing).alias("missing"))
+    run = Window.partitionBy("source_key").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("base") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(run), F.lit(0))
+    half = F.col("size") / 2
+    sure = F.least(F.greatest(F.floor((F.col("missing") - F.col("at") - half) / F.col("size")), F.lit(0)), F.col("n"))
+    one_more = (F.col("sure") < F.col("n")) & (F.col("at") + F.col("sure") * F.col("size") + half < F.col("missing"))
+    entry = F.struct("rank", "doc_id", "size")
+    edges = (
+        alike.withColumn("at", start).withColumn("sure", sure)
+        .withColumn("part", F.col("sure") + one_more.cast("bigint")).where("part > 0")
+        .groupBy("source_key").agg(
+            F.max(entry).alias("edge"), F.max_by("part", entry).alias("part"), F.max_by("n", entry).alias("n")))
+    ends = settle(cut_2.select("source_key", F.col("bin").alias("cut_bin"), F.col("fine").alias("cut_fine")).join(
+        edges, "source_key", "left"))
+    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    lines = levels.withColumn("source_key", key).join(ends, "source_key", "left").drop("source_key")
+    ready = with_lines(sized if keep else slim, lines)
+    in_cut = (F.col("bin") == F.col("cut_bin")) & (F.col("fine") == F.col("cut_fine"))
+    earlier = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (F.col("fine") < F.col("cut_fine")))
+    at_edge = F.coalesce(F.col("edge").eqNullSafe(entry) & (F.col("part") < F.col("n")), F.lit(False))
     # a source whose probabilities do not reach the missing words takes all of them
-    extra = F.when(F.col("rank").isNull(), 0).when(F.col("has_cut").isNull(), 1).when(chosen, 1).otherwise(0)
-    ready = with_levels(sized if keep else slim).join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
-    copies = F.when(F.col("size") == 0, 0).otherwise(F.floor("expected") + extra).cast("int")
-    return ready.withColumn("copies", copies).select(
+    extra = F.when(F.col("rank").isNull(), 0).when(F.col("cut_bin").isNull(), 1).when(
+        earlier | (in_cut & F.coalesce(entry <= F.col("edge"), F.lit(False))), 1).otherwise(0)
+    if ends.where("part < n").isEmpty():
+        decided = ready.withColumn("extra", extra)
+    else:
+        # the cut falls among rows that are alike: they are counted, in blocks of those that a task reads
+        columns = ready.columns
+        placed = settle(ready.where(at_edge).select(
+            "*", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("place")))
+        counts = placed.groupBy("source_key", "block").agg(F.count("*").alias("block_rows"))
+        above = Window.partitionBy("source_key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("source_key", "block", F.coalesce(F.sum("block_rows").over(above), F.lit(0)).alias("offset"))
+        in_block = Window.partitionBy("source_key", "block").orderBy("place")
+        counted = placed.join(offsets, ["source_key", "block"]).withColumn(
+            "number", F.col("offset") + F.row_number().over(in_block))
+        decided = ready.where(~at_edge).withColumn("extra", extra).unionByName(
+            counted.select(*columns, (F.col("number") <= F.col("part")).cast("int").alias("extra")))
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.floor("expected") + F.col("extra")).cast("int")
+    return decided.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), *[f"kept_{name}" for name in keep or []])
 

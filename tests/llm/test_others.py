@@ -122,6 +122,53 @@ def test_mix(spark):
         assert abs(taken[source] - wanted[source]) <= largest[source] / 2 + 1e-6
 
 
+def brute_taken(rows, wanted):
+    """Words taken by one ranking a source, row by row, from the copies that each weight expects."""
+    taken = defaultdict(int)
+    for source in {row[3] for row in rows}:
+        sizes = [(row[0], len((row[1] or "").split())) for row in rows if row[3] == source]
+        sizes = [(i, n) for i, n in sizes if n]
+        low, high = 0.0, 3.0
+        for _ in range(200):  # the factor, by halving
+            factor = (low + high) / 2
+            words = sum(n * min(3.0, factor * n.bit_length()) for _, n in sizes)
+            low, high = (factor, high) if words < wanted[source] else (low, factor)
+        drawn, certain = [], 0
+        for i, n in sizes:
+            expected = min(3.0, high * n.bit_length())
+            certain += int(expected + 1e-9) * n
+            p = expected - int(expected + 1e-9)
+            if p > 1e-6:
+                digits = hashlib.md5(("mix" + ("" if i is None else str(i))).encode()).hexdigest()[:13]
+                u = (int(digits, 16) + 0.5) / (1 << 52)
+                drawn.append(((u / (1 - u)) / (p / (1 - p)), i is not None, i or 0, n))
+        at = certain
+        for *_, n in sorted(drawn):
+            if at + n / 2 < wanted[source]:
+                taken[source] += n
+            at += n
+        taken[source] += certain
+    return taken
+
+
+@pytest.mark.parametrize("small", [mixing.SMALL, 0])
+def test_mix_of_rows_that_are_alike(spark, monkeypatch, small):
+    """A third of all rows without id in one source: the cut falls among them and the target is met."""
+    monkeypatch.setattr(mixing, "SMALL", small)
+    rows = [(None, "one two three", "en", "a", 0)] * 300 + [(7, "four five", "en", "b", 0)] * 40
+    rows += [(k, prose(k, 1 + k % 9), "en", "ab"[k % 2], 0) for k in range(100, 500)] + [(900, "x y", "en", None, 0)]
+    docs = docs_of(spark, rows).repartition(6)
+    found, sizes, taken = mixing.mix(docs).collect(), defaultdict(int), defaultdict(int)
+    for row in found:
+        sizes[row.source] += row.size
+        taken[row.source] += row.taken
+    wanted = targets_of(sizes)
+    assert len(found) == len(rows) and dict(taken) == dict(brute_taken(rows, wanted))
+    assert all(abs(taken[source] - wanted[source]) <= 5 for source in sizes)
+    assert len({row.copies for row in found if row.doc_id is None}) == 2  # not all or nothing
+    assert mixing.mixed(docs).count() == sum(row.copies for row in found)
+
+
 def test_mixed_repeats_rows(spark):
     docs = docs_of(spark, mix_rows())
     found, counts = mixing.mix(docs).collect(), defaultdict(int)
