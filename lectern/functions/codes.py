@@ -135,25 +135,20 @@ def thema_mixed(value) -> Column:
     return join_list(F.concat(bracket, extra))
 
 
-def _class_number(token: Column) -> Column:
-    """A Dewey number of a run of digits and points: three digits, and a fraction if one follows."""
-    whole, rest = F.substring_index(token, ".", 1), F.split_part(token, F.lit("."), F.lit(2))
-    return F.when(F.length(whole) == 3, F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise("")))
-
-
-def _numbers(text: Column) -> Column:
-    return F.split(text, "[^0-9.]+")
+def _class_number(text: Column, before: str = "") -> Column:
+    """The first three digits in a row, with a fraction if a point and digits follow; a longer run gives its first three."""
+    return F.nullif(F.regexp_extract(text, before + "([0-9]{3}([.][0-9]+)?)", 1), F.lit(""))
 
 
 def dewey_list(value) -> Column:
     """The first class number of each item of a list."""
     items = F.split(as_column(value), ";")
-    return join_list(_present(F.transform(items, lambda item: F.get(_present(F.transform(_numbers(item), _class_number)), 0))))
+    return join_list(_present(F.transform(items, lambda item: _class_number(item))))
 
 
 def dewey_leading(value) -> Column:
     """The class number that begins the text, in brackets or not."""
-    return _class_number(F.get(_numbers(_opened(F.ltrim(as_column(value)))), 0))
+    return _class_number(as_column(value), r"^\s*\[?")
 
 
 def doi_from_url(value) -> Column:

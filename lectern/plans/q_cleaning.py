@@ -10,6 +10,7 @@ from lectern.operators import conform, quality, reports, reshape
 from lectern.plans import inputs
 from lectern.plans.inputs import SALES_SQL, STAGING_SQL, derive, normalize_sql
 from lectern.plans.registry import query
+from lectern.sources import readers
 
 TRIM = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 
@@ -100,6 +101,36 @@ def years_parsed(t):
         "o_orderkey", dates.year_day_first("published").alias("year"), dates.year_iso("published").alias("iso_year"))
 
 
+SHORT_DATES = """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN concat(CAST(day(o_orderdate) AS STRING), '.',
+    CAST(month(o_orderdate) AS STRING), '.', lpad(CAST(o_custkey % 100 AS STRING), 2, '0'))
+  WHEN o_orderstatus = 'F' THEN concat(lpad(CAST(day(o_orderdate) AS STRING), 2, '0'), '/',
+    lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '/', lpad(CAST(year(o_orderdate) % 100 AS STRING), 2, '0'))
+  ELSE concat('31-13-', lpad(CAST(year(o_orderdate) % 100 AS STRING), 2, '0')) END AS published
+FROM orders
+"""
+
+
+@query("years_short", rf"""SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'P' AND day(o_orderdate) = 29 AND month(o_orderdate) = 2 AND o_custkey % 4 <> 0 THEN NULL
+  WHEN o_orderstatus = 'P' THEN CASE WHEN o_custkey % 100 > 68 THEN 1900 ELSE 2000 END + o_custkey % 100
+  WHEN o_orderstatus = 'F' THEN year(o_orderdate) END AS INT) AS year FROM orders""")
+def years_short(t):
+    return derive(t, "orders", SHORT_DATES).select("o_orderkey", dates.year_day_first("published").alias("year"))
+
+
+@query("sheet_rows", "SELECT s_suppkey, s_name, row_number() OVER () + 1 AS source_row FROM supplier")
+def sheet_rows(t):
+    return readers.with_sheet_rows(t("supplier")).select("s_suppkey", "s_name", "source_row")
+
+
+@query("view_rows", "SELECT n_regionkey, count(*) AS nations FROM nation WHERE n_name <> 'CHINA' GROUP BY n_regionkey")
+def view_rows(t):
+    t("nation").createOrReplaceTempView("lectern_nations")
+    return readers.read_table(
+        t("nation").sparkSession,
+        "SELECT n_regionkey, count(*) AS nations FROM lectern_nations WHERE n_name <> 'CHINA' GROUP BY n_regionkey")
+
+
 @query("years_between", YEARS_SQL + " SELECT o_orderkey, year, iso_year FROM years WHERE year BETWEEN 1996 AND 1999")
 def years_between(t):
     return conform.between_years(years_parsed(t), "year", 1996, 1999)

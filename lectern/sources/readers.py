@@ -9,14 +9,15 @@ from pyspark.sql import types as T
 
 from lectern import fixed_values as fixed
 from lectern.operators.conform import conform, union_all
+from lectern.sources.documents import read_records
 
 # names of files an office program leaves next to an open workbook
 TEMPORARY_PREFIX = "~$"
+# a JSON document above this size is not read by one task
+SPLIT_BYTES = 64 << 20
 
-FIXTURE_SCHEMA = (
-    "about string, generated_with_seed int, "
-    "records array<struct<isbn13: string, match_status: string, cited_by_count_demo: int>>"
-)
+RECORD_SCHEMA = "struct<isbn13: string, match_status: string, cited_by_count_demo: int>"
+FIXTURE_SCHEMA = f"about string, generated_with_seed int, records array<{RECORD_SCHEMA}>"
 CANDIDATE_SCHEMA = (
     "results array<struct<id: string, doi: string, display_name: string, title: string, cited_by_count: bigint, "
     "type: string, authorships: array<struct<author: struct<display_name: string>>>>>"
@@ -84,7 +85,11 @@ def numbered_csv(spark: SparkSession, path, columns: list[str], encoding: str =
 def numbered_parquet(spark: SparkSession, path, first: int = fixed.FIRST_SHEET_ROW,
                      name: str = "source_row") -> DataFrame:
     """A Parquet export with sheet row numbers taken from the file's own row index."""
-    rows = spark.read.parquet(path)
+    return with_sheet_rows(spark.read.parquet(path), first, name)
+
+
+def with_sheet_rows(rows: DataFrame, first: int = fixed.FIRST_SHEET_ROW, name: str = "source_row") -> DataFrame:
+    """Rows as read from Parquet files, each with its place in its file."""
     return rows.select("*", (F.col("_metadata.row_index") + first).alias(name))
 
 
@@ -102,9 +107,15 @@ def read_sources(spark: SparkSession, folder: str, specs: dict[str, dict[str, st
     return union_all(staged)
 
 
-def read_fixture(spark: SparkSession, path: str) -> DataFrame:
-    """Stored match records; a missing file reads as none."""
+def read_fixture(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Stored match records; a missing file reads as none.
+
+    A file above ``split_bytes`` is read by many tasks (``documents.read_records``).
+    """
     try:
+        largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+        if largest > split_bytes:
+            return read_records(spark, path, RECORD_SCHEMA).select("record_no", "record.*")
         document = spark.read.schema(FIXTURE_SCHEMA).option("multiLine", "true").json(path)
     except AnalysisException:
         document = spark.createDataFrame([], FIXTURE_SCHEMA)

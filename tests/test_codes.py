@@ -48,7 +48,9 @@ def test_classification(spark):
     assert one(spark, codes.thema_mixed("a"), a="QD > Filosofía; QDTN; QDT > Temas; ds > x; QD") == "QD;QDTN;QDT"
     assert one(spark, codes.thema_mixed("a"), a="[P;PBA] Matemáticas; P; X9 > y") == "P;PBA;X9"
     assert one(spark, codes.dewey_list("a"), a="[370.7] x;sin;100 Filosofía") == "370.7;100"
+    assert one(spark, codes.dewey_list("a"), a="1234;12345.6 x;12.345;[863.] y;99 100.5.1") == "123;123;345;863;100.5"
     assert one(spark, codes.dewey_leading("a"), a=" [370.7] x; 100 y") == "370.7"
+    assert one(spark, codes.dewey_leading("a"), a="1234 x") == "123"
     assert one(spark, codes.dewey_leading("a"), a="x 100") is None
     assert one(spark, codes.doi_from_url("a"), a="https://doi.org/10.1/x") == "10.1/x"
     assert one(spark, codes.doi_from_url("a"), a="10.1/x") is None
@@ -56,7 +58,8 @@ def test_classification(spark):
 
 def test_years(spark):
     for given, year in [("03/04/2021", 2021), ("3/4/2021", 2021), ("2022-01-05", 2022), ("c. 2019, rev", 2019),
-                        ("2020", 2020), ("sin fecha", None), (None, None), (" 31/12/1999 ", 1999)]:
+                        ("2020", 2020), ("sin fecha", None), (None, None), (" 31/12/1999 ", 1999),
+                        ("5/3/21", 2021), ("05-03-68", 2068), ("05.03.69", 1969), ("29/2/23", None), ("5/3/021", None)]:
         assert one(spark, dates.year_day_first("a"), a=given) == year, given
     assert one(spark, dates.year_iso("a"), a="2021-02-03") == 2021
     assert one(spark, dates.year_iso("a"), a="03/02/2021") is None

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern import fixed_values as fixed
 from lectern.operators import model
-from lectern.sources import publish, readers, reports, sinks
+from lectern.sources import documents, publish, readers, reports, sinks
 from lectern.streaming import incremental
 from tests.test_operators import rows_of
 
@@ -55,6 +55,32 @@ def test_parquet_rows_are_numbered(spark, tmp_path):
     assert rows_of(readers.numbered_parquet(spark, str(tmp_path / "p"))) == [(n, n + 2) for n in range(5)]
 
 
+def test_large_document_is_read_by_many_tasks(spark, tmp_path):
+    records = [{"isbn13": f"{k}", "match_status": ['a}{"b', "\\", 'q\\"]}', "line\n}", "é, {", ""][k % 6] * (k % 5), "cited_by_count_demo": k,
+                "nested": [{"x": {"y": "}"}}, [{}]] if k % 4 == 0 else {}} for k in range(1500)]
+    layouts = {
+        "a": json.dumps({"about": 'x "records": [{', "records": records}, indent=1),
+        "b": json.dumps({"meta": {"x": {"y": 1}, "z": {"w": {}}}, "others": [{"isbn13": "no"}, {"isbn13": "no"}], "records": records,
+                         "later": [{"isbn13": "no"}], "generated_with_seed": 4}, ensure_ascii=False) + "\n",
+        "c": json.dumps({"records": []}), "d": json.dumps({"about": "none"}), "e": json.dumps({"records": [records[1]]}),
+    }
+    for name, text in layouts.items():
+        write(tmp_path / f"{name}.json", text)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        for name in layouts:
+            path = str(tmp_path / f"{name}.json")
+            found = rows_of(readers.read_fixture(spark, path, split_bytes=1))
+            assert found == rows_of(readers.read_fixture(spark, path)), name
+            assert len(found) == {"a": 1500, "b": 1500, "e": 1}.get(name, 0)
+        assert documents.pieces_of(spark, str(tmp_path / "a.json")).rdd.getNumPartitions() > 4
+        both = documents.read_records(spark, str(tmp_path / "[ae].json"), readers.RECORD_SCHEMA)
+        assert both.count() == 1501 and both.where("record_no = 0").count() == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
 def test_fixture(spark, tmp_path):
     write(tmp_path / "f.json", json.dumps({"about": "x", "records": [
         {"isbn13": "1", "match_status": "offline_demo", "cited_by_count_demo": 3}, {"isbn13": "2"}]}, indent=1))
