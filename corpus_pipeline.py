@@ -19,8 +19,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, without text, or of no learned language go."""
-    return langid.keep_known(docs, langid.fit(docs), LEAST_LANGUAGE_SCORE)
+    """Documents without letters or text go, and those that look surely like no learned language: other scripts, letters in no order."""
+    return langid.keep_known(docs, langid.fit(docs, with_background=True), LEAST_LANGUAGE_SCORE)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,9 @@ mean log probabilities of its windows, weighted by their bytes and normalised ag
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is
 every text when nothing could be learned. Of more than LANGUAGES labels those with most rows
 are learned, the first in their order among equals. Rows without id, text or label teach nothing.
+A network that was fitted with a background class also says ``und``, with that class's
+probability, of text that looks like none of its languages: letters in no order, and scripts
+that the sample does not have. An unlearned language in a learned script may still pass.
 Rows are independent, so ties and repeated rows get equal results. ``lang``, ``source``
 and the id are no inputs of a prediction.
 """
@@ -37,6 +40,12 @@ SPREAD = 128
 ROUNDS, STEP, SEED = 6, 3e-3, 7
 
 UNKNOWN = "und"
+# label of the background class: no text that Spark reads as a label of a document sorts before it
+BACKGROUND = "\0"
+# a text goes to the background only with this probability; below, its best language counts
+SURE = 0.95
+# code points in one block of a script
+SCRIPT_BLOCK = 128
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -173,10 +182,52 @@ def predict(network: Network, texts: list[str | None]) -> tuple[list[str], list[
     chance /= chance.sum(axis=1, keepdims=True) if len(spoken) else 1
     for place, i in enumerate(spoken):
         best = int(chance[place].argmax())
-        languages[i], scores[i] = network.languages[best], float(chance[place][best])
+        if network.languages[best] == BACKGROUND and len(network.languages) > 1 and chance[place][best] < SURE:
+            chance[place] /= 1 - chance[place][best]
+            chance[place][best] = 0
+            best = int(chance[place].argmax())
+        found = network.languages[best]
+        languages[i], scores[i] = UNKNOWN if found == BACKGROUND else found, float(chance[place][best])
     return languages, scores
 
 
+def background(sample: list[tuple[str, list[str]]]) -> list[str]:
+    """Pieces that are in no language, about as many as the largest language of the sample has.
+
+    In turn: the letters of a piece of the sample in no order; random letters of its
+    alphabet; letters of a block of code points that the sample does not have.
+    """
+    draw = np.random.default_rng(SEED + 1)
+    by_label: dict[str, list[str]] = {}
+    for lang, pieces in sorted(sample):
+        by_label.setdefault(lang, []).extend(piece for piece in pieces if piece)
+    wanted = max(map(len, by_label.values()), default=0)
+    texts = [piece for pieces in by_label.values() for piece in pieces]
+    seen = {ord(c) // SCRIPT_BLOCK for text in texts for c in text}
+    scripts = []
+    for block in range(0x10000 // SCRIPT_BLOCK):
+        letters = [chr(c) for c in range(block * SCRIPT_BLOCK, (block + 1) * SCRIPT_BLOCK) if chr(c).isalpha()]
+        if block not in seen and len(letters) >= SCRIPT_BLOCK // 4:
+            scripts.append(letters)
+    found = []
+    for number in range(wanted if texts else 0):
+        piece = list(texts[int(draw.integers(len(texts)))])
+        places = [k for k, c in enumerate(piece) if c.isalpha()]
+        letters = [piece[k] for k in places]
+        kind = number % 3
+        if kind == 0:
+            letters = [letters[k] for k in draw.permutation(len(letters))]
+        else:
+            # one block has few signs of a large script, so that of these several blocks are mixed
+            alphabet = sorted(set(letters)) if kind == 1 or not scripts else [
+                c for k in draw.integers(len(scripts), size=1 + number % 2) for c in scripts[k]]
+            letters = [alphabet[k] for k in draw.integers(max(1, len(alphabet)), size=len(letters))] if alphabet else []
+        for k, c in zip(places, letters):
+            piece[k] = c
+        found.append("".join(piece) if number % 6 < 3 else "".join(c for c in piece if c != " "))
+    return found
+
+
 def train(sample: list[tuple[str, list[str]]]) -> Network:
     """Fit the network to (language, pieces of text); the same sample gives the same network."""
     languages = sorted({lang for lang, _ in sample})
@@ -236,11 +287,15 @@ def _gradients(network: Network, windows: np.ndarray, target: np.ndarray, mask:
     return [of_vectors, of_filters, upward.sum(axis=0), best.T @ error, error.sum(axis=0)]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+        with_background: bool = False) -> Network:
     """Train on the bounded sample: ROWS_PER_LANGUAGE rows of each language, PIECES_PER_ROW pieces each."""
     prepare(docs.sparkSession)
     sample = training_sample(docs, id_col, text_col, lang_col).select("lang", "pieces").collect()
-    return train([(row.lang, list(row.pieces)) for row in sample])
+    taught = [(row.lang, list(row.pieces)) for row in sample]
+    if with_background and taught:
+        taught.append((BACKGROUND, background(taught)))
+    return train(taught)
 
 
 def identify(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -203,18 +203,22 @@ def test_inclusion_follows_the_probabilities(spark):
 # language ------------------------------------------------------------------------------
 
 
-@pytest.fixture(scope="module")
-def spoken():
+def spoken_rows(n):
     draw = random.Random(4)
     syllables = {"xx": ["ka", "to", "mi", "ra"], "yy": ["schl", "ung", "ver", "ei"], "zz": ["ção", "lh", "em", "õe"]}
     rows = []
-    for k in range(240):
+    for k in range(n):
         lang = ("xx", "yy", "zz")[k % 3]
         words = ["".join(draw.choice(syllables[lang]) for _ in range(draw.randrange(1, 4))) for _ in range(draw.randrange(3, 150))]
         rows.append((k, " ".join(words), lang, "s", 0))
     return rows
 
 
+@pytest.fixture(scope="module")
+def spoken():
+    return spoken_rows(240)
+
+
 def test_language(spark, spoken):
     extra = [(900, None, "xx", "s", 0), (901, "12 34 !?", "xx", "s", 0), (902, "", None, "s", 0), (None, "ka to mi ra", None, "s", 0),
              (903, spoken[0][1] * 3000, None, "s", 0), (904, spoken[1][1], None, "s", 0), (904, spoken[1][1], None, "s", 0)]
@@ -237,6 +241,25 @@ def test_language(spark, spoken):
     assert not {900, 901, 902} & {row.doc_id for row in kept.collect()}
 
 
+def test_background(spark):
+    """Unlearned scripts and random letters go; every document of a learned language stays."""
+    spoken = spoken_rows(2400)
+    draw = random.Random(8)
+    noise = [" ".join("".join(draw.choice(letters) for _ in range(draw.randrange(3, 9))) for _ in range(60)) for letters in (
+        "bcdfghjklmnpqrstvwxz", "абвгдежзиклмнопрстуфхцчшщ", "αβγδεζηθικλμνξοπρστυφχψω", "אבגדהוזחטיכלמנסעפצקרשת",
+        "".join(map(chr, range(0x4E00, 0x6000))), "".join(map(chr, range(0x3041, 0x3097))))]
+    docs = docs_of(spark, spoken + [(1000 + k, text, None, "s", 0) for k, text in enumerate(noise)])
+    network = langid.fit(docs, with_background=True)
+    assert network.languages == [langid.BACKGROUND, "xx", "yy", "zz"]
+    kept = {row.doc_id for row in langid.keep_known(docs, network, 0.3).collect()}
+    assert kept == {k for k, *_ in spoken}
+    found = {row.lang_pred for row in langid.identify(docs, network).collect()}
+    assert found == {"und", "xx", "yy", "zz"}
+    empty = docs_of(spark, [(1, "words here", None, "s", 0)])
+    assert langid.keep_known(empty, langid.fit(empty, with_background=True), 0.3).count() == 0
+    assert langid.background([("a", ["", "12"])]) and langid.background([]) == []
+
+
 def test_held_out_rows_teach_nothing(spark, spoken):
     out = [k for k, *_ in spoken if zlib.crc32(str(k).encode()) % 4 == 2]
     changed = [(k, "qqq " * 50, "ww", "s", 0) if k in out else (k, text, lang, "other", 0) for k, text, lang, *_ in spoken]
