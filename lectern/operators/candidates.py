@@ -1,28 +1,36 @@
-"""Candidates of a title search from an inverted index of character trigrams.
+"""Candidates of a title search by shared character trigrams.
 
 For callers without a candidates table. Titles are normalised and each distinct one is
 taken once, so copies multiply nothing. A title looks up its ``probes`` trigrams that the
 fewest held titles have (ties in the order of the trigrams); every title found that way is
 compared in full, by the trigrams that both have, and the ``top_n`` best stay. With
-``probes=None`` all trigrams are looked up: then every pair that shares any trigram is
-compared, which is exact but meant for small inputs only.
+``probes=None`` all trigrams are looked up: every pair that shares any trigram counts.
 
-A trigram that very many titles have is seldom among the rarest of a title; where it is, it
-is a hot join key, which the adaptive planner splits. Nothing is cut but by ``probes`` and
-``top_n``.
+The pairs of titles grow with the square of the titles, so no pair is ever a row. The asked
+titles are dealt to blocks of at most ``BLOCK``; every block meets the held titles as a
+sorted stream, counts what they share from its own inverted index and keeps the ``top_n``
+of each of its titles. Memory is that of a block; what is shuffled is the held titles once
+per block. Nothing is cut but by ``probes`` and ``top_n``.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import bind, normalize_text
-from lectern.operators.skew import attach
+from lectern.operators.skew import attach, shuffle_width
 from lectern.session import settle
 
 PROBES = 16
 TOP_N = 25
+BLOCK = 8192        # asked titles that one index holds
+PART_ROWS = 2048    # fewest held titles worth an index of their own
+DENSE = 4096        # trigrams of a block, its most frequent, that are counted by rows of a matrix
 
 
 def trigrams(text: Column) -> Column:
@@ -34,25 +42,171 @@ def trigrams(text: Column) -> Column:
 
 
 def distinct_titles(rows: DataFrame, title: str) -> DataFrame:
-    """``norm`` and its trigrams ``grams``, once for every normalised title that has any."""
+    """``id`` and ``norm``, once for every normalised title that has any trigram."""
     norms = rows.select(normalize_text(title).alias("norm")).where("norm <> ''").distinct()
-    return norms.withColumn("grams", trigrams(F.col("norm")))
+    return settle(norms.select(F.monotonically_increasing_id().alias("id"), "norm"))
 
 
-def postings(titles: DataFrame, name: str) -> DataFrame:
-    return titles.select(F.col("norm").alias(name), F.explode("grams").alias("gram"))
+def postings(titles: DataFrame) -> DataFrame:
+    return titles.select("id", F.explode(trigrams(F.col("norm"))).alias("gram"))
 
 
-def probed(asked: DataFrame, held: DataFrame, probes: int | None) -> DataFrame:
-    """``asked`` and ``gram``: the trigrams of each title that are looked up."""
-    spread = postings(asked, "asked")
+def probed(asked: DataFrame, stored: DataFrame, probes: int | None) -> DataFrame:
+    """``id``, ``norm`` and ``probes``: the trigrams of each title that are looked up, in one text; null for all of them."""
     if probes is None:
-        return spread
-    known = held.groupBy("gram").agg(F.count("*").alias("df"))
+        return asked.withColumn("probes", F.lit(None).cast("string"))
+    spread = postings(asked)
+    known = postings(stored).groupBy("gram").agg(F.count("*").alias("df"))
     uses = spread.groupBy("gram").agg(F.count("*").alias("uses"))
-    counted = attach(spread, known.join(uses, "gram"), ["gram"], "uses", F.col("asked"), how="inner")
+    counted = attach(spread, settle(known.join(uses, "gram")), ["gram"], "uses", F.col("id"), how="inner")
     rarest = F.slice(F.array_sort(F.collect_list(F.struct("df", "gram"))), 1, probes)
-    return counted.groupBy("asked").agg(rarest.alias("rarest")).select("asked", F.explode("rarest.gram").alias("gram"))
+    chosen = counted.groupBy("id").agg(F.array_join(rarest["gram"], "").alias("probes"))
+    return asked.join(chosen, "id")
+
+
+def codes_of(texts: list[str]) -> np.ndarray:
+    """The code points of texts, one after another."""
+    return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+
+
+def packed(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return first << 42 | second << 21 | third
+
+
+def title_grams(norms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vocabulary, place in it of each trigram, offsets of the titles): the distinct trigrams of each title."""
+    points = codes_of([f"  {norm} " for norm in norms])
+    lengths = np.fromiter(map(len, norms), dtype=np.int64, count=len(norms)) + 3
+    owner = np.repeat(np.arange(len(norms)), lengths)
+    inside = owner[:-2] == owner[2:]
+    vocabulary, place = np.unique(packed(points[:-2], points[1:-1], points[2:])[inside], return_inverse=True)
+    owned = np.unique(owner[:-2][inside] * len(vocabulary) + place)
+    offsets = np.searchsorted(owned, np.arange(len(norms) + 1) * len(vocabulary))
+    return vocabulary, owned % len(vocabulary), offsets
+
+
+class Block:
+    """The best held titles of some asked ones; held titles are given in ascending order of their text."""
+
+    def __init__(self, ids: list[int], norms: list[str], probes: list[str | None], top_n: int):
+        self.ids, self.count = np.array(ids, dtype=np.int64), len(ids)
+        self.vocabulary, place, offsets = title_grams(norms)
+        self.sizes = np.diff(offsets)
+        self.counter = np.uint8 if self.sizes.max() < 256 else np.int32
+        owner = np.repeat(np.arange(self.count), self.sizes)
+        order = np.argsort(place, kind="stable")
+        self.owners = owner[order]
+        times = np.bincount(place, minlength=len(self.vocabulary))
+        self.starts = np.concatenate([[0], np.cumsum(times)])
+        # frequent trigrams are rows of a matrix, the others lists
+        frequent = np.sort(np.argsort(-times, kind="stable")[:DENSE])
+        self.row = np.full(len(self.vocabulary), -1, dtype=np.int64)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.count), dtype=self.counter)
+        shown = self.row[place] >= 0
+        self.matrix[self.row[place[shown]], owner[shown]] = 1
+        self.probes = None if probes[0] is None else self._probes(probes)
+        # overlap -1: free; least: what the next title of this place must exceed, times the sizes
+        self.overlaps = np.full((self.count, top_n), -1, dtype=np.int64)
+        self.found = np.zeros((self.count, top_n), dtype=np.int64)
+        self.more, self.times_size = np.zeros(self.count, dtype=np.int64), np.zeros(self.count, dtype=np.int64)
+
+    def _probes(self, probes: list[str]) -> np.ndarray:
+        """Places in the vocabulary of the probes of each title; one that no trigram has fills the rows up."""
+        points = codes_of(probes)
+        place = np.searchsorted(self.vocabulary, packed(points[0::3], points[1::3], points[2::3]))
+        widths = np.fromiter(map(len, probes), dtype=np.int64, count=len(probes)) // 3
+        table = np.full((len(probes), widths.max()), len(self.vocabulary), dtype=np.int64)
+        table[np.arange(widths.max()) < widths[:, None]] = place
+        return table
+
+    def feed(self, ids: np.ndarray, norms: list[str]) -> None:
+        vocabulary, place, offsets = title_grams(norms)
+        own = np.minimum(np.searchsorted(self.vocabulary, vocabulary), len(self.vocabulary) - 1)
+        own[self.vocabulary[own] != vocabulary] = -1
+        place = own[place]
+        present = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+        for one, first, last in zip(ids.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+            grams = place[first:last]
+            grams = grams[grams >= 0]
+            rows = self.row[grams]
+            # a count is no larger than the asked title
+            shared = np.add.reduce(self.matrix[rows[rows >= 0]], axis=0, dtype=self.counter)
+            for gram in grams[rows < 0].tolist():
+                shared[self.owners[self.starts[gram]:self.starts[gram + 1]]] += 1
+            better = (shared.astype(np.int64) * 2000 >= self.more * (last - first) + self.times_size) & (shared > 0)
+            asked = np.flatnonzero(better)
+            if self.probes is not None and len(asked):
+                present[grams] = True
+                asked = asked[present[self.probes[asked]].any(axis=1)]
+                present[grams] = False
+            if len(asked):
+                self._enter(asked, 2000 * shared[asked].astype(np.int64) // (self.sizes[asked] + last - first), one)
+
+    def _enter(self, asked: np.ndarray, overlap: np.ndarray, held: int) -> None:
+        """Behind the equal ones, whose texts are smaller."""
+        overlaps, found = self.overlaps[asked], self.found[asked]
+        at = (overlaps >= overlap[:, None]).sum(axis=1)[:, None]
+        columns = np.arange(overlaps.shape[1])
+        for table, old, new in ((self.overlaps, overlaps, overlap[:, None]), (self.found, found, held)):
+            behind = np.concatenate([old[:, :1], old[:, :-1]], axis=1)
+            table[asked] = np.where(columns < at, old, np.where(columns == at, new, behind))
+        self.more[asked] = self.overlaps[asked, -1] + 1
+        self.times_size[asked] = self.more[asked] * self.sizes[asked]
+
+    def best(self) -> pa.RecordBatch:
+        rows, columns = np.nonzero(self.overlaps >= 0)
+        return pa.record_batch(
+            [pa.array(self.ids[rows]), pa.array(self.found[rows, columns]), pa.array(self.overlaps[rows, columns].astype(np.int32))],
+            names=["asked", "held", "overlap"])
+
+
+def nearest(asked: DataFrame, stored: DataFrame, top_n: int, block: int = BLOCK, part_rows: int = PART_ROWS) -> DataFrame:
+    """``asked``, ``held`` (ids) and ``overlap``: the best held titles of each asked one, at least the ``top_n`` best.
+
+    ``asked``: id, norm, probes. Where there are fewer blocks than tasks, the held titles are
+    parted too, and each part gives its best.
+    """
+    blocks = max(1, ceil(asked.count() / block))
+    parts = max(1, min(ceil(shuffle_width(asked) / blocks), stored.count() // part_rows))
+
+    def cells(rows: DataFrame, kind: int, own: Column, others: Column, probes: Column) -> DataFrame:
+        return rows.withColumn("other", F.explode(others)).select(
+            own.alias("cell"), F.lit(kind).alias("kind"), "id", "norm", probes.alias("probes"))
+
+    def dealt(ways: int) -> Column:
+        return F.pmod(F.xxhash64("id"), F.lit(ways)).cast("int")
+
+    def every(ways: int) -> Column:
+        return F.sequence(F.lit(0), F.lit(ways - 1))
+
+    rows = cells(asked, 0, dealt(blocks) * parts + F.col("other"), every(parts), F.col("probes")).union(
+        cells(stored, 1, F.col("other") * parts + dealt(parts), every(blocks), F.lit(None).cast("string")))
+    rows = rows.repartition(blocks * parts, "cell").sortWithinPartitions("cell", "kind", "norm")
+
+    def run(batches):
+        cell, index, waiting = None, None, ([], [], [])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of, kind, ids = (batch.column(at).to_numpy() for at in range(3))
+            edges = np.flatnonzero((of[1:] != of[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for first, last in zip([0, *edges.tolist()], [*edges.tolist(), len(of)]):
+                if of[first] != cell:
+                    if index is not None:
+                        yield index.best()
+                    cell, index, waiting = of[first], None, ([], [], [])
+                norms = batch.column(3).slice(first, last - first).to_pylist()
+                if kind[first] == 0:
+                    for held, some in zip(waiting, (ids[first:last].tolist(), norms, batch.column(4).slice(first, last - first).to_pylist())):
+                        held.extend(some)
+                elif waiting[0]:
+                    index = index or Block(*waiting, top_n)
+                    index.feed(ids[first:last], norms)
+        if index is not None:
+            yield index.best()
+
+    return rows.mapInArrow(run, "asked bigint, held bigint, overlap int")
 
 
 def title_candidates(books: DataFrame, works: DataFrame, key: str, book_title: str = "title", work_id: str = "id",
@@ -65,19 +219,15 @@ def title_candidates(books: DataFrame, works: DataFrame, key: str, book_title: s
     """
     if top_n < 1 or (probes is not None and probes < 1):
         raise ValueError("top_n and probes must be at least 1")
-    asked, stored = settle(distinct_titles(books, book_title)), settle(distinct_titles(works, work_title))
-    held = postings(stored, "held")
-    pairs = probed(asked, held, probes).join(held, "gram").select("asked", "held").distinct()
-    full = pairs.join(asked.select(F.col("norm").alias("asked"), F.col("grams").alias("left")), "asked").join(
-        stored.select(F.col("norm").alias("held"), F.col("grams").alias("right")), "held")
-    shared = F.size(F.array_intersect("left", "right"))
-    scored = full.select("asked", "held", F.floor(
-        F.lit(2000) * shared / (F.size("left") + F.size("right"))).cast("int").alias("overlap"))
-    place = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("overlap"), "held"))
-    best = settle(scored.withColumn("cand_rank", place).where(F.col("cand_rank") <= top_n))
-    of_books = books.select(key, normalize_text(book_title).alias("asked"))
-    of_works = works.select(F.col(work_id).alias("work_id"), normalize_text(work_title).alias("held"))
-    return of_books.join(best, "asked").join(of_works, "held").select(
+    asked, stored = distinct_titles(books, book_title), distinct_titles(works, work_title)
+    found = settle(nearest(settle(probed(asked, stored, probes)), stored, top_n))
+    named = found.join(stored.select(F.col("id").alias("held"), F.col("norm").alias("work_norm")), "held").join(
+        asked.select(F.col("id").alias("asked"), F.col("norm").alias("book_norm")), "asked")
+    place = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("overlap"), "work_norm"))
+    best = settle(named.withColumn("cand_rank", place).where(F.col("cand_rank") <= top_n))
+    of_books = books.select(key, normalize_text(book_title).alias("book_norm"))
+    of_works = works.select(F.col(work_id).alias("work_id"), normalize_text(work_title).alias("work_norm"))
+    return of_books.join(best, "book_norm").join(of_works, "work_norm").select(
         key, F.col("work_id").alias(work_id), "cand_rank", "overlap")
 
 

@@ -75,6 +75,23 @@ def test_rarest_trigrams_find_nearly_all(spark, titles):
         candidates.title_candidates(books, works, "book", top_n=0)
 
 
+@pytest.mark.parametrize("probes", [None, 4])
+def test_blocks_and_parts_change_nothing(spark, titles, probes):
+    """Pairs of titles are counted inside blocks and are never rows; however the titles are dealt, the best are the same."""
+    books, works = frames(spark, titles)
+    asked, stored = candidates.distinct_titles(books, "title"), candidates.distinct_titles(works, "title")
+    looked_up = candidates.probed(asked, stored, probes)
+    norms = {side: {row.id: row.norm for row in table.collect()} for side, table in (("asked", asked), ("held", stored))}
+
+    def best(**sizes):
+        found = {}
+        for row in candidates.nearest(looked_up, stored, 3, **sizes).collect():
+            found.setdefault(norms["asked"][row.asked], []).append((-row.overlap, norms["held"][row.held]))
+        return {name: sorted(rows)[:3] for name, rows in found.items()}
+
+    assert best(block=7, part_rows=40) == best(block=7, part_rows=10**9) == best(block=10**6, part_rows=10**9)
+
+
 def test_matching_over_generated_candidates(spark, titles):
     books, works = frames(spark, titles)
     found = candidates.title_candidates(books, works, "book", top_n=3)
