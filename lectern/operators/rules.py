@@ -2,15 +2,16 @@
 
 A table is read once for all its rules. Rows are marked with the names of the rules they
 break: conditions are evaluated in place, referenced keys are joined as distinct keys, and
-key counts are attached to the rows with hot keys salted. What is marked is written once;
-the counts and the rejected rows both come from there.
+key counts are attached to the rows with hot keys salted. Only what is asked for is worked
+out: the report counts the marks, the rejected rows are written when someone reads them,
+and the accepted rows of a table need the marks of that table alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,17 +60,6 @@ def not_negative(name: str, table: str, column: str) -> Check:
     return Check(name, table, F.col(column) < 0)
 
 
-@dataclass(frozen=True)
-class Audit:
-    """``report``: (rule, table_name, violations) for every rule, zero included. ``rejected``: (rule, table_name,
-    row_key, row), one row for each rule that a row breaks, the row as JSON. ``accepted``: the tables without
-    the rows that break any rule."""
-
-    report: DataFrame
-    rejected: DataFrame
-    accepted: dict[str, DataFrame]
-
-
 BROKEN = "_broken_rules"
 
 
@@ -97,24 +87,44 @@ def marked(tables: dict[str, DataFrame], table: str, rules: Iterable[Rule]) -> D
     return frame.withColumn(BROKEN, F.array_compact(F.array(*flags))).drop(*helpers).select(*tables[table].columns, BROKEN)
 
 
+class Audit:
+    """What the rules found in some tables; each result is worked out when it is first read."""
+
+    def __init__(self, tables: dict[str, DataFrame], rules: list[Rule], row_keys: dict[str, Column]):
+        self._rules, self._row_keys = rules, row_keys
+        by_table: dict[str, list[Rule]] = {}
+        for rule in rules:
+            by_table.setdefault(rule.table, []).append(rule)
+        self._marked = {table: marked(tables, table, own) for table, own in by_table.items()}
+        self.accepted = {table: self._marked[table].where(F.size(BROKEN) == 0).drop(BROKEN) if table in by_table else frame
+                         for table, frame in tables.items()}
+        """The tables without the rows that break any rule."""
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """(rule, table_name, row_key, row), one row for each rule that a row breaks, the row as JSON."""
+        found = []
+        for table, rows in self._marked.items():
+            whole = F.to_json(F.struct(*[F.col(name) for name in rows.columns if name != BROKEN]))
+            found.append(rows.where(F.size(BROKEN) > 0).select(
+                F.explode(BROKEN).alias("rule"), F.lit(table).alias("table_name"), self._row_keys[table].alias("row_key"), whole.alias("row")))
+        return settle(reduce(DataFrame.unionByName, found))
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """(rule, table_name, violations) for every rule, zero included; counted from the marks, without the rows."""
+        counted = reduce(DataFrame.unionByName, [
+            rows.select(F.explode(BROKEN).alias("rule")).groupBy("rule").agg(F.count("*").alias("violations"))
+            for rows in self._marked.values()])
+        listed = F.inline(F.array(*[
+            F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.table).alias("table_name")) for rule in self._rules]))
+        every = counted.sparkSession.range(1).select(listed)
+        return every.join(counted, "rule", "left").select("rule", "table_name", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
 def audit(tables: dict[str, DataFrame], rules: list[Rule], row_keys: dict[str, Column]) -> Audit:
-    """Evaluate the rules. ``row_keys`` names a row of each table, as text."""
+    """Evaluate the rules. ``row_keys`` names a row of each table, as text; only the rejected rows need it."""
     names = [rule.name for rule in rules]
     if len(set(names)) < len(names):
         raise ValueError("rules need different names")
-    by_table: dict[str, list[Rule]] = {}
-    for rule in rules:
-        by_table.setdefault(rule.table, []).append(rule)
-    found, accepted = [], dict(tables)
-    for table, own in by_table.items():
-        rows = marked(tables, table, own)
-        accepted[table] = rows.where(F.size(BROKEN) == 0).drop(BROKEN)
-        whole = F.to_json(F.struct(*[F.col(name) for name in tables[table].columns]))
-        found.append(rows.where(F.size(BROKEN) > 0).select(
-            F.explode(BROKEN).alias("rule"), F.lit(table).alias("table_name"), row_keys[table].alias("row_key"), whole.alias("row")))
-    rejected = settle(reduce(DataFrame.unionByName, found))
-    counted = rejected.groupBy("rule").agg(F.count("*").alias("violations"))
-    listed = F.inline(F.array(*[F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.table).alias("table_name")) for rule in rules]))
-    every = rejected.sparkSession.range(1).select(listed)
-    report = every.join(counted, "rule", "left").select("rule", "table_name", F.coalesce("violations", F.lit(0)).alias("violations"))
-    return Audit(report, rejected, accepted)
+    return Audit(tables, rules, row_keys)

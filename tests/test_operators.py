@@ -164,6 +164,19 @@ def test_rules_count_and_keep_what_breaks_them(spark):
         rules.audit({"sales": sales}, [rules.present("a", "sales", "n"), rules.present("a", "sales", "key")], {})
 
 
+def test_accepted_rows_and_the_report_write_nothing(spark, monkeypatch):
+    """Rejected rows are written when they are asked for, not for the other two results."""
+    written = []
+    monkeypatch.setattr(rules, "settle", lambda frame: written.append(frame) or frame)
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "n int, key string")
+    found = rules.audit({"rows": rows}, [rules.present("key", "rows", "key"), rules.Unique("once", "rows", ("key",))],
+                        {"rows": F.col("n").cast("string")})
+    assert found.accepted["rows"].count() == 0
+    assert rows_of(found.report) == [("key", "rows", 1), ("once", "rows", 2)] and not written
+    assert sorted(row.row_key for row in found.rejected.collect()) == ["1", "2", "3"] and found.rejected is found.rejected
+    assert len(written) == 1
+
+
 def test_sketches_merge(spark):
     rows = spark.range(60_000).selectExpr("id % 20000 AS a", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS b", "id % 7 AS day")
     pieces = quality.column_sketches(rows, ["a", "b"], ["day"])
