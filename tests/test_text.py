@@ -84,3 +84,11 @@ def test_rewrites(spark):
     assert one(spark, text.or_sentinel("a", "<x>"), a="  ") == "<x>"
     assert one(spark, text.blank_to_null("a"), a=" ") is None
     assert one(spark, text.collapse_spaces("a"), a=" a \n b ") == "a b"
+
+
+def test_normal_form_of_ascii_text_needs_no_regular_expression(spark):
+    """Each ASCII character at the ends, alone, doubled and between letters, also beside others."""
+    texts = [value for ch in map(chr, range(0x80)) for value in (ch, f"{ch}a{ch}{ch}B{ch} {ch}9{ch}", f"<{ch}>><< x", f"é{ch}{ch}中 Z")]
+    frame = spark.createDataFrame([(value,) for value in [*texts, "", "<>", "a<>b"]], "t string").select("t", text.normalize_text("t").alias("n"))
+    assert [(row.t, row.n) for row in frame.collect()] == [(row.t, comparison_form(row.t)) for row in frame.collect()]
+    assert "THEN regexp_replace(" in frame._jdf.queryExecution().optimizedPlan().toString()
