@@ -181,3 +181,11 @@ def test_fuzzy_statuses(spark):
     assert found["2"].consulted == "except (score < 0.8)"
     assert found["3"].consulted == "except (title)"
     assert found["4"].consulted == "not found"
+
+
+def test_pairs_are_named_by_sixteen_bytes(spark):
+    """Equal texts share a name, others do not: nulls, empty texts and moved borders included."""
+    rows = [("a", "b", "c", ["d"]), ("a", "b", "c", ["d"]), ("ab", "", "c", ["d"]), ("a", "b", "c", []), ("a", "b", None, ["d"])]
+    frame = spark.createDataFrame(rows, "asked_title string, asked_names string, hit_title string, hit_names array<string>")
+    found = [bytes(row.pair) for row in frame.select(matching.text_digest(matching.COMPARED).alias("pair")).collect()]
+    assert {len(name) for name in found} == {16} and found[0] == found[1] and len(set(found)) == 4
