@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from lectern import fixed_values as fixed
 from lectern.functions.similarity import matched_name_share, title_band, token_set_ratio
 from lectern.operators import candidates, matching
+from lectern.operators.skew import attach
 from lectern.plans.inputs import normalize_sql
 from lectern.plans.registry import query
+from lectern.session import settle
 
 BOOKS_SQL = """books AS (SELECT o_orderkey, concat(p_name, CASE o_orderstatus WHEN 'F' THEN ': notes' WHEN 'O' THEN '. Vol 2' ELSE '' END) AS title,
   p_name AS main_title, p_brand AS brand, concat('Supplier#00000000', substr(CAST(o_orderkey AS VARCHAR), -1)) AS person
@@ -112,7 +114,12 @@ g AS (SELECT *, greatest(r11, r12) >= 90 AS hit1, r11 >= r12 AS took_first FROM
 SELECT l_partkey, l_suppkey, (CASE WHEN hit1 THEN 1 ELSE 0 END + CASE WHEN (CASE WHEN NOT hit1 THEN greatest(r21, r22)
   WHEN took_first THEN r22 ELSE r21 END) >= 90 THEN 1 ELSE 0 END) / CAST(2.0 AS DOUBLE) AS share FROM g""")
 def name_shares(t):
-    return _pairs(t).select("l_partkey", "l_suppkey", matched_name_share("wanted", "offered").alias("share"))
+    pairs = settle(_pairs(t).select("l_partkey", "l_suppkey", "wanted", "offered"))
+    # copies of one pair of cells do not multiply the scoring
+    cells = pairs.groupBy("wanted", "offered").agg(F.count("*").alias("rows"))
+    shares = settle(cells.withColumn("share", matched_name_share("wanted", "offered")))
+    return attach(pairs, shares, ["wanted", "offered"], "rows", F.struct("l_partkey", "l_suppkey"), how="inner").select(
+        "l_partkey", "l_suppkey", "share")
 
 
 SCORED_SQL = f"""WITH {BOOKS_SQL}, {HITS_SQL},

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lectern.functions import similarity
 from lectern.operators import matching
+from lectern.plans.registry import QUERIES
+from lectern.plans import q_matching  # noqa: F401
 
 WORDS = ["a", "ana", "luz", "de", "la", "casa", "cas", "mar", "marina", "río", "ro"]
 
@@ -189,3 +191,10 @@ def test_pairs_are_named_by_sixteen_bytes(spark):
     frame = spark.createDataFrame(rows, "asked_title string, asked_names string, hit_title string, hit_names array<string>")
     found = [bytes(row.pair) for row in frame.select(matching.text_digest(matching.COMPARED).alias("pair")).collect()]
     assert {len(name) for name in found} == {16} and found[0] == found[1] and len(set(found)) == 4
+
+
+def test_name_shares_are_scored_once_per_pair_of_cells(spark):
+    """The rows get their share by a join; no row is scored itself."""
+    found = QUERIES["name_shares"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "array_except" not in plan and "array_intersect" not in plan
