@@ -18,7 +18,10 @@ equal sets form one class; everything below is about classes.
    bitmap is not in the other set, so bit counts bound the overlap from above. A folded
    bitmap goes into the tiles, so that only pairs leave them that may still reach the
    threshold; the full ones are asked next, and what remains is decided by intersecting
-   the sorted arrays.
+   the sorted arrays. A tile with more such pairs than members (texts that are all nearly
+   near enough) sends its members instead: a second tile takes their texts, intersects the
+   sets itself, and gives only which groups it joined. So the rows of this step grow with
+   the members of the tiles, not with their pairs.
 4. Components of all links.
 
 No link between different sets is lost: step 1 only adds exact links, step 2 is complete
@@ -53,6 +56,7 @@ MIN_HASHES = 8
 BUCKETS, CHUNKS = 1 << 20, 64     # the table of hashed counts, and the parts it is merged in
 WINDOW = 1 << 22                  # shingles that are counted together
 TILE_ROWS = 2048                  # rows of a block of a tile
+PART_SHINGLES = 1 << 20           # shingles that one side of a tile of texts holds at once
 BROADCAST_ROWS = 1_000_000        # most keys (8 bytes each) that are sent to every executor
 SEEN = 200_000                    # class keys a task remembers to skip copies; speed alone
 
@@ -336,10 +340,39 @@ class _Bitmaps:
         return found
 
 
-def _tile(columns: list[np.ndarray], bits: list[bytes]):
-    """Pairs of one tile: columns low, high, block, upper, class, n, root, place, before, further."""
+class _Sets:
+    """The sets of a tile; ``room`` is the overlap itself where the bitmaps leave enough, else their bound."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.maps = _Bitmaps([bitmap(found) for found in sets])
+        vocabulary, self.place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.offsets = np.cumsum([0, *map(len, sets)])
+        self.present = np.zeros(len(vocabulary), dtype=bool)
+
+    def _own(self, at: int) -> np.ndarray:
+        return self.place[self.offsets[at]:self.offsets[at + 1]]
+
+    def room(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        found = self.maps.room(a, b, n)
+        some = np.flatnonzero(linked(found, n[a], n[b]))
+        some = some[np.argsort(a[some], kind="stable")]
+        for first, last in zip(*_runs(a[some])) if len(some) else ():
+            at = some[first:last]
+            mine, others = self._own(a[at[0]]), b[at]
+            self.present[mine] = True
+            inside = self.present[np.concatenate([self._own(other) for other in others.tolist()])]
+            found[at] = np.add.reduceat(inside, np.cumsum(n[others]) - n[others], dtype=np.int64)
+            self.present[mine] = False
+        return found
+
+
+def _tile(columns: list[np.ndarray], maps: _Bitmaps | _Sets):
+    """Pairs of one tile, as places: columns low, high, block, upper, class, n, root, place, before, further.
+
+    The caller may join groups in ``root`` between the pairs it gets.
+    """
     low, high, of_block, upper, key, n, root, place, before, further = columns
-    maps, left_over = _Bitmaps(bits), n - place
+    left_over = n - place
     for at in range(0, len(key), 512):
         some = slice(at, at + 512)
         fits = (root[some, None] != root[None, :]) & (key[some, None] < key[None, :])
@@ -356,7 +389,56 @@ def _tile(columns: list[np.ndarray], bits: list[bytes]):
         a, b = rows + at, others
         near = linked(maps.room(a, b, n), n[a], n[b]) if len(a) else np.zeros(0, bool)
         if near.any():
-            yield key[a[near]], key[b[near]]
+            yield a[near], b[near]
+
+
+def _parts(low: np.ndarray, high: np.ndarray, of_block: np.ndarray, n: np.ndarray):
+    """(low, high, members, their blocks): cells of at most PART_SHINGLES a side that hold every pair of a tile."""
+    part = np.zeros(len(n), dtype=np.int64)
+    sides = [of_block == block for block in np.unique(of_block)]
+    for side in sides:
+        part[side] = np.cumsum(n[side]) // PART_SHINGLES
+    if low[0] == high[0]:
+        for first in range(part.max() + 1):
+            for second in range(first, part.max() + 1):
+                members = np.flatnonzero((part == first) | (part == second))
+                yield first, second, members, part[members]
+    elif len(sides) == 2:  # the members of one block meet in a tile of their own
+        for first in range(part[sides[0]].max() + 1):
+            for second in range(part[sides[1]].max() + 1):
+                members = np.flatnonzero(np.where(sides[0], part == first, part == second))
+                yield 2 * first, 2 * second + 1, members, sides[1][members].astype(np.int64)
+
+
+MEMBER = ["token", "band", "low", "high", "cell", "other", "block", "upper", "a", "n", "root", "place", "before", "further"]
+FOUND = pa.schema([(name, pa.int64()) for name in [*MEMBER, "b"]])
+
+
+def _tiles(batches, columns: int, keys: int):
+    """The rows of each run of equal ``keys`` first columns: arrays, and a list of the last column."""
+    def joined(parts):
+        return [*(np.concatenate(p) for p in list(zip(*parts))[:-1]), [item for part in parts for item in part[-1]]]
+
+    def give(held):
+        starts, ends = _runs(np.rec.fromarrays(held[:keys]))
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            yield [column[a:b] for column in held]
+
+    held: list[list] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        read = [*(batch.column(at).to_numpy() for at in range(columns - 1)), batch.column(columns - 1).to_pylist()]
+        cut = int(_runs(np.rec.fromarrays(read[:keys]))[0][-1])
+        if cut == 0 and held and all(h[0] == c[0] for h, c in zip(held[-1][:keys], read[:keys])):
+            held.append(read)
+            continue
+        head = [column[:cut] for column in read]
+        if held or cut:
+            yield from give(joined([*held, head]) if held else head)
+        held = [[column[cut:] for column in read]]
+    if held:
+        yield from give(joined(held))
 
 
 def tile_pairs(rows: DataFrame) -> DataFrame:
@@ -366,6 +448,7 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
     class before this one, 0 for none), bits, blocks. The rows of a token with several
     blocks go to every pair of blocks with their own. A size band spans a factor of eight;
     rows so near its upper end that larger sets of the next band can fit also go there.
+    A tile with more pairs than members gives its members (``a``, and no ``b``) for ``crowded``.
     """
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
@@ -381,46 +464,73 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
                 "class", "n", "root", "place", "before", "further", "bits"))
     dealt = dealt.repartition("token", "band", "low", "high").sortWithinPartitions("token", "band", "low", "high")
 
+    def members(columns):
+        token, band, low, high, of_block, own_band, *rest = columns
+        for first, second, some, side in _parts(low, high, of_block, rest[1]):
+            given = [token, band, low, high, np.full(len(token), first), np.full(len(token), second)]
+            given = [column[some] for column in given] + [side, (own_band == band)[some], *(column[some] for column in rest)]
+            arrays = [pa.array(column.astype(np.int64)) for column in given]
+            yield pa.record_batch([*arrays, pa.nulls(len(some), pa.int64())], schema=FOUND)
+
     def run(batches):
-        held: list[list] = []
-
-        def give(columns):
-            *numbers, bits = columns
-            token, band, low, high, of_block, own_band, key, n, root, place, before, further = numbers
-            starts, ends = _runs(np.rec.fromarrays([token, band, low, high]))
-            found, waiting = [], 0
-            for a, b in zip(starts.tolist(), ends.tolist()):
-                if b - a > 1 and (root[a:b] != root[a]).any():
-                    tile = [low[a:b], high[a:b], of_block[a:b], own_band[a:b] == band[a:b], *(
-                        column[a:b] for column in (key, n, root, place, before, further))]
-                    for pair in _tile(tile, bits[a:b]):
-                        found.append(pair)
-                        waiting += len(pair[0])
-                    if waiting > 100_000:
-                        yield _pair_batch(found)
-                        found, waiting = [], 0
-            if found:
+        found, waiting = [], 0
+        for *numbers, bits in _tiles(batches, 13, 4):
+            token, band, low, high, of_block, own_band, key, n, root, *rest = numbers
+            if len(key) == 1 or (root == root[0]).all():
+                continue
+            mine, count = [], 0
+            for a, b in _tile([low, high, of_block, own_band == band, key, n, root, *rest], _Bitmaps(bits)):
+                mine.append((key[a], key[b]))
+                count += len(a)
+                if count > len(key):
+                    yield from members(numbers)
+                    break
+            else:
+                found, waiting = found + mine, waiting + count
+            if waiting > 100_000:
                 yield _pair_batch(found)
+                found, waiting = [], 0
+        if found:
+            yield _pair_batch(found)
 
-        def joined(parts):
-            return [*(np.concatenate(p) for p in list(zip(*parts))[:-1]), [item for part in parts for item in part[-1]]]
+    return dealt.mapInArrow(run, ", ".join(f"{name} bigint" for name in FOUND.names))
+
+
+def crowded(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``u``, ``v``: joined groups, by the sets of the members of tiles with many pairs."""
+    texts = class_texts(members.select(F.col("a").alias("class")), docs, classes)
+    cell = MEMBER[:6]
+    dealt = members.drop("b").join(texts.withColumnRenamed("class", "a"), "a").select(*MEMBER, "text")
+    dealt = dealt.repartition(*cell).sortWithinPartitions(*cell)
+
+    def run(batches):
+        for columns in _tiles(batches, len(MEMBER) + 1, len(cell)):
+            first, second, of_block, upper, key, n, root, *rest = columns[4:-1]
+            sets, root = _Sets(shingle_sets(_bytes(columns[-1]))), root.copy()
+            before = root.copy()
+            for a, b in _tile([first, second, of_block, upper == 1, key, n, root, *rest], sets):
+                root[:] = _joined(root, root[a], root[b])
+            edges = np.unique(np.column_stack([before, root])[before != root], axis=0)
+            yield pa.record_batch([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], names=["u", "v"])
+
+    return dealt.mapInArrow(run, "u bigint, v bigint").distinct()
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [*(batch.column(at).to_numpy() for at in range(12)), batch.column(12).to_pylist()]
-            cut = int(_runs(np.rec.fromarrays(columns[:4]))[0][-1])
-            if cut == 0 and held and all(h[0] == c[0] for h, c in zip(held[-1][:4], columns[:4])):
-                held.append(columns)
-                continue
-            head = [column[:cut] for column in columns]
-            if held or cut:
-                yield from give(joined([*held, head]) if held else head)
-            held = [[column[cut:] for column in columns]]
-        if held:
-            yield from give(joined(held))
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+def _joined(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``root`` after joining the groups ``left`` and ``right``, named by the smallest."""
+    over: dict[int, int] = {}
+
+    def top(name):
+        while name in over:
+            name = over[name]
+        return name
+
+    for a, b in np.unique(np.column_stack([left, right]), axis=0).tolist():
+        a, b = top(a), top(b)
+        if a != b:
+            over[max(a, b)] = min(a, b)
+    names, place = np.unique(root, return_inverse=True)
+    return np.array([top(name) for name in names.tolist()], dtype=np.int64)[place]
 
 
 @F.pandas_udf(T.BinaryType())
@@ -431,7 +541,8 @@ def folded(bits: pd.Series) -> pd.Series:
 
 def _pair_batch(found):
     pairs = np.unique(np.column_stack([np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])]), axis=0)
-    return pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+    held = {"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())}
+    return pa.record_batch([held.get(name, pa.nulls(len(pairs), pa.int64())) for name in FOUND.names], schema=FOUND)
 
 
 def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -449,15 +560,13 @@ def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return by_batch(joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b"), "a bigint, b bigint", work)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``u``, ``v``, ``common``: the pairs whose sets reach the threshold, by the sets themselves.
+def class_texts(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``class`` and ``text``: one text of every wanted class.
 
-    Only the texts of classes that have a pair travel. Their ids are sent to the scan while
-    there are at most BROADCAST_ROWS of them; beyond that the texts are joined by id.
+    Only these texts travel. Their ids are sent to the scan while there are at most
+    BROADCAST_ROWS of them; beyond that the texts are joined by id.
     """
-    needed = settle(
-        pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        .join(classes.select("class", "first_id"), "class"))
+    needed = settle(wanted.distinct().join(classes.select("class", "first_id"), "class"))
     keys = needed.select(F.col("first_id").alias("_id"), F.col("class").alias("_class"))
     if needed.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
@@ -468,7 +577,12 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         kept = [len(s) > 0 and class_of(s) == key for s, key in zip(sets, batch.column(0).to_pylist())]
         yield pa.record_batch(batch.columns, names=["class", "text"]).filter(pa.array(kept, pa.bool_()))
 
-    texts = settle(by_batch(found, "class bigint, text string", same_class).dropDuplicates(["class"]))
+    return settle(by_batch(found, "class bigint, text string", same_class).dropDuplicates(["class"]))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``u``, ``v``, ``common``: the pairs whose sets reach the threshold, by the sets themselves."""
+    texts = class_texts(pairs.select(F.col("a").alias("class")).union(pairs.select("b")), docs, classes)
 
     def side(name):
         return texts.select(F.col("class").alias(name), F.col("text").alias(f"text_{name}"))
@@ -527,8 +641,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     blocks = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
     tiles = placed.join(open_.select("token", blocks.alias("blocks")), "token").join(
         classes.select("class", folded("bits").alias("bits")), "class")
-    more = settle(bounded(tile_pairs(tiles), classes))
+    found = settle(tile_pairs(tiles))
+    more = settle(bounded(found.where("b is not null").select("a", "b").distinct(), classes))
     links = links.union(verified(more, small, classes).select("u", "v"))
+    members = found.where("b is null")
+    if not members.isEmpty():
+        links = links.union(crowded(members, small, classes))
 
     # 4: components, named by the smallest id
     roots = settle(components(links)).withColumnRenamed("node", "class")

@@ -119,3 +119,47 @@ def test_components(spark):
         parent[b] = a
     linked = {x for u, v in edges if u != v for x in (u, v)}
     assert found == {x: root(x) for x in linked}
+
+
+def test_texts_that_are_nearly_near_enough_make_no_rows_per_pair(spark, monkeypatch):
+    """Variants of one text, most pairs just under the threshold: members leave their tile, not pairs."""
+    base = prose(900, 150)
+    rows = [(i, near(base, i, 4 + i % 3)) for i in range(150)] + [(500 + i, prose(i, 60)) for i in range(20)]
+    made, given = {}, jaccard.tile_pairs
+
+    def counted(tiles):
+        found = given(tiles).cache()
+        made.update(members=found.where("b is null").count(), pairs=found.where("b is not null").count())
+        return found
+
+    monkeypatch.setattr(jaccard, "tile_pairs", counted)
+    found = {row.doc_id: (row.n_shingles, row.component_id) for row in jaccard.join(docs_of(spark, rows)).collect()}
+    assert found == {doc: (n, component) for doc, n, component in brute(rows)}
+    assert made["members"] > 0 and made["pairs"] <= len(rows)
+
+
+def test_parts_of_a_crowded_tile_hold_every_pair(monkeypatch):
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 25)
+    n = np.array([7, 9, 3, 30, 4, 8, 12, 1, 5])
+    for high, of_block in ((0, np.zeros(9, dtype=np.int64)), (1, np.array([0, 1, 0, 0, 1, 1, 0, 1, 0]))):
+        met = set()
+        for first, second, members, side in jaccard._parts(np.zeros(9), np.full(9, high), of_block, n):
+            met |= {(a, b) for x, a in enumerate(members.tolist()) for y, b in enumerate(members.tolist())
+                    if a < b and (first == second or side[x] != side[y])}
+        assert met == {(a, b) for b in range(9) for a in range(b) if not high or of_block[a] != of_block[b]}
+
+
+def test_sets_of_a_tile_give_the_overlap_itself():
+    sets = jaccard.shingle_sets([near(prose(7, 90), i, i % 5).encode() for i in range(30)])
+    n = np.array([len(s) for s in sets])
+    a, b = (side.ravel() for side in np.meshgrid(range(30), range(30)))
+    common = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)])
+    found = jaccard._Sets(sets).room(a, b, n)
+    link = jaccard.linked(common, n[a], n[b])
+    assert (jaccard.linked(found, n[a], n[b]) == link).all() and (found[link] == common[link]).all()
+    assert 0 < link.sum() < len(link)
+
+
+def test_joined_groups_take_the_smallest_name():
+    root = np.array([5, 3, 9, 5, 7, 8])
+    assert jaccard._joined(root, np.array([5, 9]), np.array([7, 3])).tolist() == [5, 3, 3, 5, 5, 8]
