@@ -414,15 +414,17 @@ MEMBER = ["token", "band", "low", "high", "cell", "other", "block", "upper", "a"
 FOUND = pa.schema([(name, pa.int64()) for name in [*MEMBER, "b"]])
 
 
-def _tiles(batches, columns: int, keys: int):
-    """The rows of each run of equal ``keys`` first columns: arrays, and a list of the last column."""
+def _tiles(batches, columns: int, keys: int, group: int):
+    """The rows of each run of equal ``keys`` first columns that holds several groups: arrays, and a list of the last column."""
     def joined(parts):
         return [*(np.concatenate(p) for p in list(zip(*parts))[:-1]), [item for part in parts for item in part[-1]]]
 
     def give(held):
         starts, ends = _runs(np.rec.fromarrays(held[:keys]))
+        root = held[group]
         for a, b in zip(starts.tolist(), ends.tolist()):
-            yield [column[a:b] for column in held]
+            if b - a > 1 and (root[a:b] != root[a]).any():
+                yield [column[a:b] for column in held]
 
     held: list[list] = []
     for batch in batches:
@@ -474,10 +476,8 @@ def tile_pairs(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         found, waiting = [], 0
-        for *numbers, bits in _tiles(batches, 13, 4):
+        for *numbers, bits in _tiles(batches, 13, 4, 8):
             token, band, low, high, of_block, own_band, key, n, root, *rest = numbers
-            if len(key) == 1 or (root == root[0]).all():
-                continue
             mine, count = [], 0
             for a, b in _tile([low, high, of_block, own_band == band, key, n, root, *rest], _Bitmaps(bits)):
                 mine.append((key[a], key[b]))
@@ -504,7 +504,7 @@ def crowded(members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     dealt = dealt.repartition(*cell).sortWithinPartitions(*cell)
 
     def run(batches):
-        for columns in _tiles(batches, len(MEMBER) + 1, len(cell)):
+        for columns in _tiles(batches, len(MEMBER) + 1, len(cell), MEMBER.index("root")):
             first, second, of_block, upper, key, n, root, *rest = columns[4:-1]
             sets, root = _Sets(shingle_sets(_bytes(columns[-1]))), root.copy()
             before = root.copy()
