@@ -25,6 +25,7 @@ them. Line keys have 64 bits.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ SEEN = 300_000               # line keys a task remembers to skip repeats; speed
 
 UNIT_SCHEMA = "doc_id bigint, key binary, unit int, start int, stop int, line bigint"
 _BASE = 0x9E3779B97F4A7C15
+MIXED = 1 << 16              # code points whose hashes are looked up, the others are computed
+LANE = 65_535                # most characters of a line that are counted four buckets at a time
 
 
 def line_key(line: str) -> int:
@@ -113,29 +116,63 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return found
 
 
+@lru_cache(maxsize=1)
+def _mixed() -> np.ndarray:
+    return mix(np.arange(MIXED, dtype=np.uint64))
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """``mix`` of code points."""
+    table = _mixed()
+    found, large = table[np.minimum(values, MIXED - 1)], np.flatnonzero(values >= MIXED)
+    found[large] = mix(values[large].astype(np.uint64))
+    return found
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``size`` powers of the base and of its inverse modulo 2^64."""
+    power, inverse = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
+    power[0] = inverse[0] = 1
+    return np.cumprod(power, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+
+
+def code_points(lines: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+
+
 def char_counts(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Eight counts of hashed characters, modulo 256, in one number per line."""
-    which = (mix(codes.astype(np.uint64)) & np.uint64(7)).astype(np.int64)
+    which = (mixed(codes) & np.uint64(7)).astype(np.uint8)
     ones = np.uint64(1) << (np.arange(8, dtype=np.uint64) * np.uint64(8))
     made = np.zeros(len(starts), dtype=np.uint64)
-    for bucket in range(8):
-        run = np.zeros(len(codes) + 1, dtype=np.int64)
-        np.cumsum(which == bucket, out=run[1:])
-        made += ((run[starts + lengths] - run[starts]) & 255).astype(np.uint64) * ones[bucket]
+    if len(lengths) and lengths.max() > LANE:
+        for bucket in range(8):
+            run = np.zeros(len(codes) + 1, dtype=np.int64)
+            np.cumsum(which == bucket, out=run[1:])
+            made += ((run[starts + lengths] - run[starts]) & 255).astype(np.uint64) * ones[bucket]
+        return made
+    # four counts of 16 bits in one running sum; no count of a line passes its 16 bits
+    run = np.zeros(len(codes) + 1, dtype=np.uint64)
+    for half in range(2):
+        lanes = np.zeros(8, dtype=np.uint64)
+        lanes[4 * half:4 * half + 4] = np.uint64(1) << (np.arange(4, dtype=np.uint64) * np.uint64(16))
+        np.cumsum(lanes[which], out=run[1:])
+        sums = run[starts + lengths] - run[starts]
+        for lane in range(4):
+            made += ((sums >> np.uint64(16 * lane)) & np.uint64(255)) * ones[4 * half + lane]
     return made
 
 
-def keys_of(lines: list[str], edits: int = EDITS):
+def keys_of(lines: list[str], edits: int = EDITS, codes: np.ndarray | None = None):
     """(key, line number, whether it is a segment of the line itself) of all lines of a batch."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    codes = code_points(lines) if codes is None else codes
     lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     starts = np.cumsum(lengths) - lengths
     size = len(codes) + 1
-    power, inverse = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
-    power[0] = inverse[0] = 1
-    power, inverse = np.cumprod(power, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
+    power, inverse = _powers(max(1 << 20, 1 << size.bit_length()))
     total = np.zeros(size, dtype=np.uint64)
-    np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    np.cumsum(mixed(codes + np.uint32(1)) * power[:size - 1], out=total[1:])
 
     def hashed(at, width, length, number):
         inside = (total[at + width] - total[at]) * inverse[at]
@@ -173,11 +210,11 @@ def keyed(docs: DataFrame, least: int = LEAST_CHARS, edits: int = EDITS) -> Data
                         names.append(name)
             if not lines:
                 continue
-            codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+            codes = code_points(lines)
             lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
             counts = char_counts(codes, np.cumsum(lengths) - lengths, lengths)
             key_of = np.asarray(names, dtype=np.int64)
-            for token, which, own in keys_of(lines, edits):
+            for token, which, own in keys_of(lines, edits, codes):
                 yield pa.record_batch(
                     [pa.array(token.view(np.int64)), pa.array(key_of[which]), pa.array(counts[which].view(np.int64)),
                      pa.array(lengths[which] * 2 + own)], names=["token", "line", "counts", "form"])

@@ -1,11 +1,13 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lectern.llm import jaccard, lineedit, linehash
+from lectern.llm.common import mix
 from lectern.llm.queries import QUERIES
 from tests.llm.helpers import docs_of, prose
 
@@ -49,6 +51,21 @@ def test_every_near_pair_shares_a_key(line, changes, edits):
     assert own[0] & probed[1] or own[1] & probed[0]
 
 
+@pytest.mark.parametrize("longest", [300, 70_000])
+def test_counted_and_hashed_characters(longest):
+    """Running sums of several counts at once, and hashes looked up, against one character at a time."""
+    draw = random.Random(longest)
+    letters = "ab é\uffff\U00010000\U0001f600"
+    lines = ["".join(draw.choices(letters, k=k)) for k in (1, 2, 255, 256, 257, longest)] + ["a" * longest]
+    codes = lineedit.code_points(lines)
+    lengths = np.array([len(line) for line in lines])
+    assert (lineedit.mixed(codes + np.uint32(1)) == mix(codes.astype(np.uint64) + np.uint64(1))).all()
+    found = np.ascontiguousarray(lineedit.char_counts(codes, np.cumsum(lengths) - lengths, lengths)).view(np.uint8).reshape(-1, 8)
+    for line, counts in zip(lines, found.tolist()):
+        buckets = [int(mix(np.array([ord(c)], dtype=np.uint64))[0]) & 7 for c in line]
+        assert counts == [buckets.count(bucket) % 256 for bucket in range(8)]
+
+
 def changed(line, seed, edits):
     draw, made = random.Random(seed), list(line)
     for _ in range(edits):
