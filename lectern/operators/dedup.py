@@ -74,12 +74,17 @@ def merge_values(frame: DataFrame, key: str, columns: list[str], order: str, sep
 
     ``order`` comes back as the first row of the key. Rows without a key are not
     grouped: they pass through as they are. ``within`` (never NULL, such as the file)
-    keeps equal keys of different files apart.
+    keeps equal keys of different files apart. A key with one row needs no list: only the
+    rows of keys with several are taken apart into cells.
     """
     keys = [*within, key]
     keyed = frame.where(F.col(key).isNotNull())
     trimmed = keyed.select(*keys, order, *[strip(F.col(name).cast("string")).alias(name) for name in columns])
-    cells = _cells_of(trimmed, keys, columns, order)
+    sizes = settle(group_sizes(trimmed, keys))
+    marked = settle(attach(trimmed, sizes, keys, "group_rows", F.col(order), how="inner"))
+    alone = marked.where("group_rows = 1").select(*keys, order, *[F.nullif(F.col(name), F.lit("")).alias(name) for name in columns])
+    several = marked.where("group_rows > 1").drop("group_rows")
+    cells = _cells_of(several, keys, columns, order)
     merged = cells.groupBy(*keys).agg(*[
         F.array_join(_in_order(F.col("_place") == place), separator).alias(f"_c{place}")
         for place in range(len(columns))
@@ -88,8 +93,8 @@ def merge_values(frame: DataFrame, key: str, columns: list[str], order: str, sep
         F.nullif(F.col(f"_c{place}"), F.lit("")).alias(name) for place, name in enumerate(columns)
     ])
     # a key whose columns are all empty has no cells but is still one row
-    bare = keyed.groupBy(*keys).agg(F.min(order).alias(order))
-    together = bare.join(merged, keys, "left")
+    bare = several.groupBy(*keys).agg(F.min(order).alias(order))
+    together = bare.join(merged, keys, "left").unionByName(alone)
     unkeyed = frame.where(F.col(key).isNull()).select(
         *keys, order, *[F.col(name).cast("string").alias(name) for name in columns]
     )

@@ -380,3 +380,13 @@ def test_merging_stays_inside_a_file(spark):
                                   "n long, file string, rec string, body string, note string")
     kept = dedup.consolidate_text_column(texts, "rec", "n", "body", ["file"])
     assert rows_of(kept, "file", "body") == [("a", "x y"), ("b", "z")]
+
+
+def test_only_rows_of_repeated_keys_become_cells(spark, monkeypatch):
+    given, counted = dedup._cells_of, []
+    monkeypatch.setattr(dedup, "_cells_of", lambda frame, *rest: counted.append(frame.count()) or given(frame, *rest))
+    rows = [(1, "a", " x ", None), (2, "b", "y", ""), (3, "a", "z", None), (4, None, " q ", "r"), (5, "c", " ", "s;s")]
+    frame = spark.createDataFrame(rows, "row int, id string, v string, w string")
+    found = sorted((tuple(r) for r in dedup.merge_values(frame, "id", ["v", "w"], "row").select("row", "id", "v", "w").collect()))
+    assert found == [(1, "a", "x;z", None), (2, "b", "y", None), (4, None, " q ", "r"), (5, "c", None, "s;s")]
+    assert counted == [2]
