@@ -11,6 +11,10 @@ titles are dealt to blocks of at most ``BLOCK``; every block meets the held titl
 sorted stream, counts what they share from its own inverted index and keeps the ``top_n``
 of each of its titles. Memory is that of a block; what is shuffled is the held titles once
 per block. Nothing is cut but by ``probes`` and ``top_n``.
+
+The result lists every copy of a book with every copy of its works, so it grows with the
+square of the copies. It is dealt in squares of about ``SIDE`` rows a side: a title with many
+copies is made by many tasks, and what is shuffled for it is the result divided by ``SIDE``.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ PROBES = 16
 TOP_N = 25
 BLOCK = 8192        # asked titles that one index holds
 PART_ROWS = 2048    # fewest held titles worth an index of their own
+SIDE = 1024         # rows of books, and of works, that one square of the result pairs
+STEP = 256          # held titles that are counted before the best are chosen again
 DENSE = 4096        # trigrams of a block, its most frequent, that are counted by rows of a matrix
 
 
@@ -41,10 +47,14 @@ def trigrams(text: Column) -> Column:
     return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(runs))
 
 
+def numbered(norms: DataFrame) -> DataFrame:
+    """``id``, ``norm`` and ``rows`` (how many have it), once for every normalised title that has any trigram."""
+    counted = norms.where("norm <> ''").groupBy("norm").agg(F.count("*").alias("rows"))
+    return settle(counted.select(F.monotonically_increasing_id().alias("id"), "norm", "rows"))
+
+
 def distinct_titles(rows: DataFrame, title: str) -> DataFrame:
-    """``id`` and ``norm``, once for every normalised title that has any trigram."""
-    norms = rows.select(normalize_text(title).alias("norm")).where("norm <> ''").distinct()
-    return settle(norms.select(F.monotonically_increasing_id().alias("id"), "norm"))
+    return numbered(rows.select(normalize_text(title).alias("norm")))
 
 
 def postings(titles: DataFrame) -> DataFrame:
@@ -92,7 +102,7 @@ class Block:
         self.ids, self.count = np.array(ids, dtype=np.int64), len(ids)
         self.vocabulary, place, offsets = title_grams(norms)
         self.sizes = np.diff(offsets)
-        self.counter = np.uint8 if self.sizes.max() < 256 else np.int32
+        self.counter = np.uint8 if self.sizes.max() < 255 else np.int32
         owner = np.repeat(np.arange(self.count), self.sizes)
         order = np.argsort(place, kind="stable")
         self.owners = owner[order]
@@ -105,11 +115,12 @@ class Block:
         self.matrix = np.zeros((len(frequent), self.count), dtype=self.counter)
         shown = self.row[place] >= 0
         self.matrix[self.row[place[shown]], owner[shown]] = 1
+        self.lines = self.matrix[:0]
         self.probes = None if probes[0] is None else self._probes(probes)
-        # overlap -1: free; least: what the next title of this place must exceed, times the sizes
+        # overlap -1: free
         self.overlaps = np.full((self.count, top_n), -1, dtype=np.int64)
         self.found = np.zeros((self.count, top_n), dtype=np.int64)
-        self.more, self.times_size = np.zeros(self.count, dtype=np.int64), np.zeros(self.count, dtype=np.int64)
+        self.fed = 0
 
     def _probes(self, probes: list[str]) -> np.ndarray:
         """Places in the vocabulary of the probes of each title; one that no trigram has fills the rows up."""
@@ -125,34 +136,54 @@ class Block:
         own = np.minimum(np.searchsorted(self.vocabulary, vocabulary), len(self.vocabulary) - 1)
         own[self.vocabulary[own] != vocabulary] = -1
         place = own[place]
+        first = 0
+        while first < len(norms):
+            # few at first: a step takes whatever beats the best of the steps before
+            last = min(first + min(max(self.fed, 8), STEP), len(norms))
+            self._step(ids[first:last], place, offsets[first:last + 1])
+            self.fed, first = self.fed + last - first, last
+
+    def _step(self, ids: np.ndarray, place: np.ndarray, offsets: np.ndarray) -> None:
         present = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+        least, entries = {}, []
         for one, first, last in zip(ids.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-            grams = place[first:last]
+            size, grams = last - first, place[first:last]
             grams = grams[grams >= 0]
             rows = self.row[grams]
             # a count is no larger than the asked title
-            shared = np.add.reduce(self.matrix[rows[rows >= 0]], axis=0, dtype=self.counter)
-            for gram in grams[rows < 0].tolist():
+            rows = rows[rows >= 0]
+            if len(self.lines) < len(rows):
+                self.lines = np.empty((len(rows), self.count), dtype=self.counter)
+            lines = np.take(self.matrix, rows, axis=0, out=self.lines[:len(rows)], mode="clip")
+            shared = np.add.reduce(lines, axis=0, dtype=self.counter)
+            for gram in grams[self.row[grams] < 0].tolist():
                 shared[self.owners[self.starts[gram]:self.starts[gram + 1]]] += 1
-            better = (shared.astype(np.int64) * 2000 >= self.more * (last - first) + self.times_size) & (shared > 0)
-            asked = np.flatnonzero(better)
+            if size not in least:
+                least[size] = self._least(size)
+            asked = np.flatnonzero(shared >= least[size])
             if self.probes is not None and len(asked):
                 present[grams] = True
                 asked = asked[present[self.probes[asked]].any(axis=1)]
                 present[grams] = False
             if len(asked):
-                self._enter(asked, 2000 * shared[asked].astype(np.int64) // (self.sizes[asked] + last - first), one)
-
-    def _enter(self, asked: np.ndarray, overlap: np.ndarray, held: int) -> None:
-        """Behind the equal ones, whose texts are smaller."""
-        overlaps, found = self.overlaps[asked], self.found[asked]
-        at = (overlaps >= overlap[:, None]).sum(axis=1)[:, None]
-        columns = np.arange(overlaps.shape[1])
-        for table, old, new in ((self.overlaps, overlaps, overlap[:, None]), (self.found, found, held)):
-            behind = np.concatenate([old[:, :1], old[:, :-1]], axis=1)
-            table[asked] = np.where(columns < at, old, np.where(columns == at, new, behind))
-        self.more[asked] = self.overlaps[asked, -1] + 1
-        self.times_size[asked] = self.more[asked] * self.sizes[asked]
+                entries.append((asked, 2000 * shared[asked].astype(np.int64) // (self.sizes[asked] + size), np.full(len(asked), one)))
+        if entries:
+            self._enter(*map(np.concatenate, zip(*entries)))
+
+    def _least(self, size: int) -> np.ndarray:
+        """The fewest trigrams that a held title of ``size`` must share with each asked one to beat its last place."""
+        more = self.overlaps[:, -1] + 1
+        return np.clip(-(-more * (self.sizes + size) // 2000), 1, self.sizes + 1).astype(self.counter)
+
+    def _enter(self, asked: np.ndarray, overlap: np.ndarray, held: np.ndarray) -> None:
+        """The best of the old and the new; equal ones stay in the order in which they came, that of their texts."""
+        touched, top_n = np.unique(asked), self.overlaps.shape[1]
+        owner = np.concatenate([np.repeat(touched, top_n), asked])
+        overlap = np.concatenate([self.overlaps[touched].ravel(), overlap])
+        held = np.concatenate([self.found[touched].ravel(), held])
+        order = np.lexsort((-overlap, owner))
+        chosen = order[np.searchsorted(owner[order], touched)[:, None] + np.arange(top_n)]
+        self.overlaps[touched], self.found[touched] = overlap[chosen], held[chosen]
 
     def best(self) -> pa.RecordBatch:
         rows, columns = np.nonzero(self.overlaps >= 0)
@@ -182,7 +213,8 @@ def nearest(asked: DataFrame, stored: DataFrame, top_n: int, block: int = BLOCK,
 
     rows = cells(asked, 0, dealt(blocks) * parts + F.col("other"), every(parts), F.col("probes")).union(
         cells(stored, 1, F.col("other") * parts + dealt(parts), every(blocks), F.lit(None).cast("string")))
-    rows = rows.repartition(blocks * parts, "cell").sortWithinPartitions("cell", "kind", "norm")
+    # a cell is a task: hashed, some tasks would get several and others none
+    rows = rows.repartitionById(blocks * parts, F.col("cell")).sortWithinPartitions("cell", "kind", "norm")
 
     def run(batches):
         cell, index, waiting = None, None, ([], [], [])
@@ -219,16 +251,50 @@ def title_candidates(books: DataFrame, works: DataFrame, key: str, book_title: s
     """
     if top_n < 1 or (probes is not None and probes < 1):
         raise ValueError("top_n and probes must be at least 1")
-    asked, stored = distinct_titles(books, book_title), distinct_titles(works, work_title)
+    # what a title is made from may be long (a page): it is read once
+    of_books = settle(books.select(F.col(key).alias("book"), normalize_text(book_title).alias("norm")))
+    of_works = settle(works.select(F.col(work_id).alias("work"), normalize_text(work_title).alias("norm")))
+    asked, stored = numbered(of_books.select("norm")), numbered(of_works.select("norm"))
     found = settle(nearest(settle(probed(asked, stored, probes)), stored, top_n))
-    named = found.join(stored.select(F.col("id").alias("held"), F.col("norm").alias("work_norm")), "held").join(
-        asked.select(F.col("id").alias("asked"), F.col("norm").alias("book_norm")), "asked")
+    named = found.join(stored.select(F.col("id").alias("held"), F.col("norm").alias("work_norm")), "held")
     place = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("overlap"), "work_norm"))
-    best = settle(named.withColumn("cand_rank", place).where(F.col("cand_rank") <= top_n))
-    of_books = books.select(key, normalize_text(book_title).alias("book_norm"))
-    of_works = works.select(F.col(work_id).alias("work_id"), normalize_text(work_title).alias("work_norm"))
-    return of_books.join(best, "book_norm").join(of_works, "work_norm").select(
-        key, F.col("work_id").alias(work_id), "cand_rank", "overlap")
+    best = settle(named.withColumn("cand_rank", place).where(F.col("cand_rank") <= top_n).drop("work_norm"))
+    return expanded(of_books.where("norm <> ''"), of_works.where("norm <> ''"), asked, stored, best, SIDE).select(
+        F.col("book").alias(key), F.col("work").alias(work_id), "cand_rank", "overlap")
+
+
+def expanded(of_books: DataFrame, of_works: DataFrame, asked: DataFrame, stored: DataFrame, best: DataFrame, side: int) -> DataFrame:
+    """``book``, ``work``, ``cand_rank``, ``overlap``: every book with every work that has one of its best titles.
+
+    The rows of a held title times the books that found it are one rectangle of the result;
+    it is cut into squares, each a key of its own in the last join. The number of tasks
+    follows the size of the result, which the size of what is joined does not tell.
+    """
+    def pieces(rows: str) -> Column:
+        return F.ceil(F.col(rows) / side).cast("int").alias(f"{rows}_pieces")
+
+    def dealt(row: str, ways: str) -> Column:
+        return F.pmod(F.xxhash64(row), F.col(ways)).cast("int")
+
+    def every(ways: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(ways) - 1))
+
+    finders = best.join(asked.select(F.col("id").alias("asked"), F.col("rows").alias("books")), "asked").groupBy("held").agg(
+        F.sum("books").alias("books"))
+    sized = settle(stored.select(F.col("id").alias("held"), "norm", F.col("rows").alias("works")).join(finders, "held").select(
+        "held", "norm", "works", "books", pieces("works"), pieces("books")))
+    size = sized.agg(F.sum(F.col("works") * F.col("books")).alias("size")).first()["size"] or 0
+    tasks = max(shuffle_width(best), ceil(size / (4 * side * side)))
+    links = best.join(sized.select("held", "works_pieces", "books_pieces"), "held").groupBy("asked").agg(
+        F.collect_list(F.struct("held", "cand_rank", "overlap", "works_pieces", "books_pieces")).alias("links"))
+    linked = settle(asked.select(F.col("id").alias("asked"), "norm", "rows").join(links, "asked").drop("asked"))
+    left = attach(of_books, linked, ["norm"], "rows", F.col("book"), how="inner").select(
+        "book", F.explode("links").alias("link")).select("book", "link.*").select(
+        "book", "held", "cand_rank", "overlap", dealt("book", "books_pieces").alias("book_piece"), every("works_pieces").alias("work_piece"))
+    right = attach(of_works, sized.drop("books"), ["norm"], "works", F.col("work"), how="inner").select(
+        "work", "held", every("books_pieces").alias("book_piece"), dealt("work", "works_pieces").alias("work_piece"))
+    square = ["held", "book_piece", "work_piece"]
+    return left.repartition(tasks, *square).join(right.repartition(tasks, *square), square)
 
 
 def recall(found: DataFrame, exact: DataFrame, key: str, work_id: str, top_n: int) -> DataFrame:

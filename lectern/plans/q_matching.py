@@ -227,7 +227,8 @@ FROM best JOIN rows x ON x.book_norm = a JOIN rows y ON y.work_norm = b WHERE pl
 
 
 def _found_titles(t, probes: int | None) -> DataFrame:
-    rows = t("pages").selectExpr("page_id", f"{PAGE_TITLE} AS title")
+    # written once: each mention of the title would search the page again
+    rows = settle(t("pages").selectExpr("page_id", f"{PAGE_TITLE} AS title"))
     asked = rows.selectExpr("page_id AS book_id", f"{ASKED_TITLE} AS title")
     works = rows.selectExpr("page_id AS work_id", "title")
     return candidates.title_candidates(asked, works, "book_id", work_id="work_id", top_n=5, probes=probes)

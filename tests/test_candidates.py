@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.operators import candidates, matching
 
@@ -103,3 +104,24 @@ def test_matching_over_generated_candidates(spark, titles):
     assert rows[901].match_status == rows[900].match_status == "no_results"
     unchanged = [key for key, title in titles[0] if title and title in {name for _, name in titles[1]}]
     assert unchanged and all(rows[key].title_score == 1.0 for key in unchanged)
+
+
+def test_one_cell_is_one_task(spark, titles):
+    """Dealt by a hash, some tasks counted several cells and others none."""
+    books, works = frames(spark, titles)
+    asked, stored = candidates.distinct_titles(books, "title"), candidates.distinct_titles(works, "title")
+    found = candidates.nearest(candidates.probed(asked, stored, None), stored, 3, block=20, part_rows=10**9)
+    assert found.select(F.spark_partition_id()).distinct().count() == -(-asked.count() // 20)
+
+
+def test_copies_are_dealt_in_squares(spark, monkeypatch):
+    """Every copy with every copy, and no task makes them all."""
+    monkeypatch.setattr(candidates, "SIDE", 8)
+    books = spark.range(90).selectExpr("id as rows", "if(id < 70, 'casa de la luna', concat('libro ', id)) as title")
+    works = spark.range(120).selectExpr("id as held", "if(id < 100, 'Casa de la Luna', concat('libro ', id)) as title")
+    result = candidates.title_candidates(books, works, "rows", work_id="held", top_n=1, probes=None)
+    made = [row["count"] for row in result.groupBy(F.spark_partition_id()).count().collect()]
+    found = {(row.rows, row.held): (row.cand_rank, row.overlap) for row in result.collect()}
+    assert {pair for pair in found if pair[0] < 70} == {(book, work) for book in range(70) for work in range(100)}
+    assert all(found[book, work] == (1, 1000) for book, work in found if book < 70)
+    assert len(made) > 2 and max(made) < 3500 and sum(made) == result.count() == len(found)
