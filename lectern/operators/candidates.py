@@ -1,16 +1,16 @@
 """Candidates of a title search by shared character trigrams.
 
 For callers without a candidates table. Titles are normalised and each distinct one is
-taken once, so copies multiply nothing. A title looks up its ``probes`` trigrams that the
-fewest held titles have (ties in the order of the trigrams); every title found that way is
-compared in full, by the trigrams that both have, and the ``top_n`` best stay. With
-``probes=None`` all trigrams are looked up: every pair that shares any trigram counts.
+taken once, so copies multiply nothing. A title looks up all its trigrams: every pair that
+shares any is compared in full, by the trigrams that both have, and the ``top_n`` best stay.
+A caller who names a number of ``probes`` has only so many looked up, those that the fewest
+held titles have (ties in the order of the trigrams), and loses the titles found by others.
 
 The pairs of titles grow with the square of the titles, so no pair is ever a row. The asked
 titles are dealt to blocks of at most ``BLOCK``; every block meets the held titles as a
 sorted stream, counts what they share from its own inverted index and keeps the ``top_n``
 of each of its titles. Memory is that of a block; what is shuffled is the held titles once
-per block. Nothing is cut but by ``probes`` and ``top_n``.
+per block. Nothing is cut but by ``top_n``, and by ``probes`` where a caller names them.
 
 The result lists every copy of a book with every copy of its works, so it grows with the
 square of the copies. It is dealt in squares of about ``SIDE`` rows a side: a title with many
@@ -30,7 +30,6 @@ from lectern.functions.text import bind, normalize_text
 from lectern.operators.skew import attach, shuffle_width
 from lectern.session import settle
 
-PROBES = 16
 TOP_N = 25
 BLOCK = 8192        # asked titles that one index holds
 PART_ROWS = 2048    # fewest held titles worth an index of their own
@@ -242,7 +241,7 @@ def nearest(asked: DataFrame, stored: DataFrame, top_n: int, block: int = BLOCK,
 
 
 def title_candidates(books: DataFrame, works: DataFrame, key: str, book_title: str = "title", work_id: str = "id",
-                     work_title: str = "title", top_n: int = TOP_N, probes: int | None = PROBES) -> DataFrame:
+                     work_title: str = "title", top_n: int = TOP_N, probes: int | None = None) -> DataFrame:
     """``key``, ``work_id``, ``cand_rank``, ``overlap``: the works whose titles share most trigrams with a book's.
 
     ``overlap`` is twice the shared trigrams over those of both titles, in thousandths

@@ -234,9 +234,9 @@ def _found_titles(t, probes: int | None) -> DataFrame:
     return candidates.title_candidates(asked, works, "book_id", work_id="work_id", top_n=5, probes=probes)
 
 
-@query("title_candidates", candidates_sql(candidates.PROBES, 5))
+@query("title_candidates", candidates_sql(None, 5))
 def title_candidates(t):
-    return _found_titles(t, candidates.PROBES)
+    return _found_titles(t, None)
 
 
 @query("title_candidates_all", candidates_sql(None, 5))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators import candidates, matching
+from lectern.plans.queries import QUERIES
 
 WORDS = "casa luna mar sol libro historia breve arte poder tierra agua fuego noche tiempo ciudad puente camino verde".split()
 
@@ -125,3 +126,26 @@ def test_copies_are_dealt_in_squares(spark, monkeypatch):
     assert {pair for pair in found if pair[0] < 70} == {(book, work) for book in range(70) for work in range(100)}
     assert all(found[book, work] == (1, 1000) for book, work in found if book < 70)
     assert len(made) > 2 and max(made) < 3500 and sum(made) == result.count() == len(found)
+
+
+def test_query_finds_titles_that_share_only_frequent_trigrams(spark, tmp_path):
+    """The 16 rarest trigrams of a title were looked up, and what shares others only was no candidate."""
+    common, rare = "historia breve de la ciudad", "qwx zyk vjh pfg wbm kqd"
+    held = [f"{common} {rare}", *[f"{common} {word}" for word in WORDS], *[f"{piece} {word}" for piece in rare.split() for word in WORDS[:3]]]
+    pages = [(3 * k + 2, f"<title>{title}</title>") for k, title in enumerate(held)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {}
+    for row in QUERIES["title_candidates"](spark, str(tmp_path)).collect():
+        found.setdefault(row.book_id, set()).add((row.work_id, row.cand_rank, row.overlap))
+    titles = [(page, title) for (page, _), title in zip(pages, held)]
+    assert found == brute(titles, titles, 5)
+
+
+def test_probes_are_asked_for(spark, titles):
+    """Without them every trigram is looked up; 16 of them still find nearly all."""
+    books, works = frames(spark, titles)
+    whole = candidates.title_candidates(books, works, "book", top_n=5)
+    assert listed(whole) == brute(*titles, 5)
+    few = candidates.title_candidates(books, works, "book", top_n=10, probes=16)
+    exact = candidates.title_candidates(books, works, "book", top_n=10)
+    assert 0.9 <= candidates.recall(few, exact, "book", "id", 5).first().recall
