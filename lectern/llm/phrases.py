@@ -9,12 +9,14 @@ Level by level, phrases that can reach LEAST occurrences are found first (their
 do): each task lists the distinct phrases of its texts whose parts are frequent, with their
 number up to LEAST, and those that reach LEAST over all tasks are candidates. Which parts are frequent is sent as a
 bitmap of fixed size (2^26 bits of words, 2^27 of pairs); where codes share a bit it only
-lets more phrases pass. The candidates are numbered and dealt to double-array tries of at
-most TRIE_ENTRIES phrases, built by tasks, of which TRIES_AT_ONCE are broadcast at a time. For each, numpy
-advances the states of all positions of a bundle of texts together, one digit of a word's
-number after the other, drops those that leave the trie, and counts the accepting ones. The
-sums over the tasks are the exact counts. More candidates mean more readings of the texts
-(one for 4 million candidates), not larger broadcasts.
+lets more phrases pass. The candidates are dealt by a hash to double-array tries of about
+TRIE_ENTRIES phrases, each built by the task that uses it. The texts are read once more: every
+occurrence that a bitmap of all candidates lets pass is dealt to the one trie that may hold it,
+equal ones of a task together with their number. There numpy advances the states of many
+phrases together, one digit of a word's number after the other, drops those that leave the
+trie, and adds the numbers of the accepting ones: the sums are the exact counts. So the work
+grows with the texts and not with the texts times the tries, and no trie is broadcast or
+passes through the driver.
 
 Counts go back to phrases by ``skew.attach``, so that a word or pair which begins very many
 phrases is no single task. The score of a cut, floor(SCALE a^2 / (l r)), is taken in
@@ -27,19 +29,17 @@ aside, repeated rows count each, an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-import pickle
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import mix, prepare, settle
-from lectern.operators.skew import attach, sequential_ids, shuffle_width
+from lectern.operators.skew import attach, shuffle_width
 
 LEAST = 10                   # occurrences of a candidate
 COVERED = 50                 # percent of a phrase's occurrences inside a longer one that drop it
@@ -49,8 +49,10 @@ BUNDLE_BYTES = 1 << 23       # text that is counted together in a task
 SECTION_BYTES = 1 << 20      # text whose words are coded in one go
 WORD_BITS, PAIR_BITS = 26, 27
 CHECK_SEED = -1              # of the hash that tells words of one code apart
-TRIE_ENTRIES, TRIES_AT_ONCE = 1 << 17, 32    # a multiple of BLOCK
-BLOCK, TASKS_AT_ONCE = 1024, 64
+TRIE_ENTRIES, TRIE_LEAST = 1 << 17, 4096     # phrases of a trie, and the fewest that are worth one where tasks are free
+TRIES_AT_ONCE = 32           # tries that a task has at most, one after another
+LISTED_ROWS = 1 << 20        # phrases that a task lists before equal ones are put together
+LIST_ROWS, TASKS_AT_ONCE = 4096, 64          # phrases of a list dealt to a trie, and lists (of any tasks) that are walked together
 DIGIT = 11                   # bits of a word's number that one step of a trie reads; two steps a word
 SYMBOLS = 1 << DIGIT
 
@@ -225,8 +227,13 @@ def has(made: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
     return (made[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def distinct_rows(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of codes and how often each occurs; a shared sort key only parts a row's count."""
+def phrase_key(first, second, third):
+    """The key of a phrase of three words, or of two with a zero after them (that of the pair)."""
+    return pair_key(first, pair_key(second, third))
+
+
+def distinct_rows(columns: list[np.ndarray], times: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of codes and how often each occurs (once a row, or ``times``); a shared sort key only parts a row's count."""
     key = columns[0]
     for column in columns[1:]:
         key = pair_key(key, column)
@@ -235,7 +242,10 @@ def distinct_rows(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarr
     first = np.ones(len(order), dtype=bool)
     first[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in held])
     at = np.flatnonzero(first)
-    return [column[at] for column in held], np.diff(np.append(at, len(order)))
+    rows = [column[at] for column in held]
+    if times is None or not len(at):
+        return rows, np.diff(np.append(at, len(order)))
+    return rows, np.add.reduceat(times[order], at)
 
 
 def candidates(texts: DataFrame, seed: int, length: int, parts: np.ndarray, bits: int) -> DataFrame:
@@ -294,14 +304,34 @@ class Trie:
                 at, state = at[stays], state[stays]
                 stays = follows[at + depth] & (numbers[at + depth] >= 0)
                 at, state = at[stays], state[stays]
-            for shift in (DIGIT, 0):
-                moved = self.base[state] + ((numbers[at + depth] >> shift) & (SYMBOLS - 1))
-                stays = self.check[moved] == state
-                at, state = at[stays], moved[stays].astype(np.int64)
+            stays, state = self.advance(state, numbers[at + depth])
+            at = at[stays]
             accepted = self.accept[state]
             counts += np.bincount(accepted[accepted >= 0], minlength=self.entries)
         return counts
 
+    def advance(self, state: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which states the word with that number leads on, and where to."""
+        stays = np.arange(len(state))
+        for shift in (DIGIT, 0):
+            moved = self.base[state] + ((numbers[stays] >> shift) & (SYMBOLS - 1))
+            good = self.check[moved] == state
+            stays, state = stays[good], moved[good].astype(np.int64)
+        return stays, state
+
+    def tally(self, columns: list[np.ndarray], times: np.ndarray) -> np.ndarray:
+        """How often each entry occurs among phrases, given by the codes of their first, second, ... words and their number."""
+        state, at = np.zeros(len(times), dtype=np.int64), np.arange(len(times))
+        for column in columns:
+            numbers = self.number(column[at])
+            known = numbers >= 0
+            at, state, numbers = at[known], state[known], numbers[known]
+            stays, state = self.advance(state, numbers)
+            at = at[stays]
+        counts, accepted = np.zeros(self.entries, dtype=np.int64), self.accept[state]
+        np.add.at(counts, accepted[accepted >= 0], times[at[accepted >= 0]])
+        return counts
+
 
 def build(rows: np.ndarray, is_pair: np.ndarray, first: int) -> Trie:
     """The trie of phrases given as rows of three codes (the third unused for pairs), numbered from ``first``."""
@@ -388,81 +418,122 @@ def _placed(parents: np.ndarray, symbols: np.ndarray, nodes: int) -> tuple[np.nd
 
 
 def counted(texts: DataFrame, seed: int, found: DataFrame) -> DataFrame:
-    """``c1``, ``c2``, ``c3``, ``a``: the exact counts of the candidates, by tries over all texts."""
-    context = texts.sparkSession.sparkContext
-    numbered = settle(sequential_ids(found, ["c1", "c2", "c3"], "entry", start=0))
-    total = numbered.count()
-    made = settle(built(numbered))
-    sums = texts.sparkSession.createDataFrame([], "entry bigint, n bigint")
-    for begin in range(0, total, TRIE_ENTRIES * TRIES_AT_ONCE):
-        tries = []
-        for first in range(begin, min(total, begin + TRIE_ENTRIES * TRIES_AT_ONCE), TRIE_ENTRIES):
-            # one trie at a time passes through the driver, as the bytes that a task made
-            packed = made.where(F.col("trie") == first // TRIE_ENTRIES).select("packed").first()[0]
-            tries.append(context.broadcast(bytes(packed)))
-            del packed
-        sums = sums.union(settle(_sums(texts, seed, tries)))
-        for trie in tries:
-            trie.unpersist()
-    return numbered.join(sums, "entry").select("c1", "c2", "c3", F.col("n").alias("a")).where(F.col("a") >= LEAST)
-
-
-def built(numbered: DataFrame) -> DataFrame:
-    """``trie`` and the ``packed`` trie of every TRIE_ENTRIES candidates, each made by a task."""
-    entries = TRIE_ENTRIES
-
-    def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by("entry")
-        is_pair = table["c3"].is_null().to_numpy(zero_copy_only=False)
-        codes = [table[name].fill_null(0).to_numpy() for name in ("c1", "c2", "c3")]
-        trie = build(np.stack(codes, axis=1), is_pair, table["entry"][0].as_py())
-        return pa.table({"trie": [trie.first // entries], "packed": [zlib.compress(pickle.dumps(trie), 1)]},
-                        schema=pa.schema([("trie", pa.int64()), ("packed", pa.binary())]))
-
-    return numbered.withColumn("trie", F.floor(F.col("entry") / entries)).groupBy("trie").applyInArrow(
-        pack, "trie bigint, packed binary")
-
-
-def _sums(texts: DataFrame, seed: int, tries: list) -> DataFrame:
-    """``entry`` and its number ``n`` over all texts.
-
-    A task gives its counts as blocks of BLOCK numbers. The blocks of TASKS_AT_ONCE tasks are
-    added first, then those of all, so that rows and the size of a group grow with neither
-    the candidates nor the tasks alone.
+    """``c1``, ``c2``, ``c3``, ``a``: the exact counts of the candidates, by tries that all texts' occurrences are dealt to."""
+    key = phrase_key(F.col("c1"), F.col("c2"), F.coalesce("c3", F.lit(0)))
+    keyed = settle(found.withColumn("key", key))
+    total, width = keyed.count(), shuffle_width(texts)
+    tries = max(1, ceil(total / TRIE_ENTRIES), min(width, total // TRIE_LEAST))
+    tasks = max(min(tries, width), ceil(tries / TRIES_AT_ONCE))
+    entries = keyed.select(F.pmod("key", F.lit(tries)).alias("trie"), F.lit(0).cast("tinyint").alias("words"), "c1", "c2", "c3",
+                           F.lit(None).cast("binary").alias("list"))
+    lists = dealt(texts, seed, bitmap(keyed, PAIR_BITS), tries)
+    nothing = [F.lit(None).cast("bigint").alias(name) for name in ("c1", "c2", "c3")]
+    rows = entries.union(lists.select("trie", "words", *nothing, "list"))
+    # the candidates of a trie come before what is looked up in it
+    rows = rows.repartitionById(tasks, F.pmod("trie", F.lit(tasks)).cast("int")).sortWithinPartitions("trie", "words")
+    counts = rows.mapInArrow(_walked, "c1 bigint, c2 bigint, c3 bigint, pair boolean, a bigint")
+    return counts.where(F.col("a") >= LEAST).select("c1", "c2", F.when(~F.col("pair"), F.col("c3")).alias("c3"), "a")
+
+
+def dealt(texts: DataFrame, seed: int, marks: np.ndarray, tries: int) -> DataFrame:
+    """``trie``, ``words`` (2 or 3) and ``list``: all occurrences of phrases that the bitmap has, by the trie they belong to.
+
+    A list holds the codes of the first words of at most LIST_ROWS phrases, those of the
+    second (and third), and how often each occurs.
     """
-    schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("trie", pa.int64()), ("words", pa.int8()), ("list", pa.binary())])
+    sent = texts.sparkSession.sparkContext.broadcast(marks)
+
+    def together(held):
+        columns = [np.concatenate(column) for column in zip(*held)]
+        rows, times = distinct_rows(columns[:-1], columns[-1])
+        return [*rows, times]
+
+    def lists(columns):
+        third = columns[2] if len(columns) == 4 else np.zeros_like(columns[0])
+        trie = phrase_key(columns[0], columns[1], third) % tries
+        order = np.lexsort((columns[0], trie))       # equal first words together: shuffled lists are compressed
+        trie, columns = trie[order], [column[order] for column in columns]
+        edges = [0, *(np.flatnonzero(trie[1:] != trie[:-1]) + 1).tolist(), len(trie)]
+        cuts = [(at, min(at + LIST_ROWS, until)) for begin, until in zip(edges, edges[1:]) for at in range(begin, until, LIST_ROWS)]
+        for first in range(0, len(cuts), TASKS_AT_ONCE):
+            some = cuts[first:first + TASKS_AT_ONCE]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([trie[begin] for begin, _ in some], pa.int64()), pa.array([len(columns) - 1] * len(some), pa.int8()),
+                pa.array([b"".join(column[begin:until].tobytes() for column in columns) for begin, until in some], pa.binary())],
+                schema=schema)
 
     def run(batches):
-        part, counts = TaskContext.get().partitionId() // TASKS_AT_ONCE, {}
-        held = [pickle.loads(zlib.decompress(trie.value)) for trie in tries]
+        held = {2: [], 3: []}
         for words, _ in bundles(batches, seed):
-            for place, trie in enumerate(held):
-                more = trie.count(words.codes, words.follows)
-                counts[place] = more if place not in counts else counts[place] + more
-        for place, n in counts.items():
-            filled = np.zeros(-len(n) % BLOCK + len(n), dtype=np.int64)
-            filled[:len(n)] = n
-            blocks = [block.tobytes() for block in filled.reshape(-1, BLOCK)]
-            first = held[place].first // BLOCK
-            yield from _batches(schema, [np.arange(first, first + len(blocks)), [part] * len(blocks), blocks], 1024)
-
-    def added(table: pa.Table) -> np.ndarray:
-        total = np.zeros(BLOCK, dtype=np.int64)
-        for counts in table["counts"]:
-            total += np.frombuffer(counts.as_buffer(), dtype=np.int64)
-        return total
-
-    def add_part(table: pa.Table) -> pa.Table:
-        return pa.table({"block": table["block"][:1], "part": table["part"][:1], "counts": [added(table).tobytes()]}, schema=schema)
-
-    def add_all(table: pa.Table) -> pa.Table:
-        total = added(table)
-        at = np.flatnonzero(total)
-        return pa.table({"entry": at + table["block"][0].as_py() * BLOCK, "n": total[at]})
-
-    parts = texts.mapInArrow(run, "block bigint, part int, counts binary").groupBy("block", "part").applyInArrow(
-        add_part, "block bigint, part int, counts binary")
-    return parts.groupBy("block").applyInArrow(add_all, "entry bigint, n bigint")
+            codes, follows = words.codes, words.follows
+            pairs = pair_key(codes[:-1], codes[1:])
+            at = np.flatnonzero(follows[1:] & has(sent.value, PAIR_BITS, pairs))
+            held[2].append(together([[codes[at], codes[at + 1], np.ones(len(at), dtype=np.int64)]]))
+            # a frequent phrase begins with a frequent pair
+            at = at[at + 2 < len(codes)]
+            at = at[follows[at + 2]]
+            at = at[has(sent.value, PAIR_BITS, phrase_key(codes[at], codes[at + 1], codes[at + 2]))]
+            held[3].append(together([[codes[at], codes[at + 1], codes[at + 2], np.ones(len(at), dtype=np.int64)]]))
+            for length, some in held.items():
+                if sum(len(one[0]) for one in some) > LISTED_ROWS:
+                    one = together(some)
+                    held[length] = [one]
+                    if 2 * len(one[0]) > LISTED_ROWS:
+                        yield from lists(one)
+                        held[length] = []
+        for some in held.values():
+            if some:
+                yield from lists(together(some))
+
+    return texts.mapInArrow(run, "trie bigint, words tinyint, list binary")
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates of each trie with their counts, from rows in the order of trie and ``words`` (0: a candidate)."""
+    schema = pa.schema([("c1", pa.int64()), ("c2", pa.int64()), ("c3", pa.int64()), ("pair", pa.bool_()), ("a", pa.int64())])
+    number, entries, trie, counts, waiting = None, [], None, None, {2: [], 3: []}
+
+    def begun():
+        rows = np.stack([np.concatenate(column) for column in zip(*[one[:3] for one in entries])], axis=1)
+        return build(rows, np.concatenate([one[3] for one in entries]), 0)
+
+    def walk(length):
+        lists = [np.frombuffer(one, dtype=np.int64).reshape(length + 1, -1) for one in waiting[length]]
+        waiting[length].clear()
+        *columns, times = np.concatenate(lists, axis=1)
+        return trie.tally(columns, times)
+
+    def ended():
+        if trie is not None:
+            for length, some in waiting.items():
+                if some:
+                    counts[:] += walk(length)
+            *codes, pair = [np.concatenate(column) for column in zip(*entries)]
+            yield from _batches(schema, [*codes, pair, counts])
+        for some in waiting.values():
+            some.clear()
+
+    for batch in batches:
+        of, words = batch["trie"].to_numpy(), batch["words"].to_numpy()
+        edges = (np.flatnonzero((of[1:] != of[:-1]) | (words[1:] != words[:-1])) + 1).tolist()
+        for first, last in zip([0, *edges], [*edges, len(of)] if len(of) else []):
+            if of[first] != number:
+                yield from ended()
+                number, entries, trie, counts = of[first], [], None, None
+            part, length = batch.slice(first, last - first), int(words[first])
+            if length == 0:
+                codes = [part[name].fill_null(0).to_numpy() for name in ("c1", "c2", "c3")]
+                entries.append([*codes, part["c3"].is_null().to_numpy(zero_copy_only=False)])
+            elif entries:        # no candidate: what came here only shares bits with others
+                if trie is None:
+                    trie = begun()
+                    counts = np.zeros(trie.entries, dtype=np.int64)
+                for one in part["list"].to_pylist():
+                    waiting[length].append(one)
+                    if len(waiting[length]) >= TASKS_AT_ONCE:
+                        counts += walk(length)
+    yield from ended()
 
 
 # --- scores ---------------------------------------------------------------------------------

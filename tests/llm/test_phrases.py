@@ -143,3 +143,37 @@ def test_words_of_one_code_are_rows_of_their_own(spark, monkeypatch):
 def test_empty(spark):
     assert phrases.collocations(docs_of(spark, [])).collect() == []
     assert phrases.collocations(docs_of(spark, [(1, None), (2, "a b c")])).collect() == []
+
+
+def test_occurrences_are_dealt_to_one_trie_each(spark):
+    """Every text was walked through every trie, so that the work grew with the texts times the candidates."""
+    rows = awkward(40)
+    texts = docs_of(spark, rows).selectExpr("coalesce(text, '') as text", "coalesce(lang, 'und') as lang").repartition(3)
+    full = np.full(1 << (phrases.PAIR_BITS - 6), -1, dtype=np.int64).view(np.uint64)
+    expected = Counter()
+    for _, text, lang, *_ in rows:
+        for words in pieces(text):
+            expected.update((k, lang or "und", *words[i:i + k]) for k in (2, 3) for i in range(len(words) - k + 1))
+
+    def listed(tries):
+        places, times = {}, Counter()
+        for row in phrases.dealt(texts, 0, full, tries).collect():
+            *codes, n = np.frombuffer(row.list, dtype=np.int64).reshape(row.words + 1, -1)
+            for phrase, k in zip(zip(*codes), n.tolist()):
+                places.setdefault(phrase, set()).add(row.trie)
+                times[phrase] += k
+        assert all(len(found) == 1 for found in places.values())
+        return len(set.union(*places.values())), sorted(times.values())
+
+    assert listed(1) == (1, sorted(expected.values()))
+    assert listed(20) == (20, sorted(expected.values()))
+
+
+def test_many_small_tries(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "TRIE_LEAST", 8)
+    monkeypatch.setattr(phrases, "LISTED_ROWS", 50)
+    monkeypatch.setattr(phrases, "LIST_ROWS", 7)
+    monkeypatch.setattr(phrases, "TASKS_AT_ONCE", 3)
+    monkeypatch.setattr(phrases, "BUNDLE_BYTES", 300)
+    rows = awkward(30)
+    assert sorted(map(tuple, phrases.collocations(docs_of(spark, rows)).collect())) == brute(rows)
