@@ -2,14 +2,15 @@
 
 Token-set scores are closed-form column expressions. The Ratcliff-Obershelp ratio
 has no native counterpart: it runs as an Arrow function over pairs that were joined,
-normalised and made distinct by Spark beforehand.
+normalised and made distinct by Spark beforehand. All pairs of a batch are matched
+together in numpy, with the same result as ``difflib``.
 """
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
-from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -133,26 +134,102 @@ def score_bound(title: Column, candidate_title: Column, names: Column, candidate
     return fixed.TITLE_WEIGHT * letters_bound(title, candidate_title) + fixed.AUTHOR_WEIGHT * people
 
 
-# names and titles repeat over many pairs; whole texts do not and would fill the cache
-CACHED_LENGTH = 1000
+# difflib sets frequent characters aside in texts of 200 characters and more: those are left to it
+SHORT = 200
+CELLS = 1 << 15      # cells of a table of runs that are worked on together
+HELD_NAMES = 1 << 17 # pairs of names whose ratio a worker keeps
 
 
 def _ratio(left: str, right: str) -> float:
     return SequenceMatcher(None, left, right).ratio()
 
 
-_cached_ratio = lru_cache(maxsize=65536)(_ratio)
-
-
-def sequence_ratio(left: str, right: str) -> float:
-    short = len(left) + len(right) <= CACHED_LENGTH
-    return _cached_ratio(left, right) if short else _ratio(left, right)
-
-
-def _name_score(wanted, offered) -> float:
-    if len(wanted) == 0 or len(offered) == 0:
-        return 0.0
-    return sum(max(sequence_ratio(name, other) for other in offered) for name in wanted) / len(wanted)
+def _longest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length of the longest common run of each column's two texts, and its place in both: the first in the left text, then in the right one."""
+    # a cell holds 256 times the length of the run that ends there, and 255 less the place where it begins on the right
+    begun = (255 - np.arange(len(right), dtype=np.uint16))[:, None]
+    runs = np.zeros((len(right) + 1, right.shape[1]), dtype=np.uint16)
+    longer, equal = np.empty(right.shape, dtype=np.uint16), np.empty(right.shape, dtype=bool)
+    best, end = np.zeros(right.shape[1], dtype=np.uint16), np.zeros(right.shape[1], dtype=np.int64)
+    for row, letters in enumerate(left):
+        np.maximum(runs[:-1], begun, out=longer)
+        longer += 256
+        np.equal(right, letters, out=equal)
+        np.multiply(longer, equal, out=runs[1:])
+        top = runs[1:].max(axis=0)
+        better = top >> 8 > best >> 8
+        best[better] = top[better]
+        end[better] = row
+    size = (best >> 8).astype(np.int64)
+    return size, end + 1 - size, 255 - (best & 255).astype(np.int64)
+
+
+def matched_letters(left: list[str], right: list[str]) -> np.ndarray:
+    """Characters that SequenceMatcher matches in each pair of texts below ``SHORT``, all pairs together: the longest common
+    run, and the same again on both its sides."""
+    points = np.frombuffer("".join([*left, *right]).encode("utf-32-le"), dtype=np.uint32)
+    known, codes = np.unique(points, return_inverse=True)
+    codes = codes.astype(np.uint8 if len(known) < 254 else np.uint32)
+    lengths = np.fromiter(map(len, [*left, *right]), dtype=np.int64, count=2 * len(left))
+    starts = np.cumsum(lengths) - lengths
+    pair, n = np.arange(len(left)), len(left)
+    at, size_at, to, size_to = starts[:n], lengths[:n], starts[n:], lengths[n:]
+    matched = np.zeros(n, dtype=np.int64)
+
+    def columns(start, size, other):
+        place = np.arange(size.max())[:, None]
+        letters = codes[np.minimum(start + place, len(codes) - 1)]
+        letters[place >= size] = len(known) + other
+        return letters
+
+    while True:
+        open_ = np.flatnonzero((size_at > 0) & (size_to > 0))
+        open_ = open_[np.lexsort((-size_at[open_], -size_to[open_]))]
+        if not len(open_):
+            return matched
+        pair, at, size_at, to, size_to = (held[open_] for held in (pair, at, size_at, to, size_to))
+        found, first = [], 0
+        while first < len(pair):
+            some = slice(first, first + max(16, CELLS // int(size_to[first])))
+            found.append(_longest(columns(at[some], size_at[some], 0), columns(to[some], size_to[some], 1)))
+            first = some.stop
+        size, on_left, on_right = map(np.concatenate, zip(*found))
+        np.add.at(matched, pair, size)
+        some = np.flatnonzero(size)
+        pair, at, size_at, to, size_to, size, on_left, on_right = (
+            held[some] for held in (pair, at, size_at, to, size_to, size, on_left, on_right))
+        pair, at, to, size_at, size_to = (np.concatenate(sides) for sides in (
+            (pair, pair), (at, at + on_left + size), (to, to + on_right + size),
+            (on_left, size_at - on_left - size), (on_right, size_to - on_right - size)))
+
+
+def sequence_ratios(pairs: list[tuple[str, str]]) -> list[float]:
+    """The Ratcliff-Obershelp ratio of each pair, as ``SequenceMatcher`` gives it."""
+    short = [place for place, (left, right) in enumerate(pairs) if len(left) < SHORT and len(right) < SHORT]
+    ratios = dict.fromkeys(range(len(pairs)), 1.0)
+    matched = matched_letters([pairs[place][0] for place in short], [pairs[place][1] for place in short])
+    for place, letters in zip(short, matched.tolist()):
+        total = len(pairs[place][0]) + len(pairs[place][1])
+        if total:
+            ratios[place] = 2.0 * letters / total
+    for place in ratios.keys() - set(short):
+        ratios[place] = _ratio(*pairs[place])
+    return list(ratios.values())
+
+
+_held: dict[tuple[str, str], float] = {}
+
+
+def name_ratios(pairs: set[tuple[str, str]]) -> dict[tuple[str, str], float]:
+    """The ratios of pairs of names, which repeat over many batches."""
+    new = [pair for pair in pairs if pair not in _held]
+    found = dict(zip(new, sequence_ratios(new)))
+    if len(_held) + len(found) > HELD_NAMES:
+        found |= {pair: _held[pair] for pair in pairs if pair in _held}
+        _held.clear()
+        return found
+    _held.update(found)
+    return _held
 
 
 SCORES = T.StructType([
@@ -165,10 +242,17 @@ def sequence_scores(
     title: pd.Series, candidate_title: pd.Series, names: pd.Series, candidate_names: pd.Series
 ) -> pd.DataFrame:
     """Scores of normalised pairs, combined unrounded and rounded to four places."""
+    titles = list(zip(title, candidate_title))
+    compared = list(dict.fromkeys(titles))
+    of_titles = dict(zip(compared, sequence_ratios(compared)))
+    people = [(list(wanted), list(offered)) for wanted, offered in zip(names, candidate_names)]
+    of_names = name_ratios({(name, other) for wanted, offered in people for name in wanted for other in offered})
     rows = []
-    for left, right, wanted, offered in zip(title, candidate_title, names, candidate_names):
-        title_score = sequence_ratio(left, right)
-        author_score = _name_score(wanted, offered)
+    for both, (wanted, offered) in zip(titles, people):
+        title_score = of_titles[both]
+        author_score = 0.0
+        if wanted and offered:
+            author_score = sum(max(of_names[name, other] for other in offered) for name in wanted) / len(wanted)
         combined = fixed.TITLE_WEIGHT * title_score + fixed.AUTHOR_WEIGHT * author_score
         rows.append((round(title_score, 4), round(author_score, 4), round(combined, 4)))
     return pd.DataFrame(rows, columns=["title_score", "author_score", "match_score"])

@@ -73,6 +73,25 @@ def scores_to_hits(pairs: DataFrame, scores: DataFrame, key: str, hit: str) -> D
     return attach(pairs, scores, ["pair"], "pair_rows", F.struct(key, hit), how="inner").drop("pair_rows", "pair")
 
 
+COMPARED_TEXTS = ["title", "hit_title", "names", "hit_names"]
+
+
+def normalised_pairs(pairs: DataFrame) -> DataFrame:
+    return distinct_pairs(pairs).select(
+        "pair", "pair_rows", normalize_text("asked_title").alias("title"), normalize_text("hit_title").alias("hit_title"),
+        F.transform(split_list("asked_names"), normalize_text).alias("names"),
+        F.transform("hit_names", normalize_text).alias("hit_names"))
+
+
+def score_pairs(pairs: DataFrame) -> DataFrame:
+    """Scores (``pair``, ``pair_rows``, title_score, author_score, match_score) of every distinct pair.
+
+    Ratios of a whole batch cost less than a bound of each pair, and far less than the joins
+    over all hits that tell which pairs can be a book's best.
+    """
+    return settle(normalised_pairs(pairs).withColumn("_scores", sequence_scores(*COMPARED_TEXTS)).select("pair", "pair_rows", "_scores.*"))
+
+
 # a score is rounded to four places, so one this far below the best cannot be rounded up to it
 ROUNDED = 0.00006
 
@@ -91,17 +110,13 @@ def score_promising(pairs: DataFrame, key: str) -> Scored:
     Each distinct pair gets an upper bound of its score in the JVM. The pair with the highest
     bound of each book is scored first; of the others only those whose bound reaches their
     book's score so far, equal scores included. ``work``: ``pairs``, ``scored`` and ``skipped``.
+    That takes joins over all hits, so it is for few hits with long texts; ``score_pairs`` scores all.
     """
-    texts = distinct_pairs(pairs).select(
-        "pair", "pair_rows", normalize_text("asked_title").alias("title"), normalize_text("hit_title").alias("hit_title"),
-        F.transform(split_list("asked_names"), normalize_text).alias("names"),
-        F.transform("hit_names", normalize_text).alias("hit_names"))
-    compared = ["title", "hit_title", "names", "hit_names"]
-    bounded = settle(texts.withColumn("bound", score_bound(*[F.col(name) for name in compared])))
+    bounded = settle(normalised_pairs(pairs).withColumn("bound", score_bound(*[F.col(name) for name in COMPARED_TEXTS])))
 
     def scored(chosen: DataFrame) -> DataFrame:
         rows = bounded.join(chosen.select("pair"), "pair", "left_semi").repartition(shuffle_width(pairs), "pair")
-        return settle(rows.withColumn("_scores", sequence_scores(*compared)).select("pair", "pair_rows", "_scores.*"))
+        return settle(rows.withColumn("_scores", sequence_scores(*COMPARED_TEXTS)).select("pair", "pair_rows", "_scores.*"))
 
     linked = settle(attach(pairs.select(key, "pair"), bounded.select("pair", "pair_rows", "bound"), ["pair"], "pair_rows",
                            F.col(key), how="inner").select(key, "pair", "bound"))
@@ -132,11 +147,11 @@ def match_books(books: DataFrame, candidates: DataFrame, key: str, minimum: floa
 
     ``books``: key, title, authors (``;`` cell). ``candidates``: key, cand_rank,
     display_name, title, authorships, id, doi, cited_by_count, type. The first of equal
-    scores wins; books without hits get ``no_results``. Hits that cannot be the best are
-    not scored.
+    scores wins; books without hits get ``no_results``. Every distinct pair of texts is
+    scored once.
     """
     pairs = candidate_pairs(books, book_hits(candidates, key), key)
-    scores = score_promising(pairs, key).scores
+    scores = score_pairs(pairs)
     shown = ["openalex_id", "matched_title", "doi", "cited_by_count", "title_score", "author_score", "match_score"]
     named = scores_to_hits(pairs, scores, key, "cand_rank").withColumn("matched_title", F.nullif("hit_title", F.lit("")))
     best = named.groupBy(key).agg(

@@ -198,3 +198,38 @@ def test_name_shares_are_scored_once_per_pair_of_cells(spark):
     found = QUERIES["name_shares"](spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" in plan and "array_except" not in plan and "array_intersect" not in plan
+
+
+def test_ratios_of_a_batch_are_those_of_difflib(monkeypatch):
+    """One pair at a time was too slow for large tables."""
+    rng = random.Random(4)
+    alphabets = ["ab", "abc ", "é東京ab x", "abcdefghijklmnopqrstuvwxyz ", "".join(chr(0x4E00 + k) for k in range(400))]
+
+    def text(alphabet):
+        return "".join(rng.choices(alphabet, k=rng.choice([0, 1, 2, 5, 20, 60, 150, 198, 199, 200, 201, 260])))
+
+    pairs = [(text(alphabet), text(alphabet)) for alphabet in alphabets for _ in range(120)]
+    pairs += [(left, left) for left, _ in pairs[::9]] + [(left, left[::-1]) for left, _ in pairs[::9]]
+    expected = [SequenceMatcher(None, *pair).ratio() for pair in pairs]
+    assert similarity.sequence_ratios(pairs) == expected
+    monkeypatch.setattr(similarity, "CELLS", 50)
+    assert similarity.sequence_ratios(pairs) == expected
+    assert similarity.sequence_ratios([]) == [] and similarity.sequence_ratios([("", "")]) == [1.0]
+    monkeypatch.setattr(similarity, "HELD_NAMES", 100)
+    names = list(dict.fromkeys(pairs))[:300]
+    for first in range(0, 300, 40):
+        some = set(names[first:first + 60])
+        found = similarity.name_ratios(some)
+        assert all(found[pair] == SequenceMatcher(None, *pair).ratio() for pair in some)
+
+
+def test_match_scores_all_pairs_in_one_pass(spark, monkeypatch):
+    """Bounds and the best so far took three more joins over all hits."""
+    books = spark.createDataFrame([("1", "la casa", "Ana; Luz"), ("2", "mar", None), ("3", "sol", "")], "isbn13 string, title string, authors string")
+    hits = spark.createDataFrame([(str(2 - k % 2), k, f"W{k}", None, title, None, 1, "book", people("Ana", "Eva"))
+                                  for k, title in enumerate(["casa la", "mar", "zzz", "mar", "la cosa", None], 1)], HIT)
+    written, settle = [], matching.settle
+    monkeypatch.setattr(matching, "settle", lambda frame: written.append(frame.columns) or settle(frame))
+    found = {row.isbn13: (row.openalex_id, row.title_score) for row in matching.match_books(books, hits, "isbn13").collect()}
+    assert found == {"1": ("W5", 0.8571), "2": ("W2", 1.0), "3": (None, None)}
+    assert len(written) == 2
