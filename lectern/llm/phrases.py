@@ -7,7 +7,7 @@ codes are drawn.
 
 Level by level, phrases that can reach LEAST occurrences are found first (their parts all
 do): each task lists the distinct phrases of its texts whose parts are frequent, with their
-number up to LEAST, and those that reach LEAST over all tasks are candidates. Which parts are frequent is sent as a
+number up to LEAST, dealt by a hash to groups of bounded size, and those that reach LEAST over all tasks are candidates. Which parts are frequent is sent as a
 bitmap of fixed size (2^26 bits of words, 2^27 of pairs); where codes share a bit it only
 lets more phrases pass. The candidates are dealt by a hash to double-array tries of about
 TRIE_ENTRIES phrases, each built by the task that uses it. The texts are read once more: every
@@ -51,6 +51,7 @@ WORD_BITS, PAIR_BITS = 26, 27
 CHECK_SEED = -1              # of the hash that tells words of one code apart
 TRIE_ENTRIES, TRIE_LEAST = 1 << 17, 4096     # phrases of a trie, and the fewest that are worth one where tasks are free
 TRIES_AT_ONCE = 32           # tries that a task has at most, one after another
+GROUP_WORDS = 1 << 21        # words of all texts for each group that candidates are found in
 LISTED_ROWS = 1 << 20        # phrases that a task lists before equal ones are put together
 LIST_ROWS, TASKS_AT_ONCE = 4096, 64          # phrases of a list dealt to a trie, and lists (of any tasks) that are walked together
 DIGIT = 11                   # bits of a word's number that one step of a trie reads; two steps a word
@@ -233,14 +234,19 @@ def phrase_key(first, second, third):
 
 
 def distinct_rows(columns: list[np.ndarray], times: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of codes and how often each occurs (once a row, or ``times``); a shared sort key only parts a row's count."""
-    key = columns[0]
-    for column in columns[1:]:
-        key = pair_key(key, column)
+    """Distinct rows of codes and how often each occurs (once a row, or ``times``)."""
+    key = columns[-1]
+    for column in columns[-2::-1]:
+        key = pair_key(column, key)
     order = np.argsort(key, kind="stable")
-    held = [column[order] for column in columns]
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in held])
+    while True:
+        held = [column[order] for column in columns]
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in held])
+        if key is None or not (first[1:] & (key[order[1:]] == key[order[:-1]])).any():
+            break
+        # rows that share a key could lie mixed
+        key, order = None, np.lexsort(columns)
     at = np.flatnonzero(first)
     rows = [column[at] for column in held]
     if times is None or not len(at):
@@ -248,29 +254,98 @@ def distinct_rows(columns: list[np.ndarray], times: np.ndarray | None = None) ->
     return rows, np.add.reduceat(times[order], at)
 
 
-def candidates(texts: DataFrame, seed: int, length: int, parts: np.ndarray, bits: int) -> DataFrame:
-    """``c1`` to ``c3`` (``c3`` null for pairs) of the phrases of ``length`` words that reach LEAST; ``parts`` is the
-    bitmap of the frequent phrases one word shorter."""
-    schema = pa.schema([*[(f"c{k + 1}", pa.int64()) for k in range(length)], ("n", pa.int8())])
-    sent = texts.sparkSession.sparkContext.broadcast(parts)
+def together(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Lists of phrases (columns of codes, and how often each occurs) as one, with equal ones once."""
+    columns = [np.concatenate(column) for column in zip(*held)]
+    rows, times = distinct_rows(columns[:-1], columns[-1])
+    return [*rows, times]
+
+
+def lists(texts: DataFrame, seed: int, find, groups: int, most: int | None = None) -> DataFrame:
+    """``part``, ``words`` and ``list``: the phrases that ``find`` gives of the words of a bundle, dealt to ``groups`` parts.
+
+    ``find`` gives columns of codes by the number of words. A list holds the codes of the first
+    words of at most LIST_ROWS phrases, those of the second (and third), and how often each
+    occurs (``most`` at most, if named). Equal phrases have one part.
+    """
+    schema = pa.schema([("part", pa.int64()), ("words", pa.int8()), ("list", pa.binary())])
+
+    def cut(columns):
+        *codes, times = columns
+        third = codes[2] if len(codes) == 3 else np.zeros_like(codes[0])
+        part = phrase_key(codes[0], codes[1], third) % groups
+        order = np.lexsort((codes[0], part))       # equal first words together: shuffled lists are compressed
+        part, columns = part[order], [column[order] for column in (*codes, times if most is None else np.minimum(times, most))]
+        edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        cuts = [(at, min(at + LIST_ROWS, until)) for begin, until in zip(edges, edges[1:]) for at in range(begin, until, LIST_ROWS)]
+        for first in range(0, len(cuts), TASKS_AT_ONCE):
+            some = cuts[first:first + TASKS_AT_ONCE]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part[begin] for begin, _ in some], pa.int64()), pa.array([len(codes)] * len(some), pa.int8()),
+                pa.array([b"".join(column[begin:until].tobytes() for column in columns) for begin, until in some], pa.binary())],
+                schema=schema)
 
     def run(batches):
+        held: dict[int, list] = {}
         for words, _ in bundles(batches, seed):
-            codes, follows = words.codes, words.follows
-            if length == 2:
-                good = has(sent.value, bits, codes)
-                at = np.flatnonzero(follows[1:] & good[:-1] & good[1:])
-            else:
-                good = np.zeros(len(codes), dtype=bool)
-                good[:-1] = follows[1:] & has(sent.value, bits, pair_key(codes[:-1], codes[1:]))
-                at = np.flatnonzero(good[:-1] & good[1:])
-            rows, n = distinct_rows([codes[at + k] for k in range(length)])
-            yield from _batches(schema, [*rows, np.minimum(n, LEAST).astype(np.int8)])
+            for length, codes in find(words).items():
+                some = held.setdefault(length, [])
+                some.append(together([[*codes, np.ones(len(codes[0]), dtype=np.int64)]]))
+                if sum(len(one[0]) for one in some) > LISTED_ROWS:
+                    one = together(some)
+                    held[length] = [one]
+                    if 2 * len(one[0]) > LISTED_ROWS:
+                        yield from cut(one)
+                        held[length] = []
+        for some in held.values():
+            if some:
+                yield from cut(together(some))
+
+    return texts.mapInArrow(run, "part bigint, words tinyint, list binary")
+
+
+def read_list(one: bytes, words: int) -> np.ndarray:
+    return np.frombuffer(one, dtype=np.int64).reshape(words + 1, -1)
 
+
+def candidates(texts: DataFrame, seed: int, length: int, parts: np.ndarray, bits: int, total: int) -> DataFrame:
+    """``c1`` to ``c3`` (``c3`` null for pairs) of the phrases of ``length`` words that reach LEAST; ``parts`` is the
+    bitmap of the frequent phrases one word shorter, ``total`` the number of words.
+
+    A group has the phrases of GROUP_WORDS words or so, so a task's memory does not grow with the texts.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(parts)
+    groups = max(shuffle_width(texts), ceil(total / GROUP_WORDS))
     columns = [f"c{k + 1}" for k in range(length)]
-    found = texts.mapInArrow(run, ", ".join(f"{name} bigint" for name in columns) + ", n tinyint")
-    reached = found.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    return reached.select(*columns, *([] if length == 3 else [F.lit(None).cast("bigint").alias("c3")]))
+    schema = pa.schema([(name, pa.int64()) for name in columns])
+
+    def find(words):
+        codes, follows = words.codes, words.follows
+        if length == 2:
+            good = has(sent.value, bits, codes)
+            at = np.flatnonzero(follows[1:] & good[:-1] & good[1:])
+        else:
+            good = np.zeros(len(codes), dtype=bool)
+            good[:-1] = follows[1:] & has(sent.value, bits, pair_key(codes[:-1], codes[1:]))
+            at = np.flatnonzero(good[:-1] & good[1:])
+        return {length: [codes[at + k] for k in range(length)]}
+
+    def reached(batches):
+        done, fresh, size = [], [], 0
+        for batch in batches:
+            for one in batch["list"].to_pylist():
+                fresh.append(read_list(one, length))
+                size += fresh[-1].shape[1]
+                if size > max(LISTED_ROWS, len(done[0][0]) if done else 0):
+                    done, fresh, size = [together([*done, *fresh])], [], 0
+        if done or fresh:
+            *codes, times = together([*done, *fresh])
+            enough = times >= LEAST
+            yield from _batches(schema, [code[enough] for code in codes])
+
+    dealt_out = lists(texts, seed, find, groups, LEAST).repartitionById(groups, F.col("part").cast("int"))
+    found = dealt_out.select("list").mapInArrow(reached, ", ".join(f"{name} bigint" for name in columns))
+    return found.select(*columns, *([] if length == 3 else [F.lit(None).cast("bigint").alias("c3")]))
 
 
 # --- tries ----------------------------------------------------------------------------------
@@ -426,9 +501,9 @@ def counted(texts: DataFrame, seed: int, found: DataFrame) -> DataFrame:
     tasks = max(min(tries, width), ceil(tries / TRIES_AT_ONCE))
     entries = keyed.select(F.pmod("key", F.lit(tries)).alias("trie"), F.lit(0).cast("tinyint").alias("words"), "c1", "c2", "c3",
                            F.lit(None).cast("binary").alias("list"))
-    lists = dealt(texts, seed, bitmap(keyed, PAIR_BITS), tries)
+    occurrences = dealt(texts, seed, bitmap(keyed, PAIR_BITS), tries)
     nothing = [F.lit(None).cast("bigint").alias(name) for name in ("c1", "c2", "c3")]
-    rows = entries.union(lists.select("trie", "words", *nothing, "list"))
+    rows = entries.union(occurrences.select("trie", "words", *nothing, "list"))
     # the candidates of a trie come before what is looked up in it
     rows = rows.repartitionById(tasks, F.pmod("trie", F.lit(tasks)).cast("int")).sortWithinPartitions("trie", "words")
     counts = rows.mapInArrow(_walked, "c1 bigint, c2 bigint, c3 bigint, pair boolean, a bigint")
@@ -436,57 +511,19 @@ def counted(texts: DataFrame, seed: int, found: DataFrame) -> DataFrame:
 
 
 def dealt(texts: DataFrame, seed: int, marks: np.ndarray, tries: int) -> DataFrame:
-    """``trie``, ``words`` (2 or 3) and ``list``: all occurrences of phrases that the bitmap has, by the trie they belong to.
-
-    A list holds the codes of the first words of at most LIST_ROWS phrases, those of the
-    second (and third), and how often each occurs.
-    """
-    schema = pa.schema([("trie", pa.int64()), ("words", pa.int8()), ("list", pa.binary())])
+    """``trie``, ``words`` (2 or 3) and ``list``: all occurrences of phrases that the bitmap has, by the trie they belong to."""
     sent = texts.sparkSession.sparkContext.broadcast(marks)
 
-    def together(held):
-        columns = [np.concatenate(column) for column in zip(*held)]
-        rows, times = distinct_rows(columns[:-1], columns[-1])
-        return [*rows, times]
-
-    def lists(columns):
-        third = columns[2] if len(columns) == 4 else np.zeros_like(columns[0])
-        trie = phrase_key(columns[0], columns[1], third) % tries
-        order = np.lexsort((columns[0], trie))       # equal first words together: shuffled lists are compressed
-        trie, columns = trie[order], [column[order] for column in columns]
-        edges = [0, *(np.flatnonzero(trie[1:] != trie[:-1]) + 1).tolist(), len(trie)]
-        cuts = [(at, min(at + LIST_ROWS, until)) for begin, until in zip(edges, edges[1:]) for at in range(begin, until, LIST_ROWS)]
-        for first in range(0, len(cuts), TASKS_AT_ONCE):
-            some = cuts[first:first + TASKS_AT_ONCE]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([trie[begin] for begin, _ in some], pa.int64()), pa.array([len(columns) - 1] * len(some), pa.int8()),
-                pa.array([b"".join(column[begin:until].tobytes() for column in columns) for begin, until in some], pa.binary())],
-                schema=schema)
-
-    def run(batches):
-        held = {2: [], 3: []}
-        for words, _ in bundles(batches, seed):
-            codes, follows = words.codes, words.follows
-            pairs = pair_key(codes[:-1], codes[1:])
-            at = np.flatnonzero(follows[1:] & has(sent.value, PAIR_BITS, pairs))
-            held[2].append(together([[codes[at], codes[at + 1], np.ones(len(at), dtype=np.int64)]]))
-            # a frequent phrase begins with a frequent pair
-            at = at[at + 2 < len(codes)]
-            at = at[follows[at + 2]]
-            at = at[has(sent.value, PAIR_BITS, phrase_key(codes[at], codes[at + 1], codes[at + 2]))]
-            held[3].append(together([[codes[at], codes[at + 1], codes[at + 2], np.ones(len(at), dtype=np.int64)]]))
-            for length, some in held.items():
-                if sum(len(one[0]) for one in some) > LISTED_ROWS:
-                    one = together(some)
-                    held[length] = [one]
-                    if 2 * len(one[0]) > LISTED_ROWS:
-                        yield from lists(one)
-                        held[length] = []
-        for some in held.values():
-            if some:
-                yield from lists(together(some))
+    def find(words):
+        codes, follows = words.codes, words.follows
+        at = np.flatnonzero(follows[1:] & has(sent.value, PAIR_BITS, pair_key(codes[:-1], codes[1:])))
+        # a frequent phrase begins with a frequent pair
+        longer = at[at + 2 < len(codes)]
+        longer = longer[follows[longer + 2]]
+        longer = longer[has(sent.value, PAIR_BITS, phrase_key(codes[longer], codes[longer + 1], codes[longer + 2]))]
+        return {2: [codes[at], codes[at + 1]], 3: [codes[longer + k] for k in range(3)]}
 
-    return texts.mapInArrow(run, "trie bigint, words tinyint, list binary")
+    return lists(texts, seed, find, tries).withColumnRenamed("part", "trie")
 
 
 def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,9 +536,8 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return build(rows, np.concatenate([one[3] for one in entries]), 0)
 
     def walk(length):
-        lists = [np.frombuffer(one, dtype=np.int64).reshape(length + 1, -1) for one in waiting[length]]
+        *columns, times = np.concatenate([read_list(one, length) for one in waiting[length]], axis=1)
         waiting[length].clear()
-        *columns, times = np.concatenate(lists, axis=1)
         return trie.tally(columns, times)
 
     def ended():
@@ -596,9 +632,10 @@ def mined(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
     words, seed = coded_vocabulary(texts)
     frequent = settle(words.where(F.col("f") >= LEAST))
     marks = bitmap(frequent.select(F.col("code").alias("key")), WORD_BITS)
-    pairs = settle(candidates(texts, seed, 2, marks, WORD_BITS))
+    total = words.agg(F.sum("f")).first()[0] or 0
+    pairs = settle(candidates(texts, seed, 2, marks, WORD_BITS, total))
     marks = bitmap(pairs.select(pair_key(F.col("c1"), F.col("c2")).alias("key")), PAIR_BITS)
-    triples = candidates(texts, seed, 3, marks, PAIR_BITS)
+    triples = candidates(texts, seed, 3, marks, PAIR_BITS, total)
     counts = settle(counted(texts, seed, pairs.union(triples)))
     return scored(counts, frequent), words.groupBy("lang").agg(F.sum("f").alias("n"))
 

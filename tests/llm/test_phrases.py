@@ -177,3 +177,32 @@ def test_many_small_tries(spark, monkeypatch):
     monkeypatch.setattr(phrases, "BUNDLE_BYTES", 300)
     rows = awkward(30)
     assert sorted(map(tuple, phrases.collocations(docs_of(spark, rows)).collect())) == brute(rows)
+
+
+def test_rows_that_share_a_key_are_counted_whole(monkeypatch):
+    """Candidates reach ten by these counts, so no row may be parted."""
+    monkeypatch.setattr(phrases, "pair_key", lambda left, right: left & 0)
+    draw = np.random.default_rng(3)
+    columns, times = [draw.integers(0, 4, 500) for _ in range(3)], draw.integers(1, 9, 500)
+    expected, weighed = Counter(zip(*(column.tolist() for column in columns))), Counter()
+    for row, n in zip(zip(*(column.tolist() for column in columns)), times.tolist()):
+        weighed[row] += n
+    for given, wanted in ((None, expected), (times, weighed)):
+        rows, n = phrases.distinct_rows(columns, given)
+        assert len(n) == len(wanted) and dict(zip(zip(*(row.tolist() for row in rows)), n.tolist())) == wanted
+
+
+def test_candidates_of_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "GROUP_WORDS", 40)
+    monkeypatch.setattr(phrases, "LISTED_ROWS", 30)
+    monkeypatch.setattr(phrases, "BUNDLE_BYTES", 300)
+    rows = awkward(30)
+    texts = docs_of(spark, rows).selectExpr("coalesce(text, '') as text", "coalesce(lang, 'und') as lang").repartition(3)
+    counts, total = Counter(), 0
+    for _, text, lang, *_ in rows:
+        for words in pieces(text):
+            total += len(words)
+            counts.update((lang or "und", *words[i:i + 2]) for i in range(len(words) - 1))
+    full = np.full(1 << (phrases.WORD_BITS - 6), -1, dtype=np.int64).view(np.uint64)
+    found = phrases.candidates(texts, 0, 2, full, phrases.WORD_BITS, total).collect()
+    assert len(found) == len(set(found)) == sum(n >= 10 for n in counts.values())
